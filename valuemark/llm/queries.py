@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from valuemark.llm.pieces import op6_pieces
 from valuemark.llm.token_records import op9_token_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -13,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op6_pieces": op6_pieces,
         "op9_token_records": op9_token_records,
     }
 
