@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from valuemark.llm.fingerprints import op7_fingerprints
+from valuemark.llm.inner_products import OP2_SQL, op2_inner_products
 from valuemark.llm.pieces import op6_pieces
 from valuemark.llm.token_records import op9_token_records
 
@@ -15,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_inner_products": op2_inner_products,
         "op6_pieces": op6_pieces,
         "op7_fingerprints": op7_fingerprints,
         "op9_token_records": op9_token_records,
@@ -22,4 +24,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_inner_products": OP2_SQL}
