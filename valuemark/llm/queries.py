@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from valuemark.llm.fingerprints import op7_fingerprints
 from valuemark.llm.inner_products import OP2_SQL, op2_inner_products
 from valuemark.llm.pieces import op6_pieces
+from valuemark.llm.quality import op10_quality
 from valuemark.llm.token_records import op9_token_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,7 @@ def queries() -> dict[str, Query]:
         "op6_pieces": op6_pieces,
         "op7_fingerprints": op7_fingerprints,
         "op9_token_records": op9_token_records,
+        "op10_quality": op10_quality,
     }
 
 
