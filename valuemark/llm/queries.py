@@ -11,6 +11,7 @@ from valuemark.llm.inner_products import OP2_SQL, op2_inner_products
 from valuemark.llm.pieces import op6_pieces
 from valuemark.llm.quality import op10_quality
 from valuemark.llm.token_records import op9_token_records
+from valuemark.llm.toxicity import op8_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,7 @@ def queries() -> dict[str, Query]:
         "op2_inner_products": op2_inner_products,
         "op6_pieces": op6_pieces,
         "op7_fingerprints": op7_fingerprints,
+        "op8_toxicity": op8_toxicity,
         "op9_token_records": op9_token_records,
         "op10_quality": op10_quality,
     }
