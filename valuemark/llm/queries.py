@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from valuemark.llm.fingerprints import op7_fingerprints
 from valuemark.llm.inner_products import OP2_SQL, op2_inner_products
 from valuemark.llm.jaccard_join import op4_jaccard
+from valuemark.llm.line_dedup import OP5_SQL, op5_line_dedup
 from valuemark.llm.pieces import op6_pieces
 from valuemark.llm.quality import op10_quality
 from valuemark.llm.token_records import op9_token_records
@@ -21,6 +22,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_inner_products": op2_inner_products,
         "op4_jaccard": op4_jaccard,
+        "op5_line_dedup": op5_line_dedup,
         "op6_pieces": op6_pieces,
         "op7_fingerprints": op7_fingerprints,
         "op8_toxicity": op8_toxicity,
@@ -30,4 +32,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_inner_products": OP2_SQL}
+    return {"op2_inner_products": OP2_SQL, "op5_line_dedup": OP5_SQL}
