@@ -10,6 +10,7 @@ from valuemark.llm.fingerprints import op7_fingerprints
 from valuemark.llm.inner_products import OP2_SQL, op2_inner_products
 from valuemark.llm.jaccard_join import op4_jaccard
 from valuemark.llm.line_dedup import OP5_SQL, op5_line_dedup
+from valuemark.llm.packing import op1_packing
 from valuemark.llm.pieces import op6_pieces
 from valuemark.llm.quality import op10_quality
 from valuemark.llm.token_records import op9_token_records
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_packing": op1_packing,
         "op2_inner_products": op2_inner_products,
         "op4_jaccard": op4_jaccard,
         "op5_line_dedup": op5_line_dedup,
