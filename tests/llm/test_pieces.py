@@ -25,7 +25,7 @@ def test_agenda_alone_equals_the_library(text):
 def test_words_equal_the_library(limit):
     model = P.piece_model(PATH, limit)
     for text in ODD * 2:
-        ids, spelled = model.encode(text)
+        ((ids, spelled),) = model.encode([text])
         assert ids == SP.encode(text, add_eos=True), text
         assert spelled == " ".join(map(str, ids))
 

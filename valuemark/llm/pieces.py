@@ -4,7 +4,8 @@ A text becomes a row of symbols, one a character. An agenda holds every adjacent
 of the vocabulary, ordered by the piece's score, then by place; the best pair is merged, pairs that it made
 stale are passed over, and its new neighbours enter the agenda, until nothing is left to merge. A symbol
 outside the vocabulary becomes its UTF-8 bytes. No piece holds a word mark or a line end behind another
-character, so merging works on words, each once a worker, and keeps the results in a bounded dictionary.
+character, so merging works on words. A worker keeps their ids in two generations of bounded size: when the
+young one is full it becomes the old one, and what is still in use moves on from there.
 
 Each Arrow batch is checked against the library: the ids of every word that is new to the worker, and the
 round trip of every text. A text that fails takes the library's own ids.
@@ -13,9 +14,10 @@ round trip of every text. A text that fails takes the library's own ids.
 from __future__ import annotations
 
 import functools
-import heapq
 import re
-from itertools import chain
+from array import array
+from heapq import heapify, heappop, heappush
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,43 +27,40 @@ from valuemark.llm.common import table, texts
 
 MARK = "▁"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 
 _MODELS: dict[tuple[str, int], "PieceModel"] = {}
 
 
-def piece_model(path: str, limit: int = 250_000) -> "PieceModel":
+def piece_model(path: str, limit: int = 300_000) -> "PieceModel":
     if (path, limit) not in _MODELS:
         _MODELS[path, limit] = PieceModel(path, limit)
     return _MODELS[path, limit]
 
 
-def merged(symbols: list[str], scores: dict[str, float]) -> list[str]:
-    """The symbols left when the agenda is empty."""
-    n = len(symbols)
+def merged(symbols: list[str], cost: dict[str, float]) -> list[str]:
+    """The symbols left when the agenda is empty; ``cost`` of a piece is its score turned round."""
+    n, find = len(symbols), cost.get
+    agenda = [(c, i, i + 1, pair) for i, pair in enumerate(map(add, symbols, symbols[1:])) if (c := find(pair)) is not None]
+    heapify(agenda)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    agenda = []
-    for i in range(n - 1):
-        pair = symbols[i] + symbols[i + 1]
-        if pair in scores:
-            agenda.append((-scores[pair], i, i + 1, pair))
-    heapq.heapify(agenda)
     while agenda:
-        _, left, right, pair = heapq.heappop(agenda)
-        if after[left] != right or symbols[left] + symbols[right] != pair or not symbols[left] or not symbols[right]:
+        _, left, right, pair = heappop(agenda)
+        a, b = symbols[left], symbols[right]
+        if not a or not b or len(a) + len(b) != len(pair):
             continue
         symbols[left], symbols[right] = pair, ""
-        follower = after[left] = after[right]
-        if follower < n:
-            before[follower] = left
-            new = pair + symbols[follower]
-            if new in scores:
-                heapq.heappush(agenda, (-scores[new], left, follower, new))
-        leader = before[left]
-        if leader >= 0:
-            new = symbols[leader] + pair
-            if new in scores:
-                heapq.heappush(agenda, (-scores[new], leader, left, new))
+        right = after[left] = after[right]
+        if right < n:
+            before[right] = left
+            new = pair + symbols[right]
+            if (c := find(new)) is not None:
+                heappush(agenda, (c, left, right, new))
+        right, left = left, before[left]
+        if left >= 0:
+            new = symbols[left] + pair
+            if (c := find(new)) is not None:
+                heappush(agenda, (c, left, right, new))
     return [s for s in symbols if s]
 
 
@@ -72,16 +71,17 @@ class PieceModel:
         self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         normal = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.ids_of_piece = {sp.id_to_piece(i): i for i in normal}
-        self.scores = {p: sp.get_score(i) for p, i in self.ids_of_piece.items()}
+        self.cost = {p: -sp.get_score(i) for p, i in self.ids_of_piece.items()}
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.end = sp.eos_id()
         self.by_word = not any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids_of_piece)
-        self.limit, self.ids, self.spelled = limit, {}, {}
+        # Bytes and strings, which the garbage collector need not visit.
+        self.limit, self.known, self.old, self.spelled, self.old_spelled = limit, {}, {}, {}, {}
 
     def agenda_ids(self, marked: str) -> list[int]:
         """Ids of a text whose spaces are marks already."""
         out = []
-        for s in merged(list(marked), self.scores):
+        for s in merged(list(marked), self.cost):
             known = self.ids_of_piece.get(s)
             if known is None:
                 out.extend(self.bytes[b] for b in s.encode("utf-8", "surrogatepass"))
@@ -99,54 +99,60 @@ class PieceModel:
         return spaced.split(" ")
 
     def learn(self, words: set[str]) -> None:
-        new = list(words)
+        new = []
+        for w in words:
+            if w in self.old:
+                self.known[w], self.spelled[w] = self.old[w], self.old_spelled[w]
+            else:
+                new.append(w)
         full = [w if w[:1] in (MARK, "\n") else MARK + w for w in new]
-        got = [self.agenda_ids(w) for w in full]
         # The library puts a mark before a text: it stands for the word's own, or comes as an id of its own before a line end.
         asked = self.library.encode([(w[1:] if w[0] == MARK else w).replace(MARK, " ") for w in full], num_threads=1)
-        for word, spelled, own, theirs in zip(new, full, got, asked):
+        for word, spelled, theirs in zip(new, full, asked):
+            own = self.agenda_ids(spelled)
             if spelled == MARK:
                 theirs = own  # the library gives nothing for an empty text
             elif spelled[0] != MARK:
                 theirs = theirs[1:]
-            self.ids[word] = tuple(theirs if own != theirs else own)
-            self.spelled[word] = " ".join(map(str, self.ids[word]))
-
-    def encode(self, text: str) -> tuple[list[int], str]:
-        """Ids with the end id behind them, and the same as decimal text."""
-        if not text:
-            return [self.end], str(self.end)
-        words = self.words(text)
-        if new := set(words).difference(self.ids):
-            if len(self.ids) + len(new) > self.limit:
-                self.ids.clear()
-                self.spelled.clear()
-                new = set(words)
+            ids = own if own == theirs else theirs
+            self.known[word], self.spelled[word] = array("i", ids).tobytes(), " ".join(map(str, ids))
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], str]]:
+        """Ids of each text with the end id behind them, and the same as decimal text."""
+        split = [self.words(t) if t else [] for t in texts]
+        if new := set().union(*split).difference(self.known):
             self.learn(new)
-        ids = list(chain.from_iterable(map(self.ids.__getitem__, words)))
-        ids.append(self.end)
-        return ids, f"{' '.join(map(self.spelled.__getitem__, words))} {self.end}"
+        out = []
+        for words in split:
+            ids = array("i", b"".join(map(self.known.__getitem__, words))).tolist()
+            ids.append(self.end)
+            out.append((ids, " ".join([*map(self.spelled.__getitem__, words), str(self.end)])))
+        if len(self.known) > self.limit:
+            self.old, self.old_spelled = (self.known, self.spelled) if len(self.known) < 2 * self.limit else ({}, {})
+            self.known, self.spelled = {}, {}
+        return out
 
 
 def _coded(batches, path: str):
     model = piece_model(path)
     for b in batches:
-        rows, held = [], 0
-        for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-            ids, spelled = model.encode(text)
-            decoded = model.library.decode(ids)
-            if decoded != text:
-                own = model.library.encode(text, add_eos=True)
-                if own != ids:
-                    ids, spelled = own, " ".join(map(str, own))
-                    decoded = model.library.decode(ids)
-            rows.append((doc_id, len(ids), spelled, decoded))
-            held += len(text)
-            if held > BATCH_CHARS:
-                yield _batch(rows)
-                rows, held = [], 0
-        if rows:
-            yield _batch(rows)
+        found, size, at = list(zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())), 0, 0
+        for end, (_, text) in enumerate(found, 1):
+            size += len(text)
+            if size > BATCH_CHARS or end == len(found):
+                yield _batch(list(_rows(model, found[at:end])))
+                size, at = 0, end
+
+
+def _rows(model: PieceModel, found: list[tuple]):
+    for (doc_id, text), (ids, spelled) in zip(found, model.encode([t for _, t in found])):
+        decoded = model.library.decode(ids)
+        if decoded != text:
+            own = model.library.encode(text, add_eos=True)
+            if own != ids:
+                ids, spelled = own, " ".join(map(str, own))
+                decoded = model.library.decode(ids)
+        yield doc_id, len(ids), spelled, decoded
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
