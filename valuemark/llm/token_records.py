@@ -31,6 +31,8 @@ HEADER_SIZE, LEAD_SIZE, TRAILER_SIZE = 8, 10, 4
 TERMINATOR = b"\n"
 
 BATCH_BYTES = 8 << 20
+#: A row a file, about 100 bytes; with more files the starts are joined by exchange.
+FILES_TO_BROADCAST = 50_000
 
 
 def masked(data: bytes) -> int:
@@ -142,6 +144,8 @@ def read_token_records(spark: SparkSession, path: str) -> DataFrame:
 
     read = _files(spark, path).mapInArrow(parsed, "file string, doc_id long, before long, n_tokens long, ids binary")
     starts = file_starts(spark, path)
+    if spark.read.parquet(f"{path}/index").agg(F.count_distinct("file")).first()[0] <= FILES_TO_BROADCAST:
+        starts = F.broadcast(starts)
     return read.join(starts, "file").select("doc_id", (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids")
 
 
