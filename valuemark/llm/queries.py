@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from valuemark.llm.chat import op3_chat
 from valuemark.llm.fingerprints import op7_fingerprints
 from valuemark.llm.inner_products import OP2_SQL, op2_inner_products
 from valuemark.llm.jaccard_join import op4_jaccard
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
         "op2_inner_products": op2_inner_products,
+        "op3_chat": op3_chat,
         "op4_jaccard": op4_jaccard,
         "op5_line_dedup": op5_line_dedup,
         "op6_pieces": op6_pieces,
