@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuemark.session import fresh_path, materialize, shared_dir, table
 
-__all__ = ["fresh_path", "held_out", "materialize", "shared_dir", "table", "texts"]
+__all__ = ["fresh_path", "held_out", "kept_rows", "materialize", "shared_dir", "table", "texts"]
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -22,3 +28,14 @@ def held_out(doc_id: Column) -> Column:
 
 def task_count(spark: SparkSession, total: int, each: int) -> int:
     return max(1, -(-total // each))
+
+
+def _kept(batches, decide: Callable[[list[str]], np.ndarray]):
+    for b in batches:
+        found = [t or "" for t in b.column("text").to_pylist()]
+        yield b.filter(pa.array(decide(found), pa.bool_()))
+
+
+def kept_rows(docs: DataFrame, decide: Callable[[list[str]], np.ndarray]) -> DataFrame:
+    """Rows whose whole text (null as empty) ``decide`` keeps; columns stay as they are."""
+    return docs.mapInArrow(functools.partial(_kept, decide=decide), docs.schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemark.llm.common import held_out, table, texts
+from valuemark.llm.common import held_out, kept_rows, table, texts
 from valuemark.llm.labelled import training_sample
 
 PER_CLASS, RANK, NEIGHBOURS, POWER = 1500, 32, 15, 8
@@ -96,17 +96,33 @@ def _scored(batches, model: dict, neighbours: int, power: float, share: float):
         yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(scores or [np.zeros(0)]))], ["doc_id", "score"])
 
 
+def _model(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[dict, float]:
+    sample, share = training_sample(docs, labels, "quality", per_class)
+    return fit(sample), share
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, neighbours: int = NEIGHBOURS, power: float = POWER) -> DataFrame:
     """doc_id and score (0 to 1, higher: rather quality 1) of every row, from its whole text alone.
 
     Null texts count as empty. Rows map one to one, repeated ids and null ids included; without labels every
     score is one half, with an empty table the result is empty.
     """
-    sample, share = training_sample(docs, labels, "quality", per_class)
-    scored = functools.partial(_scored, model=fit(sample), neighbours=neighbours, power=power, share=share)
+    model, share = _model(docs, labels, per_class)
+    scored = functools.partial(_scored, model=model, neighbours=neighbours, power=power, share=share)
     return texts(docs).mapInArrow(scored, "doc_id long, score double")
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, per_class: int = PER_CLASS) -> DataFrame:
+    """The rows of ``docs``, with their own columns, whose quality score reaches ``threshold``."""
+    model, share = _model(docs, labels, per_class)
+    return kept_rows(docs, functools.partial(_good, model=model, share=share, threshold=threshold))
+
+
+def _good(found: list[str], model: dict, share: float, threshold: float) -> np.ndarray:
+    scores = [votes(term_shares(found[i : i + BLOCK]), model, NEIGHBOURS, POWER, share) for i in range(0, len(found), BLOCK)]
+    return np.concatenate(scores or [np.zeros(0)]) >= threshold
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

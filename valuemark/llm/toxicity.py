@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemark.llm.common import held_out, table, texts
+from valuemark.llm.common import held_out, kept_rows, table, texts
 from valuemark.llm.labelled import training_sample
 
 PER_CLASS, LEXICON, THRESHOLD = 3000, 2000, 0.5
@@ -216,6 +216,20 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
     return texts(docs).mapInArrow(scored, "doc_id long, score double")
 
 
+def civil_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, per_class: int = PER_CLASS) -> DataFrame:
+    """The rows of ``docs``, with their own columns, whose toxicity score stays below ``threshold``."""
+    sample, share = training_sample(docs, labels, "toxic", per_class)
+    weights = lexicon(sample)
+    return kept_rows(docs, functools.partial(_civil, weights=weights, b=curve(sample, weights, share), threshold=threshold, memory={}))
+
+
+def _civil(found: list[str], weights: dict[str, float], b: np.ndarray, threshold: float, memory: dict) -> np.ndarray:
+    grammar = memory.setdefault("grammar", None) or Grammar(weights)
+    memory["grammar"] = grammar
+    x = np.array([features(grammar, t) for t in found]).reshape(-1, FEATURES)
+    return 1 / (1 + np.exp(-np.clip(x @ b, -30, 30))) < threshold
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
