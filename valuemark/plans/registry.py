@@ -1,21 +1,238 @@
-"""Every query of the provider-value engine with its SQL twin."""
+"""Every query of the provider-value engine, named by what it covers, with its SQL twin."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from valuemark.functions import scalars as X
+from valuemark.operators import checks, linkage, outcomes, ranking
+from valuemark.plans import binding as B
+from valuemark.plans.pipeline import S, Stages
+from valuemark.session import table
+from valuemark.sources import prices as P
+from valuemark.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
+REGISTRY: dict[str, tuple[Query, str | None]] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f: Query) -> Query:
+        REGISTRY[name] = (f, sql)
+        return f
+
+    return add
+
+
+def staged(name: str, columns: str, sql: str, build: Callable[[Stages], DataFrame]) -> None:
+    names = [c.strip() for c in columns.split(",")]
+    REGISTRY[name] = (lambda spark, sf_dir: build(Stages(spark, sf_dir)).select(*names), sql)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return REGISTRY["A2_provider_metrics"][0](spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {n: f for n, (f, _) in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {n: sql for n, (_, sql) in REGISTRY.items() if sql}
+
+
+def simple(name: str, columns: str, cte: str, build: Callable[[Stages], DataFrame]) -> None:
+    staged(name, columns, B.sql(f"SELECT {columns} FROM {cte}", cte), build)
+
+
+METRICS = "patient_volume, first_year, last_year, avg_severity, observed_los, expected_los, oe_los, observed_adverse_pct, expected_adverse_pct, oe_adverse, oe_composite, clinical_oe"
+SCORES = "provider_id, provider_name, patient_volume, clinical_oe, price_name, cost, cost_basis, price_file_basis, market_median, clinical_multiplier, financial_multiplier, experience_modifier, value_index, clinical_only_index, data_status"
+VIEW = "provider_id, borough, years_observed, cost, market_median, pct_vs_market, value_index, value_rank, value_percentile, star_rating, data_status"
+
+simple("P1_cohort", "provider_id, provider_name, zip3, procedure_code, severity, year, in_market, adverse", "cohort", lambda t: t.cohort)
+simple("A1_benchmarks", "procedure_code, severity, year, stratum_n, expected_los, expected_adverse", "bench", lambda t: t.benchmarks)
+simple("A2_provider_metrics", f"provider_id, hip_volume, knee_volume, {METRICS}", "metrics", lambda t: t.provider_metrics)
+simple("A6_procedure_metrics", f"provider_id, procedure_code, procedure, {METRICS}", "proc_metrics", lambda t: t.procedure_metrics)
+simple("A3_A4_attributes", "provider_id, provider_name, certificate, county, zip3", "attributes", lambda t: t.attributes)
+simple("A7_provider_pricing", "facility_name, pricing_system, line_count, payer_count, negotiated_lines, median_cash, median_negotiated, min_negotiated, max_negotiated, procedure_cost, price_file_basis", "pricing", lambda t: t.provider_pricing)
+simple("A8_provider_costs", "provider_id, list_charge, list_cost, cost_year", "provider_costs", lambda t: t.provider_costs)
+simple("A9_market_benchmark", "cost_basis, providers, market_median, p25, p75, least, most", "market", lambda t: t.market)
+simple("J9_procedure_pricing", "provider_id, procedure, procedure_cost, cost_basis", "proc_pricing", lambda t: t.procedure_pricing)
+simple("A10_procedure_benchmark", "procedure, cost_basis, providers, market_median", "proc_bench", lambda t: t.procedure_benchmark)
+simple("V12_score_table", SCORES, "scores", lambda t: t.scores)
+simple("V13_procedure_scores", "provider_id, procedure_code, procedure, patient_volume, clinical_oe, procedure_cost, cost_basis, market_median, value_index", "proc_scores", lambda t: t.procedure_scores)
+simple("V14_consumer_view", VIEW, "view", lambda t: t.view)
+staged("V15_procedure_view", "provider_id, procedure, procedure_code, value_index, value_rank, star_rating, pct_vs_market", B.sql(
+    f"SELECT provider_id, procedure, procedure_code, value_index, rank() OVER (PARTITION BY procedure ORDER BY value_index DESC) AS value_rank, CAST(ntile(5) OVER (PARTITION BY procedure ORDER BY value_index, provider_id) AS INT) AS star_rating, {B.R('(procedure_cost - market_median) * 100.0 / nullif(market_median, 0)', 1)} AS pct_vs_market FROM proc_scores WHERE value_index IS NOT NULL", "proc_scores"), lambda t: t.procedure_view)
+staged("V16_export_view", VIEW, B.sql(f"SELECT {VIEW} FROM view WHERE value_index IS NOT NULL", "view"), lambda t: ranking.export_view(t.view))
+staged("O3_top_15", "provider_id, value_index", B.sql("SELECT provider_id, value_index FROM scores WHERE value_index IS NOT NULL ORDER BY value_index DESC, provider_id LIMIT 15", "scores"), lambda t: checks.best(t.scores))
+simple("A12_outcomes", "provider_id, ccn, complication_rate, readmission_rate, overall_rating", "outcomes", lambda t: t.outcomes)
+staged("J12_scores_with_outcomes", "provider_id, value_index, complication_rate, readmission_rate", B.sql("SELECT provider_id, value_index, complication_rate, readmission_rate FROM view LEFT JOIN outcomes USING (provider_id)", "view", "outcomes"), lambda t: ranking.consumer_view(t.scores, t.outcomes.drop("ccn")))
+staged("A21_proxy_validation", "n, correlation", B.sql(f"SELECT count(*) AS n, {B.R('corr(clinical_oe, complication_rate)', 4)} AS correlation FROM scores JOIN outcomes USING (provider_id) WHERE clinical_oe IS NOT NULL AND complication_rate IS NOT NULL", "scores", "outcomes"), lambda t: outcomes.proxy_validation(t.scores, t.outcomes))
+staged("P10_market_view", "provider_id, cost, patient_volume, star_rating", B.sql("SELECT provider_id, cost, patient_volume, star_rating FROM view WHERE borough IN ('NATION_3', 'NATION_5', 'NATION_8', 'NATION_15') AND cost <= 60000 AND patient_volume >= 20 AND star_rating >= 2", "view"), lambda t: ranking.market_view(t.view, ["NATION_3", "NATION_5", "NATION_8", "NATION_15"], 60000, 20, 2))
+staged("A18_headline", "providers, median_cost, spread, volume", B.sql(f"SELECT count(*) AS providers, {B.R(B.Q('cost', 0.5), 2)} AS median_cost, {B.R('CASE WHEN count(cost) > 1 THEN max(cost) - min(cost) END', 2)} AS spread, CAST(coalesce(sum(patient_volume), 0) AS BIGINT) AS volume FROM view", "view"), lambda t: ranking.headline(t.view))
+staged("A22_basis_lines", "cost_basis, market_median", B.sql("SELECT cost_basis, max(market_median) AS market_median FROM view GROUP BY cost_basis", "view"), lambda t: ranking.basis_lines(t.view))
+staged("Q1_stage_counts", "stage, rows", B.sql("SELECT 'discharges' AS stage, count(*) AS rows FROM discharges UNION ALL SELECT 'cohort', count(*) FROM cohort UNION ALL SELECT 'prices', count(*) FROM prices UNION ALL SELECT 'provider_metrics', count(*) FROM metrics UNION ALL SELECT 'scores', count(*) FROM scores", "scores"), lambda t: checks.stage_counts(discharges=t.discharges, cohort=t.cohort, prices=t.prices, provider_metrics=t.provider_metrics, scores=t.scores))
+staged("Q2_cohort_by_year", "year, discharges, in_market, market_providers", B.sql("SELECT year, count(*) AS discharges, count(*) FILTER (in_market) AS in_market, count(DISTINCT CASE WHEN in_market THEN provider_id END) AS market_providers FROM cohort GROUP BY year", "cohort"), lambda t: checks.cohort_by_year(t.discharges, S))
+
+
+def _reasons(t: Stages) -> DataFrame:
+    from valuemark.operators.clinical import drop_reasons
+
+    return drop_reasons(t.discharges, S)
+
+
+staged("Q3_drop_reasons", "total_rows, other_procedure, bad_severity, bad_los, no_provider, not_elective, extreme_risk", B.sql(
+    "SELECT count(*) AS total_rows, count(*) FILTER (procedure_code NOT IN (324, 326)) AS other_procedure, count(*) FILTER (severity NOT BETWEEN 1 AND 4) AS bad_severity, CAST(0 AS BIGINT) AS bad_los, count(*) FILTER (provider_id IS NULL) AS no_provider, count(*) FILTER (admission <> 'Elective') AS not_elective, count(*) FILTER (risk = 'Extreme') AS extreme_risk FROM discharges", "discharges"), _reasons)
+staged("Q5_dispositions", "disposition, adverse, n", B.sql("SELECT disposition, CASE disposition WHEN 'Home or Self Care' THEN 0 WHEN 'Unknown' THEN NULL ELSE 1 END AS adverse, count(*) AS n FROM discharges GROUP BY ALL", "discharges"), lambda t: checks.dispositions(t.discharges))
+staged("Q6_unmapped", "without_row, without_name", B.sql("SELECT (SELECT count(*) FROM metrics ANTI JOIN links USING (provider_id)) AS without_row, (SELECT count(*) FROM metrics m WHERE EXISTS (SELECT 1 FROM links l WHERE l.provider_id = m.provider_id AND l.facility_name IS NULL)) AS without_name", "metrics", "links"), lambda t: checks.unmapped(t.provider_metrics, t.links))
+staged("Q7_awaiting_review", "provider_id, facility_name", B.sql("SELECT provider_id, facility_name FROM links WHERE NOT reviewed AND facility_name IS NOT NULL", "links"), lambda t: t.links.filter("NOT reviewed AND facility_name IS NOT NULL"))
+staged("Q8_no_price", "provider_id, data_status", B.sql("SELECT provider_id, data_status FROM scores WHERE price_file_basis IS NULL", "scores"), lambda t: t.scores.filter("price_file_basis IS NULL"))
+staged("Q9_fan_out", "provider_id, n", B.sql("SELECT provider_id, count(*) AS n FROM scores GROUP BY provider_id HAVING count(*) > 1", "scores"), lambda t: checks.duplicates(t.scores, ["provider_id"]))
+staged("Q11_implausible", "provider_id, clinical_oe, cost", B.sql("SELECT provider_id, clinical_oe, cost FROM scores WHERE clinical_oe > 3 OR clinical_oe < 0.25 OR cost > 500000 OR cost < 5000", "scores"), lambda t: checks.implausible(t.scores))
+staged("A19_match_coverage", "providers, matched, approved, awaiting_review, volume_share", B.sql(f"SELECT count(*) AS providers, count(facility_name) AS matched, count(*) FILTER (facility_name IS NOT NULL AND reviewed) AS approved, count(*) FILTER (facility_name IS NOT NULL AND NOT reviewed) AS awaiting_review, {B.R('CAST(sum(CASE WHEN facility_name IS NOT NULL THEN patient_volume END) AS DOUBLE) / nullif(CAST(sum(patient_volume) AS DOUBLE), 0)', 4)} AS volume_share FROM links LEFT JOIN metrics USING (provider_id)", "links", "metrics"), lambda t: linkage.match_summary(t.links, t.provider_metrics.withColumnRenamed("patient_volume", "volume")))
+staged("A20_price_names", "facility_name, n", B.sql("SELECT facility_name, count(*) AS n FROM prices GROUP BY facility_name", "prices"), lambda t: t.prices.groupBy("facility_name").agg(F.count("*").alias("n")))
+
+
+# ---- scalar rules over every part or event ---------------------------------------------------------------
+
+CODE_TEXT = "CASE p_partkey % 9 WHEN 0 THEN 'MS-DRG 470' WHEN 1 THEN concat('APR', CAST(p_size AS STRING), '-1') WHEN 2 THEN CAST(p_partkey AS STRING) WHEN 3 THEN concat('0', CAST(p_size AS STRING)) WHEN 4 THEN 'DRG-470' WHEN 5 THEN concat('MSDRG', CAST(p_partkey AS STRING)) WHEN 6 THEN '' WHEN 7 THEN '000' ELSE concat('x', CAST(p_size AS STRING)) END"
+TYPE_TEXT = "CASE p_partkey % 4 WHEN 0 THEN 'DRG' WHEN 1 THEN 'APR-DRG' WHEN 2 THEN 'CPT' ELSE NULL END"
+_first = lambda p: f"nullif(regexp_extract(upper(trim(raw)), '{p}', 1), '')"
+
+
+@query("F4_F5_codes", f"""
+WITH t AS (SELECT p_partkey, {CODE_TEXT.replace('STRING', 'VARCHAR')} AS raw, {TYPE_TEXT} AS declared FROM part),
+d AS (SELECT *, ltrim(coalesce({_first('^0*([0-9]{1,3})$')}, {_first('APR[ _-]?(?:DRG)?[ _-]?0*([0-9]{1,3})\\b')}, CASE WHEN regexp_matches(upper(raw), 'MS[ _-]?DRG[^0-9]{{0,4}}0*[0-9]{{1,3}}($|[^0-9])') THEN {_first('MS[ _-]?DRG[^0-9]{0,4}0*([0-9]{1,3})')} END, CASE WHEN regexp_matches(upper(raw), '(?:^|[^A-Z])DRG[^0-9]{{0,4}}0*[0-9]{{1,3}}($|[^0-9])') THEN {_first('(?:^|[^A-Z])DRG[^0-9]{0,4}0*([0-9]{1,3})')} END), '0') AS digits FROM t),
+n AS (SELECT *, CASE WHEN digits <> '' THEN lpad(digits, 3, '0') END AS number,
+  CASE WHEN raw LIKE 'APR%' THEN 'APR-DRG' WHEN raw LIKE 'MS%' THEN 'MS-DRG' WHEN declared = 'APR-DRG' THEN 'APR-DRG' WHEN declared = 'DRG' THEN 'MS-DRG' END AS system FROM d)
+SELECT p_partkey, number, CASE WHEN number IS NOT NULL THEN system END AS system FROM n""")
+def f4_f5_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "part").select("p_partkey", F.expr(CODE_TEXT).alias("raw"), F.expr(TYPE_TEXT).alias("declared"))
+    c = X.classify_code(F.col("raw"), F.col("declared"))
+    return t.select("p_partkey", X.normalize_drg(F.col("raw")).alias("number"), c["system"].alias("system"))
+
+
+MONEY_TEXT = "CASE e % 7 WHEN 0 THEN concat('$', v) WHEN 1 THEN 'N/A' WHEN 2 THEN concat(' ', v, ' ') WHEN 3 THEN '-' WHEN 4 THEN concat('-', v) WHEN 5 THEN '1-2' ELSE '0' END"
+
+
+@query("F7_F8_F9_numbers", f"""
+SELECT event_id, CASE event_id % 7 WHEN 0 THEN CAST(v AS DOUBLE) WHEN 2 THEN CAST(v AS DOUBLE) END AS money, CAST(trunc(CAST(v AS DOUBLE)) AS INT) AS whole,
+  CASE event_id % 7 WHEN 0 THEN CAST(v AS DOUBLE) WHEN 1 THEN NULL WHEN 2 THEN CAST(v AS DOUBLE) WHEN 4 THEN -CAST(v AS DOUBLE) WHEN 6 THEN 0.0 END AS number
+FROM (SELECT event_id, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS v FROM events WHERE value > 0.01)""")
+def f7_f8_f9_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "events").filter("value > 0.01").selectExpr("event_id", "event_id AS e", "CAST(CAST(round(value * 100) AS BIGINT) AS STRING) AS v")
+    t = t.withColumn("raw", F.expr(MONEY_TEXT))
+    return t.select("event_id", X.clean_currency(F.col("raw")).alias("money"), X.as_int(F.col("v")).alias("whole"), X.as_number(F.col("raw")).alias("number"))
+
+
+NAMES = "CASE p_partkey % 4 WHEN 0 THEN concat('The ', p_name, ' Medical Center') WHEN 1 THEN upper(concat(p_name, '-', p_type)) WHEN 2 THEN concat(p_name, ' & ', p_brand) ELSE concat('SBH ', p_name, ' Health System, Inc.') END"
+
+
+@query("F11_names", f"""
+WITH t AS (SELECT p_partkey, {NAMES} AS raw FROM part),
+u AS (SELECT p_partkey, regexp_replace(replace(replace(lower(raw), '&', ' and '), '-', ' '), '[^a-z0-9 ]+', ' ', 'g') AS x FROM t),
+w AS (SELECT p_partkey, trim(regexp_replace(regexp_replace(x, '\\b({'|'.join(X.NOISE_WORDS.split())})\\b', ' ', 'g'), '\\s+', ' ', 'g')) AS y FROM u)
+SELECT p_partkey, replace(y, 'sbh', 'st barnabas') AS norm, len(list_filter(list_distinct(string_split(replace(y, 'sbh', 'st barnabas'), ' ')), lambda z: length(z) >= 4 AND z NOT IN ('new', 'york', 'the', 'and', 'for', 'of'))) AS tokens FROM w""")
+def f11_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    norm = X.normalize_name(F.expr(NAMES))
+    return table(spark, sf_dir, "part").select("p_partkey", norm.alias("norm"), F.size(X.significant_tokens(norm)).cast("long").alias("tokens"))
+
+
+# ---- files of prices, manifests and measures, made of the tables -----------------------------------------
+
+WIDE = ["description", "code|1", "code|1|type", "setting", "standard_charge|discounted_cash", "standard_charge|1-URGENT|R|negotiated_dollar", "standard_charge|2-HIGH|R|negotiated_dollar", "standard_charge|2-HIGH|R|negotiated_percentage"]
+
+
+@query("S14_wide_prices", B.sql("""
+SELECT code, setting, payer, negotiated, cash FROM (
+  SELECT code, setting, unnest(CASE WHEN u IS NULL AND h IS NULL THEN [NULL] ELSE list_filter(['1-URGENT', '2-HIGH'], lambda x: CASE x WHEN '1-URGENT' THEN u ELSE h END IS NOT NULL) END) AS payer, u, h, cash, CASE WHEN u IS NULL AND h IS NULL THEN NULL ELSE 1 END AS any_
+  FROM (SELECT facility_name, code, setting, max(negotiated) FILTER (payer = '1-URGENT') AS u, max(negotiated) FILTER (payer = '2-HIGH') AS h, max(cash) AS cash FROM prices WHERE system = 'APR-DRG' AND code IN ('324', '326') GROUP BY ALL)
+) x, LATERAL (SELECT CASE x.payer WHEN '1-URGENT' THEN x.u WHEN '2-HIGH' THEN x.h END AS negotiated)""", "prices"))
+def s14_wide_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Stages(spark, sf_dir).prices.filter("system = 'APR-DRG' AND code IN ('324', '326', '999')")
+    at = lambda payer: F.max(F.when(F.col("payer") == payer, F.col("negotiated"))).cast("string")
+    raw = t.groupBy("facility_name", "code", "setting").agg(F.max("cash").cast("string").alias("cash"), at("1-URGENT").alias("u"), at("2-HIGH").alias("h"))
+    raw = raw.select(F.lit("joint"), "code", F.lit("APR-DRG"), "setting", "cash", "u", "h", F.lit("65"))
+    return P.parse_csv(raw, WIDE, None, None, "wide", S).select("code", "setting", "payer", "negotiated", "cash")
+
+
+TALL = ["description", "code|1", "code|1|type", "code|2", "code|2|type", "setting", "payer_name", "plan_name", "standard_charge|discounted_cash", "standard_charge|negotiated_dollar"]
+
+
+@query("S13_tall_prices", B.sql("SELECT code, system, setting, payer, plan, negotiated, cash FROM prices WHERE (system = 'APR-DRG' AND code IN ('324', '326')) OR system = 'MS-DRG'", "prices"))
+def s13_tall_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Stages(spark, sf_dir).prices
+    raw = t.select(F.lit("other"), F.lit("27447"), F.lit("CPT"), "code", "system", "setting", "payer", "plan", F.concat(F.lit("$"), F.col("cash").cast("decimal(14,2)").cast("string")), F.col("negotiated").cast("decimal(14,2)").cast("string"))
+    return P.parse_csv(raw, TALL, "all", "330001", "tall", S).select("code", "system", "setting", "payer", "plan", "negotiated", "cash")
+
+
+@query("S15_json_prices", B.sql("SELECT code, system, payer, negotiated FROM prices WHERE ((system = 'APR-DRG' AND code IN ('324', '326')) OR system = 'MS-DRG') AND negotiated IS NOT NULL", "prices"))
+def s15_json_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Stages(spark, sf_dir).prices.filter("negotiated IS NOT NULL")
+    payers = F.collect_list(F.struct(F.col("payer").alias("payer_name"), F.col("plan").alias("plan_name"), F.col("negotiated").cast("string").alias("standard_charge_dollar")))
+    g = t.withColumn("part", F.pmod(F.xxhash64("negotiated", "cash"), F.lit(64))).groupBy("facility_name", "system", "code", "part").agg(payers.alias("payers_information"))
+    item = F.struct(F.lit("joint").alias("description"), F.array(F.struct(F.lit("27447").alias("code"), F.lit("CPT").alias("type")), F.struct(F.col("code"), F.col("system").alias("type"))).alias("code_information"), F.array(F.struct(F.lit("inpatient").alias("setting"), F.col("payers_information"))).alias("standard_charges"))
+    return P.parse_json_items(P.json_items(g.select(F.to_json(item).alias("j")), "j"), "json", S).select("code", "system", "payer", "negotiated")
+
+
+@query("S19_manifests", "SELECT concat('Place ', CAST(page_id AS VARCHAR)) AS location_name, url AS mrf_url FROM pages UNION ALL SELECT concat('Side ', CAST(page_id AS VARCHAR)), concat(regexp_extract(url, '^(https?://[^/]+)', 1), '/a.json') FROM pages")
+def s19_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = "concat('# list\\nlocation-name: Place ', page_id, '\\nMRF-URL: ', url, '\\nlocation-name: Side ', page_id, '\\nmrf-url: /a.json\\ncontact-name: x\\nlocation-name: none')"
+    return P.manifest_locations(table(spark, sf_dir, "pages").selectExpr("url AS base", f"{body} AS body")).select("location_name", "mrf_url")
+
+
+@query("S9_measures", "SELECT CAST(user_id AS VARCHAR) AS ccn, 'COMP_HIP_KNEE' AS measure_id, CASE WHEN event_id % 3 > 0 THEN CAST(round(value) AS DOUBLE) END AS score FROM events WHERE event_type = 'purchase'")
+def s9_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "events").selectExpr("concat(' ', user_id, ' ') AS facility_id", "CASE event_type WHEN 'purchase' THEN ' COMP_HIP_KNEE ' ELSE event_type END AS measure_id", "CASE WHEN event_id % 3 > 0 THEN CAST(round(value) AS STRING) ELSE 'Not Available' END AS score")
+    return T.load_measures(raw).select("ccn", "measure_id", F.col("score").cast("double").alias("score"))
+
+
+@query("S1_reconcile", "SELECT CAST(l_suppkey AS INT) AS provider_id, CAST(CAST(l_quantity AS INT) AS VARCHAR) AS los_raw, CAST(year(l_shipdate) AS INT) AS year FROM lineitem")
+def s1_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "lineitem")
+    even = t.filter("l_orderkey % 2 = 0").selectExpr("CAST(CAST(l_suppkey AS DOUBLE) AS STRING) AS facility_id", "concat(' ', CAST(CAST(l_quantity AS INT) AS STRING)) AS length_of_stay", "CAST(year(l_shipdate) AS STRING) AS discharge_year")
+    odd = t.filter("l_orderkey % 2 = 1").selectExpr("CAST(l_suppkey AS STRING) AS permanent_facility_id", "CAST(CAST(l_quantity AS INT) AS STRING) AS length_of_stay", "CAST(year(l_shipdate) AS STRING) AS discharge_year")
+    return T.reconcile(even, T.DISCHARGE_FIELDS).unionByName(T.reconcile(odd, T.DISCHARGE_FIELDS)).select("provider_id", "los_raw", "year")
+
+
+# ---- linking --------------------------------------------------------------------------------------------
+
+
+def _name_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    s = table(spark, sf_dir, "supplier")
+    left = s.selectExpr("CAST(s_suppkey AS INT) AS provider_id", "CAST(NULL AS STRING) AS certificate", "concat('Saint ', upper(replace(s_name, '#', ' ')), CASE WHEN s_suppkey % 2 = 0 THEN ' Hospital' ELSE ' Campus' END) AS provider_name", "CAST(s_acctbal AS BIGINT) AS volume")
+    right = s.filter("s_suppkey % 3 > 0").selectExpr("concat('The saint ', replace(s_name, '#', CASE WHEN s_suppkey % 5 = 0 THEN ' no ' ELSE ' ' END)) AS facility_name")
+    return left, right
+
+
+@query("M1_exact_links", "SELECT CAST(s_suppkey AS INT) AS provider_id, concat('The saint ', replace(s_name, '#', ' ')) AS facility_name FROM supplier WHERE s_suppkey % 3 > 0 AND s_suppkey % 5 > 0")
+def m1_exact_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = _name_sets(spark, sf_dir)
+    right = linkage.named(right)
+    pairs = left.withColumn("norm", X.normalize_name(F.col("provider_name"))).join(right, "norm")
+    return pairs.select("provider_id", "facility_name")
+
+
+@query("M2_propose_links")
+def m2_propose_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = _name_sets(spark, sf_dir)
+    none = left.limit(0).selectExpr("provider_id", "certificate", "provider_name", "CAST(NULL AS STRING) AS facility_name", "CAST(NULL AS STRING) AS match_method", "CAST(NULL AS DECIMAL(5,2)) AS match_score", "false AS reviewed", "CAST(NULL AS STRING) AS review_source")
+    # Every name of this table shares its first words, so blocks are made on the number: the last word leads.
+    lead = lambda df, c: df.withColumn(c, F.regexp_replace(c, "(?i)saint supplier", ""))
+    return linkage.propose(lead(left, "provider_name"), lead(right, "facility_name"), none, S)
+
+
+staged("M5_protected_merge", "provider_id, facility_name, reviewed", B.sql("SELECT provider_id, CASE WHEN reviewed THEN facility_name ELSE 'new name' END AS facility_name, reviewed FROM links", "links"), lambda t: linkage.protected_merge(t.links, t.links.withColumn("facility_name", F.lit("new name"))))
+
+
+# ---- ranking at scale, on every order -------------------------------------------------------------------
+
+
+@query("W1_W3_global_ranks", f"SELECT o_orderkey, rank() OVER (ORDER BY v DESC) AS value_rank, {B.R('100 * percent_rank() OVER (ORDER BY v)', 1)} AS value_percentile, CAST(ntile(5) OVER (ORDER BY v, o_orderkey) AS INT) AS star_rating FROM (SELECT o_orderkey, floor(o_totalprice / 10) AS v FROM orders)")
+def w1_w3_global_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "orders").select("o_orderkey", F.floor(F.col("o_totalprice") / 10).alias("v"))
+    return ranking.global_ranks(t, "v", "o_orderkey").select("o_orderkey", "value_rank", "value_percentile", "star_rating")
