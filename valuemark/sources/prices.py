@@ -34,7 +34,7 @@ def layout(head: str) -> dict:
         if "description" in names and any(c == "code" or c.startswith(("code|", "standard_charge")) for c in names):
             meta = dict(zip([c.strip().lower() for c in rows[0]], rows[1])) if at >= 2 else {}
             ccn = next((meta[k].strip() for k in ("license_number", "cms_certification_number", "ccn") if meta.get(k, "").strip()), None)
-            return {"row": at, "names": names, "facility": meta.get("hospital_name", "").strip() or None, "ccn": ccn}
+            return {"row": at, "names": [c.strip() for c in row], "facility": meta.get("hospital_name", "").strip() or None, "ccn": ccn}
     raise ValueError("no header row with a description and a code or charge column")
 
 
@@ -67,15 +67,17 @@ def parse_csv(raw: DataFrame, names: list[str], facility: str | None, ccn: str |
     """Target lines of one layout. ``raw`` has its columns in order, all text; the preamble rows have no target code and fall out."""
     columns = [f"c{i}" for i in range(len(names))]
     df = raw.toDF(*columns)
+    payers = {n.lower(): n.split("|") for n in names}  # payer and plan keep their spelling
+    names = [n.lower() for n in names]
     of = dict(zip(names, columns))
     get = lambda *wanted: F.coalesce(*[F.col(of[w]) for w in wanted if w in of], F.lit(None).cast("string"))
     description = get("description")
     pairs = [(F.col(of[c]), F.col(of[t]) if t else F.lit(None).cast("string")) for c, t in code_columns(names)]
     rows = df.withColumn("target", _targets(pairs, description, s)).filter("target IS NOT NULL")
-    wide = [(n, n.split("|")) for n in names if n.startswith("standard_charge|") and n.count("|") == 3]
+    wide = [(n, payers[n]) for n in names if n.startswith("standard_charge|") and n.count("|") == 3]
     amount = lambda n: S.clean_currency(F.col(of[n]))
     if wide:
-        offers = F.array(*[F.struct(F.lit(p[1]).alias("payer"), F.lit(p[2]).alias("plan"), amount(n).alias("negotiated")) for n, p in wide if p[3] == "negotiated_dollar"])
+        offers = F.array(*[F.struct(F.lit(p[1]).alias("payer"), F.lit(p[2]).alias("plan"), amount(n).alias("negotiated")) for n, p in wide if p[3].lower() == "negotiated_dollar"])
         none = F.array(F.struct(F.lit(None).cast("string").alias("payer"), F.lit(None).cast("string").alias("plan"), F.lit(None).cast("double").alias("negotiated")))
         paid = F.filter(offers, lambda x: x["negotiated"].isNotNull())
         rows = rows.withColumn("offer", F.explode(F.when(F.size(paid) > 0, paid).otherwise(none)))
