@@ -32,9 +32,16 @@ def test_segments_bridge_to_the_best_path(seed):
     e = C.scores(turns, m)
     score = lambda p: m["start"][p[0]] + e[0, p[0]] + sum(m["move"][a, b] + e[k + 1, b] for k, (a, b) in enumerate(zip(p, p[1:])))
     best = max(itertools.product(range(3), repeat=n), key=score)
-    ends = C._ends(pd.concat([C._bridge(g, m) for _, g in turns.groupby("segment")]))
-    got = pd.concat([C._decoded(g, m) for _, g in turns.merge(ends, on=["conv_id", "segment"]).groupby("segment")])
-    assert [C.ROLES.index(r) for r in got.sort_values("nth")["role"]] == list(best)
+    cuts = [(a, min(a + 3, n)) for a in range(0, n, 3)]
+    fixed = C.ends([C.bridge(e[a:b], a == 0, m) for a, b in cuts])
+    assert [k for (a, b), (x, y) in zip(cuts, fixed) for k in C.viterbi(e[a:b], a == 0, x, y, m)] == list(best)
+
+
+def test_groups_survive_batch_edges():
+    pdf = pd.DataFrame({"key": [1, 1, 2, 2, 2, 3], "v": range(6)})
+    for size in range(1, 7):
+        got = [g["v"].tolist() for f in C._runs([pdf.iloc[i : i + size] for i in range(0, 6, size)], ["key"]) for _, g in f.groupby("key")]
+        assert got == [[0, 1], [2, 3, 4], [5]]
 
 
 def test_held_out_roles_on_the_whole_table(spark):

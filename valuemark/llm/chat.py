@@ -7,8 +7,8 @@ roles. Start, transition and emission probabilities are learned by counting from
 emissions of the features multiply, markers weigh by a fixed trust. Viterbi gives the likeliest roles, and
 the turns are then rendered in a canonical form.
 
-Viterbi runs over the turns of a conversation as grouped rows: a group is one conversation, and a very long
-one is cut at ``SEGMENT`` turns. Segments are bridged exactly: each yields the best score between every pair
+Viterbi runs over turns dealt out by conversation and sorted, many conversations a task; a very long one is
+cut at ``SEGMENT`` turns. Segments are bridged exactly: each yields the best score between every pair
 of entering and leaving roles, a small matrix; the matrices of a conversation, one row a segment, settle the
 roles at the cuts, and each segment is then decoded between its fixed ends.
 """
@@ -29,6 +29,8 @@ from valuemark.llm.common import held_out, materialize, table
 ROLES = ("system", "user", "assistant")
 SEGMENT = 256
 TRUST = 6.0
+#: Stands for a missing conversation id between the steps; turn numbers go through pandas as text, so none is rounded.
+NO_ID = -(2**63) + 1
 
 # Speaker names that mark a role.
 NAMES = {
@@ -110,48 +112,84 @@ def scores(pdf: pd.DataFrame, model: dict) -> np.ndarray:
     return total
 
 
-def _bridge(pdf: pd.DataFrame, model: dict) -> pd.DataFrame:
+def bridge(e: np.ndarray, first: bool, model: dict) -> np.ndarray:
     """Best score from each role of the turn before a segment to each role of its last turn."""
-    pdf = pdf.sort_values("nth")
-    e = scores(pdf, model)
-    n = len(ROLES)
-    at = (np.tile(model["start"], (n, 1)) if pdf["nth"].iloc[0] == 0 else model["move"]) + e[0]
+    at = (np.tile(model["start"], (len(ROLES), 1)) if first else model["move"]) + e[0]
     for row in e[1:]:
         at = (at[:, :, None] + model["move"][None]).max(1) + row
-    return pd.DataFrame({"conv_id": [pdf["conv_id"].iloc[0]], "segment": [pdf["segment"].iloc[0]], "best": [at.ravel().tolist()]})
+    return at
 
 
-def _ends(pdf: pd.DataFrame) -> pd.DataFrame:
+def ends(bridges: list[np.ndarray]) -> list[tuple[int, int]]:
     """Roles before and at the end of each segment on the best path of a conversation."""
-    pdf = pdf.sort_values("segment")
-    n = len(ROLES)
-    at, back = np.zeros(n), []
-    for m in pdf["best"]:
-        step = at[:, None] + np.array(m).reshape(n, n)
+    at, back = np.zeros(len(ROLES)), []
+    for m in bridges:
+        step = at[:, None] + m
         back.append(step.argmax(0))
         at = step.max(0)
-    role, ends = int(at.argmax()), []
+    role, found = int(at.argmax()), []
     for b in reversed(back):
-        ends.append((int(b[role]), role))
+        found.append((int(b[role]), role))
         role = int(b[role])
-    ends.reverse()
-    return pd.DataFrame({"conv_id": pdf["conv_id"], "segment": pdf["segment"], "enter": [a for a, _ in ends], "leave": [b for _, b in ends]})
+    return found[::-1]
 
 
-def _decoded(pdf: pd.DataFrame, model: dict) -> pd.DataFrame:
-    """Viterbi within a segment whose neighbours' roles are settled."""
-    pdf = pdf.sort_values("nth")
-    e = scores(pdf, model)
-    at = (model["start"] if pdf["nth"].iloc[0] == 0 else model["move"][pdf["enter"].iloc[0]]) + e[0]
-    back = []
+def viterbi(e: np.ndarray, first: bool, enter: int, leave: int, model: dict) -> list[int]:
+    """Roles within a segment whose neighbours' roles are settled."""
+    at, back = (model["start"] if first else model["move"][enter]) + e[0], []
     for row in e[1:]:
         step = at[:, None] + model["move"]
         back.append(step.argmax(0))
         at = step.max(0) + row
-    path = [int(pdf["leave"].iloc[0])]
+    path = [leave]
     for b in reversed(back):
         path.append(int(b[path[-1]]))
-    return pd.DataFrame({"conv_id": pdf["conv_id"], "turn": pdf["turn"], "nth": pdf["nth"], "given": pdf["role"], "role": [ROLES[k] for k in reversed(path)], "body": pdf["body"]})
+    return path[::-1]
+
+
+def _runs(batches, keys: list[str]):
+    """Frames of whole groups out of sorted batches; only the group at hand is held over."""
+    held = None
+    for pdf in batches:
+        if held is not None:
+            pdf = pd.concat([held, pdf], ignore_index=True)
+        if len(pdf):
+            last = (pdf[keys] != pdf[keys].iloc[-1]).any(axis=1).to_numpy()
+            start = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
+            held = pdf.iloc[start:].reset_index(drop=True)
+            if start:
+                yield pdf.iloc[:start].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held
+
+
+def _slices(pdf: pd.DataFrame, keys: list[str]) -> list[tuple[int, int]]:
+    change = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
+    starts = np.flatnonzero(change)
+    return list(zip(starts.tolist(), [*starts[1:].tolist(), len(pdf)]))
+
+
+def _bridges(batches, model: dict):
+    for pdf in _runs(batches, ["key", "segment"]):
+        e, nth = scores(pdf, model), pdf["nth"].to_numpy()
+        cut = _slices(pdf, ["key", "segment"])
+        at = [a for a, _ in cut]
+        yield pd.DataFrame({"key": pdf["key"].to_numpy()[at], "segment": pdf["segment"].to_numpy()[at], "best": [bridge(e[a:b], nth[a] == 0, model).ravel().tolist() for a, b in cut]})
+
+
+def _settled(batches):
+    for pdf in _runs(batches, ["key"]):
+        found = []
+        for a, b in _slices(pdf, ["key"]):
+            found += ends([np.array(m).reshape(len(ROLES), -1) for m in pdf["best"].iloc[a:b]])
+        yield pd.DataFrame({"key": pdf["key"], "segment": pdf["segment"], "enter": [x for x, _ in found], "leave": [y for _, y in found]})
+
+
+def _decoded(batches, model: dict):
+    for pdf in _runs(batches, ["key", "segment"]):
+        e, nth, enter, leave = scores(pdf, model), pdf["nth"].to_numpy(), pdf["enter"].to_numpy(), pdf["leave"].to_numpy()
+        path = [k for a, b in _slices(pdf, ["key", "segment"]) for k in viterbi(e[a:b], nth[a] == 0, enter[a], int(leave[a]), model)]
+        yield pdf[["key", "turn", "nth", "role", "body"]].rename(columns={"role": "given"}).assign(role=[ROLES[k] for k in path])[["key", "turn", "nth", "given", "role", "body"]]
 
 
 def recovered(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
@@ -166,12 +204,14 @@ def recovered(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     seen = observed(turns)
     model = learned(seen)
     placed = seen.withColumn("nth", (F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "body")) - 1).cast("long"))
-    cut = materialize(placed.withColumn("segment", F.floor(F.col("nth") / segment).cast("long")), "turns")
-    bridges = cut.groupBy("conv_id", "segment").applyInPandas(lambda p: _bridge(p, model), "conv_id long, segment long, best array<double>")
-    ends = bridges.groupBy("conv_id").applyInPandas(_ends, "conv_id long, segment long, enter int, leave int")
-    same = cut.conv_id.eqNullSafe(F.col("e_conv")) & (cut.segment == F.col("e_segment"))
-    fixed = cut.join(ends.select(F.col("conv_id").alias("e_conv"), F.col("segment").alias("e_segment"), "enter", "leave"), same).drop("e_conv", "e_segment")
-    return fixed.groupBy("conv_id", "segment").applyInPandas(lambda p: _decoded(p, model), "conv_id long, turn long, nth long, given string, role string, body string")
+    key = F.coalesce("conv_id", F.lit(NO_ID))
+    cut = materialize(placed.withColumn("segment", F.floor(F.col("nth") / segment).cast("long")).withColumn("key", key).withColumn("turn", F.col("turn").cast("string")), "turns")
+    dealt = lambda df, *keys, order: df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    bridges = dealt(cut.select("key", "segment", "nth", "marker", "f0", "f1", "f2", "f3"), "key", "segment", order=["nth"]).mapInPandas(functools.partial(_bridges, model=model), "key long, segment long, best array<double>")
+    settled = dealt(bridges, "key", order=["segment"]).mapInPandas(_settled, "key long, segment long, enter int, leave int")
+    fixed = cut.drop("conv_id").join(settled, ["key", "segment"])
+    done = dealt(fixed, "key", "segment", order=["nth"]).mapInPandas(functools.partial(_decoded, model=model), "key long, turn string, nth long, given string, role string, body string")
+    return done.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("conv_id"), F.col("turn").cast("long").alias("turn"), "nth", "given", "role", "body")
 
 
 def rendered(turns: DataFrame) -> DataFrame:
