@@ -2,8 +2,9 @@
 
 A chunk is a piece of text that the tokenizer's own pre-tokenizer never joins to its neighbours, so the
 ids of a text are the ids of its chunks in order. Chunks repeat far more often than texts do; each is
-encoded once per worker process by the library (normaliser, pre-tokenizer and model of the file) and kept
-in a dictionary of at most ``limit`` entries. A text whose white space makes chunks ambiguous is encoded
+encoded by the library (normaliser, pre-tokenizer and model of the file) and kept in the worker process in
+two generations of at most ``limit`` entries: when the young one is full it becomes the old one, and what is
+still in use moves on from there. A text whose white space makes chunks ambiguous is encoded
 whole by the library. Strings of special tokens within a text are ordinary text.
 """
 
@@ -21,7 +22,7 @@ PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&$#*|()]*)")
 _ENCODERS: dict[tuple[str, int], "ChunkEncoder"] = {}
 
 
-def encoder(path: str, limit: int = 300_000) -> "ChunkEncoder":
+def encoder(path: str, limit: int = 250_000) -> "ChunkEncoder":
     """The worker's encoder for a tokenizer file; it outlives a task."""
     if (path, limit) not in _ENCODERS:
         _ENCODERS[path, limit] = ChunkEncoder(path, limit)
@@ -36,34 +37,44 @@ class ChunkEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.model, self.limit, self.cache = self.library.model, limit, {}
+        self.model, self.limit, self.cache, self.old = self.library.model, limit, {}, {}
         self.normalizer = self.library.normalizer
         self.split = self.library.pre_tokenizer.pre_tokenize_str
         # White space is part of a token in byte-level vocabularies and is dropped in others.
         self.keeps_space = "".join(p for p, _ in self.split(" a")) != "".join(p for p, _ in self.split("a"))
-        plain = [chr(c) for c in range(0x21, 0x100) if PLAIN.fullmatch("a" + chr(c))] + [" ", "\n"] * self.keeps_space
-        self.spelling = str.maketrans({c: "".join(p for p, _ in self.split(c)) for c in plain})
+        self.space = "".join(p for p, _ in self.split(" ")) if self.keeps_space else ""
+        letters = [chr(c) for c in range(0xC0, 0x100) if PLAIN.fullmatch(chr(c))]
+        self.spelling = str.maketrans({c: "".join(p for p, _ in self.split(c)) for c in letters})
+        self.tokenize, self.tails = self.model.tokenize, {}
         self.lowers = self.normalizer is not None and self.normalizer.normalize_str("A") == "a"
 
     def _pieces(self, chunk: str) -> list[str]:
-        led = chunk[:1] if self.keeps_space and chunk[:1] in " \n" else ""
-        if m := PLAIN.fullmatch(chunk, len(led)):
-            word, tail = m.groups()
-            word = word.lower() if self.lowers else word
-            parts = [led + word, tail] if led != "\n" else [led, word, tail]
-            return [p.translate(self.spelling) for p in parts if p]
         text = self.normalizer.normalize_str(chunk) if self.normalizer is not None else chunk
         return [p for p, _ in self.split(text)]
 
     def _encode(self, chunk: str) -> bytes | None:
+        """Ids of a chunk as it stands behind a space; one led by a line end stands behind that."""
+        if m := PLAIN.fullmatch(chunk):
+            word, tail = m.groups()
+            word = word.lower() if self.lowers else word
+            found = self.tokenize(self.space + (word if word.isascii() else word.translate(self.spelling)))
+            return array.array("I", [t.id for t in found]).tobytes() + (self._tail(tail) if tail else b"")
         if self.keeps_space:
             if len(chunk.split()) != 1 or chunk[-1:].isspace():
                 return None
             chunk = chunk if chunk[0] == "\n" else " " + chunk
         return self._packed(chunk)
 
+    def _tail(self, tail: str) -> bytes:
+        """Plain punctuation is a pre-token of its own."""
+        if tail not in self.tails:
+            self.tails[tail] = self._packed(tail)
+            if len(self.tails) > 10_000:
+                self.tails = {tail: self.tails[tail]}
+        return self.tails[tail]
+
     def _packed(self, chunk: str) -> bytes:
-        return array.array("I", [t.id for p in self._pieces(chunk) for t in self.model.tokenize(p)]).tobytes()
+        return array.array("I", [t.id for p in self._pieces(chunk) for t in self.tokenize(p)]).tobytes()
 
     def whole(self, text: str) -> bytes:
         return array.array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -80,13 +91,11 @@ class ChunkEncoder:
         else:
             chunks = text.replace("\n", " ").split(" ")
         if new := set(chunks).difference(cache):
-            if len(cache) + len(new) > self.limit:
-                cache.clear()
-                new = set(chunks)
-            cache.update((c, self._encode(c)) for c in new)
+            old, encode = self.old, self._encode
+            cache.update((c, old[c] if c in old else encode(c)) for c in new)
         parts = list(map(cache.__getitem__, chunks))
-        if len(cache) > self.limit:  # one text alone has more chunks than the cache may keep
-            cache.clear()
+        if len(cache) > self.limit:
+            self.old, self.cache = cache if len(cache) < 2 * self.limit else {}, {}
         try:
             return first + b"".join(parts)
         except TypeError:  # a chunk holds white space of another kind
