@@ -13,6 +13,7 @@ from valuemark.plans import registry
 from valuemark.sources import prices as P
 from valuemark.sources import sinks
 from valuemark.sources import tables as T
+from valuemark.streaming.cells import current_cells, maintain_cells
 
 S = Settings(min_volume=3, oe_metric="los", weight_clinical=1.0)
 NYC = "New York City"
@@ -95,6 +96,16 @@ def test_cells_merge(t):
     assert sorted(map(str, clinical.merge_cells(*parts).collect())) == sorted(map(str, t["cells"].select(*clinical.CELL_KEYS, *clinical.CELL_SUMS).collect()))
 
 
+def test_cells_follow_arriving_files(spark, t, tmp_path):
+    source, target, mark = (str(tmp_path / n) for n in ("in", "cells", "mark"))
+    for year in (2022, 2024):
+        t["discharges"].filter(F.col("year") == year).write.mode("append").parquet(source)
+        maintain_cells(spark, source, t["discharges"].schema, target, mark, S)
+    maintain_cells(spark, source, t["discharges"].schema, target, mark, S)  # nothing new
+    same = lambda df: sorted(map(str, df.select(*clinical.CELL_KEYS, *[F.col(c).cast("double").alias(c) for c in clinical.CELL_SUMS]).collect()))
+    assert same(current_cells(spark, target)) == same(t["cells"])
+
+
 def test_pricing(t):
     p = by(t["pricing"], "facility_name")
     a, b = p["Facility A Hospital",], p["Facility B Medical Center",]

@@ -10,6 +10,7 @@ TRUTHY = {"true", "t", "yes", "y", "1"}
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
+    # The defaults that published results rest on.
     counties: tuple[str, ...] = ("New York", "Manhattan", "Kings", "Queens", "Bronx", "Richmond")
     service_area: str = "New York City"
     procedure_codes: tuple[int, ...] = (324, 326)

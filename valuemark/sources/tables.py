@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from valuemark.functions import scalars as S
 from valuemark.operators.outcomes import MEASURES
 
-# Candidate source names of each column, the first with a value wins.
+# Candidate source names of each column, the first with a value wins.
 DISCHARGE_FIELDS = {
     "provider_id": ("permanent_facility_id", "facility_id", "permanent_facility_identifier"),
     "certificate": ("operating_certificate_number",),
