@@ -121,3 +121,12 @@ def test_query_on_a_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert sorted(tuple(r) for r in J.op4_jaccard(spark, sf).collect()) == brute(rows, 4, 85, 100)
+
+
+def test_sketches_never_differ_in_more_bits_than_the_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        x, y = (np.unique(rng.integers(0, 2**63, int(rng.integers(0, 300)), dtype="u8")) for _ in "xy")
+        y = np.unique(np.r_[x[: int(rng.integers(0, len(x) + 1))], y[: int(rng.integers(0, 40))]])
+        apart = sum(bin(int(a) & (2**64 - 1)).count("1") for a in J.sketch(x) ^ J.sketch(y))
+        assert apart <= len(np.setxor1d(x, y))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from valuemark.session import fresh_path, materialize, shared_dir, table
 
-__all__ = ["fresh_path", "held_out", "kept_rows", "materialize", "shared_dir", "table", "texts"]
+__all__ = ["fresh_path", "held_out", "kept_rows", "materialize", "shared_dir", "sliced", "table", "texts"]
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -30,8 +30,15 @@ def task_count(spark: SparkSession, total: int, each: int) -> int:
     return max(1, -(-total // each))
 
 
-def _kept(batches, decide: Callable[[list[str]], np.ndarray]):
+def sliced(batches, rows: int = 256):
+    """Arrow batches cut down, so that a task holds the Python strings of few texts at a time."""
     for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def _kept(batches, decide: Callable[[list[str]], np.ndarray]):
+    for b in sliced(batches):
         found = [t or "" for t in b.column("text").to_pylist()]
         yield b.filter(pa.array(decide(found), pa.bool_()))
 

@@ -13,7 +13,9 @@ least common token of two linked sets lies in the first size - t + 1 tokens of b
 So no link is lost, frequent tokens never make long lists of unlike sets, and a set whose prefix nobody
 shares costs nothing further. Which tokens are frequent is counted over all texts.
 
-Sets with a common signature are verified exactly. To find components without all pairs of a large group,
+Sets with a common signature are compared by size and by a parity sketch (each token flips one of 256 bits, so
+two sketches never differ in more bits than the sets in tokens): that drops most unlike pairs and no link.
+What is left is verified exactly. To find components without all pairs of a large group,
 each set is first verified against the least set of each signature; then, in signatures that still join
 several components, every pair from different components is verified. Links inside a component change
 nothing and are left out.
@@ -26,10 +28,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemark.llm.common import materialize, table, texts
+from valuemark.llm.common import materialize, sliced, table, texts
 from valuemark.llm.components import stars
 from valuemark.llm.shingles import mixed, set_digest, shingle_sets
 
@@ -39,26 +41,36 @@ KEY_BITS, BUCKET_TOKENS, LEAST_FREQUENT = 48, 1 << 20, 8
 MOST_FREQUENT, MARK_BITS = 1 << 21, 26
 #: Rows up to which a list of document ids is broadcast (about 30 bytes each); longer ones are joined by exchange.
 BROADCAST_ROWS = 400_000
-COUNT_CHUNK = 1 << 21
+COUNT_CHUNK = 1 << 20
+
+
+SKETCH = ("s0", "s1", "s2", "s3")
+
+
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """256 parities as four numbers."""
+    bits = (np.bincount((tokens >> np.uint64(8)).astype("u1"), minlength=256) & 1).astype("u1")
+    return np.packbits(bits).view("<i8")
 
 
 def _described(batches, n: int):
-    """n_shingles and node (digest of the set) of each text."""
-    for b in batches:
+    """n_shingles, node (digest of the set) and parity sketch of each text."""
+    for b in sliced(batches):
         sets = list(shingle_sets(b.column("text").to_pylist(), n))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_digest(s) for s in sets], pa.int64())], ["doc_id", "n_shingles", "node"])
+        marks = np.array([sketch(s) for s in sets], "i8").reshape(-1, 4)
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_digest(s) for s in sets], pa.int64()), *[pa.array(marks[:, k]) for k in range(4)]], ["doc_id", "n_shingles", "node", *SKETCH])
 
 
 def _fresh(batches, n: int):
     """Sets and nodes of a task, each node once (within a bounded memory)."""
     seen: set[int] = set()
-    for b in batches:
+    for b in sliced(batches):
         for tokens in shingle_sets(b.column("text").to_pylist(), n):
             if not len(tokens):
                 continue
             node = set_digest(tokens)
             if node not in seen:
-                if len(seen) > 1_000_000:
+                if len(seen) > 50_000:
                     seen.clear()
                 seen.add(node)
                 yield node, tokens
@@ -142,26 +154,25 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, num: int, den: int) ->
 
 def _signed(batches, n: int, num: int, den: int, marks):
     bits = np.frombuffer(marks.value, "u1")
-    held, nodes, sizes, size = [], [], [], 0
+    held, nodes, size = [], [], 0
     for node, tokens in _fresh(batches, n):
         held.append(signatures(tokens, _is_frequent(tokens, bits), num, den))
         nodes.append(node)
-        sizes.append(len(tokens))
         size += len(held[-1])
         if size > 200_000:
-            yield _signature_rows(held, nodes, sizes)
-            held, nodes, sizes, size = [], [], [], 0
+            yield _signature_rows(held, nodes)
+            held, nodes, size = [], [], 0
     if held:
-        yield _signature_rows(held, nodes, sizes)
+        yield _signature_rows(held, nodes)
 
 
-def _signature_rows(held, nodes, sizes) -> pa.RecordBatch:
+def _signature_rows(held, nodes) -> pa.RecordBatch:
     each = [len(h) for h in held]
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).astype("i8")), pa.array(np.repeat(np.array(nodes, "i8"), each)), pa.array(np.repeat(np.array(sizes, "i4"), each))], ["sig", "node", "size"])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).astype("i8")), pa.array(np.repeat(np.array(nodes, "i8"), each))], ["sig", "node"])
 
 
 def _tokens(batches, n: int):
-    for b in batches:
+    for b in sliced(batches):
         sets = list(shingle_sets(b.column("text").to_pylist(), n))
         yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([s.astype("i8") for s in sets], pa.list_(pa.int64())), b.column("others")], ["node", "tokens", "others"])
 
@@ -194,29 +205,36 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     """
     rows = texts(docs)
     sparks = docs.sparkSession
-    described = materialize(rows.mapInArrow(functools.partial(_described, n=n), "doc_id long, n_shingles long, node long"), "described")
+    described = materialize(rows.mapInArrow(functools.partial(_described, n=n), "doc_id long, n_shingles long, node long, s0 long, s1 long, s2 long, s3 long"), "described")
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
     if not total:
         return described.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     owners = described.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("owner"))
     marks = sparks.sparkContext.broadcast(frequent_marks(rows, n, total))
-    signed = rows.select("text").mapInArrow(functools.partial(_signed, n=n, num=num, den=den, marks=marks), "sig long, node long, size int")
+    signed = rows.select("text").mapInArrow(functools.partial(_signed, n=n, num=num, den=den, marks=marks), "sig long, node long")
     shared = materialize(signed.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("other")).filter("lead <> other").select("sig", "lead"), "shared")
     lists = materialize(signed.join(shared, "sig").distinct(), "lists")
 
-    size_of = described.select("node", F.col("n_shingles").alias("lead_size")).distinct()
-    near = lambda x, y: (F.least(x, y) * den >= F.greatest(x, y) * num)
-    first = lists.filter("node <> lead").groupBy("lead", "node").agg(F.first("size").alias("size")).join(size_of, F.col("lead") == size_of.node).filter(near(F.col("size"), F.col("lead_size"))).select(F.col("lead").alias("a"), lists.node.alias("b"))
+    about = described.filter("n_shingles > 0").dropDuplicates(["node"]).select("node", F.col("n_shingles").alias("size"), *SKETCH)
+    of = lambda p: about.select(*[F.col(c).alias(p + c) for c in about.columns])
+
+    def near(p: str, q: str) -> Column:
+        """What two sets must fulfil to be linked, as far as their sizes and sketches tell."""
+        x, y = F.col(f"{p}size"), F.col(f"{q}size")
+        apart = sum((F.bit_count(F.col(p + c).bitwiseXOR(F.col(q + c))) for c in SKETCH), F.lit(0))
+        return (F.least(x, y) * den >= F.greatest(x, y) * num) & (apart * (den + num) <= (x + y) * (den - num))
+
+    first = lists.filter("node <> lead").select(F.col("lead").alias("a_node"), F.col("node").alias("b_node")).distinct().join(of("a_"), "a_node").join(of("b_"), "b_node").filter(near("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     links = materialize(verified(materialize(first, "pairs"), rows, owners, n, num, den), "verified")
     star = stars(links)
 
-    placed = lists.join(star.select(F.col("hi").alias("node"), F.col("lo").alias("root")), "node", "left").select("sig", "node", "size", F.coalesce("root", "node").alias("root"))
+    placed = lists.join(star.select(F.col("hi").alias("node"), F.col("lo").alias("root")), "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
     by_root = placed.groupBy("sig", "root").agg(F.count("*").alias("members"))
     mixed_sigs = by_root.groupBy("sig").agg(F.max_by("root", F.struct("members", "root")).alias("largest"), F.count("*").alias("roots")).filter("roots > 1").select("sig", "largest")
-    open_lists = materialize(placed.join(mixed_sigs, "sig"), "open")
-    x = open_lists.filter("root <> largest").select("sig", F.col("node").alias("xn"), F.col("size").alias("xs"), F.col("root").alias("xr"))
-    y = open_lists.select("sig", F.col("node").alias("yn"), F.col("size").alias("ys"), F.col("root").alias("yr"))
-    second = x.join(y, "sig").filter((F.col("xr") != F.col("yr")) & near(F.col("xs"), F.col("ys"))).select(F.least("xn", "yn").alias("a"), F.greatest("xn", "yn").alias("b")).distinct()
+    open_lists = materialize(placed.join(mixed_sigs, "sig").join(about, "node"), "open")
+    side = lambda p: open_lists.select("sig", *[F.col(c).alias(p + c) for c in ("node", "root", "largest", "size", *SKETCH)])
+    meet = (F.col("x_root") != F.col("y_root")) & near("x_", "y_")
+    second = side("x_").filter("x_root <> x_largest").join(side("y_"), "sig").filter(meet).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
     more = verified(materialize(second, "pairs"), rows, owners, n, num, den)
     star = stars(star.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(more))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(20240601))
 _BYTE = _rng.integers(1, 2**63, 256, dtype="u8") * np.uint64(2) + np.uint64(1)
