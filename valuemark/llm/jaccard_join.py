@@ -16,8 +16,8 @@ shares costs nothing further. Which tokens are frequent is counted over all text
 Sets with a common signature are compared by size and by a parity sketch (each token flips one of 256 bits, so
 two sketches never differ in more bits than the sets in tokens): that drops most unlike pairs and no link.
 What is left is verified exactly. To find components without all pairs of a large group,
-each set is first verified against the least set of each signature; then, in signatures that still join
-several components, every pair from different components is verified. Links inside a component change
+each set is first verified against the least set of each signature; signatures that still join several components
+are then led by another set each; and where components are still apart, every pair from different ones is verified. Links inside a component change
 nothing and are left out.
 """
 
@@ -228,10 +228,22 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     links = materialize(verified(materialize(first, "pairs"), rows, owners, n, num, den), "verified")
     star = stars(links)
 
-    placed = lists.join(star.select(F.col("hi").alias("node"), F.col("lo").alias("root")), "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-    by_root = placed.groupBy("sig", "root").agg(F.count("*").alias("members"))
-    mixed_sigs = by_root.groupBy("sig").agg(F.max_by("root", F.struct("members", "root")).alias("largest"), F.count("*").alias("roots")).filter("roots > 1").select("sig", "largest")
-    open_lists = materialize(placed.join(mixed_sigs, "sig").join(about, "node"), "open")
+    def opened(star: DataFrame) -> DataFrame:
+        """Rows of the signatures that still join several components, with their set's size and sketch."""
+        placed = lists.join(star.select(F.col("hi").alias("node"), F.col("lo").alias("root")), "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+        by_root = placed.groupBy("sig", "root").agg(F.count("*").alias("members"))
+        mixed_sigs = by_root.groupBy("sig").agg(F.max_by("root", F.struct("members", "root")).alias("largest"), F.count("*").alias("roots")).filter("roots > 1").select("sig", "largest")
+        return materialize(placed.join(mixed_sigs, "sig").join(about, "node"), "open")
+
+    # Another set of each open signature leads now, a different one in each, so that groups grow together.
+    open_lists = opened(star)
+    members = F.struct(*[F.col(c).alias(f"a_{c}") for c in ("node", "root", "size", *SKETCH)])
+    leads = open_lists.groupBy("sig").agg(F.min_by(members, F.xxhash64("sig", "node")).alias("a")).select("sig", "a.*")
+    joined = open_lists.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "size", *SKETCH)]).join(leads, "sig")
+    pairs = joined.filter((F.col("a_root") != F.col("b_root")) & near("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    star = stars(star.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(verified(materialize(pairs, "pairs"), rows, owners, n, num, den)))
+
+    open_lists = opened(star)
     side = lambda p: open_lists.select("sig", *[F.col(c).alias(p + c) for c in ("node", "root", "largest", "size", *SKETCH)])
     meet = (F.col("x_root") != F.col("y_root")) & near("x_", "y_")
     second = side("x_").filter("x_root <> x_largest").join(side("y_"), "sig").filter(meet).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
