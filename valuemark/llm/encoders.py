@@ -54,19 +54,23 @@ class ChunkEncoder:
 
     def _encode(self, chunk: str) -> bytes | None:
         """Ids of a chunk as it stands behind a space; one led by a line end stands behind that."""
-        if m := PLAIN.fullmatch(chunk):
-            word, tail = m.groups()
-            word = word.lower() if self.lowers else word
-            found = self.tokenize(self.space + (word if word.isascii() else word.translate(self.spelling)))
-            return array.array("I", [t.id for t in found]).tobytes() + (self._tail(tail) if tail else b"")
+        led = self.keeps_space and chunk[:1] == "\n"
+        if m := PLAIN.fullmatch(chunk, led):
+            ids = self._plain("" if led else self.space, *m.groups())
+            return self._tail("\n") + ids if led else ids
         if self.keeps_space:
             if len(chunk.split()) != 1 or chunk[-1:].isspace():
                 return None
             chunk = chunk if chunk[0] == "\n" else " " + chunk
         return self._packed(chunk)
 
+    def _plain(self, lead: str, word: str, tail: str) -> bytes:
+        word = word.lower() if self.lowers else word
+        found = self.tokenize(lead + (word if word.isascii() else word.translate(self.spelling)))
+        return array.array("I", [t.id for t in found]).tobytes() + (self._tail(tail) if tail else b"")
+
     def _tail(self, tail: str) -> bytes:
-        """Plain punctuation is a pre-token of its own."""
+        """Plain punctuation, and a line end before a word, is a pre-token of its own."""
         if tail not in self.tails:
             self.tails[tail] = self._packed(tail)
             if len(self.tails) > 10_000:
@@ -87,7 +91,8 @@ class ChunkEncoder:
             head, *chunks = text.replace("\n", " \n").split(" ")
             if len(head.split()) != 1 or head[-1:].isspace() or head[0].isspace():
                 return self.whole(text)
-            first = self._packed(head)
+            m = PLAIN.fullmatch(head)
+            first = self._plain("", *m.groups()) if m else self._packed(head)
         else:
             chunks = text.replace("\n", " ").split(" ")
         if new := set(chunks).difference(cache):
