@@ -56,3 +56,12 @@ def test_odd_rows(spark, docs_of):
     assert P.edited_fingerprints(docs_of([])).count() == 0
     (r,) = P.edited_fingerprints(docs_of([(4, "abcdef")])).collect()
     assert r.near_next == 1.0 and r.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest()
+
+
+def test_a_clause_repeated_beyond_sixteen_bits(spark, docs_of):
+    rows = [(3, "0," * 70_000), (2, "0," * 60_000), (1, "one, two, three")]
+    got = {r.doc_id: r for r in P.edited_fingerprints(docs_of(rows)).withColumn("x", P.likeness(F.col("fingerprint"), F.col("edited_fingerprint"))).collect()}
+    assert got[3].near_edited > 0.99 and got[3].near_next > 0.99 and abs(got[3].x - got[3].near_edited) < 1e-9
+    many, few, rest = (P.fingerprints(docs_of([(1, "0,\n" * n + "0,")])).first().fingerprint for n in (139_999, 69_999, 69_999))
+    r = spark.createDataFrame([(many, few)], "a string, b string").select(P.combined(F.col("a"), F.col("b"), remove=True).alias("d"), P.likeness(F.col("a"), F.col("b")).alias("x")).first()
+    assert r.d == rest and r.x > 0.99

@@ -3,7 +3,7 @@
 A paragraph is a line. It hashes to a wide vector: four lanes of 32 bits from the whole line, and 128 lanes
 that count the one-bits of two 64-bit hashes over the line's clauses (a run of text without punctuation, cut
 after 64 characters, with the punctuation behind it). A document's fingerprint is the sum of its paragraphs'
-vectors, lane by lane, modulo 2^32 and 2^16. So the order of paragraphs has no part in it, equal multisets
+vectors, lane by lane, modulo 2^32. So the order of paragraphs has no part in it, equal multisets
 of paragraphs have equal fingerprints, and a paragraph's vector can be added or taken away later.
 
 Each clause moves each of the 128 lanes up or down with equal chance, so the inner product of two
@@ -11,7 +11,7 @@ fingerprints estimates that of the two multisets of clauses; likeness is the cos
 with an error of about 0.09. Equal fingerprints have likeness 1; an empty text is like nothing else.
 
 Everything is DataFrame functions. Written in hexadecimal: clause count (8 digits), 4 lanes (8 each),
-128 lanes (4 each).
+128 lanes (8 each).
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def _vector(line: Column, place: Column, clause: Column) -> list[Column]:
 def _packed() -> tuple[Column, Column, Column]:
     """Clause count, equality lanes and counting lanes out of the sums."""
     equality = F.array(*[F.col(f"e{s}_{k}").bitwiseAND(F.lit(LOW)) for s in SEEDS for k in (0, 1)])
-    counts = F.array(*[x.bitwiseAND(F.lit(0xFFFF)).cast("int") for s in SEEDS for j in range(32) for x in (F.col(f"c{s}_{j}"), F.shiftrightunsigned(F.col(f"c{s}_{j}"), 32))])
+    counts = F.array(*[x.bitwiseAND(F.lit(LOW)) for s in SEEDS for j in range(32) for x in (F.col(f"c{s}_{j}"), F.shiftrightunsigned(F.col(f"c{s}_{j}"), 32))])
     return F.col("n"), equality, counts
 
 
@@ -56,14 +56,13 @@ def _print(count: Column, equality: Column, counts: Column) -> Column:
     return F.concat(
         digits(count.bitwiseAND(F.lit(LOW)), 8),
         F.array_join(F.transform(equality, lambda x: digits(x, 8)), ""),
-        F.array_join(F.transform(counts, lambda x: digits(x, 4)), ""),
+        F.array_join(F.transform(counts, lambda x: digits(x, 8)), ""),
     )
 
 
 def _signed(count: Column, counts: Column) -> Column:
-    """Lanes as ups minus downs; counts are known modulo 2^16 and lie near half of the clauses."""
-    half = F.floor(count / 2)
-    return F.transform(counts, lambda x: (2 * (F.pmod(x - half + 32768, F.lit(65536)) - 32768 + half) - count).cast("double"))
+    """Lanes as ups minus downs; a lane counts as far as the clause count does."""
+    return F.transform(counts, lambda x: (2 * x - count).cast("double"))
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -78,7 +77,7 @@ def _likeness(same: Column, a: Column, b: Column, norm_a: Column, norm_b: Column
 def _lanes(fingerprint: Column) -> tuple[Column, Column, Column]:
     """Count, equality lanes and counting lanes of a written fingerprint."""
     number = lambda start, width: F.conv(F.substring(fingerprint, start, width), 16, 10).cast("long")
-    return number(1, 8), F.array(*[number(9 + 8 * k, 8) for k in range(4)]), F.array(*[number(41 + 4 * k, 4) for k in range(LANES)])
+    return number(1, 8), F.array(*[number(9 + 8 * k, 8) for k in range(4)]), F.array(*[number(41 + 8 * k, 8) for k in range(LANES)])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -93,7 +92,7 @@ def combined(a: Column, b: Column, remove: bool = False) -> Column:
     (na, ea, ca), (nb, eb, cb) = _lanes(a), _lanes(b)
     sign = -1 if remove else 1
     at = lambda x, y, power: F.pmod(x + y * sign, F.lit(power))
-    return _print(at(na, nb, 1 << 32), F.zip_with(ea, eb, lambda x, y: at(x, y, 1 << 32)), F.zip_with(ca, cb, lambda x, y: at(x, y, 1 << 16)))
+    return _print(at(na, nb, 1 << 32), F.zip_with(ea, eb, lambda x, y: at(x, y, 1 << 32)), F.zip_with(ca, cb, lambda x, y: at(x, y, 1 << 32)))
 
 
 def _summed(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
