@@ -2,36 +2,53 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Set
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def _similarity(a: str, b: str) -> float:
-    """Normalised insertion-deletion similarity: twice the longest common subsequence over both lengths."""
-    if not a and not b:
-        return 100.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    return 200.0 * row[-1] / (len(a) + len(b))
+@functools.lru_cache(1 << 14)
+def _places(a: str) -> dict[str, int]:
+    """A bit for each place of each letter."""
+    found: dict[str, int] = {}
+    for j, x in enumerate(a):
+        found[x] = found.get(x, 0) | 1 << j
+    return found
 
 
-def token_set_similarity(a: str, b: str) -> float:
-    """100 if one word set holds the other; else the best similarity among shared words with and without each rest."""
-    x, y = set(a.split()), set(b.split())
+def common_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a row of its table as the bits of a number."""
+    places, full = _places(a), (1 << len(a)) - 1
+    row = full
+    for x in b:
+        hit = row & places.get(x, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
+
+
+def word_set_similarity(x: Set[str], y: Set[str]) -> float:
+    """100 if one word set holds the other; else the best similarity among shared words with and without each rest.
+
+    Similarity is twice the longest common subsequence over both lengths. The shared words lead on each side, so only the rests are compared.
+    """
     if not x or not y:
         return 0.0
-    both, only_a, only_b = x & y, x - y, y - x
+    both = x & y
+    only_a, only_b = x - both, y - both
     if both and (not only_a or not only_b):
         return 100.0
-    base = " ".join(sorted(both))
-    left = " ".join(filter(None, (base, " ".join(sorted(only_a)))))
-    right = " ".join(filter(None, (base, " ".join(sorted(only_b)))))
-    best = _similarity(left, right)
-    return max(best, _similarity(base, left), _similarity(base, right)) if base else best
+    a, b = " ".join(sorted(only_a)), " ".join(sorted(only_b))
+    if not both:
+        return 200.0 * common_length(a, b) / (len(a) + len(b))
+    base = sum(map(len, both)) + len(both) - 1
+    return max(200.0 * (base + 1 + common_length(a, b)) / (2 * base + 2 + len(a) + len(b)), 200.0 * base / (2 * base + 1 + min(len(a), len(b))))
+
+
+def token_set_similarity(a: str, b: str) -> float:
+    return word_set_similarity(set(a.split()), set(b.split()))
 
 
 @F.pandas_udf(DoubleType())

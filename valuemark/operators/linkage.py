@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+import heapq
+from collections.abc import Callable
+from decimal import ROUND_HALF_UP, Decimal
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from valuemark.config import Settings
 from valuemark.functions import scalars as S
-from valuemark.functions.matching import token_set_ratio
+from valuemark.functions.matching import token_set_ratio, word_set_similarity
 from valuemark.operators.pricing import name_key
 from valuemark.session import materialize
 
-MAX_ROUNDS = 1000
+#: Providers that are settled together, names that one of them is shown at a time, names in a block that is scored as one row.
+RUN, DEPTH, BLOCK = 2048, 64, 128
+WISH = "key string, facility_name string, exact boolean, score double"
 LINK_COLUMNS = ("provider_id", "certificate", "provider_name", "facility_name", "match_method", "match_score", "reviewed", "review_source")
 
 
@@ -26,33 +34,146 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return tokens(left, "left_norm").join(tokens(right, "right_norm"), "token").select("left_norm", "right_norm").distinct()
 
 
-def scored_pairs(left: DataFrame, right: DataFrame, cutoff: float) -> DataFrame:
-    """left_norm, right_norm, score, exact. Exact names score 100 and come first; fuzzy ones need the cutoff."""
-    exact = left.select(F.col("norm").alias("left_norm")).distinct().join(right.select(F.col("norm").alias("right_norm")), F.col("left_norm") == F.col("right_norm")).select("left_norm", "right_norm", F.lit(100.0).alias("score"), F.lit(True).alias("exact"))
-    fuzzy = candidate_pairs(left, right).filter("left_norm <> right_norm").withColumn("score", F.round(token_set_ratio("left_norm", "right_norm"), 2)).filter(F.col("score") >= cutoff).withColumn("exact", F.lit(False))
-    return exact.unionByName(fuzzy)
+@functools.lru_cache(1 << 14)
+def _rounded(score: float) -> float:
+    return float(Decimal(repr(score)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def _scored(batches, cutoff: float, held: dict[str, int]):
+    """Of each pair of blocks with a common token, the best names for each key: at most its depth, none that a provider before it holds."""
+    for b in batches:
+        for row in b.to_pylist():
+            right = [(r["facility_name"], r["norm"], held.get(r["facility_name"]), frozenset(r["norm"].split()), frozenset(r["tokens"])) for r in row["right"]]
+            found = []
+            for x in row["left"]:
+                words, tokens = frozenset(x["norm"].split()), frozenset(x["tokens"])
+                fit = []
+                for name, norm, holder, its_words, its_tokens in right:
+                    # A pair that shares several tokens is scored under the least of them only.
+                    if (holder is not None and holder < x["rank"]) or norm == x["norm"] or min(tokens & its_tokens) != row["token"]:
+                        continue
+                    score = _rounded(word_set_similarity(words, its_words))
+                    if score >= cutoff:
+                        fit.append((-score, name))
+                found += [(x["norm"], name, False, -score) for score, name in heapq.nsmallest(x["depth"], fit)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found) if found else [()] * 4, (pa.string(), pa.string(), pa.bool_(), pa.float64()))], ["key", "facility_name", "exact", "score"])
+
+
+def _blocks(rows: DataFrame, side: str, *columns: str) -> DataFrame:
+    """token and a block of the names that have it; common tokens have many blocks."""
+    each = rows.withColumn("tokens", S.significant_tokens(F.col("norm"))).withColumn("token", F.explode("tokens"))
+    common = each.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).filter("blocks > 1")
+    block = F.pmod(F.xxhash64("norm"), F.coalesce("blocks", F.lit(1))).alias("block")
+    return each.join(F.broadcast(common), "token", "left").select("token", block, F.struct("norm", "tokens", *columns).alias("x")).groupBy("token", "block").agg(F.collect_list("x").alias(side)).select("token", side)
+
+
+def _shown(rows: DataFrame, asks: DataFrame) -> DataFrame:
+    """The first names of each key, as many as it asked for: exact ones, then by score, then by name."""
+    order = Window.partitionBy("key").orderBy(F.desc("exact"), F.desc("score"), "facility_name")
+    return rows.withColumn("place", F.row_number().over(order)).join(F.broadcast(asks.select("key", "depth")), "key").filter("place <= depth").select("key", "place", "facility_name", "exact", "score")
+
+
+def _settled(run: list[Row], show: Callable[[list[tuple[str, int, int]], dict[str, int]], list[Row]]) -> list[tuple]:
+    """provider_id, facility_name, exact, score of the providers of a run (in order of priority) that get a name.
+
+    Each provider asks for its names in order, and a name stays with the first provider that asks for it. Who
+    has asked for all that it was shown is shown more, without the names that providers before it hold; these
+    never get free for it.
+    """
+    lists: list[tuple[list[Row], bool]] = [([], False)] * len(run)
+    at = [0] * len(run)
+    holder: dict[str, int] = {}
+    waiting = list(range(len(run)))
+    while waiting:
+        keys: dict[str, list[int]] = {}
+        for k in sorted(waiting):
+            keys.setdefault(run[k].key, []).append(k)
+        asks = [(key, ks[0], len(ks) + DEPTH) for key, ks in keys.items()]
+        shown: dict[str, list[Row]] = {}
+        for r in show(asks, holder):
+            shown.setdefault(r.key, []).append(r)
+        for key, _, depth in asks:
+            names = sorted(shown.get(key, []), key=lambda r: r.place)
+            for k in keys[key]:
+                lists[k], at[k] = (names, len(names) < depth), 0
+        stack, waiting = sorted(waiting, reverse=True), []
+        while stack:
+            k = stack.pop()
+            names, whole = lists[k]
+            while at[k] < len(names) and holder.get(names[at[k]].facility_name, k) < k:
+                at[k] += 1
+            if at[k] < len(names):
+                name = names[at[k]].facility_name
+                if name in holder:
+                    stack.append(holder[name])
+                holder[name] = k
+            elif not whole:
+                waiting.append(k)
+    return [(run[k].provider_id, name, lists[k][0][at[k]].exact, lists[k][0][at[k]].score) for name, k in holder.items()]
+
+
+def _in_runs(providers: DataFrame, targets: DataFrame, showing: Callable[[DataFrame], Callable]) -> DataFrame:
+    """Settles run after run of ``providers`` (provider_id, priority, key); ``showing`` gets the targets (facility_name) that are left."""
+    spark = providers.sparkSession
+    left, targets = materialize(providers.select("provider_id", "priority", "key"), "providers"), materialize(targets, "targets")
+    kind = left.schema["provider_id"].dataType.simpleString()
+    done = spark.createDataFrame([], f"provider_id {kind}, facility_name string, exact boolean, score double")
+    while run := left.orderBy("priority").limit(RUN).collect():
+        taken = materialize(spark.createDataFrame(_settled(run, showing(targets)), done.schema), "matched")
+        done = done.unionByName(taken)
+        if len(run) < RUN:
+            break
+        settled = spark.createDataFrame([(r.provider_id,) for r in run], f"provider_id {kind}")
+        left = materialize(left.join(F.broadcast(settled), "provider_id", "left_anti"), "providers")
+        targets = materialize(targets.join(F.broadcast(taken.select("facility_name")), "facility_name", "left_anti"), "targets")
+    return done
+
+
+ASK, HELD = "key string, rank int, depth int", "facility_name string, holder int"
 
 
 def one_to_one(preferences: DataFrame) -> DataFrame:
     """Serial dictatorship as stable matching: every target ranks providers alike, so the matching is unique.
 
-    ``preferences`` has provider_id, priority (unique, least first), facility_name, exact and score. Each round
-    every open provider names its best open target and each target takes its first provider; a round is a few
-    groupings and is written, and at least the first open provider is settled in each.
+    ``preferences`` has provider_id, priority (unique, least first), facility_name, exact and score. Whole runs
+    of providers are settled together; the driver sees the first wishes of a run, never all.
     """
-    left = materialize(preferences, "preferences")
-    done = None
-    for _ in range(MAX_ROUNDS):
-        best = left.groupBy("provider_id", "priority").agg(F.min_by(F.struct("facility_name", "exact", "score"), F.struct((~F.col("exact")).cast("int"), -F.col("score"), F.col("facility_name"))).alias("x")).select("provider_id", "priority", "x.*")
-        # A provider keeps its choice only if no provider before it could still want that target.
-        first_want = left.groupBy("facility_name").agg(F.min("priority").alias("first_want"))
-        taken = best.join(first_want, "facility_name").filter("priority = first_want").drop("first_want", "priority")
-        taken = materialize(taken, "matched")
-        done = taken if done is None else done.unionByName(taken)
-        left = materialize(left.join(taken.select("provider_id"), "provider_id", "left_anti").join(taken.select("facility_name"), "facility_name", "left_anti"), "preferences")
-        if left.isEmpty():
-            return done
-    raise RuntimeError("the matching did not settle")
+    spark = preferences.sparkSession
+    rows = preferences.withColumn("key", F.col("provider_id").cast("string"))
+
+    def showing(targets: DataFrame) -> Callable:
+        def show(asks: list, held: dict[str, int]) -> list[Row]:
+            asking = spark.createDataFrame(asks, ASK)
+            free = targets.join(F.broadcast(asking), "key").join(F.broadcast(spark.createDataFrame(list(held.items()), HELD)), "facility_name", "left").filter("holder IS NULL OR holder >= rank")
+            return _shown(free.select("key", "facility_name", "exact", "score"), asking).collect()
+
+        return show
+
+    return _in_runs(rows.select("provider_id", "priority", "key").distinct(), rows.select("key", "facility_name", "exact", "score"), showing)
+
+
+def best_names(providers: DataFrame, right: DataFrame, cutoff: float) -> DataFrame:
+    """The one-to-one matching of providers (provider_id, priority, norm) to names: exact ones score 100 and come first, fuzzy ones share a significant token and need the cutoff.
+
+    Every pair that shares a token is scored, but pairs never become rows: blocks of names that share one are
+    scored in a task, and each provider's best stay.
+    """
+    spark = providers.sparkSession
+
+    def showing(targets: DataFrame) -> Callable:
+        right_blocks = materialize(_blocks(targets, "right", "facility_name"), "blocks")
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+        def show(asks: list, held: dict[str, int]) -> list[Row]:
+            asking = spark.createDataFrame(asks, ASK)
+            exact = targets.join(F.broadcast(asking), F.col("norm") == F.col("key")).join(F.broadcast(spark.createDataFrame(list(held.items()), HELD)), "facility_name", "left").filter("holder IS NULL OR holder >= rank").select("key", "facility_name", F.lit(True).alias("exact"), F.lit(100.0).alias("score"))
+            left_blocks = _blocks(asking.withColumnRenamed("key", "norm"), "left", "rank", "depth")
+            fuzzy = right_blocks.join(F.broadcast(left_blocks), "token").repartition(tasks).mapInArrow(functools.partial(_scored, cutoff=cutoff, held=dict(held)), WISH)
+            return _shown(exact.unionByName(fuzzy), asking).collect()
+
+        return show
+
+    return _in_runs(providers.withColumnRenamed("norm", "key"), right.select("norm", "facility_name"), showing)
 
 
 def propose(providers: DataFrame, names: DataFrame, existing: DataFrame, s: Settings, cutoff: float | None = None) -> DataFrame:
@@ -65,9 +186,7 @@ def propose(providers: DataFrame, names: DataFrame, existing: DataFrame, s: Sett
     open_left = providers.join(kept.select("provider_id"), "provider_id", "left_anti").withColumn("norm", S.normalize_name(F.col("provider_name"))).withColumn("priority", F.struct(-F.col("volume"), F.col("provider_id")))
     claimed = kept.filter("facility_name IS NOT NULL").select(S.normalize_name(F.col("facility_name")).alias("norm")).distinct()
     right = named(names).join(claimed, "norm", "left_anti")
-    pairs = scored_pairs(open_left, right, s.match_cutoff if cutoff is None else cutoff)
-    wanted = open_left.select("provider_id", "norm", "priority").join(pairs, F.col("norm") == F.col("left_norm")).join(right.withColumnRenamed("norm", "right_key"), F.col("right_norm") == F.col("right_key")).select("provider_id", "priority", "facility_name", "exact", "score")
-    found = one_to_one(wanted)
+    found = best_names(open_left.select("provider_id", "priority", "norm"), right, s.match_cutoff if cutoff is None else cutoff)
     auto = F.coalesce(F.col("exact") | (F.col("score") >= s.auto_accept), F.lit(False))
     return open_left.select("provider_id", "certificate", "provider_name").join(found, "provider_id", "left").select(
         "provider_id", "certificate", "provider_name", "facility_name", F.when(F.col("exact"), "exact").when(F.col("score").isNotNull(), "fuzzy").otherwise("unmatched").alias("match_method"),

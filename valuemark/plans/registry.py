@@ -205,14 +205,14 @@ def s1_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _name_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     s = table(spark, sf_dir, "supplier")
     left = s.selectExpr("CAST(s_suppkey AS INT) AS provider_id", "CAST(NULL AS STRING) AS certificate", "concat('Saint ', upper(replace(s_name, '#', ' ')), CASE WHEN s_suppkey % 2 = 0 THEN ' Hospital' ELSE ' Campus' END) AS provider_name", "CAST(s_acctbal AS BIGINT) AS volume")
-    right = s.filter("s_suppkey % 3 > 0").selectExpr("concat('The saint ', replace(s_name, '#', CASE WHEN s_suppkey % 5 = 0 THEN ' no ' ELSE ' ' END)) AS facility_name")
+    right = s.selectExpr("s_suppkey", "concat('The saint ', replace(s_name, '#', CASE WHEN s_suppkey % 5 = 0 THEN ' no ' ELSE ' ' END)) AS facility_name")
     return left, right
 
 
 @query("M1_exact_links", "SELECT CAST(s_suppkey AS INT) AS provider_id, concat('The saint ', replace(s_name, '#', ' ')) AS facility_name FROM supplier WHERE s_suppkey % 3 > 0 AND s_suppkey % 5 > 0")
 def m1_exact_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = _name_sets(spark, sf_dir)
-    right = linkage.named(right)
+    right = linkage.named(right.filter("s_suppkey % 3 > 0"))
     pairs = left.withColumn("norm", X.normalize_name(F.col("provider_name"))).join(right, "norm")
     return pairs.select("provider_id", "facility_name")
 
@@ -221,9 +221,7 @@ def m1_exact_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m2_propose_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = _name_sets(spark, sf_dir)
     none = left.limit(0).selectExpr("provider_id", "certificate", "provider_name", "CAST(NULL AS STRING) AS facility_name", "CAST(NULL AS STRING) AS match_method", "CAST(NULL AS DECIMAL(5,2)) AS match_score", "false AS reviewed", "CAST(NULL AS STRING) AS review_source")
-    # Every name of this table shares its first words, so blocks are made on the number: the last word leads.
-    lead = lambda df, c: df.withColumn(c, F.regexp_replace(c, "(?i)saint supplier", ""))
-    return linkage.propose(lead(left, "provider_name"), lead(right, "facility_name"), none, S)
+    return linkage.propose(left, right, none, S)
 
 
 staged("M5_protected_merge", "provider_id, facility_name, reviewed", B.sql("SELECT provider_id, CASE WHEN reviewed THEN facility_name ELSE 'new name' END AS facility_name, reviewed FROM links", "links"), lambda t: linkage.protected_merge(t.links, t.links.withColumn("facility_name", F.lit("new name"))))
