@@ -1,8 +1,9 @@
 """A corpus pipeline: quality, toxicity, line deduplication, near-duplicate documents, packing.
 
 Each stage reads what the one before has written, and its decisions take effect. Near duplicates are decided
-on five-word shingles at a similarity of 0.8; of a group the document with the least id stays. A document
-that line deduplication leaves without text goes. The last stage packs what is left into sequences.
+on five-word shingles at a similarity of 0.8; of a group one row stays, that with the least id (null ids last).
+Texts without words are only grouped with rows of the same id and text. A document that line deduplication
+leaves without text goes. The last stage packs what is left into sequences.
 """
 
 from __future__ import annotations
@@ -34,9 +35,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_components(docs, SHINGLE_WORDS, *SIMILARITY)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    return docs.join(stay, docs.doc_id.eqNullSafe(F.col("stays")), "left_semi")
+    keyed = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    groups = jaccard_components(keyed.select(F.col("_row").alias("doc_id"), "text"), SHINGLE_WORDS, *SIMILARITY)
+    rows = keyed.select("_row", F.col("doc_id").cast("long").alias("own"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("th"))
+    placed = groups.withColumnRenamed("doc_id", "_row").join(rows, "_row")
+    worded = F.col("n_shingles") > 0
+    group = [F.when(worded, F.col("component_id")).alias("component"), *[F.when(~worded, F.col(c)).alias(f"bare_{c}") for c in ("own", "th")], worded.alias("worded")]
+    first = F.min(F.struct(F.col("own").isNull().alias("last"), "own", "th", "_row")).alias("first")
+    stay = placed.groupBy(*group).agg(first).select(F.col("first._row").alias("_row"))
+    return keyed.join(stay, "_row", "left_semi").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,3 +62,13 @@ def test_an_empty_table(spark):
     for _, stage in C.STAGES:
         docs = materialize(stage(spark, docs, SF), "t")
     assert docs.count() == 0
+
+
+def test_one_row_of_each_group_stays(spark, docs_of):
+    """Repeated rows, null ids and several texts of an id."""
+    one, two, three, four = (" ".join(f"{w}{k}" for k in range(30)) for w in ("a", "b", "c", "d"))
+    rows = [(1, one), (1, one), (2, one), (None, one), (None, two), (None, two), (5, three), (5, four), (7, four), (3, four), (None, ""), (None, ""), (8, None), (8, "."), (8, ".")]
+    kept = C.near_duplicates(spark, docs_of(rows), SF)
+    assert kept.columns == ["doc_id", "text"]
+    want = [(1, one), (None, two), (5, three), (3, four), (None, ""), (8, None), (8, ".")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
