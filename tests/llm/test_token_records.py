@@ -19,14 +19,12 @@ ODD = ["", " ", "a", " a", "a ", "a  b", "a\tb", "\n\nx\n", "x \ny", "it's the d
 def test_chunks_give_the_librarys_ids(name, limit):
     path = public_tokenizers.path(name)
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     for text in ODD * 2:
         assert encoder(path, limit).ids(text) == array.array("I", library.encode(text, add_special_tokens=False).ids).tobytes(), text
 
 
 def brute(rows):
     library, start, out = Tokenizer.from_file(BYTE), 0, []
-    library.encode_special_tokens = True
     for doc_id, text in sorted(rows, key=lambda r: r[0]):
         ids = library.encode(text or "", add_special_tokens=False).ids + [0]
         out.append((doc_id, start, len(ids), zlib.crc32(array.array("I", ids).tobytes())))

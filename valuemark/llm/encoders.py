@@ -4,8 +4,8 @@ A chunk is a piece of text that the tokenizer's own pre-tokenizer never joins to
 ids of a text are the ids of its chunks in order. Chunks repeat far more often than texts do; each is
 encoded by the library (normaliser, pre-tokenizer and model of the file) and kept in the worker process in
 two generations of at most ``limit`` entries: when the young one is full it becomes the old one, and what is
-still in use moves on from there. A text whose white space makes chunks ambiguous is encoded
-whole by the library. Strings of special tokens within a text are ordinary text.
+still in use moves on from there. A text whose white space makes chunks ambiguous, or that may hold the
+string of an added token (``<|endoftext|>``), is encoded whole by the library with its own settings.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # What an added token holds besides letters, which no normaliser makes: a text without it has no added token.
+        self.marks = {max(re.split(r"\w+", t.content), key=len) for t in self.library.get_added_tokens_decoder().values()}
         self.model, self.limit, self.cache, self.old = self.library.model, limit, {}, {}
         self.normalizer = self.library.normalizer
         self.split = self.library.pre_tokenizer.pre_tokenize_str
@@ -85,6 +86,9 @@ class ChunkEncoder:
 
     def ids(self, text: str) -> bytes:
         cache, first = self.cache, b""
+        for mark in self.marks:
+            if mark in text:
+                return self.whole(text)
         if self.keeps_space:
             if not text or text[0] in " \n" or text[-1] in " \n" or any(x in text for x in ("  ", " \n", "\n ", "\n\n")):
                 return self.whole(text)

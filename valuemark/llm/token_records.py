@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ TERMINATOR = b"\n"
 BATCH_BYTES = 8 << 20
 #: A row a file, about 100 bytes; with more files the starts are joined by exchange.
 FILES_TO_BROADCAST = 50_000
+#: Bytes of a file that one task of a shuffled read seeks in.
+FETCH_SPAN = 4 << 20
 
 
 def masked(data: bytes) -> int:
@@ -97,7 +100,7 @@ def write_token_records(docs: DataFrame, path: str, tokenizer: str, end_id: int
                     out, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    ordered.drop("tie").mapInArrow(records, "record binary").select(F.col("record").cast("string")).write.text(f"{path}/records")
+    ordered.drop("tie").mapInArrow(records, "record binary").select(F.col("record").cast("string")).write.option("compression", "none").text(f"{path}/records")
 
     def entries(batches):
         for b in batches:
@@ -158,19 +161,45 @@ def file_starts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
-    """Records of the document ids in ``wanted``, cut out of the files by the index: a shuffled read."""
-    index = spark.read.parquet(f"{path}/index").join(wanted.select("doc_id").distinct(), "doc_id")
-    places = index.groupBy("file").agg(F.collect_list(F.struct("offset", "length")).alias("places"))
-    files = _files(spark, path).withColumn("file", F.element_at(F.split("path", "/"), -1))
+    """doc_id and ids of the records of the document ids in ``wanted`` (null matches null): a shuffled read by the index.
+
+    Tasks seek to each record's offset and read its bytes alone. Where the folder lies in a store that only
+    Spark opens, the files that hold a wanted record are read through Spark and cut.
+    """
+    index = spark.read.parquet(f"{path}/index")
+    ids = wanted.select(F.col("doc_id").cast("long").alias("wanted")).distinct()
+    places = index.join(ids, index.doc_id.eqNullSafe(F.col("wanted"))).select("file", "offset", "length")
+    root = f"{path}/records"
+
+    def sought(batches):
+        name, file = None, None
+        for b in batches:
+            got = []
+            for row in b.to_pylist():
+                if row["file"] != name:
+                    name, file = row["file"], store.open_input_file(f"{folder}/{row['file']}")
+                file.seek(row["offset"])
+                got.append(unframe(file.read(row["length"])))
+            yield _records(got)
 
     def cut(batches):
         for b in batches:
-            for content, places in zip(b.column("content"), b.column("places").to_pylist()):
+            for content, found in zip(b.column("content"), b.column("places").to_pylist()):
                 data = memoryview(content.as_buffer())
-                got = [unframe(bytes(data[p["offset"] : p["offset"] + p["length"]])) for p in places]
-                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())], ["doc_id", "ids"])
+                yield _records([unframe(bytes(data[p["offset"] : p["offset"] + p["length"]])) for p in found])
+
+    try:
+        store, folder = pyarrow.fs.FileSystem.from_uri(root if "://" in root else root.replace("file:", ""))
+    except (OSError, ValueError):  # no client for this kind of store
+        by_file = places.groupBy("file").agg(F.collect_list(F.struct("offset", "length")).alias("places"))
+        files = _files(spark, path).withColumn("file", F.element_at(F.split("path", "/"), -1))
+        return files.join(by_file, "file").select("content", "places").mapInArrow(cut, "doc_id long, ids binary")
+    dealt = places.repartition("file", F.floor(F.col("offset") / FETCH_SPAN)).sortWithinPartitions("file", "offset")
+    return dealt.mapInArrow(sought, "doc_id long, ids binary")
+
 
-    return files.join(places, "file").select("content", "places").mapInArrow(cut, "doc_id long, ids binary")
+def _records(got: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())], ["doc_id", "ids"])
 
 
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
