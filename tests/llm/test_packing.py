@@ -69,7 +69,6 @@ def test_best_fit_equals_piece_by_piece():
 
 def check(rows, texts_of, capacity):
     library = Tokenizer.from_file(WORD)
-    library.encode_special_tokens = True
     taken, seen = {}, []
     for r in rows:
         taken.setdefault(r.sequence_id, []).append((r.offset, r.length))

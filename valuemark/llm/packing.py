@@ -67,7 +67,12 @@ def _smallest_sum(counts: np.ndarray, n: int) -> int:
 
 
 def reduced(counts: np.ndarray, capacity: int) -> list[Pattern]:
-    """Fix dominating sets, longest piece first; ``counts`` keeps what stays open."""
+    """Fix dominating sets, longest piece first; ``counts`` keeps what stays open.
+
+    A rule that holds goes on holding while its partner lasts, since sums of the smallest pieces only rise and
+    the best two only fall as pieces leave. So each set is fixed as often as its pieces allow at once, and there
+    are at most two patterns a length, however many pieces there are.
+    """
     fixed: list[Pattern] = []
 
     def fix(sizes: tuple[int, ...], times: int) -> None:
@@ -84,14 +89,15 @@ def reduced(counts: np.ndarray, capacity: int) -> list[Pattern]:
                 rest[size] -= 1
                 room = capacity - size
                 partner = _largest(rest, room)
+                most = int(counts[size]) // 2 if partner == size else int(min(counts[size], counts[partner]))
                 if not partner:  # nothing fits beside it
                     fix((size,), 1 if size <= room else int(counts[size]))
                 elif partner == room:  # an exact pair
-                    fix((size, partner), int(counts[size]) // 2 if partner == size else int(min(counts[size], counts[partner])))
+                    fix((size, partner), most)
                 elif _smallest_sum(rest, 2) > room:  # at most one fits
-                    fix((size, partner), 1)
+                    fix((size, partner), most)
                 elif _smallest_sum(rest, 3) > room and partner >= _best_two(rest, room):  # at most two fit, one is better
-                    fix((size, partner), 1)
+                    fix((size, partner), most)
                 else:
                     break
                 changed = True
