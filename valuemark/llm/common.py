@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from valuemark.session import fresh_path, materialize, shared_dir, table
 
-__all__ = ["fresh_path", "held_out", "kept_rows", "materialize", "shared_dir", "sliced", "table", "texts"]
+__all__ = ["fresh_path", "held_out", "kept_rows", "materialize", "shared_dir", "sliced", "table", "texts", "unused"]
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -21,6 +21,16 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, lengthened until no column has them, whatever its case."""
+    taken, found = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        found.append(n)
+    return found
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the documents whose labels are never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
