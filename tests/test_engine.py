@@ -1,6 +1,9 @@
 """The hand-computed fixture, the file readers, links, ranks and plans."""
 
+import gzip
+import json
 import random
+import zipfile
 
 import duckdb
 import pytest
@@ -144,6 +147,35 @@ def test_price_files(spark, tmp_path):
     assert status[0]["status"] == "partial" and status[0]["rows"] == 1
 
 
+def test_many_packed_and_broken_price_files(spark, tmp_path):
+    rows = "hospital_name,license_number\nPlace {0},{0}\ndescription,code|1,code|1|type,setting,payer_name,standard_charge|negotiated_dollar\n\"Knee,\nboth\",326,APR-DRG,inpatient,Aetna,{0}\n"
+    item = {"description": "Knee \\ } {", "code_information": [{"code": "326", "type": "APR-DRG"}], "standard_charges": [{"setting": "inpatient", "gross_charge": 7, "payers_information": [{"payer_name": "A}", "standard_charge_dollar": 9}]}]}
+    deep = json.dumps({"hospital_name": "standard_charge_information", "modifier": [{"description": "x", "code": "326"}], "standard_charge_information": [item] * 3, "tail": {"a": [1]}})
+    labels = {}
+    for k in range(1, 41):
+        (tmp_path / f"tall {k}.csv").write_text(rows.format(k))
+        labels[f"t{k}"] = str(tmp_path / f"tall {k}.csv")
+    with zipfile.ZipFile(tmp_path / "z.aspx", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("inner.json", deep)
+    with zipfile.ZipFile(tmp_path / "y.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("inner.csv", rows.format(77))
+    (tmp_path / "g.csv.gz").write_bytes(gzip.compress(rows.format(78).encode()))
+    (tmp_path / "g.bin").write_bytes(gzip.compress(deep.encode()))
+    (tmp_path / "flat.json").write_text(deep + "\n")
+    (tmp_path / "cut.json").write_text(deep[: deep.index('"tail"') - 40])
+    (tmp_path / "short.json").write_text('{"standard_charge_information": [{"description": "Kn')
+    (tmp_path / "none.json").write_text('[{"standard_charge_information": []}]')
+    (tmp_path / "blank").write_text("  ")
+    more = {"zip": "z.aspx", "zipcsv": "y.zip", "gz": "g.csv.gz", "gzbin": "g.bin", "flat": "flat.json", "cut": "cut.json", "short": "short.json", "none": "none.json", "blank": "blank", "lost": "missing.csv"}
+    labels |= {k: str(tmp_path / v) for k, v in more.items()}
+    lines, status = P.load_prices(spark, labels, Settings(), hints={str(tmp_path / "blank"): "application/json"})
+    told = {s["source"]: (s["rows"], s["status"].split(":")[0]) for s in status}
+    assert all(told[f"t{k}"] == (1, "ok") for k in range(1, 41)), told
+    assert {k: told[k] for k in more} == {"zip": (3, "ok"), "zipcsv": (1, "ok"), "gz": (1, "ok"), "gzbin": (3, "ok"), "flat": (3, "ok"), "cut": (2, "partial"), "short": (0, "failed"), "none": (0, "empty"), "blank": (0, "empty"), "lost": (0, "failed")}
+    got = {(r.source, r.ccn, r.description, r.payer, r.negotiated) for r in lines.collect()}
+    assert {("t40", "40", "Knee,\nboth", "Aetna", 40.0), ("zipcsv", "77", "Knee,\nboth", "Aetna", 77.0), ("gz", "78", "Knee,\nboth", "Aetna", 78.0), ("flat", None, "Knee \\ } {", "A}", 9.0), ("gzbin", None, "Knee \\ } {", "A}", 9.0)} <= got
+
+
 def test_manifest_and_targets(spark):
     df = spark.createDataFrame([("https://h.org/cms-hpt.txt", "location-name: A\nMRF-URL: /a.json\nlocation-name: B\nmrf-url: https://h/b.csv\n# note: x\nlocation-name: C"), ("https://x.org/", "<HTML> location-name: q\nmrf-url: /z")], "base string, body string")
     got = P.manifest_locations(df).collect()

@@ -27,6 +27,11 @@ ALIASES = (
 STOP_TOKENS = ("new", "york", "the", "and", "for", "of")
 LEGACY_DESCRIPTION = r"(?i)(joint\s+replacement|arthroplasty|(hip|knee)\s+replacement)"
 JOINT_DESCRIPTION = r"(?i)(hip|knee)\s+joint\s+replacement"
+# Forms of a billing code: a bare number; led by APR; by MS-DRG; by DRG.
+PLAIN = r"^0*([0-9]{1,3})$"
+APR = r"APR[ _-]?(?:DRG)?[ _-]?0*([0-9]{1,3})\b"
+MS = r"MS[ _-]?DRG[^0-9]{0,4}0*([0-9]{1,3})(?![0-9])"
+BARE = r"(?:^|[^A-Z])DRG[^0-9]{0,4}0*([0-9]{1,3})(?![0-9])"
 BOROUGHS = {"manhattan": "Manhattan", "new york": "Manhattan", "kings": "Brooklyn", "richmond": "Staten Island", "queens": "Queens", "bronx": "Bronx"}
 
 
@@ -56,12 +61,6 @@ def _padded(digits: Column) -> Column:
     return F.when(bare != "", F.lpad(bare, 3, "0"))
 
 
-PLAIN = r"^0*([0-9]{1,3})$"
-APR = r"APR[ _-]?(?:DRG)?[ _-]?0*([0-9]{1,3})\b"
-MS = r"MS[ _-]?DRG[^0-9]{0,4}0*([0-9]{1,3})(?![0-9])"
-BARE = r"(?:^|[^A-Z])DRG[^0-9]{0,4}0*([0-9]{1,3})(?![0-9])"
-
-
 def normalize_drg(code: Column) -> Column:
     """Three-digit group number of a billing code; a longer number is none (the trailing guard of MS and BARE is deliberate)."""
     text = F.upper(strip(code))

@@ -194,6 +194,22 @@ def propose(providers: DataFrame, names: DataFrame, existing: DataFrame, s: Sett
     )
 
 
+def propose_measure_links(providers: DataFrame, measures: DataFrame, s: Settings) -> DataFrame:
+    """Providers (provider_id, provider_name, volume) linked to the institutions that report measures (ccn, facility_name).
+
+    Both sides use official names, so the cutoff is higher. An institution is taken once, by its number, however
+    many names it has; a name that several have stands for the least number. Only links that are found come back.
+    """
+    rows = measures.filter("ccn <> ''").select("ccn", "facility_name", S.normalize_name(F.col("facility_name")).alias("norm")).filter("norm <> ''")
+    named_once = rows.groupBy("norm").agg(F.min_by(F.struct("ccn", "facility_name"), F.struct("ccn", "facility_name")).alias("x")).select("norm", "x.*")
+    left = providers.withColumn("norm", S.normalize_name(F.col("provider_name"))).filter("norm <> ''").withColumn("priority", F.struct(-F.col("volume"), F.col("provider_id")))
+    found = best_names(left.select("provider_id", "priority", "norm"), named_once.select("norm", F.col("ccn").alias("facility_name")), s.measure_match_cutoff).withColumnRenamed("facility_name", "ccn")
+    spelled = named_once.groupBy("ccn").agg(F.min("facility_name").alias("facility_name"))
+    return left.select("provider_id", "provider_name").join(found, "provider_id").join(spelled, "ccn").select(
+        "provider_id", "ccn", "provider_name", "facility_name", F.when(F.col("score") == 100, "exact").otherwise("fuzzy").alias("match_method"), F.col("score").cast("decimal(5,2)").alias("match_score"), F.lit(False).alias("reviewed"),
+    )
+
+
 def protected_merge(old: DataFrame, new: DataFrame) -> DataFrame:
     """Insert, or update a row only where nobody has reviewed it."""
     keep = old.filter("reviewed")
@@ -254,6 +270,12 @@ def match_summary(links: DataFrame, volumes: DataFrame) -> DataFrame:
     )
 
 
+def write_review_queue(queue: DataFrame, path: str) -> str:
+    """The queue as one CSV folder with a header, a row a provider, in the queue's order."""
+    queue.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
 def review_queue(links: DataFrame, volumes: DataFrame, show: str = "all") -> DataFrame:
     rows = links.join(volumes.select("provider_id", "volume"), "provider_id", "left")
     rows = rows.filter("NOT reviewed") if show == "attention" else rows.filter("reviewed") if show == "approved" else rows

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuemark.functions import scalars as S
+from valuemark.session import materialize
 
 
 def pct_vs_market(cost: str = "cost", market: str = "market_median") -> Column:
@@ -30,19 +31,20 @@ def ranked(df: DataFrame, partition: list[str] | None = None, key: str = "provid
 
 
 def global_positions(df: DataFrame, value: str, key: str) -> DataFrame:
-    """pos (0 upwards by value, then key), least and most position of equal values, and total, without a one-task window.
+    """pos (0 upwards by value, then key), least_pos and most_pos of equal values, and total, without a one-task window.
 
-    Distinct values with their counts are far fewer than rows or at least partially aggregated; they are
-    range-partitioned, counted by partition, and offset by the counts of the partitions before.
+    Rows are range-partitioned by value and key, so equal values spread over tasks as others do, and written
+    once with their partition; positions are places in a partition behind the counts of the partitions before.
     """
-    spread = df.groupBy(value).agg(F.count("*").alias("_n")).repartitionByRange(value).withColumn("_p", F.spark_partition_id())
-    sizes = spread.groupBy("_p").agg(F.sum("_n").alias("_size"))  # a row for each partition
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_start")
-    within = Window.partitionBy("_p").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    first = spread.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(starts, "_p").select(F.col(value).alias("_v"), (F.col("_start") + F.col("_before")).alias("least_pos"), "_n")
-    total = df.agg(F.count("*").alias("total"))
-    tie = Window.partitionBy(value).orderBy(key)
-    return df.withColumn("_tie", F.row_number().over(tie)).join(first, F.col(value) == F.col("_v")).crossJoin(F.broadcast(total)).withColumn("pos", F.col("least_pos") + F.col("_tie") - 1).withColumn("most_pos", F.col("least_pos") + F.col("_n") - 1).drop("_v", "_n", "_tie")
+    part, nth = "_part", "_nth"
+    spread = materialize(df.repartitionByRange(F.col(value), F.col(key)).withColumn(part, F.spark_partition_id()), "spread")
+    sizes = spread.groupBy(part).agg(F.count("*").alias("_size"))  # a row for each partition
+    starts = sizes.select(part, F.coalesce(F.sum("_size").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    placed = spread.withColumn(nth, F.row_number().over(Window.partitionBy(part).orderBy(value, key))).join(F.broadcast(starts), part)
+    placed = materialize(placed.withColumn("pos", F.col("_start") + F.col(nth) - 1).drop(part, nth, "_start"), "positions")
+    ends = placed.groupBy(F.col(value).alias("_v")).agg(F.min("pos").alias("least_pos"), F.max("pos").alias("most_pos"))
+    total = placed.agg(F.count("*").alias("total"))
+    return placed.join(ends, F.col(value) == F.col("_v")).crossJoin(F.broadcast(total)).drop("_v")
 
 
 def global_ranks(df: DataFrame, value: str, key: str, tiers: int = 5) -> DataFrame:
@@ -61,6 +63,21 @@ def consumer_view(scores: DataFrame, outcomes: DataFrame | None = None) -> DataF
     return view.join(outcomes, "provider_id", "left") if outcomes is not None else view
 
 
+def chosen_view(combined: DataFrame, by_procedure: DataFrame | None, choice: str | None) -> DataFrame:
+    """The rows that a reader looks at: all procedures together, or one of them where its scores are published.
+
+    ``choice`` is None (combined) or a procedure's name; without a per-procedure table the combined rows stay.
+    """
+    if choice is None or by_procedure is None or "procedure" not in by_procedure.columns:
+        return combined
+    return by_procedure.filter(F.col("procedure") == choice)
+
+
+def column_or(view: DataFrame, name: str, default: object = None) -> Column:
+    """A column of a view that may lack it, then a set value."""
+    return F.col(name) if name in view.columns else F.lit(default)
+
+
 def procedure_view(scores: DataFrame) -> DataFrame:
     return ranked(scores.filter("value_index IS NOT NULL"), ["procedure"]).withColumn("pct_vs_market", pct_vs_market("procedure_cost"))
 

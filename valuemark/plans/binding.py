@@ -24,7 +24,7 @@ DISCHARGE = f"""
 
 PRICE = f"""
   {NAME} AS facility_name, CASE WHEN s_suppkey % 3 = 0 AND l_partkey % 2 = 0 THEN 'MS-DRG' ELSE 'APR-DRG' END AS system,
-  CASE WHEN s_suppkey % 3 = 0 AND l_partkey % 2 = 0 THEN '470' ELSE CAST({PROCEDURE} AS STRING) END AS code,
+  CASE WHEN s_suppkey % 4 = 3 THEN '027' WHEN s_suppkey % 3 = 0 AND l_partkey % 2 = 0 THEN '470' ELSE CAST({PROCEDURE} AS STRING) END AS code,
   CASE WHEN l_linestatus = 'O' THEN 'Inpatient' WHEN l_linenumber = 1 THEN NULL ELSE 'Outpatient' END AS setting,
   o_orderpriority AS payer, l_returnflag AS plan, CASE WHEN l_quantity > 5 THEN round(l_extendedprice) END AS negotiated, round(p_retailprice * 20) AS cash"""
 
@@ -41,7 +41,7 @@ def discharges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     _joined(spark, sf_dir).createOrReplaceTempView("_vm_joined")
-    return spark.sql(f"SELECT {PRICE} FROM _vm_joined WHERE s_suppkey % 4 <> 3")
+    return spark.sql(f"SELECT {PRICE} FROM _vm_joined")
 
 
 def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +115,7 @@ INDEX = lambda cost: R(f"power(1.0 / nullif(clinical_oe, 0), {S_.weight_clinical
 
 CTES: dict[str, str] = {
     "discharges": f"SELECT {duck(DISCHARGE)} FROM {JOINED}",
-    "prices": f"SELECT {duck(PRICE)} FROM {JOINED} WHERE s_suppkey % 4 <> 3",
+    "prices": f"SELECT {duck(PRICE)} FROM {JOINED}",
     "costs": f"SELECT provider_id, procedure_code, severity, year, count(*) AS discharges, {Q('charge', 0.5)} AS median_charge, {Q('half', 0.5)} AS median_cost FROM (SELECT CAST(s_suppkey AS INT) AS provider_id, {PROCEDURE} AS procedure_code, CAST(floor((p_size - 1) / 13.0) AS INT) + 1 AS severity, CAST(year(o_orderdate) AS INT) AS year, round(l_extendedprice) AS charge, CAST(floor(round(l_extendedprice) / 2) AS DOUBLE) AS half FROM {JOINED}) WHERE procedure_code <> 999 GROUP BY ALL",
     "links": LINKS.format(source="supplier", string="VARCHAR"),
     "measures": MEASURES.format(source="events", string="VARCHAR"),

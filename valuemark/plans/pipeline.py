@@ -6,12 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from valuemark.operators import clinical, outcomes, pricing, ranking, scoring
 from valuemark.plans import binding as B
+from valuemark.session import materialize
 
 S = B.SETTINGS
 
 
+#: Written once, since several later stages read them: each is one pass over a large table.
+WRITTEN = {"cells", "attributes", "costs", "provider_pricing", "provider_costs", "procedure_pricing", "scores"}
+
+
 class Stages:
-    """Lazily built tables of one data set. Cells are small, so what reads them repeatedly costs one pass each."""
+    """Tables of one data set, built when first asked for.
+
+    Whatever reads a large table and is read again is written, so that no plan scans a large table more than
+    once for each stage that needs it.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self._held = spark, sf_dir, {}
@@ -20,7 +29,8 @@ class Stages:
         if name.startswith("_") or name not in BUILD:
             raise AttributeError(name)
         if name not in self._held:
-            self._held[name] = BUILD[name](self)
+            built = BUILD[name](self)
+            self._held[name] = materialize(built, name) if name in WRITTEN else built
         return self._held[name]
 
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuemark.functions import scalars as X
-from valuemark.operators import checks, linkage, outcomes, ranking
+from valuemark.operators import checks, clinical, linkage, outcomes, ranking
 from valuemark.plans import binding as B
 from valuemark.plans.pipeline import S, Stages
-from valuemark.session import table
+from valuemark.session import fresh_path, table
 from valuemark.sources import prices as P
 from valuemark.sources import tables as T
 
@@ -75,7 +76,12 @@ staged("A21_proxy_validation", "n, correlation", B.sql(f"SELECT count(*) AS n, {
 staged("P10_market_view", "provider_id, cost, patient_volume, star_rating", B.sql("SELECT provider_id, cost, patient_volume, star_rating FROM view WHERE borough IN ('NATION_3', 'NATION_5', 'NATION_8', 'NATION_15') AND cost <= 60000 AND patient_volume >= 20 AND star_rating >= 2", "view"), lambda t: ranking.market_view(t.view, ["NATION_3", "NATION_5", "NATION_8", "NATION_15"], 60000, 20, 2))
 staged("A18_headline", "providers, median_cost, spread, volume", B.sql(f"SELECT count(*) AS providers, {B.R(B.Q('cost', 0.5), 2)} AS median_cost, {B.R('CASE WHEN count(cost) > 1 THEN max(cost) - min(cost) END', 2)} AS spread, CAST(coalesce(sum(patient_volume), 0) AS BIGINT) AS volume FROM view", "view"), lambda t: ranking.headline(t.view))
 staged("A22_basis_lines", "cost_basis, market_median", B.sql("SELECT cost_basis, max(market_median) AS market_median FROM view GROUP BY cost_basis", "view"), lambda t: ranking.basis_lines(t.view))
-staged("Q1_stage_counts", "stage, rows", B.sql("SELECT 'discharges' AS stage, count(*) AS rows FROM discharges UNION ALL SELECT 'cohort', count(*) FROM cohort UNION ALL SELECT 'prices', count(*) FROM prices UNION ALL SELECT 'provider_metrics', count(*) FROM metrics UNION ALL SELECT 'scores', count(*) FROM scores", "scores"), lambda t: checks.stage_counts(discharges=t.discharges, cohort=t.cohort, prices=t.prices, provider_metrics=t.provider_metrics, scores=t.scores))
+EIGHT = {"discharges": "discharges", "cohort": "cohort", "cohort_in_market": "cohort WHERE in_market", "provider_metrics": "metrics", "prices": "prices", "provider_pricing": "pricing", "links": "links", "scores": "scores"}
+staged("Q1_stage_counts", "stage, rows", B.sql(" UNION ALL ".join(f"SELECT '{n}' AS stage, count(*) AS rows FROM {c}" for n, c in EIGHT.items()), "scores"), lambda t: checks.stage_counts(discharges=t.discharges, cohort=t.cohort, cohort_in_market=t.cohort.filter("in_market"), provider_metrics=t.provider_metrics, prices=t.prices, provider_pricing=t.provider_pricing, links=t.links, scores=t.scores))
+MAPPED = "CASE provider_id % 7 WHEN 0 THEN 'Kings' WHEN 1 THEN ' new york ' WHEN 2 THEN 'RICHMOND' WHEN 3 THEN 'Bronx' WHEN 4 THEN NULL WHEN 5 THEN 'manhattan' ELSE county END"
+staged("P8_boroughs", "provider_id, borough", B.sql(f"SELECT provider_id, CASE lower(trim(c)) WHEN 'kings' THEN 'Brooklyn' WHEN 'new york' THEN 'Manhattan' WHEN 'manhattan' THEN 'Manhattan' WHEN 'richmond' THEN 'Staten Island' WHEN 'bronx' THEN 'Bronx' ELSE c END AS borough FROM (SELECT provider_id, {MAPPED} AS c FROM attributes)", "attributes"), lambda t: t.attributes.select("provider_id", X.borough(F.expr(MAPPED)).alias("borough")))
+staged("P15_market_benchmarks", "procedure_code, severity, year, stratum_n, expected_los, expected_adverse", B.sql(B.CTES["bench"].replace("FROM cohort", "FROM cohort WHERE in_market"), "cohort"), lambda t: clinical.benchmarks(t.cells, dataclasses.replace(S, benchmark_scope="market")))
+staged("P11_chosen_procedure", "provider_id, procedure, value_index", B.sql("SELECT provider_id, procedure, value_index FROM proc_scores WHERE value_index IS NOT NULL AND procedure = 'knee'", "proc_scores"), lambda t: ranking.chosen_view(t.view, t.procedure_view, "knee"))
 staged("Q2_cohort_by_year", "year, discharges, in_market, market_providers", B.sql("SELECT year, count(*) AS discharges, count(*) FILTER (in_market) AS in_market, count(DISTINCT CASE WHEN in_market THEN provider_id END) AS market_providers FROM cohort GROUP BY year", "cohort"), lambda t: checks.cohort_by_year(t.discharges, S))
 
 
@@ -91,8 +97,10 @@ staged("Q5_dispositions", "disposition, adverse, n", B.sql("SELECT disposition,
 staged("Q6_unmapped", "without_row, without_name", B.sql("SELECT (SELECT count(*) FROM metrics ANTI JOIN links USING (provider_id)) AS without_row, (SELECT count(*) FROM metrics m WHERE EXISTS (SELECT 1 FROM links l WHERE l.provider_id = m.provider_id AND l.facility_name IS NULL)) AS without_name", "metrics", "links"), lambda t: checks.unmapped(t.provider_metrics, t.links))
 staged("Q7_awaiting_review", "provider_id, facility_name", B.sql("SELECT provider_id, facility_name FROM links WHERE NOT reviewed AND facility_name IS NOT NULL", "links"), lambda t: t.links.filter("NOT reviewed AND facility_name IS NOT NULL"))
 staged("Q8_no_price", "provider_id, data_status", B.sql("SELECT provider_id, data_status FROM scores WHERE price_file_basis IS NULL", "scores"), lambda t: t.scores.filter("price_file_basis IS NULL"))
-staged("Q9_fan_out", "provider_id, n", B.sql("SELECT provider_id, count(*) AS n FROM scores GROUP BY provider_id HAVING count(*) > 1", "scores"), lambda t: checks.duplicates(t.scores, ["provider_id"]))
-staged("Q11_implausible", "provider_id, clinical_oe, cost", B.sql("SELECT provider_id, clinical_oe, cost FROM scores WHERE clinical_oe > 3 OR clinical_oe < 0.25 OR cost > 500000 OR cost < 5000", "scores"), lambda t: checks.implausible(t.scores))
+FANNED = "SELECT provider_id FROM scores UNION ALL SELECT provider_id FROM scores WHERE provider_id % 10 = 0"
+staged("Q9_fan_out", "provider_id, n", B.sql(f"SELECT provider_id, count(*) AS n FROM ({FANNED}) GROUP BY provider_id HAVING count(*) > 1", "scores"), lambda t: checks.duplicates(t.scores.select("provider_id", F.explode(F.array_repeat(F.lit(1), F.when(F.col("provider_id") % 10 == 0, 2).otherwise(1)))), ["provider_id"]))
+ODD_COST, ODD_OE = "CASE provider_id % 10 WHEN 0 THEN cost * 100 WHEN 1 THEN cost / 100 ELSE cost END", "CASE provider_id % 10 WHEN 2 THEN clinical_oe * 8 WHEN 3 THEN clinical_oe / 8 ELSE clinical_oe END"
+staged("Q11_implausible", "provider_id, clinical_oe, cost", B.sql(f"SELECT * FROM (SELECT provider_id, {ODD_OE} AS clinical_oe, {ODD_COST} AS cost FROM scores) WHERE clinical_oe > 3 OR clinical_oe < 0.25 OR cost > 500000 OR cost < 5000", "scores"), lambda t: checks.implausible(t.scores.withColumns({"cost": F.expr(ODD_COST), "clinical_oe": F.expr(ODD_OE)})))
 staged("A19_match_coverage", "providers, matched, approved, awaiting_review, volume_share", B.sql(f"SELECT count(*) AS providers, count(facility_name) AS matched, count(*) FILTER (facility_name IS NOT NULL AND reviewed) AS approved, count(*) FILTER (facility_name IS NOT NULL AND NOT reviewed) AS awaiting_review, {B.R('CAST(sum(CASE WHEN facility_name IS NOT NULL THEN patient_volume END) AS DOUBLE) / nullif(CAST(sum(patient_volume) AS DOUBLE), 0)', 4)} AS volume_share FROM links LEFT JOIN metrics USING (provider_id)", "links", "metrics"), lambda t: linkage.match_summary(t.links, t.provider_metrics.withColumnRenamed("patient_volume", "volume")))
 staged("A20_price_names", "facility_name, n", B.sql("SELECT facility_name, count(*) AS n FROM prices GROUP BY facility_name", "prices"), lambda t: t.prices.groupBy("facility_name").agg(F.count("*").alias("n")))
 
@@ -120,11 +128,11 @@ MONEY_TEXT = "CASE e % 7 WHEN 0 THEN concat('$', v) WHEN 1 THEN 'N/A' WHEN 2 THE
 
 
 @query("F7_F8_F9_numbers", f"""
-SELECT event_id, CASE event_id % 7 WHEN 0 THEN CAST(v AS DOUBLE) WHEN 2 THEN CAST(v AS DOUBLE) END AS money, CAST(trunc(CAST(v AS DOUBLE)) AS INT) AS whole,
+SELECT event_id, CASE WHEN event_id % 7 IN (0, 2) AND CAST(v AS DOUBLE) > 0 THEN CAST(v AS DOUBLE) END AS money, CAST(trunc(CAST(v AS DOUBLE)) AS INT) AS whole,
   CASE event_id % 7 WHEN 0 THEN CAST(v AS DOUBLE) WHEN 1 THEN NULL WHEN 2 THEN CAST(v AS DOUBLE) WHEN 4 THEN -CAST(v AS DOUBLE) WHEN 6 THEN 0.0 END AS number
-FROM (SELECT event_id, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS v FROM events WHERE value > 0.01)""")
+FROM (SELECT event_id, CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS v FROM events)""")
 def f7_f8_f9_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "events").filter("value > 0.01").selectExpr("event_id", "event_id AS e", "CAST(CAST(round(value * 100) AS BIGINT) AS STRING) AS v")
+    t = table(spark, sf_dir, "events").selectExpr("event_id", "event_id AS e", "CAST(CAST(round(value * 100) AS BIGINT) AS STRING) AS v")
     t = t.withColumn("raw", F.expr(MONEY_TEXT))
     return t.select("event_id", X.clean_currency(F.col("raw")).alias("money"), X.as_int(F.col("v")).alias("whole"), X.as_number(F.col("raw")).alias("number"))
 
@@ -144,37 +152,52 @@ def f11_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- files of prices, manifests and measures, made of the tables -----------------------------------------
 
+TARGETS = "(system = 'APR-DRG' AND code IN ('324', '326')) OR (system = 'MS-DRG' AND code = '470')"
 WIDE = ["description", "code|1", "code|1|type", "setting", "standard_charge|discounted_cash", "standard_charge|1-URGENT|R|negotiated_dollar", "standard_charge|2-HIGH|R|negotiated_dollar", "standard_charge|2-HIGH|R|negotiated_percentage"]
 
 
+@query("S11_S12_S18_price_files", B.sql(f"SELECT code, system, setting, payer, plan, negotiated, cash FROM prices WHERE {TARGETS}", "prices"))
+def s11_s12_s18_price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables written as published files, then probed, read and parsed file by file."""
+    t = Stages(spark, sf_dir).prices
+    cells = (F.lit("joint,\nother"), "code", "system", "setting", "payer", "plan", F.col("cash").cast("decimal(14,2)").cast("string"), F.col("negotiated").cast("decimal(14,2)").cast("string"))
+    names = ["description", "code|1", "code|1|type", "setting", "payer_name", "plan_name", "standard_charge|discounted_cash", "standard_charge|negotiated_dollar"]
+    path = fresh_path(spark, "price-files")
+    t.select(*cells).toDF(*names).write.option("header", True).csv(path)
+    files = spark.read.text(path).inputFiles()
+    return P.load_prices(spark, {f.rsplit("/", 1)[-1]: f for f in files}, S)[0].select("code", "system", "setting", "payer", "plan", "negotiated", "cash")
+
+
 @query("S14_wide_prices", B.sql("""
 SELECT code, setting, payer, negotiated, cash FROM (
   SELECT code, setting, unnest(CASE WHEN u IS NULL AND h IS NULL THEN [NULL] ELSE list_filter(['1-URGENT', '2-HIGH'], lambda x: CASE x WHEN '1-URGENT' THEN u ELSE h END IS NOT NULL) END) AS payer, u, h, cash, CASE WHEN u IS NULL AND h IS NULL THEN NULL ELSE 1 END AS any_
-  FROM (SELECT facility_name, code, setting, max(negotiated) FILTER (payer = '1-URGENT') AS u, max(negotiated) FILTER (payer = '2-HIGH') AS h, max(cash) AS cash FROM prices WHERE system = 'APR-DRG' AND code IN ('324', '326') GROUP BY ALL)
+  FROM (SELECT facility_name, system, code, setting, max(negotiated) FILTER (payer = '1-URGENT') AS u, max(negotiated) FILTER (payer = '2-HIGH') AS h, max(cash) AS cash FROM prices WHERE (system = 'APR-DRG' AND code IN ('324', '326')) OR (system = 'MS-DRG' AND code = '470') GROUP BY ALL)
 ) x, LATERAL (SELECT CASE x.payer WHEN '1-URGENT' THEN x.u WHEN '2-HIGH' THEN x.h END AS negotiated)""", "prices"))
 def s14_wide_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Stages(spark, sf_dir).prices.filter("system = 'APR-DRG' AND code IN ('324', '326', '999')")
+    t = Stages(spark, sf_dir).prices
     at = lambda payer: F.max(F.when(F.col("payer") == payer, F.col("negotiated"))).cast("string")
-    raw = t.groupBy("facility_name", "code", "setting").agg(F.max("cash").cast("string").alias("cash"), at("1-URGENT").alias("u"), at("2-HIGH").alias("h"))
-    raw = raw.select(F.lit("joint"), "code", F.lit("APR-DRG"), "setting", "cash", "u", "h", F.lit("65"))
+    raw = t.groupBy("facility_name", "system", "code", "setting").agg(F.max("cash").cast("string").alias("cash"), at("1-URGENT").alias("u"), at("2-HIGH").alias("h"))
+    raw = raw.select(F.lit("joint"), "code", "system", "setting", "cash", "u", "h", F.lit("65"))
     return P.parse_csv(raw, WIDE, None, None, "wide", S).select("code", "setting", "payer", "negotiated", "cash")
 
 
 TALL = ["description", "code|1", "code|1|type", "code|2", "code|2|type", "setting", "payer_name", "plan_name", "standard_charge|discounted_cash", "standard_charge|negotiated_dollar"]
 
 
-@query("S13_tall_prices", B.sql("SELECT code, system, setting, payer, plan, negotiated, cash FROM prices WHERE (system = 'APR-DRG' AND code IN ('324', '326')) OR system = 'MS-DRG'", "prices"))
+@query("S13_tall_prices", B.sql("SELECT code, system, setting, payer, plan, negotiated, cash FROM prices WHERE (system = 'APR-DRG' AND code IN ('324', '326')) OR (system = 'MS-DRG' AND code = '470')", "prices"))
 def s13_tall_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Stages(spark, sf_dir).prices
     raw = t.select(F.lit("other"), F.lit("27447"), F.lit("CPT"), "code", "system", "setting", "payer", "plan", F.concat(F.lit("$"), F.col("cash").cast("decimal(14,2)").cast("string")), F.col("negotiated").cast("decimal(14,2)").cast("string"))
     return P.parse_csv(raw, TALL, "all", "330001", "tall", S).select("code", "system", "setting", "payer", "plan", "negotiated", "cash")
 
 
-@query("S15_json_prices", B.sql("SELECT code, system, payer, negotiated FROM prices WHERE ((system = 'APR-DRG' AND code IN ('324', '326')) OR system = 'MS-DRG') AND negotiated IS NOT NULL", "prices"))
+@query("S15_json_prices", B.sql(f"SELECT code, system, payer, negotiated FROM prices WHERE {TARGETS} UNION ALL SELECT code, system, NULL, NULL FROM (SELECT DISTINCT facility_name, system, code FROM prices WHERE {TARGETS})", "prices"))
 def s15_json_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Stages(spark, sf_dir).prices.filter("negotiated IS NOT NULL")
+    t = Stages(spark, sf_dir).prices
     payers = F.collect_list(F.struct(F.col("payer").alias("payer_name"), F.col("plan").alias("plan_name"), F.col("negotiated").cast("string").alias("standard_charge_dollar")))
     g = t.withColumn("part", F.pmod(F.xxhash64("negotiated", "cash"), F.lit(64))).groupBy("facility_name", "system", "code", "part").agg(payers.alias("payers_information"))
+    nobody = t.select("facility_name", "system", "code").distinct().withColumns({"part": F.lit(-1).cast("long"), "payers_information": F.array().cast(g.schema["payers_information"].dataType)})
+    g = g.withColumn("part", F.col("part").cast("long")).unionByName(nobody)
     item = F.struct(F.lit("joint").alias("description"), F.array(F.struct(F.lit("27447").alias("code"), F.lit("CPT").alias("type")), F.struct(F.col("code"), F.col("system").alias("type"))).alias("code_information"), F.array(F.struct(F.lit("inpatient").alias("setting"), F.col("payers_information"))).alias("standard_charges"))
     return P.parse_json_items(P.json_items(g.select(F.to_json(item).alias("j")), "j"), "json", S).select("code", "system", "payer", "negotiated")
 
@@ -212,7 +235,7 @@ def _name_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query("M1_exact_links", "SELECT CAST(s_suppkey AS INT) AS provider_id, concat('The saint ', replace(s_name, '#', ' ')) AS facility_name FROM supplier WHERE s_suppkey % 3 > 0 AND s_suppkey % 5 > 0")
 def m1_exact_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = _name_sets(spark, sf_dir)
-    right = linkage.named(right.filter("s_suppkey % 3 > 0"))
+    right = linkage.named(right.withColumn("facility_name", F.when(F.col("s_suppkey") % 3 > 0, F.col("facility_name")).otherwise(F.concat(F.lit("closed "), "facility_name"))))
     pairs = left.withColumn("norm", X.normalize_name(F.col("provider_name"))).join(right, "norm")
     return pairs.select("provider_id", "facility_name")
 
@@ -224,6 +247,12 @@ def m2_propose_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.propose(left, right, none, S)
 
 
+@query("M9_measure_links")
+def m9_measure_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = _name_sets(spark, sf_dir)
+    return linkage.propose_measure_links(left.drop("certificate"), right.selectExpr("CAST(s_suppkey AS STRING) AS ccn", "facility_name"), S)
+
+
 staged("M5_protected_merge", "provider_id, facility_name, reviewed", B.sql("SELECT provider_id, CASE WHEN reviewed THEN facility_name ELSE 'new name' END AS facility_name, reviewed FROM links", "links"), lambda t: linkage.protected_merge(t.links, t.links.withColumn("facility_name", F.lit("new name"))))
 
 

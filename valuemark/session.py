@@ -38,6 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     java_context = spark.sparkContext._jsc.sc()
     if java_context.getCheckpointDir().isEmpty():
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return java_context.getCheckpointDir().get().rstrip("/")
 
@@ -46,9 +48,25 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut and lost executors cost nothing."""
+#: Files a core that a table of short rows is written to at most.
+FILES_PER_CORE = 4
+
+
+def materialize(df: DataFrame, label: str, short: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage is cut and lost executors cost nothing.
+
+    ``short`` says that rows are a few numbers, so that a few files a core will do, however many partitions
+    there are: what reads them later has as many tasks, and each of its shuffles as many files.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism) if short else df).write.parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._folder = path
+    return read
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` gave, once nothing that is still to run reads it."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._folder)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

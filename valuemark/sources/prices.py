@@ -1,29 +1,54 @@
-"""Price-transparency files: tall CSV, wide CSV and JSON, each file with its own header.
+"""Price-transparency files: tall CSV, wide CSV and JSON, each file with its own header, also packed as gzip or zip.
 
-The head of every file is probed in a distributed pass: format, header row, file metadata. Files of one
+The first bytes of every file say how it is packed, its format, its header row and its metadata. Files of one
 layout are read together as plain text columns, target codes are picked out, and only then are wide payer
-columns turned into rows.
+columns turned into rows. JSON files are cut at closing braces into short texts and put together again to charge
+items as they stream by, so a task holds one item and never a file.
 """
 
 from __future__ import annotations
 
 import csv
+import functools
+import gzip
 import io
-
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import re
+import struct
+import zipfile
+import zlib
+from concurrent.futures import ThreadPoolExecutor
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from valuemark.config import Settings
 from valuemark.functions import scalars as S
+from valuemark.session import materialize, ship
 
-HEAD_LINES = 10
+#: Lines of a head that may be the header, bytes that are read for it, files whose heads are read at a time.
+HEAD_LINES, HEAD_BYTES, HEADS_AT_ONCE = 10, 1 << 18, 16
+BATCH_ROWS = 2000
 PRICE_COLUMNS = ("facility_name", "ccn", "code", "system", "description", "setting", "payer", "plan", "gross", "cash", "negotiated", "least", "most", "source")
 
 
-def sniff(head: str, name: str) -> str:
-    """csv or json: by the first character that is not blank, then by the name."""
+def sniff(head: str, hint: str) -> str:
+    """csv or json: by the first character that is not blank, then by the name or what else is said of the file."""
     first = head.lstrip("﻿ \t\r\n")[:1]
-    return "json" if first in ("{", "[") or (not first and name.lower().removesuffix(".gz").endswith(".json")) else "csv"
+    return "json" if first in ("{", "[") or (not first and re.search(r"\.json\b|application/json", hint.lower())) else "csv"
+
+
+def unpacked_head(data: bytes, hint: str) -> tuple[str, str, str]:
+    """How a file is packed (plain, gzip or zip, by its first bytes), its first text, and the name of a zip's first member."""
+    if data[:4] == b"PK\x03\x04":
+        how, size, extra = *struct.unpack("<H", data[8:10]), *struct.unpack("<HH", data[26:30])
+        member, body = data[30 : 30 + size].decode("utf-8", "replace"), data[30 + size + extra :]
+        text = zlib.decompressobj(-15).decompress(body, HEAD_BYTES) if how == 8 else body
+        return "zip", text.decode("utf-8-sig", "replace"), member
+    if data[:2] == b"\x1f\x8b":
+        return "gzip", zlib.decompressobj(31).decompress(data, HEAD_BYTES).decode("utf-8-sig", "replace"), ""
+    return "plain", data.decode("utf-8-sig", "replace"), ""
 
 
 def layout(head: str) -> dict:
@@ -38,23 +63,51 @@ def layout(head: str) -> dict:
     raise ValueError("no header row with a description and a code or charge column")
 
 
-def probe(spark: SparkSession, paths: list[str]) -> tuple[list[dict], dict[str, str]]:
-    """Format and layout of every file, and the files that have none. A task reads the first lines of a file."""
+def _head(spark: SparkSession, path: str) -> bytes:
+    """The first bytes of a file, through whatever file system Spark reads it with."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEAD_BYTES)))
+    finally:
+        stream.close()
+
+
+def probe(spark: SparkSession, paths: list[str], hints: dict[str, str] | None = None) -> tuple[list[dict], dict[str, str]]:
+    """Packing, format and layout of every file, and what is wrong with the files that have none.
+
+    A quarter of a megabyte of each file is read, once, as a listing would; nothing else of it. ``hints`` has
+    what a server says of a path (content type, disposition).
+    """
     found, failed = [], {}
-    lines = spark.read.option("wholetext", False).text(paths).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "value")
-    heads = lines.groupBy("file").agg(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.col("at") % (1 << 33) < 4 * HEAD_LINES, F.struct("at", "value")))), 1, 4 * HEAD_LINES), lambda x: x["value"]), "\n").alias("head"))
-    for r in heads.toLocalIterator():  # a few kilobytes a file
+
+    def one(path: str) -> dict:
+        hint = f"{path} {(hints or {}).get(path, '')}"
+        packed, head, member = unpacked_head(_head(spark, path), hint)
+        kind = sniff(head, f"{hint} {member}")
+        return {"file": path, "packed": packed, "kind": kind} | (layout(head) if kind == "csv" else {})
+
+    def told(path: str) -> tuple[str, dict | str]:
         try:
-            kind = sniff(r.head, r.file)
-            found.append({"file": r.file, "kind": kind} | (layout(r.head) if kind == "csv" else {}))
-        except ValueError as e:
-            failed[r.file] = str(e)
+            return path, one(path)
+        except Exception as e:  # one bad file must not stop the others
+            return path, str(e).splitlines()[0]
+
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        for path, got in pool.map(told, paths):
+            if isinstance(got, dict):
+                found.append(got)
+            else:
+                failed[path] = got
     return found, failed
 
 
 def _targets(pairs: list[tuple[Column, Column]], description: Column, s: Settings) -> Column:
     """The first code of a row that is a target, as struct(system, number)."""
-    classified = F.array(*[S.classify_code(c, t) for c, t in pairs])
+    # A code without the digits of a target is none: that settles most lines before any pattern is tried.
+    digits = "|".join(sorted({c.lstrip("0") for c in (s.ms_code, *s.apr_codes, *s.apr_legacy_codes)}))
+    classified = F.array(*[F.when(c.rlike(digits), S.classify_code(c, t)) for c, t in pairs])
     return F.get(F.filter(classified, lambda x: x.isNotNull() & S.is_target_code(x, description, s)), 0)
 
 
@@ -65,8 +118,13 @@ def code_columns(names: list[str]) -> list[tuple[str, str | None]]:
 
 def parse_csv(raw: DataFrame, names: list[str], facility: str | None, ccn: str | None, label: str, s: Settings) -> DataFrame:
     """Target lines of one layout. ``raw`` has its columns in order, all text; the preamble rows have no target code and fall out."""
+    own = {"facility_name": F.lit(facility or label), "ccn": F.lit(ccn).cast("string"), "source": F.lit(label)}
+    return csv_lines(raw.toDF(*[f"c{i}" for i in range(len(names))]).withColumns(own), names, s).drop("file")
+
+
+def csv_lines(df: DataFrame, names: list[str], s: Settings) -> DataFrame:
+    """Target lines of files of one layout: c0, c1, ... hold its columns, facility_name, ccn, source (and file) what is said of each file."""
     columns = [f"c{i}" for i in range(len(names))]
-    df = raw.toDF(*columns)
     payers = {n.lower(): n.split("|") for n in names}  # payer and plan keep their spelling
     names = [n.lower() for n in names]
     of = dict(zip(names, columns))
@@ -88,8 +146,8 @@ def parse_csv(raw: DataFrame, names: list[str], facility: str | None, ccn: str |
         negotiated = amount(priced[0]) if priced else F.lit(None).cast("double")
     money = lambda *wanted: S.clean_currency(get(*wanted))
     return rows.select(
-        F.lit(facility or label).alias("facility_name"), F.lit(ccn).cast("string").alias("ccn"), F.col("target.number").alias("code"), F.col("target.system").alias("system"), description.alias("description"), S.blank_to_null(get("setting")).alias("setting"),
-        payer.alias("payer"), plan.alias("plan"), money("standard_charge|gross").alias("gross"), money("standard_charge|discounted_cash").alias("cash"), negotiated.alias("negotiated"), money("standard_charge|min").alias("least"), money("standard_charge|max").alias("most"), F.lit(label).alias("source"),
+        *[c for c in ("file",) if c in df.columns], "facility_name", "ccn", F.col("target.number").alias("code"), F.col("target.system").alias("system"), description.alias("description"), S.blank_to_null(get("setting")).alias("setting"),
+        payer.alias("payer"), plan.alias("plan"), money("standard_charge|gross").alias("gross"), money("standard_charge|discounted_cash").alias("cash"), negotiated.alias("negotiated"), money("standard_charge|min").alias("least"), money("standard_charge|max").alias("most"), "source",
     )
 
 
@@ -100,35 +158,206 @@ JSON_ITEM = (
 
 
 def parse_json_items(items: DataFrame, label: str, s: Settings) -> DataFrame:
-    """Charge items (columns of JSON_ITEM) to price lines: first target code, charges, payers or one line without."""
+    """Charge items (columns of JSON_ITEM) of one source to price lines."""
+    return json_lines(items.withColumns({"facility_name": F.lit(label), "source": F.lit(label)}), s).drop("file")
+
+
+def json_lines(items: DataFrame, s: Settings) -> DataFrame:
+    """Charge items, with facility_name and source, to price lines: first target code, charges, payers or one line without."""
     codes = F.transform("code_information", lambda c: S.classify_code(c["code"], c["type"]))
     target = F.get(F.filter(codes, lambda x: x.isNotNull() & S.is_target_code(x, F.col("description"), s)), 0)
-    rows = items.withColumn("target", target).filter("target IS NOT NULL").select("description", "target", F.explode("standard_charges").alias("c")).select("*", F.explode_outer("c.payers_information").alias("p"))
+    own = [c for c in ("file", "facility_name", "source") if c in items.columns]
+    rows = items.withColumn("target", target).filter("target IS NOT NULL").select(*own, "description", "target", F.explode("standard_charges").alias("c")).select("*", F.explode_outer("c.payers_information").alias("p"))
     money = lambda c: S.clean_currency(F.col(c))
     return rows.select(
-        F.lit(label).alias("facility_name"), F.lit(None).cast("string").alias("ccn"), F.col("target.number").alias("code"), F.col("target.system").alias("system"), "description", S.blank_to_null(F.col("c.setting")).alias("setting"), F.col("p.payer_name").alias("payer"), F.col("p.plan_name").alias("plan"),
-        money("c.gross_charge").alias("gross"), money("c.discounted_cash").alias("cash"), money("p.standard_charge_dollar").alias("negotiated"), money("c.minimum").alias("least"), money("c.maximum").alias("most"), F.lit(label).alias("source"),
+        *[c for c in own if c != "source"], F.lit(None).cast("string").alias("ccn"), F.col("target.number").alias("code"), F.col("target.system").alias("system"), "description", S.blank_to_null(F.col("c.setting")).alias("setting"), F.col("p.payer_name").alias("payer"), F.col("p.plan_name").alias("plan"),
+        money("c.gross_charge").alias("gross"), money("c.discounted_cash").alias("cash"), money("p.standard_charge_dollar").alias("negotiated"), money("c.minimum").alias("least"), money("c.maximum").alias("most"), "source",
     )
 
 
-def load_prices(spark: SparkSession, labels: dict[str, str], s: Settings, max_rows: int | None = None) -> tuple[DataFrame | None, list[dict]]:
-    """Price lines of all files (label -> path) and a status row for each: ok, partial (cut at ``max_rows``), empty or failed."""
-    whole, status = None, []
+class ItemScanner:
+    """Charge items out of a JSON text that comes in parts; holds the item at hand only."""
+
+    MARKS = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
+    LIST = "standard_charge_information"
+
+    def __init__(self):
+        self.depth = self.items_at = 0
+        self.quoted, self.item, self.key, self.last, self.escape = False, None, None, "", ""
+
+    def feed(self, part: str):
+        """The items that end within the part."""
+        part = self.escape + part
+        self.escape = "\\" * ((len(part) - len(part.rstrip("\\"))) % 2)  # goes with the next part
+        part = part[: len(part) - len(self.escape)]
+        begin = 0
+        for m in self.MARKS.finditer(part):
+            mark, at = m[0], m.start()
+            if mark == '"':
+                if self.depth == 1:
+                    if self.quoted:
+                        self.last = (self.key or "") + part[begin:at] if self.key is not None else ""
+                        self.key = None
+                    else:
+                        self.key, begin = "", at + 1
+                self.quoted = not self.quoted
+            elif not self.quoted and mark in "{[":
+                self.depth += 1
+                if mark == "[" and self.depth == 2 and self.last == self.LIST:
+                    self.items_at = 2
+                if mark == "{" and self.items_at and self.depth == self.items_at + 1:
+                    self.item, begin = [], at
+            elif not self.quoted and mark in "}]":
+                self.depth -= 1
+                if self.item is not None and self.depth == self.items_at:
+                    self.item.append(part[begin : at + 1])
+                    yield "".join(self.item)
+                    self.item = None
+                if self.depth < self.items_at:
+                    self.items_at = 0
+        if self.item is not None:
+            self.item.append(part[begin:])
+        elif self.key is not None:
+            self.key += part[begin:]
+
+    @property
+    def whole(self) -> bool:
+        """Whether all is closed; behind a file's last brace the cut adds one more."""
+        return self.depth <= 0
+
+
+ITEM_ROW = "file string, item string, note string"
+
+
+def _item_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows) if rows else [()] * 3)], ["file", "item", "note"])
+
+
+def _joined_items(batches):
+    """Rows of file and text (cut at closing braces, sorted) to items; a file that ends within its JSON gets a note."""
+    name, scanner, rows = None, ItemScanner(), []
+    for b in batches:
+        for file, part in zip(b.column("file").to_pylist(), b.column("part").to_pylist()):
+            if file != name:
+                if name is not None and not scanner.whole:
+                    rows.append((name, None, "ends within its JSON"))
+                name, scanner = file, ItemScanner()
+            rows += [(file, item, None) for item in scanner.feed(part + "}")]
+            if len(rows) >= BATCH_ROWS:
+                yield _item_batch(rows)
+                rows = []
+    if name is not None and not scanner.whole:
+        rows.append((name, None, "ends within its JSON"))
+    yield _item_batch(rows)
+
+
+def _opened(content: bytes, packed: str):
+    if packed == "gzip":
+        return gzip.open(io.BytesIO(content))
+    archive = zipfile.ZipFile(io.BytesIO(content))
+    named = [n for n in archive.namelist() if n.lower().endswith((".csv", ".json"))]
+    if not named:
+        raise ValueError("no .csv or .json in the archive")
+    return archive.open(named[0])
+
+
+def _unpacked(batches, packed: dict[str, str], kinds: dict[str, str]):
+    """Charge items (as text) or CSV rows (as a JSON list of cells) of packed files; what fails on the way is a note."""
+    for b in batches:
+        for file, content in zip(b.column("file").to_pylist(), b.column("content").to_pylist()):
+            rows = []
+            try:
+                with io.TextIOWrapper(_opened(content, packed[file]), encoding="utf-8-sig", errors="replace", newline="") as text:
+                    scanner = ItemScanner()
+                    parts = (x for part in iter(functools.partial(text.read, 1 << 16), "") for x in scanner.feed(part)) if kinds[file] == "json" else (json.dumps(r) for r in csv.reader(text))
+                    for x in parts:
+                        rows.append((file, x, None))
+                        if len(rows) >= BATCH_ROWS:
+                            yield _item_batch(rows)
+                            rows = []
+                    if not scanner.whole:
+                        rows.append((file, None, "ends within its JSON"))
+            except (ValueError, OSError, EOFError, zlib.error, zipfile.BadZipFile, csv.Error) as e:
+                rows.append((file, None, str(e).splitlines()[0]))
+            yield _item_batch(rows)
+
+
+def _packed_rows(spark: SparkSession, files: list[dict]) -> DataFrame:
+    """A packed file is read whole, as its format demands; what it holds streams."""
+    ship(spark)
+    binary = spark.read.format("binaryFile").load([f["file"] for f in files]).select(_given(files), "content")
+    unpack = functools.partial(_unpacked, packed={f["file"]: f["packed"] for f in files}, kinds={f["file"]: f["kind"] for f in files})
+    return binary.mapInArrow(unpack, ITEM_ROW)
+
+
+def _plain_items(spark: SparkSession, files: list[dict]) -> DataFrame:
+    ship(spark)
+    texts = spark.read.option("lineSep", "}").text([f["file"] for f in files]).select(_given(files), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("part"))
+    return texts.repartition("file").sortWithinPartitions("file", "block", "at").select("file", "part").mapInArrow(_joined_items, ITEM_ROW)
+
+
+def _given(files: list[dict]) -> Column:
+    """The path of a row's file as it was given: what Spark reports has a scheme and may be escaped."""
+    tail = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
+    names = F.create_map(*[x for f in files for x in (tail(F.lit(f["file"])), F.lit(f["file"]))])
+    return F.coalesce(names[tail(F.col("_metadata.file_path"))], names[tail(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))]).alias("file")
+
+
+def load_prices(spark: SparkSession, labels: dict[str, str], s: Settings, max_rows: int | None = None, hints: dict[str, str] | None = None) -> tuple[DataFrame | None, list[dict]]:
+    """Price lines of all files (label -> path) and a status row for each: ok, partial, empty or failed.
+
+    Files are read together, one branch for each CSV layout and one for all JSON; what came of a file is counted
+    once over the written lines. A file is partial if it is cut at ``max_rows`` or breaks off; it fails if it
+    breaks before any line, or has no header. A CSV file is one task, since a quoted cell may hold line ends.
+    """
+    found, failed = probe(spark, list(dict.fromkeys(labels.values())), hints)
+    label_of: dict[str, list[str]] = {}
     for label, path in labels.items():
-        found, failed = probe(spark, [path])
-        for f in found:
-            if f["kind"] == "json":
-                items = spark.read.option("multiLine", True).schema(f"standard_charge_information ARRAY<STRUCT<{JSON_ITEM}>>").json(path)
-                part = parse_json_items(items.select(F.explode("standard_charge_information").alias("i")).select("i.*"), label, s)
-            else:
-                raw = spark.read.schema(", ".join(f"c{i} STRING" for i in range(len(f["names"])))).csv(path, multiLine=False, escape='"', mode="PERMISSIVE")
-                part = parse_csv(raw, f["names"], f["facility"], f["ccn"], label, s)
-            n = part.limit((max_rows or 0) + 1).count() if max_rows else part.count()
-            cut = bool(max_rows) and n > max_rows
-            part = part.limit(max_rows) if cut else part
-            status.append({"source": label, "file": f["file"], "rows": min(n, max_rows) if max_rows else n, "status": "partial" if cut else "ok" if n else "empty"})
-            whole = part if whole is None else whole.unionByName(part)
-        status += [{"source": label, "file": k, "rows": 0, "status": f"failed: {v}"} for k, v in failed.items()]
+        label_of.setdefault(path, []).append(label)
+    facts = [(f["file"], label, f.get("facility") or label, f.get("ccn")) for f in found for label in label_of[f["file"]]]
+    about = F.broadcast(spark.createDataFrame(facts, "file string, source string, facility_name string, ccn string"))  # a row a file
+    parts, notes = [], None
+    layouts: dict[tuple, list[dict]] = {}
+    for f in found:
+        layouts.setdefault(("json",) if f["kind"] == "json" else (f["packed"] == "plain" or f["file"].endswith(".gz"), *f["names"]), []).append(f)
+    for key, files in layouts.items():
+        natively = [f for f in files if f["packed"] == "plain" or (f["packed"] == "gzip" and f["file"].endswith(".gz"))]
+        others = [f for f in files if f not in natively]
+        if key == ("json",):
+            read = [g(spark, fs) for g, fs in ((_plain_items, natively), (_packed_rows, others)) if fs]
+            rows = materialize(functools.reduce(DataFrame.unionByName, read), "items")
+            parsed = rows.filter("item IS NOT NULL").select("file", F.from_json("item", f"struct<{JSON_ITEM}>").alias("i")).select("file", "i.*")
+            parts.append(json_lines(parsed.join(about, "file"), s))
+        elif natively:
+            width = len(key) - 1
+            raw = spark.read.schema(", ".join(f"c{i} STRING" for i in range(width))).csv([f["file"] for f in natively], multiLine=True, escape='"', mode="PERMISSIVE")
+            parts.append(csv_lines(raw.select("*", _given(natively)).join(about, "file"), list(key[1:]), s))
+            continue
+        else:
+            rows = materialize(_packed_rows(spark, others), "rows")
+            cells = rows.filter("item IS NOT NULL").select("file", F.from_json("item", "array<string>").alias("c"))
+            parts.append(csv_lines(cells.select("file", *[F.get("c", i).alias(f"c{i}") for i in range(len(key) - 1)]).join(about, "file"), list(key[1:]), s))
+        told = rows.filter("note IS NOT NULL").select("file", "note")
+        notes = told if notes is None else notes.unionByName(told)
+    whole = None
+    counts: dict[tuple[str, str], int] = {}
+    broken = {r.file: r.note for r in notes.groupBy("file").agg(F.min("note").alias("note")).collect()} if notes is not None else {}
+    if parts:
+        lines = functools.reduce(DataFrame.unionByName, parts)
+        if max_rows:
+            order = Window.partitionBy("file", "source").orderBy("at")
+            lines = lines.withColumn("at", F.monotonically_increasing_id()).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= max_rows + 1)
+        lines = materialize(lines, "price-lines")
+        counts = {(r.source, r.file): r["count"] for r in lines.groupBy("source", "file").count().collect()}  # a row a file
+        whole = lines.filter(F.col("nth") <= max_rows) if max_rows else lines
+        whole = whole.select(*PRICE_COLUMNS)
+    status = []
+    for label, path in labels.items():
+        n = counts.get((label, path), 0)
+        cut = bool(max_rows) and n > max_rows
+        n = min(n, max_rows) if max_rows else n
+        why = failed.get(path) or (broken.get(path) if not n else None)
+        status.append({"source": label, "file": path, "rows": n, "status": f"failed: {why}" if why else "partial" if cut or path in broken else "ok" if n else "empty"})
     return whole, status
 
 
