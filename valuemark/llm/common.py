@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
-from collections.abc import Callable
+import gc
+from collections.abc import Callable, Hashable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemark.session import fresh_path, materialize, shared_dir, table
+from valuemark.session import discard, fresh_path, materialize, shared_dir, table
 
-__all__ = ["fresh_path", "held_out", "kept_rows", "materialize", "shared_dir", "sliced", "table", "texts", "unused"]
+__all__ = ["discard", "fresh_path", "held_out", "kept_rows", "materialize", "shared_dir", "sliced", "table", "texts", "unused", "worker_state"]
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -40,8 +43,34 @@ def task_count(spark: SparkSession, total: int, each: int) -> int:
     return max(1, -(-total // each))
 
 
+_STATE: dict[str, Any] = {}
+
+
+def worker_state(owner: Hashable, make: Callable[[], Any] | None = None) -> Any:
+    """What a Python worker keeps from task to task (a cache, a tokenizer), made when first asked for.
+
+    Workers outlive the stages of a job. Only the last owner's state stays: the first task of another one gives
+    the memory back, so that stages of a pipeline do not add up.
+    """
+    if _STATE.get("owner") != owner:
+        had = "value" in _STATE
+        _STATE.clear()
+        _STATE["owner"] = owner
+        if had:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+    if make and "value" not in _STATE:
+        _STATE["value"] = make()
+    return _STATE.get("value")
+
+
 def sliced(batches, rows: int = 256):
-    """Arrow batches cut down, so that a task holds the Python strings of few texts at a time."""
+    """Arrow batches cut down, so that a task holds the Python strings of few texts at a time; for tasks that keep no state."""
+    worker_state(None)
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuemark.llm.common import materialize
+from valuemark.llm.common import discard, materialize
 
 MAX_ROUNDS = 60
 
@@ -28,13 +28,14 @@ def stars(links: DataFrame) -> DataFrame:
     Each round is a few joins and minima over the links; a round is written, so a lost executor costs one
     round. It ends when a round changes nothing, after a logarithmic number of rounds.
     """
-    edges = materialize(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct(), "links")
+    edges = materialize(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct(), "links", short=True)
     state = lambda e: tuple(e.agg(F.count("*"), F.sum((F.xxhash64("hi", "lo") % (1 << 40)).cast("decimal(38,0)"))).first())
     before = state(edges)
     for _ in range(MAX_ROUNDS):
         if not before[0]:
             return edges
-        edges = materialize(_small(_large(edges)), "links")
+        last, edges = edges, materialize(_small(_large(edges)), "links", short=True)
+        discard(last)
         now = state(edges)
         if now == before:
             return edges

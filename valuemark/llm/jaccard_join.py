@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemark.llm.common import materialize, sliced, table, texts
+from valuemark.llm.common import discard, materialize, sliced, table, texts
 from valuemark.llm.components import stars
 from valuemark.llm.shingles import mixed, set_digest, shingle_sets
 
@@ -81,43 +81,58 @@ def _keys(tokens: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches, n: int, buckets: int):
-    """Tokens of a task for counting: sorted keys of a bucket as their first and the 32-bit steps between them."""
+    """Tokens of a task for counting: a row for each bucket that has any, with its distinct keys and how often they stand there."""
     held, size = [], 0
     for _, tokens in _fresh(batches, n):
-        held.append(tokens)
+        held.append(_keys(tokens))
         size += len(tokens)
         if size >= COUNT_CHUNK:
-            yield _steps(np.concatenate(held), buckets)
+            yield _counts(np.concatenate(held), buckets)
             held, size = [], 0
     if held:
-        yield _steps(np.concatenate(held), buckets)
+        yield _counts(np.concatenate(held), buckets)
 
 
-def _steps(tokens: np.ndarray, buckets: int) -> pa.RecordBatch:
-    keys = np.sort(_keys(tokens))
+def _counts(keys: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Rows bucket, first key, steps to the next keys, and place and count of keys that repeat; steps take four bytes where they fit."""
+    keys, counts = np.unique(keys, return_counts=True)
     bucket = (keys >> np.uint64(KEY_BITS - buckets.bit_length() + 1)).astype("i8")
-    steps = np.diff(keys, prepend=keys[:1])
-    starts = np.unique(np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, np.flatnonzero(steps >= 1 << 32)])
-    parts = [steps[a + 1 : b].astype("<u4").tobytes() for a, b in zip(starts, np.r_[starts[1:], len(keys)])]
-    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array(keys[starts].astype("i8")), pa.array(parts, pa.binary())], ["bucket", "first", "steps"])
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    rows = []
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
+        steps, again = np.diff(keys[a:b]), np.flatnonzero(counts[a:b] > 1)
+        narrow = not len(steps) or steps.max() < 1 << 32
+        rows.append((int(bucket[a]), int(keys[a]), narrow, steps.astype("<u4" if narrow else "<u8").tobytes(), np.stack([again, counts[a:b][again]]).astype("<u4").tobytes()))
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["bucket", "first", "narrow", "steps", "again"])
+
+
+COUNT_ROW = "bucket long, first long, narrow boolean, steps binary, again binary"
 
 
 def _common(t: pa.Table, least: int) -> pa.Table:
     """Keys of a bucket that are found at least ``least`` times, and how often."""
-    parts = []
-    for first, steps in zip(t.column("first").to_pylist(), t.column("steps").to_pylist()):
-        parts.append(np.cumsum(np.r_[np.uint64(first), np.frombuffer(steps, "<u4").astype("u8")], dtype="u8"))
-    keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+    parts, times = [], []
+    for first, narrow, steps, again in zip(*(t.column(c).to_pylist() for c in ("first", "narrow", "steps", "again"))):
+        parts.append(np.cumsum(np.r_[np.uint64(first), np.frombuffer(steps, "<u4" if narrow else "<u8").astype("u8")], dtype="u8"))
+        times.append(np.ones(len(parts[-1]), "i8"))
+        at, count = np.frombuffer(again, "<u4").reshape(2, -1)
+        times[-1][at] = count
+    keys, times = np.concatenate(parts), np.concatenate(times)
+    order = np.argsort(keys)
+    keys, times = keys[order], times[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    counts = np.add.reduceat(times, starts)
     many = counts >= least
-    return pa.table({"key": pa.array(keys[many].astype("i8")), "n": pa.array(counts[many].astype("i8"))})
+    return pa.table({"key": pa.array(keys[starts][many].astype("i8")), "n": pa.array(counts[many])})
 
 
 def frequent_marks(rows: DataFrame, n: int, total: int) -> bytes:
     """A bit for each mark that a frequent token has. Tokens are counted over all texts; an unlucky rare token that shares a mark counts as frequent, which costs time but no link."""
     buckets = 1 << max(6, math.ceil(math.log2(max(total / BUCKET_TOKENS, 1))))
-    counted = rows.select("text").mapInArrow(functools.partial(_counted, n=n, buckets=buckets), "bucket long, first long, steps binary")
+    counted = rows.select("text").mapInArrow(functools.partial(_counted, n=n, buckets=buckets), COUNT_ROW)
     least = LEAST_FREQUENT
-    common = materialize(counted.groupBy("bucket").applyInArrow(lambda t: _common(t, least), "key long, n long"), "common")
+    common = materialize(counted.groupBy("bucket").applyInArrow(lambda t: _common(t, least), "key long, n long"), "common", short=True)
     sizes = common.groupBy(F.floor(F.log2("n")).cast("int").alias("p")).count().collect()  # at most 60 rows
     power = LEAST_FREQUENT.bit_length() - 1
     while sum(r["count"] for r in sizes if r.p >= power) > MOST_FREQUENT:
@@ -187,7 +202,7 @@ def verified(pairs: DataFrame, rows: DataFrame, owners: DataFrame, n: int, num:
     leads = pairs.select(F.col("a").alias("node")).distinct()
 
     def sets(nodes: DataFrame) -> DataFrame:
-        wanted = _small(materialize(nodes.join(owners, "node").select("owner", "others"), "wanted"))
+        wanted = _small(materialize(nodes.join(owners, "node").select("owner", "others"), "wanted", short=True))
         return rows.join(wanted, rows.doc_id.eqNullSafe(F.col("owner"))).select("text", "others").mapInArrow(functools.partial(_tokens, n=n), "node long, tokens array<long>, others array<long>")
 
     b = sets(others).select(F.col("node").alias("b"), F.col("tokens").alias("right"), F.explode("others").alias("a"))
@@ -197,6 +212,13 @@ def verified(pairs: DataFrame, rows: DataFrame, owners: DataFrame, n: int, num:
     return a.join(b, "a").filter(common * den >= union * num).select("a", "b").distinct()
 
 
+def alone(lists: DataFrame) -> DataFrame:
+    """Of the signatures that the very same sets have (a passage that they share gives hundreds), one: they join the same pairs."""
+    marks = [F.sum(F.xxhash64("node", F.lit(k)).cast("decimal(20,0)")).alias(f"m{k}") for k in (1, 2)]
+    alike = lists.groupBy("sig").agg(F.count("*").alias("n"), *marks).groupBy("n", "m1", "m2").agg(F.min("sig").alias("sig"))
+    return materialize(lists.join(alike.select("sig"), "sig", "left_semi"), "alone", short=True)
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id (least doc_id reachable by links of similarity num / den) of every row.
 
@@ -212,8 +234,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     owners = described.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("owner"))
     marks = sparks.sparkContext.broadcast(frequent_marks(rows, n, total))
     signed = rows.select("text").mapInArrow(functools.partial(_signed, n=n, num=num, den=den, marks=marks), "sig long, node long")
-    shared = materialize(signed.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("other")).filter("lead <> other").select("sig", "lead"), "shared")
-    lists = materialize(signed.join(shared, "sig").distinct(), "lists")
+    shared = materialize(signed.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("other")).filter("lead <> other").select("sig", "lead"), "shared", short=True)
+    every = materialize(signed.join(shared, "sig").distinct(), "lists", short=True)
+    lists = alone(every)
+    discard(every)
 
     about = described.filter("n_shingles > 0").dropDuplicates(["node"]).select("node", F.col("n_shingles").alias("size"), *SKETCH)
     of = lambda p: about.select(*[F.col(c).alias(p + c) for c in about.columns])
@@ -225,7 +249,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         return (F.least(x, y) * den >= F.greatest(x, y) * num) & (apart * (den + num) <= (x + y) * (den - num))
 
     first = lists.filter("node <> lead").select(F.col("lead").alias("a_node"), F.col("node").alias("b_node")).distinct().join(of("a_"), "a_node").join(of("b_"), "b_node").filter(near("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    links = materialize(verified(materialize(first, "pairs"), rows, owners, n, num, den), "verified")
+    links = materialize(verified(materialize(first, "pairs", short=True), rows, owners, n, num, den), "verified", short=True)
     star = stars(links)
 
     def opened(star: DataFrame) -> DataFrame:
@@ -233,7 +257,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         placed = lists.join(star.select(F.col("hi").alias("node"), F.col("lo").alias("root")), "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
         by_root = placed.groupBy("sig", "root").agg(F.count("*").alias("members"))
         mixed_sigs = by_root.groupBy("sig").agg(F.max_by("root", F.struct("members", "root")).alias("largest"), F.count("*").alias("roots")).filter("roots > 1").select("sig", "largest")
-        return materialize(placed.join(mixed_sigs, "sig").join(about, "node"), "open")
+        return materialize(placed.join(mixed_sigs, "sig").join(about, "node"), "open", short=True)
 
     # Another set of each open signature leads now, a different one in each, so that groups grow together.
     open_lists = opened(star)
@@ -241,13 +265,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     leads = open_lists.groupBy("sig").agg(F.min_by(members, F.xxhash64("sig", "node")).alias("a")).select("sig", "a.*")
     joined = open_lists.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "size", *SKETCH)]).join(leads, "sig")
     pairs = joined.filter((F.col("a_root") != F.col("b_root")) & near("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
-    star = stars(star.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(verified(materialize(pairs, "pairs"), rows, owners, n, num, den)))
+    star = stars(star.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(verified(materialize(pairs, "pairs", short=True), rows, owners, n, num, den)))
 
     open_lists = opened(star)
     side = lambda p: open_lists.select("sig", *[F.col(c).alias(p + c) for c in ("node", "root", "largest", "size", *SKETCH)])
     meet = (F.col("x_root") != F.col("y_root")) & near("x_", "y_")
     second = side("x_").filter("x_root <> x_largest").join(side("y_"), "sig").filter(meet).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-    more = verified(materialize(second, "pairs"), rows, owners, n, num, den)
+    more = verified(materialize(second, "pairs", short=True), rows, owners, n, num, den)
     star = stars(star.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(more))
 
     roots = owners.join(star.select(F.col("hi").alias("node"), F.col("lo").alias("root")), "node", "left").select("node", "owner", F.coalesce("root", "node").alias("root"))
