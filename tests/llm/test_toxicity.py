@@ -1,3 +1,6 @@
+import math
+import random
+import re
 import zlib
 
 import pytest
@@ -21,25 +24,80 @@ def grammar():
     return T.Grammar({"grolk": 6.0, "snarf*": 4.0})
 
 
+def brute(grammar, text):
+    """Clause scores by the rules in words, without any transducer."""
+    found = []
+    for clause in re.split(r"[.!?;\n]", text.lower()):
+        read = [grammar.accept(w) for w in T.WORDS.findall(clause)]
+        kinds = [k for k, _ in read]
+        total = 0.0
+        for i, (kind, weight) in enumerate(read):
+            if kind in (T.INSULT, T.THREAT):
+                weight *= T.NEGATED if T.NEGATION in kinds[max(0, i - T.NEGATED_WORDS) : i] else 1
+                weight *= T.REPORTED if T.REPORT in kinds[:i] else 1
+                total += weight if kind == T.INSULT or T.TARGET in kinds else 0
+        if total:
+            found.append(total * (T.TARGETED if T.TARGET in kinds else 1))
+    return found
+
+
 def test_clauses_compose_the_transducers(grammar):
-    rows = lambda t: grammar.clauses(t).tolist()
-    assert rows("you are a grolk. fine day") == [[6.0, 0.0, 0.0, 0.0, 1.0]]
-    assert rows("the snarfling, not a grolk") == [[4.0, 6.0, 0.0, 0.0, 0.0]]
-    assert rows("she said grolk") == [[0.0, 0.0, 6.0, 0.0, 1.0]]
-    assert rows("he wrote it is not grolk!\nnothing") == [[0.0, 0.0, 0.0, 6.0, 1.0]]
-    assert rows("not one two three grolk") == [[6.0, 0.0, 0.0, 0.0, 0.0]]
-    assert rows("kill the lights") == [] and rows("i will kill you") == [[T.SEED_WEIGHT, 0.0, 0.0, 0.0, 1.0]]
-    assert rows("") == [] and rows("nice words") == []
+    near = lambda t, *want: grammar.clauses(t) == pytest.approx(list(want))
+    assert near("you are a grolk. fine day", 6 * T.TARGETED)
+    assert near("the snarfling, not a grolk", 4 + 6 * T.NEGATED)
+    assert near("she said grolk", 6 * T.REPORTED * T.TARGETED)
+    assert near("it is wrote not grolk!\nnothing", 6 * T.REPORTED * T.NEGATED)
+    assert near("not one two three grolk", 6)
+    assert near("kill the lights") and near("i will kill you", T.SEED_WEIGHT * T.TARGETED)
+    assert near("") and near("nice words")
 
 
-def test_stronger_context_scores_higher(grammar):
-    score = lambda t: T.features(grammar, t)[2]
-    assert score("you grolk") > score("a grolk") > score("not a grolk") > score("she said it was not a grolk") > score("a day") == 0
+def test_the_automaton_equals_the_rules_on_random_clauses(grammar):
+    rng = random.Random(4)
+    words = ["grolk", "snarfing", "kill", "you", "not", "said", "and", "day", "idiot", ".", "!", "\n", ","]
+    for _ in range(3000):
+        text = " ".join(rng.choice(words) for _ in range(rng.randrange(1, 25)))
+        assert grammar.clauses(text) == pytest.approx(brute(grammar, text)), text
+
 
+def test_composition_equals_running_the_cascade_in_turn():
+    rng = random.Random(5)
+    machines = [make() for make in T.CASCADE]
+    whole = T.Grammar({}).machine
+    assert len(whole.final) <= 4 * (T.NEGATED_WORDS + 1)
+    for _ in range(500):
+        states, state, factors = [m.start for m in machines], whole.start, []
+        for kind in (rng.choice(T.KINDS) for _ in range(rng.randrange(12))):
+            symbol, weight = kind, 1.0
+            for i, m in enumerate(machines):
+                states[i], symbol, w = m.arcs[states[i], symbol]
+                weight *= w
+            state, out, w = whole.arcs[state, kind]
+            assert out == symbol and w == pytest.approx(weight)
+        for i in (0, 1):
+            product = 1.0
+            for m, s in zip(machines, states):
+                product *= m.final[s][i]
+            assert whole.final[state][i] == pytest.approx(product)
 
-def test_composed_automaton_covers_every_state(grammar):
-    states = {s for s, _ in grammar.step}
-    assert len(states) == 2 * (T.NEGATED_WORDS + 1) and {s for s, _ in grammar.step.values()} <= states
+
+def test_query_scores_equal_the_rules(spark):
+    """The whole table, by the learned words and curve, without the automaton."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    sample, share = T.training_sample(docs, labels, "toxic", T.PER_CLASS)
+    weights = T.lexicon(sample)
+    grammar, b = T.Grammar(weights), T.curve(sample, weights, share)
+    got = {r.doc_id: r.score for r in T.op8_toxicity(spark, sf).collect()}
+    for r in docs.collect():
+        found = brute(grammar, r.text or "")
+        x = b[0] + b[1] * min(max(found, default=0), T.CAP) + b[2] * min(sum(found), T.CAP)
+        assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-x)))
+
+
+def test_stronger_context_scores_higher(grammar):
+    score = lambda t: T.features(grammar, t)[2]
+    assert score("you grolk") > score("a grolk") > score("not a grolk") > score("it is said not a grolk") > score("a day") == 0
 
 
 def test_odd_rows(spark, docs_of):

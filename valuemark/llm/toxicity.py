@@ -1,12 +1,18 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Five small transducers read a clause word by word: insults and threats (word and stem acceptors that give a
-weight), targets (whom the clause addresses), negation (turns what follows for a few words) and reported
-speech (turns the rest of the clause). Their composition is one automaton over word classes; its state is
-(words still negated, reported or not), and on an insult or threat it emits a weight on one of four tapes
-(plain, negated, reported, both). A clause matches when it emits an insult, or a threat together with a
-target. Clause scores, not single words, are what a document is judged by: a logistic curve over its
-strongest clause and the sum over clauses, both rising.
+Five small transducers read a clause word by word, each on what the one before it writes:
+
+* negation weakens insults and threats in the few words behind it;
+* reported speech weakens those in the rest of its clause;
+* insults, in any of these forms, are written as hits;
+* threats, likewise, as threats;
+* targets write nothing, but end in a state that says whether the clause addresses somebody.
+
+``composed`` joins two transducers into one: states are pairs, an arc is an arc of the first whose output is the
+input of an arc of the second, weights multiply. The five become one automaton over word classes, which is all
+that runs over text. A clause scores the weights of its hits, each times the weight of its arc, and of its
+threats if it has a target; the final state's weight multiplies the sum. Clause scores, not single words, are
+what a document is judged by: a logistic curve over its strongest clause and the sum over clauses, both rising.
 
 Insult words and stems, and their weights, are log odds in a bounded sample of labelled documents; the
 short lists below give a weight to start from. The curve is fitted to the same sample.
@@ -14,15 +20,18 @@ short lists below give a weight to start from. The curve is fitted to the same s
 
 from __future__ import annotations
 
+import dataclasses
 import functools
+import itertools
 import re
+from collections.abc import Hashable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemark.llm.common import held_out, kept_rows, table, texts
+from valuemark.llm.common import held_out, kept_rows, sliced, table, texts
 from valuemark.llm.labelled import training_sample
 
 PER_CLASS, LEXICON, THRESHOLD = 3000, 2000, 0.5
@@ -38,9 +47,80 @@ TARGETS = "you your yours yourself u ya he she they him her them his their du di
 NEGATIONS = "not no never nobody isn't aren't wasn't don't doesn't didn't nicht kein keine nie ne pas jamais aucun nunca ningún tampoco"
 REPORTS = "said says say saying wrote writes called calls quoted claimed claims alleged sagte sagt schrieb nannte dit disait écrit appelé dijo dice escribió llamó"
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = KINDS = range(6)
 ENDS = ".!?;\n"
 WORDS = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
+#: Weights of an insult or threat that is negated or reported, and of a clause with a target.
+NEGATED, REPORTED, TARGETED = 0.8, 0.8, 1.1
+#: What the composed automaton writes.
+SILENT, HIT, MENACE = "", "hit", "menace"
+
+
+@dataclasses.dataclass(frozen=True)
+class Transducer:
+    """Arcs (state, input) -> (state, output, weight), and for each state the weights of hits and menaces where a clause ends there."""
+
+    start: Hashable
+    arcs: dict
+    final: dict
+
+
+def composed(first: Transducer, second: Transducer) -> Transducer:
+    """What the second makes of what the first writes, as one transducer over the first's inputs; only reachable states."""
+    start = (first.start, second.start)
+    arcs, final, open_ = {}, {}, [start]
+    inputs = {x for _, x in first.arcs}
+    while open_:
+        state = open_.pop()
+        if state in final:
+            continue
+        s, t = state
+        final[state] = tuple(a * b for a, b in zip(first.final[s], second.final[t]))
+        for x in inputs:
+            s2, written, v = first.arcs[s, x]
+            t2, out, w = second.arcs[t, written]
+            arcs[state, x] = ((s2, t2), out, v * w)
+            open_.append((s2, t2))
+    return Transducer(start, arcs, final)
+
+
+def negation() -> Transducer:
+    """State: words that are still negated. Writes (kind, negated)."""
+    arcs = {}
+    for left in range(NEGATED_WORDS + 1):
+        for kind in KINDS:
+            weak = left > 0 and kind in (INSULT, THREAT)
+            arcs[left, kind] = (NEGATED_WORDS if kind == NEGATION else max(left - 1, 0), (kind, weak), NEGATED if weak else 1.0)
+    return Transducer(0, arcs, {k: (1.0, 1.0) for k in range(NEGATED_WORDS + 1)})
+
+
+def reported_speech() -> Transducer:
+    """State: whether words are somebody else's. Reads (kind, negated), writes (kind, negated, reported)."""
+    arcs = {}
+    for said in (False, True):
+        for kind, weak in itertools.product(KINDS, (False, True)):
+            mark = said and kind in (INSULT, THREAT)
+            arcs[said, (kind, weak)] = (said or kind == REPORT, (kind, weak, mark), REPORTED if mark else 1.0)
+    return Transducer(False, arcs, {False: (1.0, 1.0), True: (1.0, 1.0)})
+
+
+def insults() -> Transducer:
+    """Writes a hit for an insult in any form, and everything else as its kind."""
+    forms = itertools.product(KINDS, (False, True), (False, True))
+    return Transducer(0, {(0, f): (0, HIT if f[0] == INSULT else f[0], 1.0) for f in forms}, {0: (1.0, 1.0)})
+
+
+def threats() -> Transducer:
+    return Transducer(0, {(0, x): (0, MENACE if x == THREAT else x, 1.0) for x in (HIT, *KINDS)}, {0: (1.0, 1.0)})
+
+
+def targets() -> Transducer:
+    """State: whether the clause addresses somebody; without a target menaces count for nothing."""
+    arcs = {(at, x): (at or x == TARGET, x if x in (HIT, MENACE) else SILENT, 1.0) for at in (False, True) for x in (HIT, MENACE, *KINDS)}
+    return Transducer(False, arcs, {False: (1.0, 0.0), True: (TARGETED, TARGETED)})
+
+
+CASCADE = (negation, reported_speech, insults, threats, targets)
 
 
 class Grammar:
@@ -57,18 +137,7 @@ class Grammar:
             else:
                 self.words[w] = (INSULT, x)
         self.classes = _Classes(self)
-        self.step = self._composed()
-
-    @staticmethod
-    def _composed() -> dict:
-        """(words negated, reported), class -> next state and tape (or -1)."""
-        step = {}
-        for left in range(NEGATED_WORDS + 1):
-            for reported in (False, True):
-                for kind in range(6):
-                    tape = (left > 0) + 2 * reported if kind in (INSULT, THREAT) else -1
-                    step[(left, reported), kind] = ((NEGATED_WORDS if kind == NEGATION else max(left - 1, 0), reported or kind == REPORT), tape)
-        return step
+        self.machine = functools.reduce(composed, [make() for make in CASCADE])
 
     def accept(self, word: str) -> tuple[int, float]:
         """Class and weight of a lower-case word: the whole word first, then its heaviest stem."""
@@ -79,28 +148,24 @@ class Grammar:
                 return INSULT, stem
         return kind, weight
 
-    def clauses(self, text: str) -> np.ndarray:
-        """A row for each matching clause: weight on the four tapes and 1 if it has a target."""
+    def clauses(self, text: str) -> list[float]:
+        """The scores of the clauses that match, in their order."""
         lowered = text.lower()
-        parts = lowered.split()
-        codes = list(map(self.classes.__getitem__, parts))
-        if not any(codes):
-            return np.zeros((0, 5))
-        return np.array(list(self._read(lowered)), "f8").reshape(-1, 5)
-
-    def _read(self, lowered: str):
-        for clause in re.split(f"[{ENDS}]", lowered):
-            state, tapes, threat, target = (0, False), [0.0] * 4, [0.0] * 4, False
-            for word in WORDS.findall(clause):
-                kind, weight = self.accept(word)
-                state, tape = self.step[state, kind]
-                target |= kind == TARGET
-                if tape >= 0:
-                    (tapes if kind == INSULT else threat)[tape] += weight
-            if target:
-                tapes = [a + b for a, b in zip(tapes, threat)]
-            if any(tapes):
-                yield [*tapes, float(target)]
+        if not any(map(self.classes.__getitem__, lowered.split())):
+            return []
+        return [x for clause in re.split(f"[{ENDS}]", lowered) if (x := self._score(clause)) > 0]
+
+    def _score(self, clause: str) -> float:
+        state, arcs, hits, menaces = self.machine.start, self.machine.arcs, 0.0, 0.0
+        for word in WORDS.findall(clause):
+            kind, weight = self.accept(word)
+            state, out, w = arcs[state, kind]
+            if out == HIT:
+                hits += weight * w
+            elif out == MENACE:
+                menaces += weight * w
+        a, b = self.machine.final[state]
+        return hits * a + menaces * b
 
 
 class _Classes(dict):
@@ -118,19 +183,13 @@ class _Classes(dict):
         return found
 
 
-#: What a tape's weight counts for, and what a target adds.
-TAPES = np.array([1.0, 0.8, 0.8, 0.65])
-TARGETED = 1.1
 FEATURES, CAP = 3, 20.0
 
 
 def features(grammar: Grammar, text: str) -> list[float]:
     """Constant, strongest clause and sum over clauses; beyond ``CAP`` more says nothing more."""
-    rows = grammar.clauses(text)
-    if not len(rows):
-        return [1.0, 0.0, 0.0]
-    scores = rows[:, :4] @ TAPES * np.where(rows[:, 4] > 0, TARGETED, 1.0)
-    return [1.0, min(float(scores.max()), CAP), min(float(scores.sum()), CAP)]
+    scores = grammar.clauses(text)
+    return [1.0, min(max(scores, default=0.0), CAP), min(sum(scores), CAP)]
 
 
 def lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
@@ -169,7 +228,7 @@ def _pruned(found: dict[str, tuple[int, float]]) -> dict[str, float]:
 
 def _sample_features(batches, weights: dict[str, float]):
     grammar = Grammar(weights)
-    for b in batches:
+    for b in sliced(batches):
         rows = [features(grammar, t) for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(rows, pa.list_(pa.float64()))], ["y", "x"])
 
@@ -198,7 +257,7 @@ def curve(sample: DataFrame, weights: dict[str, float], share: float) -> np.ndar
 
 def _scored(batches, weights: dict[str, float], b: np.ndarray):
     grammar = Grammar(weights)
-    for batch in batches:
+    for batch in sliced(batches):
         x = np.array([features(grammar, t) for t in batch.column("text").to_pylist()]).reshape(-1, FEATURES)
         score = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
