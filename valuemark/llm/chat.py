@@ -1,14 +1,16 @@
 """Chat formatting: roles recovered from transcripts by a hidden Markov model.
 
-A conversation is a sequence of turns. Each turn is seen through marker and line features: a speaker marker
-at its start (``User:``, ``### Assistant``, ``<|system|>``), its length in characters and lines, whether it
-opens the conversation, and how its words end (question marks, code, list lines). The hidden states are the
-roles. Start, transition and emission probabilities are learned by counting from turns whose role is known;
-emissions of the features multiply, markers weigh by a fixed trust. Viterbi gives the likeliest roles, and
-the turns are then rendered in a canonical form.
-
-Viterbi runs over turns dealt out by conversation and sorted, many conversations a task; a very long one is
-cut at ``SEGMENT`` turns. Segments are bridged exactly: each yields the best score between every pair
+A conversation is a sequence of texts, each a turn or a stretch of transcript. A text is cut into parts at lines
+that open with a speaker's name (``User:``, ``### Assistant``, ``<|system|>``), code blocks aside. Each part is
+seen through marker and line features: the speaker named at its start, its length in characters and lines, how
+its words end, and its shape (code, list lines). The hidden states are the roles. Start, transition and emission
+probabilities are learned by counting from parts whose role is known, on top of a few set counts (for speakers'
+names: that a name mostly means what it says). Viterbi gives the likeliest roles, and the parts are then rendered
+in a canonical form.
+
+Parts are numbered over ranges of (conversation, turn), so a conversation of any length spreads over tasks.
+Viterbi runs over parts dealt out by conversation and sorted, many conversations a task; a long one is
+cut at ``SEGMENT`` parts. Segments are bridged exactly: each yields the best score between every pair
 of entering and leaving roles, a small matrix; the matrices of a conversation, one row a segment, settle the
 roles at the cuts, and each segment is then decoded between its fixed ends.
 """
@@ -21,14 +23,16 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from valuemark.llm.common import held_out, materialize, table
 
 ROLES = ("system", "user", "assistant")
 SEGMENT = 256
-TRUST = 6.0
+#: Set counts of a speaker's name with the role it names, with another role, and of no name.
+NAMED, MISNAMED, UNNAMED = 20.0, 0.05, 1.0
 #: Stands for a missing conversation id between the steps; turn numbers go through pandas as text, so none is rounded.
 NO_ID = -(2**63) + 1
 
@@ -39,6 +43,8 @@ NAMES = {
     "assistant": "assistant ai bot answer model response gpt agent tutor a",
 }
 ROLE_OF = {name: k for k, role in enumerate(ROLES) for name in NAMES[role].split()}
+#: Names that open a part within a text; the others are too common in prose.
+OPENING = set("system user human customer student prompter assistant ai bot gpt agent tutor".split())
 MARKER = re.compile(r"^\s*(?:<\|(?:im_start\|>)?\s*(\w+)\s*\|?>?|\[(\w+)\]|#{1,6}\s*(\w+)\s*:?\s*(?=\n)|\**(\w+)\**\s*:)[ \t]*\n?", re.IGNORECASE)
 LENGTHS = (40, 80, 120, 160, 240, 320, 480, 700, 1000, 1500)
 LINES = (1, 2, 3, 5, 8)
@@ -62,54 +68,109 @@ def line_features(text: str) -> tuple[int, int, int, int]:
     return int(np.searchsorted(LENGTHS, len(text))), int(np.searchsorted(LINES, text.count("\n") + 1)), ending, shape
 
 
+def parts(text: str) -> list[tuple[int, str]]:
+    """The parts of a text: role that a speaker marker names (or -1), and the text behind the marker."""
+    found, held, fenced = [], [], False
+    for line in text.split("\n"):
+        m = None if fenced else MARKER.match(line + "\n")
+        if m and held and "".join(held).strip() and next(g for g in m.groups() if g).lower() in OPENING:
+            found.append("\n".join(held))
+            held = []
+        fenced ^= line.lstrip().startswith("```")
+        held.append(line)
+    return [parsed(t) for t in [*found, "\n".join(held)]]
+
+
 def _observed(batches):
     for b in batches:
-        texts = [t or "" for t in b.column("text").to_pylist()]
-        found = [parsed(t) for t in texts]
-        rows = [(m, *line_features(body)) for m, body in found]
-        cols = [pa.array(c, pa.int32()) for c in (zip(*rows) if rows else [[]] * 5)]
-        keep = [b.column(n) for n in b.schema.names if n != "text"]
-        yield pa.RecordBatch.from_arrays([*keep, pa.array([body for _, body in found], pa.string()), *cols], [*[n for n in b.schema.names if n != "text"], "body", "marker", "f0", "f1", "f2", "f3"])
+        rows = []
+        for i, text in enumerate(b.column("text").to_pylist()):
+            cut = parts(text or "")
+            rows += [(i, k, len(cut) == 1, body, marker, *line_features(body)) for k, (marker, body) in enumerate(cut)]
+        kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.string(), *[pa.int32()] * 5)
+        at, *cols = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(kinds), kinds)]
+        keep = [n for n in b.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*[b.column(n).take(at) for n in keep], *cols], [*keep, "part", "alone", "body", "marker", "f0", "f1", "f2", "f3"])
 
 
 def observed(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, role, body (text behind a marker), marker and four line features of every turn."""
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_observed, "conv_id long, turn long, role string, body string, marker int, f0 int, f1 int, f2 int, f3 int")
+    """conv_id, turn, role, tie (hash of role and text), part (place in its text), alone (whether the text has no other), body (text behind a marker), marker and four line features of every part."""
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")).withColumn("tie", F.xxhash64("role", "text"))
+    return rows.mapInArrow(_observed, "conv_id long, turn long, role string, tie long, part int, alone boolean, body string, marker int, f0 int, f1 int, f2 int, f3 int")
 
 
-def learned(seen: DataFrame) -> dict[str, np.ndarray]:
-    """Log probabilities of starts, transitions and emissions, from conversations that are not held out.
+#: What may stand before a part: the start of its conversation, a part of unknown role, or what another task has.
+FIRST, UNKNOWN, ELSEWHERE = -1, -2, -3
+
+
+def _numbered(batches):
+    """Sorted rows with their place in their conversation, as far as this task sees it, and the role before them."""
+    task, last, count, role = TaskContext.get().partitionId(), None, 0, ELSEWHERE
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key, known = b.column("key").to_numpy(), b.column("known").to_numpy()
+        fresh = np.r_[last is None or key[0] != last, key[1:] != key[:-1]]
+        at = np.arange(len(key))
+        begun = np.maximum.accumulate(np.where(fresh, at, -count))
+        local, before = at - begun, np.where(fresh, FIRST, np.r_[role, known[:-1]])
+        if last is None:
+            before[0] = ELSEWHERE
+        last, count, role = key[-1], int(local[-1]) + 1, known[-1]
+        cols = [*b.columns, pa.array(np.full(len(key), task, "i8")), pa.array(local.astype("i8")), pa.array(before.astype("i4"))]
+        yield pa.RecordBatch.from_arrays(cols, [*b.schema.names, "task", "local", "before"])
+
+
+SEEN = "key long, turn long, role string, part int, body string, marker int, f0 int, f1 int, f2 int, f3 int, known int"
 
-    The driver sees one row for each (previous role, role, feature value) at most.
-    """
-    from pyspark.sql import Window
 
-    known = seen.filter(F.col("role").isin(*ROLES) & ~held_out(F.col("conv_id")))
-    order = Window.partitionBy("conv_id").orderBy("turn", "body")
+def placed(turns: DataFrame) -> DataFrame:
+    """The observed parts with nth (place in the conversation, from 0), known (index of a role to learn from) and before (that of the part before).
+
+    Order is by turn, null first, then by a hash of the text, then by place in the text. Rows are dealt by ranges
+    of that order and written; only conversations that go over the end of a task are put together, a row a task.
+    """
     index = F.create_map(*[x for k, r in enumerate(ROLES) for x in (F.lit(r), F.lit(k))])
-    steps = known.select("conv_id", F.lag("role").over(order).alias("before"), "role", "f0", "f1", "f2", "f3").select(F.coalesce(index[F.col("before")], F.lit(-1)).alias("p"), index[F.col("role")].alias("r"), "f0", "f1", "f2", "f3")
+    seen = observed(turns)
+    known = F.when(F.col("alone") & ~held_out(F.col("conv_id")), index[F.col("role")])
+    seen = seen.select(F.coalesce("conv_id", F.lit(NO_ID)).alias("key"), "turn", "role", "tie", "part", "body", "marker", "f0", "f1", "f2", "f3", F.coalesce(known, F.lit(UNKNOWN)).cast("int").alias("known"))
+    order = ["key", "turn", "tie", "part"]
+    dealt = seen.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
+    rows = materialize(dealt.mapInArrow(_numbered, f"{SEEN}, task long, local long, before int"), "turns")
+    ends = rows.groupBy("key", "task").agg(F.count("*").alias("n"), F.max_by("known", "local").alias("last"))
+    so_far = Window.partitionBy("key").orderBy("task")
+    ends = ends.select("key", "task", F.sum("n").over(so_far.rowsBetween(Window.unboundedPreceding, -1)).alias("offset"), F.lag("last").over(so_far).alias("last")).filter("offset IS NOT NULL")
+    joined = rows.join(F.broadcast(ends), ["key", "task"], "left")  # at most a row a task
+    before = F.when(F.col("before") == ELSEWHERE, F.coalesce("last", F.lit(FIRST))).otherwise(F.col("before"))
+    return joined.withColumn("nth", F.col("local") + F.coalesce("offset", F.lit(0))).withColumn("before", before).drop("task", "local", "offset", "last")
+
+
+def learned(rows: DataFrame) -> dict[str, np.ndarray]:
+    """Log probabilities of starts, transitions and emissions, from conversations that are not held out.
+
+    The driver sees one row for each (role, feature, value) at most.
+    """
     n = len(ROLES)
     start, move, emit = np.full(n, 0.5), np.full((n, n), 0.5), [np.full((n, a), 0.5) for a in ALPHABETS]
-    facts = F.explode(F.array(F.struct(F.lit(-1).alias("k"), F.col("p").alias("v")), *[F.struct(F.lit(i).alias("k"), F.col(f"f{i}").alias("v")) for i in range(4)]))
-    for row in steps.select("r", facts.alias("x")).groupBy("r", "x.k", "x.v").count().collect():
+    names = np.full((n, n + 1), MISNAMED)
+    names[:, 0], names[np.arange(n), np.arange(n) + 1] = UNNAMED, NAMED
+    facts = F.explode(F.array(F.struct(F.lit(-1).alias("k"), F.col("before").alias("v")), F.struct(F.lit(-2).alias("k"), F.col("marker").alias("v")), *[F.struct(F.lit(i).alias("k"), F.col(f"f{i}").alias("v")) for i in range(4)]))
+    for row in rows.filter("known >= 0").select(F.col("known").alias("r"), facts.alias("x")).groupBy("r", "x.k", "x.v").count().collect():
         if row.k >= 0:
             emit[row.k][row.r, row.v] += row["count"]
-        elif row.v < 0:
+        elif row.k == -2:
+            names[row.r, row.v + 1] += row["count"]
+        elif row.v == FIRST:
             start[row.r] += row["count"]
-        else:
+        elif row.v >= 0:
             move[row.v, row.r] += row["count"]
     share = lambda m: np.log(m / m.sum(-1, keepdims=True))
-    return {"start": share(start), "move": share(move), **{f"emit{i}": share(e) for i, e in enumerate(emit)}}
+    return {"start": share(start), "move": share(move), "names": share(names), **{f"emit{i}": share(e) for i, e in enumerate(emit)}}
 
 
 def scores(pdf: pd.DataFrame, model: dict) -> np.ndarray:
-    """Log emission of every turn (row) by each role."""
-    total = sum(model[f"emit{i}"][:, pdf[f"f{i}"].to_numpy()].T for i in range(4))
-    marker = pdf["marker"].to_numpy()
-    rows = np.flatnonzero(marker >= 0)
-    total[rows, marker[rows]] += TRUST
-    return total
+    """Log emission of every part (row) by each role."""
+    return sum(model[f"emit{i}"][:, pdf[f"f{i}"].to_numpy()].T for i in range(4)) + model["names"][:, pdf["marker"].to_numpy() + 1].T
 
 
 def bridge(e: np.ndarray, first: bool, model: dict) -> np.ndarray:
@@ -189,29 +250,26 @@ def _decoded(batches, model: dict):
     for pdf in _runs(batches, ["key", "segment"]):
         e, nth, enter, leave = scores(pdf, model), pdf["nth"].to_numpy(), pdf["enter"].to_numpy(), pdf["leave"].to_numpy()
         path = [k for a, b in _slices(pdf, ["key", "segment"]) for k in viterbi(e[a:b], nth[a] == 0, enter[a], int(leave[a]), model)]
-        yield pdf[["key", "turn", "nth", "role", "body"]].rename(columns={"role": "given"}).assign(role=[ROLES[k] for k in path])[["key", "turn", "nth", "given", "role", "body"]]
+        yield pdf[["key", "turn", "part", "nth", "role", "body"]].rename(columns={"role": "given"}).assign(role=[ROLES[k] for k in path])[["key", "turn", "part", "nth", "given", "role", "body"]]
 
 
 def recovered(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """conv_id, turn, nth (place from 0), given (the role as stored), role (as recovered) and body of every turn.
+    """conv_id, turn, part (place in its text), nth (place in the conversation), given (the role as stored), role (as recovered) and body of every part.
 
-    Turns follow their number, ties their text; null texts count as empty, null roles as unknown, null
-    conversation ids as one conversation. No rows give no rows. The stored role is never looked at where a
-    role is recovered; it only teaches, and only outside the held-out fifth of the conversations.
+    A text without inner speaker markers is one part. Texts follow their turn, ties a hash of role and text; null
+    texts count as empty, null roles as unknown, null conversation ids as one conversation. No rows give no rows.
+    The stored role is never looked at where a role is recovered; it only teaches, for texts of one part and
+    outside the held-out fifth of the conversations.
     """
-    from pyspark.sql import Window
-
-    seen = observed(turns)
-    model = learned(seen)
-    placed = seen.withColumn("nth", (F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "body")) - 1).cast("long"))
-    key = F.coalesce("conv_id", F.lit(NO_ID))
-    cut = materialize(placed.withColumn("segment", F.floor(F.col("nth") / segment).cast("long")).withColumn("key", key).withColumn("turn", F.col("turn").cast("string")), "turns")
+    rows = placed(turns)
+    model = learned(rows)
+    cut = rows.withColumn("segment", F.floor(F.col("nth") / segment).cast("long")).withColumn("turn", F.col("turn").cast("string"))
     dealt = lambda df, *keys, order: df.repartition(*keys).sortWithinPartitions(*keys, *order)
     bridges = dealt(cut.select("key", "segment", "nth", "marker", "f0", "f1", "f2", "f3"), "key", "segment", order=["nth"]).mapInPandas(functools.partial(_bridges, model=model), "key long, segment long, best array<double>")
     settled = dealt(bridges, "key", order=["segment"]).mapInPandas(_settled, "key long, segment long, enter int, leave int")
-    fixed = cut.drop("conv_id").join(settled, ["key", "segment"])
-    done = dealt(fixed, "key", "segment", order=["nth"]).mapInPandas(functools.partial(_decoded, model=model), "key long, turn string, nth long, given string, role string, body string")
-    return done.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("conv_id"), F.col("turn").cast("long").alias("turn"), "nth", "given", "role", "body")
+    fixed = cut.join(settled, ["key", "segment"])
+    done = dealt(fixed, "key", "segment", order=["nth"]).mapInPandas(functools.partial(_decoded, model=model), "key long, turn string, part int, nth long, given string, role string, body string")
+    return done.select(F.when(F.col("key") != NO_ID, F.col("key")).alias("conv_id"), F.col("turn").cast("long").alias("turn"), "part", "nth", "given", "role", "body")
 
 
 def rendered(turns: DataFrame) -> DataFrame:
@@ -222,4 +280,4 @@ def rendered(turns: DataFrame) -> DataFrame:
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = rendered(recovered(table(spark, sf_dir, "conversations")))
-    return turns.select("conv_id", "turn", "nth", "given", "role", "rendered")
+    return turns.select("conv_id", "turn", "part", "nth", "given", "role", "rendered")
