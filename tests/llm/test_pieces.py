@@ -30,6 +30,13 @@ def test_words_equal_the_library(limit):
         assert spelled == " ".join(map(str, ids))
 
 
+def test_a_broken_agenda_is_an_error(monkeypatch):
+    model = P.PieceModel(PATH, 10)
+    monkeypatch.setattr(model, "cost", {})
+    with pytest.raises(ValueError, match="agenda"):
+        model.encode(["there"])
+
+
 def test_query_rows(spark, docs_of):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(99, None), (1, "a"), (None, "b")]
     got = P.piece_coding(docs_of(rows).selectExpr("*", "1 AS ids", "'x' AS decoded"), PATH).collect()

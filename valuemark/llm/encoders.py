@@ -11,22 +11,20 @@ string of an added token (``<|endoftext|>``), is encoded whole by the library wi
 from __future__ import annotations
 
 import array
+import functools
 import os
 import re
 
+from valuemark.llm.common import worker_state
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: A run of Latin letters with plain punctuation behind it: pre-tokens are the run and the punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&$#*|()]*)")
 
-_ENCODERS: dict[tuple[str, int], "ChunkEncoder"] = {}
-
-
 def encoder(path: str, limit: int = 250_000) -> "ChunkEncoder":
     """The worker's encoder for a tokenizer file; it outlives a task."""
-    if (path, limit) not in _ENCODERS:
-        _ENCODERS[path, limit] = ChunkEncoder(path, limit)
-    return _ENCODERS[path, limit]
+    return worker_state(("encoder", path, limit), functools.partial(ChunkEncoder, path, limit))
 
 
 class ChunkEncoder:

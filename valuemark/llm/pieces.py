@@ -8,7 +8,9 @@ character, so merging works on words. A worker keeps their ids in two generation
 young one is full it becomes the old one, and what is still in use moves on from there.
 
 Each Arrow batch is checked against the library: the ids of every word that is new to the worker, and the
-round trip of every text. A text that fails takes the library's own ids.
+round trip of every text. A word whose ids differ is an error that names it, since the agenda would be wrong.
+The library drops or changes some characters before it merges; a text that does not come back whole is
+therefore encoded by the library itself, whose normalisation is not built here.
 """
 
 from __future__ import annotations
@@ -23,19 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemark.llm.common import table, texts
+from valuemark.llm.common import table, texts, worker_state
 
 MARK = "▁"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 BATCH_CHARS = 1 << 20
 
-_MODELS: dict[tuple[str, int], "PieceModel"] = {}
-
-
 def piece_model(path: str, limit: int = 300_000) -> "PieceModel":
-    if (path, limit) not in _MODELS:
-        _MODELS[path, limit] = PieceModel(path, limit)
-    return _MODELS[path, limit]
+    return worker_state(("pieces", path, limit), functools.partial(PieceModel, path, limit))
 
 
 def merged(symbols: list[str], cost: dict[str, float]) -> list[str]:
@@ -114,8 +111,10 @@ class PieceModel:
                 theirs = own  # the library gives nothing for an empty text
             elif spelled[0] != MARK:
                 theirs = theirs[1:]
-            ids = own if own == theirs else theirs
-            self.known[word], self.spelled[word] = array("i", ids).tobytes(), " ".join(map(str, ids))
+            if own != theirs and self.library.decode(theirs) == spelled.replace(MARK, " ").lstrip(" "):
+                raise ValueError(f"the agenda gives {own} for {spelled!r}, the library {theirs}")
+            # Where they differ, the library has changed characters before it merged; its ids hold.
+            self.known[word], self.spelled[word] = array("i", theirs).tobytes(), " ".join(map(str, theirs))
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], str]]:
         """Ids of each text with the end id behind them, and the same as decimal text."""
