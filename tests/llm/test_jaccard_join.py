@@ -1,7 +1,10 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from valuemark.llm import jaccard_join as J
@@ -88,6 +91,31 @@ def test_equals_brute_force(spark, monkeypatch, seed, least):
     assert run(spark, rows, 4, 85, 100) == brute(rows, 4, 85, 100)
 
 
+@pytest.mark.parametrize("spread", [1 << 20, 1 << 48])
+def test_counting_takes_a_row_a_bucket(spread):
+    """However far apart the keys are; repeats within and between tasks add up."""
+    rng = np.random.default_rng(2)
+    tasks = [rng.choice(rng.integers(0, spread, 900, dtype="u8"), 4000) for _ in range(5)]
+    rows = [J._counts(keys, 64) for keys in tasks]
+    assert all(r.num_rows == len({int(k) >> 42 for k in keys}) for r, keys in zip(rows, tasks))
+    table = pa.Table.from_batches(rows)
+    got = {}
+    for b in set(table.column("bucket").to_pylist()):
+        common = J._common(table.filter(pc.equal(table.column("bucket"), b)), 3)
+        got |= dict(zip(common.column("key").to_pylist(), common.column("n").to_pylist()))
+    assert got == {int(k): n for k, n in Counter(np.concatenate(tasks).tolist()).items() if n >= 3}
+
+
+def test_long_texts_and_passages_that_many_share(spark):
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(4000)}"
+    shared = [word() for _ in range(300)]
+    rows = [(k, " ".join(shared + [word() for _ in range(rng.choice([10, 40, 400, 3000]))])) for k in range(60)]
+    rows += [(100, " ".join(word() for _ in range(40000)))]
+    rows += [(101, rows[-1][1] + " more"), (102, rows[0][1] + " end")]
+    assert run(spark, rows, 4, 85, 100) == brute(rows, 4, 85, 100)
+
+
 def test_signatures_lose_no_pair():
     rng = np.random.default_rng(3)
     for trial in range(400):

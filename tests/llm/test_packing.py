@@ -53,6 +53,17 @@ def test_reduction_keeps_an_optimum_and_the_plan_is_whole(seed):
     assert sorted(s for p, t in whole for s in p * t) == sorted(sizes)
 
 
+def test_patterns_do_not_grow_with_the_pieces():
+    rng = np.random.default_rng(4)
+    lengths = np.minimum(2048, rng.gamma(1.2, 600, 4277).astype(int) + 1)
+    few, many = (P.plan(np.bincount(lengths, minlength=2049) * k, 2048) for k in (1, 1000))
+    assert len(many) < 3 * 2048 and len(P.reduced(np.bincount(lengths, minlength=2049) * 1000, 2048)) <= 2 * 2048
+    thirds = np.zeros(2049, "i8")
+    thirds[1500], thirds[500], thirds[30] = 10**9, 10**9, 10**9
+    assert len(P.plan(thirds, 2048)) < 20 and sum(t for p, t in P.plan(thirds, 2048) for _ in p) == 3 * 10**9
+    assert len(few) <= 4277
+
+
 def test_best_fit_equals_piece_by_piece():
     rng = np.random.default_rng(9)
     for _ in range(40):

@@ -85,12 +85,12 @@ def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return found.agg(F.min("from_pos").alias("from_pos"), F.max("to_pos").alias("to_pos"), source.alias("first_pos")).drop("shift", "run")
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Every row of ``docs`` with its own columns, the text without later repeated runs, n_lines and removed_lines.
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, counts: tuple[str, str] = ("n_lines", "removed_lines")) -> DataFrame:
+    """Every row of ``docs`` with its own columns, the text without later repeated runs, and two ``counts``: its lines, and those removed.
 
     A row without a repeated run keeps its text as it is, null included; where every line with content goes,
     the text becomes empty. Blank lines between deleted ones go with them. Null ids come before all others.
-    Columns of ``docs`` may have any names, but its own n_lines and removed_lines are replaced.
+    Columns of ``docs`` may have any names; those that are named like the counts are replaced.
     """
     key, names = unused(docs.columns, *DOC), unused(docs.columns, "gone")
     gone = repeated_runs(docs, min_chars).select(*DOC, F.explode(F.sequence("from_pos", "to_pos")).alias("pos")).groupBy(*DOC).agg(F.collect_set("pos").alias("gone"))
@@ -102,12 +102,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), taken)
     rest = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     rest = F.when(F.length(F.trim(F.translate(rest, "\n\t\r", ""))) > 0, rest).otherwise(F.lit(""))
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "removed_lines")]
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", *counts)]
     return joined.select(
         *own,
         F.when(taken.isNull(), F.col("text")).otherwise(rest).alias("text"),
-        F.size(F.split(text, "\n")).alias("n_lines"),
-        F.coalesce(F.size(taken), F.lit(0)).alias("removed_lines"),
+        F.size(F.split(text, "\n")).alias(counts[0]),
+        F.coalesce(F.size(taken), F.lit(0)).alias(counts[1]),
     )
 
 
