@@ -1,5 +1,6 @@
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from test_jaccard_join import brute as near_brute
 from test_line_dedup import brute as line_brute
 from test_packing import check as packing_check
@@ -80,3 +81,24 @@ def test_one_row_of_each_group_stays(spark, docs_of):
     assert kept.columns == ["doc_id", "text"]
     want = [(1, one), (None, two), (5, three), (3, four), (None, ""), (8, None), (8, ".")]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_odd_rows_pass_every_stage(spark):
+    """Nulls in every column, empty and very long texts, repeated rows and ids, and columns of clashing names."""
+    base = table(spark, SF, "documents").select("doc_id", "text").limit(150)
+    long_text = "\n".join(f"A line of words number {k} that stands nowhere else, and so it stays." for k in range(6000))
+    odd = [(None, None), (None, "x"), (900001, None), (900001, ""), (900002, " \n\t "), (900003, long_text), (900003, long_text), (900003, "Other text of the same id, with words enough to be one."), (None, long_text)]
+    docs = base.unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    clash = {"row": 1, "_row": 2, "stays": "x", "th": 4, "known": True, "gone": None, "removed_lines": 5, "n_lines": "y", "removed_lines_": 6, "component_id": 7, "n_shingles": 8, "piece": 9, "length": 10, "score": 0.5, "y": 1, "a.b": 2}
+    for k, v in clash.items():
+        docs = docs.withColumn(k, F.lit(v) if v is not None else F.lit(None).cast("int"))
+    docs, columns = materialize(docs, "odd"), docs.columns
+    for name, stage in C.STAGES[:-1]:
+        before, docs = docs, materialize(stage(spark, docs, SF), "t")
+        assert docs.columns == columns, name
+        assert docs.filter("n_shingles <> 8 OR removed_lines <> 5 OR `a.b` <> 2").count() == 0
+        assert docs.count() <= before.count()
+    kept = [r.doc_id for r in docs.filter(F.length("text") > 100000).collect()]
+    assert kept == [None]  # of three copies of a long text the first: line deduplication takes null ids before all others
+    packed = C.packing(spark, docs, SF)
+    assert packed.agg(F.max("length")).first()[0] <= 2048 and packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()

@@ -76,12 +76,13 @@ def sliced(batches, rows: int = 256):
             yield b.slice(at, rows)
 
 
-def _kept(batches, decide: Callable[[list[str]], np.ndarray]):
+def _kept(batches, decide: Callable[[list[str]], np.ndarray], at: int):
     for b in sliced(batches):
-        found = [t or "" for t in b.column("text").to_pylist()]
+        found = [t or "" for t in b.column(at).to_pylist()]
         yield b.filter(pa.array(decide(found), pa.bool_()))
 
 
 def kept_rows(docs: DataFrame, decide: Callable[[list[str]], np.ndarray]) -> DataFrame:
-    """Rows whose whole text (null as empty) ``decide`` keeps; columns stay as they are."""
-    return docs.mapInArrow(functools.partial(_kept, decide=decide), docs.schema)
+    """Rows whose whole text (null as empty) ``decide`` keeps; columns, whatever their names, stay as they are."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # a dot in a name would not reach Python
+    return plain.mapInArrow(functools.partial(_kept, decide=decide, at=docs.columns.index("text")), plain.schema).toDF(*docs.columns)
