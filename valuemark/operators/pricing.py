@@ -34,6 +34,7 @@ def provider_pricing(prices: DataFrame, s: Settings) -> DataFrame:
     g = lines.groupBy("facility_name").agg(
         F.max("system").alias("pricing_system"), F.count("*").alias("line_count"), F.count_distinct("payer").alias("payer_count"), F.count(_positive("negotiated")).alias("negotiated_lines"),
         median(_positive("cash")).alias("median_cash"), median(_positive("negotiated")).alias("median_negotiated"), F.min(_positive("negotiated")).alias("min_negotiated"), F.max(_positive("negotiated")).alias("max_negotiated"),
+        *[F.mode(c, True).alias(c) for c in ("ccn",) if c in prices.columns],  # a file has one, so a facility has few
     )
     basis = F.when(F.col("median_negotiated").isNotNull(), "median_negotiated").when(F.col("median_cash").isNotNull(), "median_cash_price")
     return g.withColumn("procedure_cost", F.coalesce("median_negotiated", "median_cash")).withColumn("price_file_basis", basis)

@@ -26,7 +26,8 @@ PRICE = f"""
   {NAME} AS facility_name, CASE WHEN s_suppkey % 3 = 0 AND l_partkey % 2 = 0 THEN 'MS-DRG' ELSE 'APR-DRG' END AS system,
   CASE WHEN s_suppkey % 4 = 3 THEN '027' WHEN s_suppkey % 3 = 0 AND l_partkey % 2 = 0 THEN '470' ELSE CAST({PROCEDURE} AS STRING) END AS code,
   CASE WHEN l_linestatus = 'O' THEN 'Inpatient' WHEN l_linenumber = 1 THEN NULL ELSE 'Outpatient' END AS setting,
-  o_orderpriority AS payer, l_returnflag AS plan, CASE WHEN l_quantity > 5 THEN round(l_extendedprice) END AS negotiated, round(p_retailprice * 20) AS cash"""
+  o_orderpriority AS payer, l_returnflag AS plan, CASE WHEN l_quantity > 5 THEN round(l_extendedprice) END AS negotiated, round(p_retailprice * 20) AS cash,
+  CASE WHEN l_linenumber > 2 THEN concat('33', CAST(s_suppkey % 7 AS STRING), l_returnflag) END AS ccn"""
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: table(spark, sf_dir, n)

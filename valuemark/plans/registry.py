@@ -76,6 +76,7 @@ staged("A21_proxy_validation", "n, correlation", B.sql(f"SELECT count(*) AS n, {
 staged("P10_market_view", "provider_id, cost, patient_volume, star_rating", B.sql("SELECT provider_id, cost, patient_volume, star_rating FROM view WHERE borough IN ('NATION_3', 'NATION_5', 'NATION_8', 'NATION_15') AND cost <= 60000 AND patient_volume >= 20 AND star_rating >= 2", "view"), lambda t: ranking.market_view(t.view, ["NATION_3", "NATION_5", "NATION_8", "NATION_15"], 60000, 20, 2))
 staged("A18_headline", "providers, median_cost, spread, volume", B.sql(f"SELECT count(*) AS providers, {B.R(B.Q('cost', 0.5), 2)} AS median_cost, {B.R('CASE WHEN count(cost) > 1 THEN max(cost) - min(cost) END', 2)} AS spread, CAST(coalesce(sum(patient_volume), 0) AS BIGINT) AS volume FROM view", "view"), lambda t: ranking.headline(t.view))
 staged("A22_basis_lines", "cost_basis, market_median", B.sql("SELECT cost_basis, max(market_median) AS market_median FROM view GROUP BY cost_basis", "view"), lambda t: ranking.basis_lines(t.view))
+staged("A3_price_certification", "facility_name, ccn", B.sql("SELECT facility_name, ccn FROM (SELECT facility_name, ccn, row_number() OVER (PARTITION BY facility_name ORDER BY ccn IS NULL, n DESC, ccn) AS k FROM (SELECT facility_name, ccn, count(*) AS n FROM (SELECT *, min(system_rank) OVER (PARTITION BY facility_name) AS best FROM lines) WHERE system_rank = best GROUP BY facility_name, ccn)) WHERE k = 1", "lines"), lambda t: t.provider_pricing)
 EIGHT = {"discharges": "discharges", "cohort": "cohort", "cohort_in_market": "cohort WHERE in_market", "provider_metrics": "metrics", "prices": "prices", "provider_pricing": "pricing", "links": "links", "scores": "scores"}
 staged("Q1_stage_counts", "stage, rows", B.sql(" UNION ALL ".join(f"SELECT '{n}' AS stage, count(*) AS rows FROM {c}" for n, c in EIGHT.items()), "scores"), lambda t: checks.stage_counts(discharges=t.discharges, cohort=t.cohort, cohort_in_market=t.cohort.filter("in_market"), provider_metrics=t.provider_metrics, prices=t.prices, provider_pricing=t.provider_pricing, links=t.links, scores=t.scores))
 MAPPED = "CASE provider_id % 7 WHEN 0 THEN 'Kings' WHEN 1 THEN ' new york ' WHEN 2 THEN 'RICHMOND' WHEN 3 THEN 'Bronx' WHEN 4 THEN NULL WHEN 5 THEN 'manhattan' ELSE county END"
