@@ -10,10 +10,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+#: Rows of an Arrow batch to Python, where the session has Spark's own number: ten thousand whole texts are too many to hold on both sides at once.
+BATCH, BATCH_ROWS, SPARKS_OWN = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000, "10000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once an application, wherever they run."""
+    """Give the executors' Python workers this package, once an application, wherever they run; and batches of a size for texts."""
+    if spark.conf.get(BATCH) == SPARKS_OWN:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
