@@ -65,3 +65,10 @@ def test_a_clause_repeated_beyond_sixteen_bits(spark, docs_of):
     many, few, rest = (P.fingerprints(docs_of([(1, "0,\n" * n + "0,")])).first().fingerprint for n in (139_999, 69_999, 69_999))
     r = spark.createDataFrame([(many, few)], "a string, b string").select(P.combined(F.col("a"), F.col("b"), remove=True).alias("d"), P.likeness(F.col("a"), F.col("b")).alias("x")).first()
     assert r.d == rest and r.x > 0.99
+
+
+def test_lines_of_megabytes(spark, docs_of):
+    rows = [(4, "word, other. " * 80_000), (3, "x" * 1_000_000), (2, "a b, " * 4_000_000), (1, "short")]
+    got = {r.doc_id: r for r in P.edited_fingerprints(docs_of(rows)).select("doc_id", "n_chars", "near_edited", "fingerprint").collect()}
+    assert {k: r.n_chars for k, r in got.items()} == {k: len(t) for k, t in rows}
+    assert int(got[2].fingerprint[:8], 16) == 4_000_000 and got[4].near_edited > 0.5
