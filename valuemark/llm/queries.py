@@ -14,6 +14,7 @@ from valuemark.llm.line_dedup import OP5_SQL, op5_line_dedup
 from valuemark.llm.packing import op1_packing
 from valuemark.llm.pieces import op6_pieces
 from valuemark.llm.quality import op10_quality
+from valuemark.llm.rules import op13_rules
 from valuemark.llm.token_records import op9_token_records
 from valuemark.llm.toxicity import op8_toxicity
 
@@ -32,6 +33,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_token_records": op9_token_records,
         "op10_quality": op10_quality,
+        "op13_rules": op13_rules,
     }
 
 
