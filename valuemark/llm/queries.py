@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from valuemark.llm.chat import op3_chat
 from valuemark.llm.fingerprints import op7_fingerprints
+from valuemark.llm.importance import OP11_SQL, op11_importance
 from valuemark.llm.inner_products import OP2_SQL, op2_inner_products
 from valuemark.llm.jaccard_join import op4_jaccard
 from valuemark.llm.line_dedup import OP5_SQL, op5_line_dedup
@@ -33,9 +34,10 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_token_records": op9_token_records,
         "op10_quality": op10_quality,
+        "op11_importance": op11_importance,
         "op13_rules": op13_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_inner_products": OP2_SQL, "op5_line_dedup": OP5_SQL}
+    return {"op2_inner_products": OP2_SQL, "op5_line_dedup": OP5_SQL, "op11_importance": OP11_SQL}
