@@ -11,6 +11,7 @@ from valuemark.llm.fingerprints import op7_fingerprints
 from valuemark.llm.importance import OP11_SQL, op11_importance
 from valuemark.llm.inner_products import OP2_SQL, op2_inner_products
 from valuemark.llm.jaccard_join import op4_jaccard
+from valuemark.llm.lexical import OP12_SQL, op12_lexical
 from valuemark.llm.line_dedup import OP5_SQL, op5_line_dedup
 from valuemark.llm.packing import op1_packing
 from valuemark.llm.pieces import op6_pieces
@@ -35,9 +36,10 @@ def queries() -> dict[str, Query]:
         "op9_token_records": op9_token_records,
         "op10_quality": op10_quality,
         "op11_importance": op11_importance,
+        "op12_lexical": op12_lexical,
         "op13_rules": op13_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_inner_products": OP2_SQL, "op5_line_dedup": OP5_SQL, "op11_importance": OP11_SQL}
+    return {"op2_inner_products": OP2_SQL, "op5_line_dedup": OP5_SQL, "op11_importance": OP11_SQL, "op12_lexical": OP12_SQL}
