@@ -2,8 +2,8 @@
 
 The first bytes of every file say how it is packed, its format, its header row and its metadata. Files of one
 layout are read together as plain text columns, target codes are picked out, and only then are wide payer
-columns turned into rows. JSON files are cut at closing braces into short texts and put together again to charge
-items as they stream by, so a task holds one item and never a file.
+columns turned into rows. Plain files, CSV and JSON, are cut into records block by block (``blocks``), so one large file
+keeps all tasks busy; packed ones stream out of one read each.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from valuemark.config import Settings
 from valuemark.functions import scalars as S
 from valuemark.session import materialize, ship
+from valuemark.sources.blocks import OPEN_ITEM, ItemScanner, csv_records, json_records
 
 #: Lines of a head that may be the header, bytes that are read for it, files whose heads are read at a time.
 HEAD_LINES, HEAD_BYTES, HEADS_AT_ONCE = 10, 1 << 18, 16
@@ -74,10 +75,23 @@ def _head(spark: SparkSession, path: str) -> bytes:
         stream.close()
 
 
+def _last_byte(spark: SparkSession, path: str) -> bytes:
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = store.getFileStatus(where).getLen()
+    stream = store.open(where)
+    try:
+        stream.seek(max(0, size - 1))
+        return bytes([stream.read() & 0xFF]) if size else b""
+    finally:
+        stream.close()
+
+
 def probe(spark: SparkSession, paths: list[str], hints: dict[str, str] | None = None) -> tuple[list[dict], dict[str, str]]:
     """Packing, format and layout of every file, and what is wrong with the files that have none.
 
-    A quarter of a megabyte of each file is read, once, as a listing would; nothing else of it. ``hints`` has
+    A quarter of a megabyte of each file and its last byte are read, as a listing would; nothing else of it. ``hints`` has
     what a server says of a path (content type, disposition).
     """
     found, failed = [], {}
@@ -86,7 +100,8 @@ def probe(spark: SparkSession, paths: list[str], hints: dict[str, str] | None =
         hint = f"{path} {(hints or {}).get(path, '')}"
         packed, head, member = unpacked_head(_head(spark, path), hint)
         kind = sniff(head, f"{hint} {member}")
-        return {"file": path, "packed": packed, "kind": kind} | (layout(head) if kind == "csv" else {})
+        told = layout(head) | {"ended": packed != "plain" or _last_byte(spark, path) in (b"\n", b"\r")} if kind == "csv" else {}
+        return {"file": path, "packed": packed, "kind": kind} | told
 
     def told(path: str) -> tuple[str, dict | str]:
         try:
@@ -103,11 +118,14 @@ def probe(spark: SparkSession, paths: list[str], hints: dict[str, str] | None =
     return found, failed
 
 
+def target_digits(s: Settings) -> str:
+    """A pattern that every target code has: what lacks it is settled before any other pattern is tried."""
+    return "|".join(sorted({c.lstrip("0") for c in (s.ms_code, *s.apr_codes, *s.apr_legacy_codes)}))
+
+
 def _targets(pairs: list[tuple[Column, Column]], description: Column, s: Settings) -> Column:
     """The first code of a row that is a target, as struct(system, number)."""
-    # A code without the digits of a target is none: that settles most lines before any pattern is tried.
-    digits = "|".join(sorted({c.lstrip("0") for c in (s.ms_code, *s.apr_codes, *s.apr_legacy_codes)}))
-    classified = F.array(*[F.when(c.rlike(digits), S.classify_code(c, t)) for c, t in pairs])
+    classified = F.array(*[F.when(c.rlike(target_digits(s)), S.classify_code(c, t)) for c, t in pairs])
     return F.get(F.filter(classified, lambda x: x.isNotNull() & S.is_target_code(x, description, s)), 0)
 
 
@@ -164,9 +182,11 @@ def parse_json_items(items: DataFrame, label: str, s: Settings) -> DataFrame:
 
 def json_lines(items: DataFrame, s: Settings) -> DataFrame:
     """Charge items, with facility_name and source, to price lines: first target code, charges, payers or one line without."""
-    codes = F.transform("code_information", lambda c: S.classify_code(c["code"], c["type"]))
+    able = F.filter("code_information", lambda c: c["code"].rlike(target_digits(s)))
+    codes = F.transform(able, lambda c: S.classify_code(c["code"], c["type"]))
     target = F.get(F.filter(codes, lambda x: x.isNotNull() & S.is_target_code(x, F.col("description"), s)), 0)
     own = [c for c in ("file", "facility_name", "source") if c in items.columns]
+    items = items.filter(F.exists("code_information", lambda c: c["code"].rlike(target_digits(s))))
     rows = items.withColumn("target", target).filter("target IS NOT NULL").select(*own, "description", "target", F.explode("standard_charges").alias("c")).select("*", F.explode_outer("c.payers_information").alias("p"))
     money = lambda c: S.clean_currency(F.col(c))
     return rows.select(
@@ -175,57 +195,6 @@ def json_lines(items: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-class ItemScanner:
-    """Charge items out of a JSON text that comes in parts; holds the item at hand only."""
-
-    MARKS = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
-    LIST = "standard_charge_information"
-
-    def __init__(self):
-        self.depth = self.items_at = 0
-        self.quoted, self.item, self.key, self.last, self.escape = False, None, None, "", ""
-
-    def feed(self, part: str):
-        """The items that end within the part."""
-        part = self.escape + part
-        self.escape = "\\" * ((len(part) - len(part.rstrip("\\"))) % 2)  # goes with the next part
-        part = part[: len(part) - len(self.escape)]
-        begin = 0
-        for m in self.MARKS.finditer(part):
-            mark, at = m[0], m.start()
-            if mark == '"':
-                if self.depth == 1:
-                    if self.quoted:
-                        self.last = (self.key or "") + part[begin:at] if self.key is not None else ""
-                        self.key = None
-                    else:
-                        self.key, begin = "", at + 1
-                self.quoted = not self.quoted
-            elif not self.quoted and mark in "{[":
-                self.depth += 1
-                if mark == "[" and self.depth == 2 and self.last == self.LIST:
-                    self.items_at = 2
-                if mark == "{" and self.items_at and self.depth == self.items_at + 1:
-                    self.item, begin = [], at
-            elif not self.quoted and mark in "}]":
-                self.depth -= 1
-                if self.item is not None and self.depth == self.items_at:
-                    self.item.append(part[begin : at + 1])
-                    yield "".join(self.item)
-                    self.item = None
-                if self.depth < self.items_at:
-                    self.items_at = 0
-        if self.item is not None:
-            self.item.append(part[begin:])
-        elif self.key is not None:
-            self.key += part[begin:]
-
-    @property
-    def whole(self) -> bool:
-        """Whether all is closed; behind a file's last brace the cut adds one more."""
-        return self.depth <= 0
-
-
 ITEM_ROW = "file string, item string, note string"
 
 
@@ -233,24 +202,6 @@ def _item_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows) if rows else [()] * 3)], ["file", "item", "note"])
 
 
-def _joined_items(batches):
-    """Rows of file and text (cut at closing braces, sorted) to items; a file that ends within its JSON gets a note."""
-    name, scanner, rows = None, ItemScanner(), []
-    for b in batches:
-        for file, part in zip(b.column("file").to_pylist(), b.column("part").to_pylist()):
-            if file != name:
-                if name is not None and not scanner.whole:
-                    rows.append((name, None, "ends within its JSON"))
-                name, scanner = file, ItemScanner()
-            rows += [(file, item, None) for item in scanner.feed(part + "}")]
-            if len(rows) >= BATCH_ROWS:
-                yield _item_batch(rows)
-                rows = []
-    if name is not None and not scanner.whole:
-        rows.append((name, None, "ends within its JSON"))
-    yield _item_batch(rows)
-
-
 def _opened(content: bytes, packed: str):
     if packed == "gzip":
         return gzip.open(io.BytesIO(content))
@@ -276,7 +227,7 @@ def _unpacked(batches, packed: dict[str, str], kinds: dict[str, str]):
                             yield _item_batch(rows)
                             rows = []
                     if not scanner.whole:
-                        rows.append((file, None, "ends within its JSON"))
+                        rows.append((file, None, OPEN_ITEM))
             except (ValueError, OSError, EOFError, zlib.error, zipfile.BadZipFile, csv.Error) as e:
                 rows.append((file, None, str(e).splitlines()[0]))
             yield _item_batch(rows)
@@ -290,12 +241,6 @@ def _packed_rows(spark: SparkSession, files: list[dict]) -> DataFrame:
     return binary.mapInArrow(unpack, ITEM_ROW)
 
 
-def _plain_items(spark: SparkSession, files: list[dict]) -> DataFrame:
-    ship(spark)
-    texts = spark.read.option("lineSep", "}").text([f["file"] for f in files]).select(_given(files), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("part"))
-    return texts.repartition("file").sortWithinPartitions("file", "block", "at").select("file", "part").mapInArrow(_joined_items, ITEM_ROW)
-
-
 def _given(files: list[dict]) -> Column:
     """The path of a row's file as it was given: what Spark reports has a scheme and may be escaped."""
     tail = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
@@ -307,8 +252,9 @@ def load_prices(spark: SparkSession, labels: dict[str, str], s: Settings, max_ro
     """Price lines of all files (label -> path) and a status row for each: ok, partial, empty or failed.
 
     Files are read together, one branch for each CSV layout and one for all JSON; what came of a file is counted
-    once over the written lines. A file is partial if it is cut at ``max_rows`` or breaks off; it fails if it
-    breaks before any line, or has no header. A CSV file is one task, since a quoted cell may hold line ends.
+    once over the written lines. A file is partial if it is cut at ``max_rows`` or breaks off (within a quoted cell, a
+    last row with fewer cells than the header and no line end, an item, a packed stream); it fails if it breaks
+    before any line, or has no header. What is wrong with one file leaves the others alone.
     """
     found, failed = probe(spark, list(dict.fromkeys(labels.values())), hints)
     label_of: dict[str, list[str]] = {}
@@ -319,29 +265,36 @@ def load_prices(spark: SparkSession, labels: dict[str, str], s: Settings, max_ro
     parts, notes = [], None
     layouts: dict[tuple, list[dict]] = {}
     for f in found:
-        layouts.setdefault(("json",) if f["kind"] == "json" else (f["packed"] == "plain" or f["file"].endswith(".gz"), *f["names"]), []).append(f)
+        layouts.setdefault(("json",) if f["kind"] == "json" else tuple(f["names"]), []).append(f)
+    broken: dict[str, str] = {}
+    digits = target_digits(s)
     for key, files in layouts.items():
         natively = [f for f in files if f["packed"] == "plain" or (f["packed"] == "gzip" and f["file"].endswith(".gz"))]
         others = [f for f in files if f not in natively]
+        read = []
+        if others:
+            rows = materialize(_packed_rows(spark, others), "rows")
+            told = rows.filter("note IS NOT NULL").select("file", "note")
+            notes = told if notes is None else notes.unionByName(told)
+            read.append(rows.filter("item IS NOT NULL").select("file", "item"))
         if key == ("json",):
-            read = [g(spark, fs) for g, fs in ((_plain_items, natively), (_packed_rows, others)) if fs]
-            rows = materialize(functools.reduce(DataFrame.unionByName, read), "items")
-            parsed = rows.filter("item IS NOT NULL").select("file", F.from_json("item", f"struct<{JSON_ITEM}>").alias("i")).select("file", "i.*")
+            if natively:
+                items, faults = json_records(spark, [f["file"] for f in natively], digits)
+                read.append(items)
+                broken |= faults
+            parsed = functools.reduce(DataFrame.unionByName, read).select("file", F.from_json("item", f"struct<{JSON_ITEM}>").alias("i")).select("file", "i.*")
             parts.append(json_lines(parsed.join(about, "file"), s))
-        elif natively:
-            width = len(key) - 1
-            raw = spark.read.schema(", ".join(f"c{i} STRING" for i in range(width))).csv([f["file"] for f in natively], multiLine=True, escape='"', mode="PERMISSIVE")
-            parts.append(csv_lines(raw.select("*", _given(natively)).join(about, "file"), list(key[1:]), s))
-            continue
         else:
-            rows = materialize(_packed_rows(spark, others), "rows")
-            cells = rows.filter("item IS NOT NULL").select("file", F.from_json("item", "array<string>").alias("c"))
-            parts.append(csv_lines(cells.select("file", *[F.get("c", i).alias(f"c{i}") for i in range(len(key) - 1)]).join(about, "file"), list(key[1:]), s))
-        told = rows.filter("note IS NOT NULL").select("file", "note")
-        notes = told if notes is None else notes.unionByName(told)
+            read = [r.select("file", F.from_json("item", "array<string>").alias("cells")) for r in read]
+            if natively:
+                records, faults = csv_records(spark, {f["file"]: None if f["ended"] else len(f["names"]) for f in natively}, digits)
+                read.append(records)
+                broken |= faults
+            cells = functools.reduce(DataFrame.unionByName, read).join(about, "file")
+            parts.append(csv_lines(cells.select("*", *[F.get("cells", i).alias(f"c{i}") for i in range(len(key))]).drop("cells"), list(key), s))
     whole = None
     counts: dict[tuple[str, str], int] = {}
-    broken = {r.file: r.note for r in notes.groupBy("file").agg(F.min("note").alias("note")).collect()} if notes is not None else {}
+    broken |= {r.file: r.note for r in notes.groupBy("file").agg(F.min("note").alias("note")).collect()} if notes is not None else {}
     if parts:
         lines = functools.reduce(DataFrame.unionByName, parts)
         if max_rows:
