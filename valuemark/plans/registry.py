@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,6 +170,23 @@ def s11_s12_s18_price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.load_prices(spark, {f.rsplit("/", 1)[-1]: f for f in files}, S)[0].select("code", "system", "setting", "payer", "plan", "negotiated", "cash")
 
 
+def _loaded(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """What the files of a folder give when they are read as published price files."""
+    files = spark.read.format("binaryFile").load(path).select("path").collect()  # a row a file
+    return P.load_prices(spark, {r.path.rsplit("/", 1)[-1]: r.path for r in files}, S)[0].select(*columns)
+
+
+@query("S12_gzip_price_files", B.sql(f"SELECT code, system, setting, payer, plan, negotiated, cash FROM prices WHERE {TARGETS}", "prices"))
+def s12_gzip_price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tall files packed with gzip, with cells that hold line ends and quotes."""
+    t = Stages(spark, sf_dir).prices
+    cells = (F.lit('"joint",\nother'), "code", "system", "setting", "payer", "plan", F.col("cash").cast("decimal(14,2)").cast("string"), F.col("negotiated").cast("decimal(14,2)").cast("string"))
+    names = ["description", "code|1", "code|1|type", "setting", "payer_name", "plan_name", "standard_charge|discounted_cash", "standard_charge|negotiated_dollar"]
+    path = fresh_path(spark, "gzip-files")
+    t.select(*cells).toDF(*names).write.option("header", True).option("escape", '"').option("compression", "gzip").csv(path)
+    return _loaded(spark, path, "code", "system", "setting", "payer", "plan", "negotiated", "cash")
+
+
 @query("S14_wide_prices", B.sql("""
 SELECT code, setting, payer, negotiated, cash FROM (
   SELECT code, setting, unnest(CASE WHEN u IS NULL AND h IS NULL THEN [NULL] ELSE list_filter(['1-URGENT', '2-HIGH'], lambda x: CASE x WHEN '1-URGENT' THEN u ELSE h END IS NOT NULL) END) AS payer, u, h, cash, CASE WHEN u IS NULL AND h IS NULL THEN NULL ELSE 1 END AS any_
@@ -182,6 +200,24 @@ def s14_wide_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.parse_csv(raw, WIDE, None, None, "wide", S).select("code", "setting", "payer", "negotiated", "cash")
 
 
+_WIDE_SQL = """
+SELECT code, setting, payer, negotiated, cash FROM (
+  SELECT code, setting, unnest(CASE WHEN u IS NULL AND h IS NULL THEN [NULL] ELSE list_filter(['1-URGENT', '2-HIGH'], lambda x: CASE x WHEN '1-URGENT' THEN u ELSE h END IS NOT NULL) END) AS payer, u, h, cash
+  FROM (SELECT facility_name, system, code, setting, max(negotiated) FILTER (payer = '1-URGENT') AS u, max(negotiated) FILTER (payer = '2-HIGH') AS h, max(cash) AS cash FROM prices WHERE (system = 'APR-DRG' AND code IN ('324', '326')) OR (system = 'MS-DRG' AND code = '470') GROUP BY ALL)
+) x, LATERAL (SELECT CASE x.payer WHEN '1-URGENT' THEN x.u WHEN '2-HIGH' THEN x.h END AS negotiated)"""
+
+
+@query("S14_wide_price_files", B.sql(_WIDE_SQL, "prices"))
+def s14_wide_price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide files, a column a payer, with quoted line ends, written and read block by block."""
+    t = Stages(spark, sf_dir).prices
+    at = lambda payer: F.max(F.when(F.col("payer") == payer, F.col("negotiated"))).cast("decimal(14,2)").cast("string")
+    raw = t.groupBy("facility_name", "system", "code", "setting").agg(F.max("cash").cast("decimal(14,2)").cast("string").alias("cash"), at("1-URGENT").alias("u"), at("2-HIGH").alias("h"))
+    path = fresh_path(spark, "wide-files")
+    raw.select(F.lit('a "joint",\r\nboth'), "code", "system", "setting", "cash", "u", "h", F.lit("65")).toDF(*WIDE).write.option("header", True).option("escape", '"').csv(path)
+    return _loaded(spark, path, "code", "setting", "payer", "negotiated", "cash")
+
+
 TALL = ["description", "code|1", "code|1|type", "code|2", "code|2|type", "setting", "payer_name", "plan_name", "standard_charge|discounted_cash", "standard_charge|negotiated_dollar"]
 
 
@@ -192,15 +228,42 @@ def s13_tall_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.parse_csv(raw, TALL, "all", "330001", "tall", S).select("code", "system", "setting", "payer", "plan", "negotiated", "cash")
 
 
-@query("S15_json_prices", B.sql(f"SELECT code, system, payer, negotiated FROM prices WHERE {TARGETS} UNION ALL SELECT code, system, NULL, NULL FROM (SELECT DISTINCT facility_name, system, code FROM prices WHERE {TARGETS})", "prices"))
-def s15_json_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+_JSON_SQL = B.sql(f"SELECT code, system, payer, negotiated FROM prices WHERE {TARGETS} UNION ALL SELECT code, system, NULL, NULL FROM (SELECT DISTINCT facility_name, system, code FROM prices WHERE {TARGETS})", "prices")
+
+
+def _json_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Charge items as JSON, of every price line, and one without payers for each code of a facility."""
     t = Stages(spark, sf_dir).prices
     payers = F.collect_list(F.struct(F.col("payer").alias("payer_name"), F.col("plan").alias("plan_name"), F.col("negotiated").cast("string").alias("standard_charge_dollar")))
     g = t.withColumn("part", F.pmod(F.xxhash64("negotiated", "cash"), F.lit(64))).groupBy("facility_name", "system", "code", "part").agg(payers.alias("payers_information"))
     nobody = t.select("facility_name", "system", "code").distinct().withColumns({"part": F.lit(-1).cast("long"), "payers_information": F.array().cast(g.schema["payers_information"].dataType)})
     g = g.withColumn("part", F.col("part").cast("long")).unionByName(nobody)
-    item = F.struct(F.lit("joint").alias("description"), F.array(F.struct(F.lit("27447").alias("code"), F.lit("CPT").alias("type")), F.struct(F.col("code"), F.col("system").alias("type"))).alias("code_information"), F.array(F.struct(F.lit("inpatient").alias("setting"), F.col("payers_information"))).alias("standard_charges"))
-    return P.parse_json_items(P.json_items(g.select(F.to_json(item).alias("j")), "j"), "json", S).select("code", "system", "payer", "negotiated")
+    item = F.struct(F.lit("joint }] \"both\"").alias("description"), F.array(F.struct(F.lit("27447").alias("code"), F.lit("CPT").alias("type")), F.struct(F.col("code"), F.col("system").alias("type"))).alias("code_information"), F.array(F.struct(F.lit("inpatient").alias("setting"), F.col("payers_information"))).alias("standard_charges"))
+    return g.select(F.to_json(item).alias("j"))
+
+
+@query("S15_json_prices", _JSON_SQL)
+def s15_json_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.parse_json_items(P.json_items(_json_charges(spark, sf_dir), "j"), "json", S).select("code", "system", "payer", "negotiated")
+
+
+def _document(batches):
+    """Items of a partition as the lines of one published document."""
+    lead = '{"hospital_name": "Place", "modifiers": [{"description": "none"}], "standard_charge_information": ['
+    for b in batches:
+        items = b.column("j").to_pylist()
+        if items:
+            yield pa.RecordBatch.from_arrays([pa.array([f"{lead if k == 0 else ','}{item}" for k, item in enumerate(items)], pa.string())], ["value"])
+            lead = ","
+    yield pa.RecordBatch.from_arrays([pa.array([lead + "]}" if lead != "," else "]}"], pa.string())], ["value"])
+
+
+@query("S15_json_price_files", _JSON_SQL)
+def s15_json_price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a list of items each, written and read block by block."""
+    path = fresh_path(spark, "json-files")
+    _json_charges(spark, sf_dir).mapInArrow(_document, "value string").write.text(path)
+    return _loaded(spark, path, "code", "system", "payer", "negotiated")
 
 
 @query("S19_manifests", "SELECT concat('Place ', CAST(page_id AS VARCHAR)) AS location_name, url AS mrf_url FROM pages UNION ALL SELECT concat('Side ', CAST(page_id AS VARCHAR)), concat(regexp_extract(url, '^(https?://[^/]+)', 1), '/a.json') FROM pages")
