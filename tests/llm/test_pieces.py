@@ -25,16 +25,16 @@ def test_agenda_alone_equals_the_library(text):
 def test_words_equal_the_library(limit):
     model = P.piece_model(PATH, limit)
     for text in ODD * 2:
-        ((ids, spelled),) = model.encode([text])
+        ((ids, spelled, _),) = model.encode([text])
         assert ids == SP.encode(text, add_eos=True), text
         assert spelled == " ".join(map(str, ids))
 
 
-def test_a_broken_agenda_is_an_error(monkeypatch):
+def test_the_agenda_leads_and_where_it_differs_is_told(monkeypatch):
     model = P.PieceModel(PATH, 10)
-    monkeypatch.setattr(model, "cost", {})
-    with pytest.raises(ValueError, match="agenda"):
-        model.encode(["there"])
+    assert [own for _, _, own in model.encode(["there they are", "a \u2163 b", "plain words"])] == [True] * 3
+    monkeypatch.setattr(model, "agenda_ids", lambda marked: [7])
+    assert model.encode(["others"]) == [(SP.encode("others", add_eos=True), " ".join(map(str, SP.encode("others", add_eos=True))), False)]
 
 
 def test_query_rows(spark, docs_of):

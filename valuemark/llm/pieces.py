@@ -7,10 +7,11 @@ outside the vocabulary becomes its UTF-8 bytes. No piece holds a word mark or a
 character, so merging works on words. A worker keeps their ids in two generations of bounded size: when the
 young one is full it becomes the old one, and what is still in use moves on from there.
 
-Each Arrow batch is checked against the library: the ids of every word that is new to the worker, and the
-round trip of every text. A word whose ids differ is an error that names it, since the agenda would be wrong.
-The library drops or changes some characters before it merges; a text that does not come back whole is
-therefore encoded by the library itself, whose normalisation is not built here.
+The ids are the agenda's. Each Arrow batch is checked against the library: the ids of all words that are new to the
+worker in one call, and the round trip of every text. The library drops or changes some characters before it merges,
+which is not built here; a word whose ids differ takes the library's, and a text that does not come back whole is
+encoded by the library. Such texts are told apart (``by_agenda`` is false), so their number is a figure and not the
+end of a job.
 """
 
 from __future__ import annotations
@@ -74,6 +75,8 @@ class PieceModel:
         self.by_word = not any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids_of_piece)
         # Bytes and strings, which the garbage collector need not visit.
         self.limit, self.known, self.old, self.spelled, self.old_spelled = limit, {}, {}, {}, {}
+        #: Kept words whose ids are the library's.
+        self.changed: set[str] = set()
 
     def agenda_ids(self, marked: str) -> list[int]:
         """Ids of a text whose spaces are marks already."""
@@ -111,13 +114,13 @@ class PieceModel:
                 theirs = own  # the library gives nothing for an empty text
             elif spelled[0] != MARK:
                 theirs = theirs[1:]
-            if own != theirs and self.library.decode(theirs) == spelled.replace(MARK, " ").lstrip(" "):
-                raise ValueError(f"the agenda gives {own} for {spelled!r}, the library {theirs}")
-            # Where they differ, the library has changed characters before it merged; its ids hold.
-            self.known[word], self.spelled[word] = array("i", theirs).tobytes(), " ".join(map(str, theirs))
+            if own != theirs:
+                self.changed.add(word)
+                own = theirs
+            self.known[word], self.spelled[word] = array("i", own).tobytes(), " ".join(map(str, own))
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], str]]:
-        """Ids of each text with the end id behind them, and the same as decimal text."""
+    def encode(self, texts: list[str]) -> list[tuple[list[int], str, bool]]:
+        """Ids of each text with the end id behind them, the same as decimal text, and whether all are the agenda's."""
         split = [self.words(t) if t else [] for t in texts]
         if new := set().union(*split).difference(self.known):
             self.learn(new)
@@ -125,10 +128,11 @@ class PieceModel:
         for words in split:
             ids = array("i", b"".join(map(self.known.__getitem__, words))).tolist()
             ids.append(self.end)
-            out.append((ids, " ".join([*map(self.spelled.__getitem__, words), str(self.end)])))
+            out.append((ids, " ".join([*map(self.spelled.__getitem__, words), str(self.end)]), not self.changed or self.changed.isdisjoint(words)))
         if len(self.known) > self.limit:
             self.old, self.old_spelled = (self.known, self.spelled) if len(self.known) < 2 * self.limit else ({}, {})
             self.known, self.spelled = {}, {}
+            self.changed.intersection_update(self.old)
         return out
 
 
@@ -144,32 +148,32 @@ def _coded(batches, path: str):
 
 
 def _rows(model: PieceModel, found: list[tuple]):
-    for (doc_id, text), (ids, spelled) in zip(found, model.encode([t for _, t in found])):
+    for (doc_id, text), (ids, spelled, own_ids) in zip(found, model.encode([t for _, t in found])):
         decoded = model.library.decode(ids)
         if decoded != text:
             own = model.library.encode(text, add_eos=True)
             if own != ids:
-                ids, spelled = own, " ".join(map(str, own))
+                ids, spelled, own_ids = own, " ".join(map(str, own)), False
                 decoded = model.library.decode(ids)
-        yield doc_id, len(ids), spelled, decoded
+        yield doc_id, len(ids), spelled, decoded, own_ids
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "n_tokens", "ids", "decoded"])
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "n_tokens", "ids", "decoded", "by_agenda"])
 
 
 def piece_coding(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids (decimal, joined by spaces, the end id last) and decoded text of every whole text.
+    """doc_id, n_tokens, ids (decimal, joined by spaces, the end id last), decoded text and by_agenda of every whole text.
 
     Null texts count as empty and give the end id alone. Rows map one to one: repeated rows and null ids
     stay; an empty table gives an empty one.
     """
-    return texts(docs).mapInArrow(functools.partial(_coded, path=model_path), "doc_id long, n_tokens long, ids string, decoded string")
+    return texts(docs).mapInArrow(functools.partial(_coded, path=model_path), "doc_id long, n_tokens long, ids string, decoded string, by_agenda boolean")
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     coded = piece_coding(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
-    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "by_agenda")
