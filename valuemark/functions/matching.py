@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Set
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -29,6 +30,13 @@ def common_length(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
+@functools.lru_cache(1 << 14)
+def letter_counts(name: str) -> np.ndarray:
+    """How often a name's words have each letter and digit, any other character counted as one kind; each word once."""
+    letters = "".join(set(name.split()))
+    return np.bincount([ord(c) - 97 if "a" <= c <= "z" else ord(c) - 22 if "0" <= c <= "9" else 36 for c in letters], minlength=37).astype("i2")
+
+
 def word_set_similarity(x: Set[str], y: Set[str]) -> float:
     """100 if one word set holds the other; else the best similarity among shared words with and without each rest.
 

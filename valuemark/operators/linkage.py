@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
+import bisect
 import functools
-import heapq
-from collections.abc import Callable
 from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuemark.config import Settings
 from valuemark.functions import scalars as S
-from valuemark.functions.matching import token_set_ratio, word_set_similarity
+from valuemark.functions.matching import letter_counts, word_set_similarity
+from valuemark.operators import ranking
 from valuemark.operators.pricing import name_key
 from valuemark.session import materialize
 
-#: Providers that are settled together, names that one of them is shown at a time, names in a block that is scored as one row.
-RUN, DEPTH, BLOCK = 2048, 64, 128
-WISH = "key string, facility_name string, exact boolean, score double"
+#: Names that a key is shown at a time beside one for each of its providers, and names in a block that is scored as one row.
+DEPTH, BLOCK = 64, 128
+SHOWN = "key string, facility_name string, exact boolean, score double"
 LINK_COLUMNS = ("provider_id", "certificate", "provider_name", "facility_name", "match_method", "match_score", "reviewed", "review_source")
 
 
@@ -28,152 +29,174 @@ def named(names: DataFrame, column: str = "facility_name") -> DataFrame:
     return names.select(column).filter(f"{column} IS NOT NULL").withColumn("norm", S.normalize_name(F.col(column))).filter("norm <> ''").groupBy("norm").agg(F.min(column).alias(column))
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of normalised names that share a significant token: an equi-join on tokens, nothing is capped."""
-    tokens = lambda df, name: df.select(F.col("norm").alias(name)).distinct().select(name, F.explode(S.significant_tokens(F.col(name))).alias("token"))
-    return tokens(left, "left_norm").join(tokens(right, "right_norm"), "token").select("left_norm", "right_norm").distinct()
-
-
 @functools.lru_cache(1 << 14)
 def _rounded(score: float) -> float:
     return float(Decimal(repr(score)).quantize(Decimal("0.01"), ROUND_HALF_UP))
 
 
-def _scored(batches, cutoff: float, held: dict[str, int]):
-    """Of each pair of blocks with a common token, the best names for each key: at most its depth, none that a provider before it holds."""
-    for b in batches:
-        for row in b.to_pylist():
-            right = [(r["facility_name"], r["norm"], held.get(r["facility_name"]), frozenset(r["norm"].split()), frozenset(r["tokens"])) for r in row["right"]]
-            found = []
-            for x in row["left"]:
-                words, tokens = frozenset(x["norm"].split()), frozenset(x["tokens"])
-                fit = []
-                for name, norm, holder, its_words, its_tokens in right:
-                    # A pair that shares several tokens is scored under the least of them only.
-                    if (holder is not None and holder < x["rank"]) or norm == x["norm"] or min(tokens & its_tokens) != row["token"]:
+class Side:
+    """A block of names as arrays: words, significant tokens below the block's own, letters, lengths."""
+
+    def __init__(self, rows: list[dict], token: str, words: dict[str, int], tokens: dict[str, int]):
+        self.rows = rows
+        self.words = [frozenset(r["norm"].split()) for r in rows]
+        self.letters = np.stack([letter_counts(r["norm"]) for r in rows])
+        self.of = [[words.setdefault(w, len(words)) for w in ws] for ws in self.words]
+        self.below = [[tokens.setdefault(t, len(tokens)) for t in r["tokens"] if t < token] for r in rows]
+        self.n = np.array([len(ws) for ws in self.words])
+        self.length = np.array([sum(map(len, ws)) + len(ws) - 1 for ws in self.words])
+
+    @staticmethod
+    def spread(of: list[list[int]], width: int) -> np.ndarray:
+        out = np.zeros((len(of), max(width, 1)), "f4")
+        for row, at in zip(out, of):
+            row[at] = 1
+        return out
+
+
+def bounds(left: Side, right: Side, words: dict[str, int], tokens: dict[str, int]) -> np.ndarray:
+    """The most that each pair's similarity can be, by lengths, shared words and letter counts; -1 where another token has the pair.
+
+    The longest common subsequence of the words that two names do not share is at most what their letters have in
+    common, and the shared words take the same letters from both, so the bound needs no look at the rests themselves.
+    """
+    x, y = Side.spread(left.of, len(words)), Side.spread(right.of, len(words))
+    shared = x @ y.T
+    base = (x * np.array([len(w) for w in words], "f4")) @ y.T + shared - 1
+    common = np.minimum(left.letters[:, None, :], right.letters[None, :, :]).sum(-1, dtype="i8")
+    n, m = left.n[:, None], right.n[None, :]
+    a, b = left.length[:, None], right.length[None, :]
+    most = np.maximum(200.0 * (common + np.minimum(n, m) - 1) / (a + b), 200.0 * base / (base + np.minimum(a, b)))
+    most[(shared == n) | (shared == m)] = 100.0
+    if tokens:
+        most[(Side.spread(left.below, len(tokens)) @ Side.spread(right.below, len(tokens)).T) > 0] = -1.0
+    return most
+
+
+def _scored(batches, cutoff: float):
+    """The best names of each key: at most its depth, none that a provider before it holds.
+
+    Rows are pairs of blocks with a common token, those of a left block one after the other, so what it has found
+    already rules out most of what comes: only pairs whose bound reaches a key's least place are compared in full.
+    """
+    at, best, left = None, [], []
+
+    def told() -> pa.RecordBatch:
+        found = [(r["norm"], name, False, -score) for r, heap in zip(left, best) for score, name in heap]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found) if found else [()] * 4, (pa.string(), pa.string(), pa.bool_(), pa.float64()))], ["key", "facility_name", "exact", "score"])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if at != (row["token"], row["block"]):
+                if best:
+                    yield told()
+                at, left = (row["token"], row["block"]), row["left"]
+                best = [[] for _ in left]
+            words, tokens = {}, {}
+            a, b = (Side(row[side], row["token"], words, tokens) for side in ("left", "right"))
+            most = bounds(a, b, words, tokens)
+            for k, x in enumerate(a.rows):
+                heap, line = best[k], most[k]
+                for j in np.argsort(-line, kind="stable").tolist():
+                    least = -heap[-1][0] if len(heap) >= x["depth"] else cutoff
+                    if line[j] < 0 or line[j] + 0.0051 < least:
+                        break
+                    y = b.rows[j]
+                    if y["norm"] == x["norm"] or (y["best"] is not None and x["rank"] is not None and y["best"] < x["rank"]):
                         continue
-                    score = _rounded(word_set_similarity(words, its_words))
-                    if score >= cutoff:
-                        fit.append((-score, name))
-                found += [(x["norm"], name, False, -score) for score, name in heapq.nsmallest(x["depth"], fit)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found) if found else [()] * 4, (pa.string(), pa.string(), pa.bool_(), pa.float64()))], ["key", "facility_name", "exact", "score"])
+                    score = _rounded(word_set_similarity(a.words[k], b.words[j]))
+                    if score >= cutoff and (len(heap) < x["depth"] or (-score, y["facility_name"]) < heap[-1]):
+                        bisect.insort(heap, (-score, y["facility_name"]))
+                        del heap[x["depth"] :]
+    if best:
+        yield told()
 
 
 def _blocks(rows: DataFrame, side: str, *columns: str) -> DataFrame:
-    """token and a block of the names that have it; common tokens have many blocks."""
+    """token, block and the names of the block; common tokens have many blocks."""
     each = rows.withColumn("tokens", S.significant_tokens(F.col("norm"))).withColumn("token", F.explode("tokens"))
     common = each.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).filter("blocks > 1")
     block = F.pmod(F.xxhash64("norm"), F.coalesce("blocks", F.lit(1))).alias("block")
-    return each.join(F.broadcast(common), "token", "left").select("token", block, F.struct("norm", "tokens", *columns).alias("x")).groupBy("token", "block").agg(F.collect_list("x").alias(side)).select("token", side)
-
-
-def _shown(rows: DataFrame, asks: DataFrame) -> DataFrame:
-    """The first names of each key, as many as it asked for: exact ones, then by score, then by name."""
-    order = Window.partitionBy("key").orderBy(F.desc("exact"), F.desc("score"), "facility_name")
-    return rows.withColumn("place", F.row_number().over(order)).join(F.broadcast(asks.select("key", "depth")), "key").filter("place <= depth").select("key", "place", "facility_name", "exact", "score")
+    return each.join(common, "token", "left").select("token", block, F.struct("norm", "tokens", *columns).alias("x")).groupBy("token", "block").agg(F.collect_list("x").alias(side)).select("token", "block", side)
 
 
-def _settled(run: list[Row], show: Callable[[list[tuple[str, int, int]], dict[str, int]], list[Row]]) -> list[tuple]:
-    """provider_id, facility_name, exact, score of the providers of a run (in order of priority) that get a name.
+def top_names(asks: DataFrame, targets: DataFrame, cutoff: float) -> DataFrame:
+    """key, facility_name, exact, score, place: the first names of each key, exact ones, then by score, then by name.
 
-    Each provider asks for its names in order, and a name stays with the first provider that asks for it. Who
-    has asked for all that it was shown is shown more, without the names that providers before it hold; these
-    never get free for it.
+    asks: norm (unique), depth (names to show) and rank (of the first provider who asks, or null); targets: norm,
+    facility_name and best (rank of the provider that holds the name, or null). Names that a provider before the asking
+    one holds are not shown. Fuzzy names share a significant token and reach the cutoff. Pairs never become rows.
     """
-    lists: list[tuple[list[Row], bool]] = [([], False)] * len(run)
-    at = [0] * len(run)
-    holder: dict[str, int] = {}
-    waiting = list(range(len(run)))
-    while waiting:
-        keys: dict[str, list[int]] = {}
-        for k in sorted(waiting):
-            keys.setdefault(run[k].key, []).append(k)
-        asks = [(key, ks[0], len(ks) + DEPTH) for key, ks in keys.items()]
-        shown: dict[str, list[Row]] = {}
-        for r in show(asks, holder):
-            shown.setdefault(r.key, []).append(r)
-        for key, _, depth in asks:
-            names = sorted(shown.get(key, []), key=lambda r: r.place)
-            for k in keys[key]:
-                lists[k], at[k] = (names, len(names) < depth), 0
-        stack, waiting = sorted(waiting, reverse=True), []
-        while stack:
-            k = stack.pop()
-            names, whole = lists[k]
-            while at[k] < len(names) and holder.get(names[at[k]].facility_name, k) < k:
-                at[k] += 1
-            if at[k] < len(names):
-                name = names[at[k]].facility_name
-                if name in holder:
-                    stack.append(holder[name])
-                holder[name] = k
-            elif not whole:
-                waiting.append(k)
-    return [(run[k].provider_id, name, lists[k][0][at[k]].exact, lists[k][0][at[k]].score) for name, k in holder.items()]
-
-
-def _in_runs(providers: DataFrame, targets: DataFrame, showing: Callable[[DataFrame], Callable]) -> DataFrame:
-    """Settles run after run of ``providers`` (provider_id, priority, key); ``showing`` gets the targets (facility_name) that are left."""
-    spark = providers.sparkSession
-    left, targets = materialize(providers.select("provider_id", "priority", "key"), "providers"), materialize(targets, "targets")
-    kind = left.schema["provider_id"].dataType.simpleString()
-    done = spark.createDataFrame([], f"provider_id {kind}, facility_name string, exact boolean, score double")
-    while run := left.orderBy("priority").limit(RUN).collect():
-        taken = materialize(spark.createDataFrame(_settled(run, showing(targets)), done.schema), "matched")
-        done = done.unionByName(taken)
-        if len(run) < RUN:
-            break
-        settled = spark.createDataFrame([(r.provider_id,) for r in run], f"provider_id {kind}")
-        left = materialize(left.join(F.broadcast(settled), "provider_id", "left_anti"), "providers")
-        targets = materialize(targets.join(F.broadcast(taken.select("facility_name")), "facility_name", "left_anti"), "targets")
-    return done
+    fuzzy = asks.select("norm", "depth", "rank")
+    left, right = _blocks(fuzzy, "left", "rank", "depth"), _blocks(targets, "right", "facility_name", "best").select("token", "right")
+    tasks = max(asks.sparkSession.sparkContext.defaultParallelism, int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pairs = left.join(right, "token").repartition(tasks, "token", "block").sortWithinPartitions("token", "block")
+    found = pairs.mapInArrow(functools.partial(_scored, cutoff=cutoff), SHOWN)
+    free = F.col("best").isNull() | F.col("rank").isNull() | (F.col("best") >= F.col("rank"))
+    exact = targets.join(asks, "norm").filter(free).select(F.col("norm").alias("key"), "facility_name", F.lit(True).alias("exact"), F.lit(100.0).alias("score"))
+    order = Window.partitionBy("key").orderBy(F.desc("exact"), F.desc("score"), "facility_name")
+    both = exact.unionByName(found).withColumn("place", F.row_number().over(order))
+    return both.join(asks.select(F.col("norm").alias("key"), "depth"), "key").filter("place <= depth").drop("depth")
 
 
-ASK, HELD = "key string, rank int, depth int", "facility_name string, holder int"
+WISHES = ("provider_id", "rank", "facility_name", "exact", "score", "place")
 
 
-def one_to_one(preferences: DataFrame) -> DataFrame:
-    """Serial dictatorship as stable matching: every target ranks providers alike, so the matching is unique.
+def settled(wishes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The wishes that still stand when nobody can do better, and the first of each provider, which is its own.
 
-    ``preferences`` has provider_id, priority (unique, least first), facility_name, exact and score. Whole runs
-    of providers are settled together; the driver sees the first wishes of a run, never all.
+    Rounds of proposals: every provider proposes its first wish; a name will go to the first (by rank) that proposes
+    it or to one before that, so wishes of all later ones for it fall. Names rank providers alike, so there is one
+    stable matching, that of choosing in order of rank. A round is two aggregates and a join, on random wishes there are
+    about as many as the logarithm of the providers.
     """
-    spark = preferences.sparkSession
-    rows = preferences.withColumn("key", F.col("provider_id").cast("string"))
+    alive, before = wishes, None
+    while True:
+        alive = materialize(alive.select(*WISHES), "wishes")
+        n = alive.count()
+        first = alive.groupBy("provider_id").agg(F.min_by(F.struct(*WISHES), "place").alias("w")).select("w.*")
+        if n == before:
+            return alive, first
+        before = n
+        best = first.groupBy("facility_name").agg(F.min("rank").alias("best"))
+        alive = alive.join(best, "facility_name", "left").filter("best IS NULL OR rank <= best")
 
-    def showing(targets: DataFrame) -> Callable:
-        def show(asks: list, held: dict[str, int]) -> list[Row]:
-            asking = spark.createDataFrame(asks, ASK)
-            free = targets.join(F.broadcast(asking), "key").join(F.broadcast(spark.createDataFrame(list(held.items()), HELD)), "facility_name", "left").filter("holder IS NULL OR holder >= rank")
-            return _shown(free.select("key", "facility_name", "exact", "score"), asking).collect()
 
-        return show
+def one_to_one(preferences: DataFrame) -> DataFrame:
+    """provider_id, facility_name, exact, score: providers choose in order of priority, each its first free name.
 
-    return _in_runs(rows.select("provider_id", "priority", "key").distinct(), rows.select("key", "facility_name", "exact", "score"), showing)
+    ``preferences`` has provider_id, priority (unique, least first), facility_name, exact and score; a provider's order
+    is exact names, then score, then name.
+    """
+    order = Window.partitionBy("provider_id").orderBy(F.desc("exact"), F.desc("score"), "facility_name")
+    wishes = preferences.withColumn("place", F.row_number().over(order)).withColumn("rank", F.col("priority"))
+    return settled(wishes)[1].select("provider_id", "facility_name", "exact", "score")
 
 
 def best_names(providers: DataFrame, right: DataFrame, cutoff: float) -> DataFrame:
-    """The one-to-one matching of providers (provider_id, priority, norm) to names: exact ones score 100 and come first, fuzzy ones share a significant token and need the cutoff.
+    """provider_id, facility_name, exact, score: the one-to-one matching of providers (provider_id, volume, norm) to names (norm, facility_name).
 
-    Every pair that shares a token is scored, but pairs never become rows: blocks of names that share one are
-    scored in a task, and each provider's best stay.
+    Busier providers choose first (an unknown volume last), ties by id. Providers are shown their first names only. Who
+    has lost all of a full list asks again and is shown names that nobody before it holds; a name may be taken from
+    those behind it, who go on to their next, until nobody asks.
     """
-    spark = providers.sparkSession
-
-    def showing(targets: DataFrame) -> Callable:
-        right_blocks = materialize(_blocks(targets, "right", "facility_name"), "blocks")
-        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-        def show(asks: list, held: dict[str, int]) -> list[Row]:
-            asking = spark.createDataFrame(asks, ASK)
-            exact = targets.join(F.broadcast(asking), F.col("norm") == F.col("key")).join(F.broadcast(spark.createDataFrame(list(held.items()), HELD)), "facility_name", "left").filter("holder IS NULL OR holder >= rank").select("key", "facility_name", F.lit(True).alias("exact"), F.lit(100.0).alias("score"))
-            left_blocks = _blocks(asking.withColumnRenamed("key", "norm"), "left", "rank", "depth")
-            fuzzy = right_blocks.join(F.broadcast(left_blocks), "token").repartition(tasks).mapInArrow(functools.partial(_scored, cutoff=cutoff, held=dict(held)), WISH)
-            return _shown(exact.unionByName(fuzzy), asking).collect()
-
-        return show
-
-    return _in_runs(providers.withColumnRenamed("norm", "key"), right.select("norm", "facility_name"), showing)
+    busy = providers.withColumn("_order", -F.coalesce(F.col("volume"), F.lit(-1)))
+    left = materialize(ranking.global_positions(busy, "_order", "provider_id").select("provider_id", F.col("pos").alias("rank"), F.col("norm").alias("key")), "providers")
+    right = materialize(right.select("norm", "facility_name"), "names")
+    kind = left.schema["provider_id"].dataType.simpleString()
+    asking, more = left, left.select("provider_id").limit(0)
+    alive = providers.sparkSession.createDataFrame([], f"provider_id {kind}, rank long, facility_name string, exact boolean, score double, place int")
+    first = alive
+    while not asking.isEmpty():
+        held = first.groupBy("facility_name").agg(F.min("rank").alias("best"))
+        asks = materialize(asking.groupBy(F.col("key").alias("norm")).agg(F.min("rank").alias("rank"), (F.count("*") + DEPTH).alias("depth")), "asks")
+        shown = materialize(top_names(asks, right.join(held, "facility_name", "left"), cutoff), "shown")
+        full = shown.groupBy("key").agg(F.count("*").alias("n")).join(asks.select(F.col("norm").alias("key"), "depth"), "key").filter("n >= depth")
+        more = materialize(more.join(asking, "provider_id", "left_anti").unionByName(asking.join(full, "key", "left_semi").select("provider_id")), "more")  # whose last list may not have been all
+        wishes = asking.join(shown, "key").join(held, "facility_name", "left").filter("best IS NULL OR best >= rank")
+        alive, first = settled(alive.unionByName(wishes.select(*WISHES)))
+        asking = materialize(left.join(first, "provider_id", "left_anti").join(more, "provider_id", "left_semi"), "asking")
+    return first.select("provider_id", "facility_name", "exact", "score")
 
 
 def propose(providers: DataFrame, names: DataFrame, existing: DataFrame, s: Settings, cutoff: float | None = None) -> DataFrame:
@@ -183,10 +206,10 @@ def propose(providers: DataFrame, names: DataFrame, existing: DataFrame, s: Sett
     a provider's order is exact names, then score, then name. Providers without a match come with nulls.
     """
     kept = existing.filter("reviewed")
-    open_left = providers.join(kept.select("provider_id"), "provider_id", "left_anti").withColumn("norm", S.normalize_name(F.col("provider_name"))).withColumn("priority", F.struct(-F.col("volume"), F.col("provider_id")))
+    open_left = providers.join(kept.select("provider_id"), "provider_id", "left_anti").withColumn("norm", S.normalize_name(F.col("provider_name")))
     claimed = kept.filter("facility_name IS NOT NULL").select(S.normalize_name(F.col("facility_name")).alias("norm")).distinct()
     right = named(names).join(claimed, "norm", "left_anti")
-    found = best_names(open_left.select("provider_id", "priority", "norm"), right, s.match_cutoff if cutoff is None else cutoff)
+    found = best_names(open_left.select("provider_id", "volume", "norm"), right, s.match_cutoff if cutoff is None else cutoff)
     auto = F.coalesce(F.col("exact") | (F.col("score") >= s.auto_accept), F.lit(False))
     return open_left.select("provider_id", "certificate", "provider_name").join(found, "provider_id", "left").select(
         "provider_id", "certificate", "provider_name", "facility_name", F.when(F.col("exact"), "exact").when(F.col("score").isNotNull(), "fuzzy").otherwise("unmatched").alias("match_method"),
@@ -202,8 +225,8 @@ def propose_measure_links(providers: DataFrame, measures: DataFrame, s: Settings
     """
     rows = measures.filter("ccn <> ''").select("ccn", "facility_name", S.normalize_name(F.col("facility_name")).alias("norm")).filter("norm <> ''")
     named_once = rows.groupBy("norm").agg(F.min_by(F.struct("ccn", "facility_name"), F.struct("ccn", "facility_name")).alias("x")).select("norm", "x.*")
-    left = providers.withColumn("norm", S.normalize_name(F.col("provider_name"))).filter("norm <> ''").withColumn("priority", F.struct(-F.col("volume"), F.col("provider_id")))
-    found = best_names(left.select("provider_id", "priority", "norm"), named_once.select("norm", F.col("ccn").alias("facility_name")), s.measure_match_cutoff).withColumnRenamed("facility_name", "ccn")
+    left = providers.withColumn("norm", S.normalize_name(F.col("provider_name"))).filter("norm <> ''")
+    found = best_names(left.select("provider_id", "volume", "norm"), named_once.select("norm", F.col("ccn").alias("facility_name")), s.measure_match_cutoff).withColumnRenamed("facility_name", "ccn")
     spelled = named_once.groupBy("ccn").agg(F.min("facility_name").alias("facility_name"))
     return left.select("provider_id", "provider_name").join(found, "provider_id").join(spelled, "ccn").select(
         "provider_id", "ccn", "provider_name", "facility_name", F.when(F.col("score") == 100, "exact").otherwise("fuzzy").alias("match_method"), F.col("score").cast("decimal(5,2)").alias("match_score"), F.lit(False).alias("reviewed"),
@@ -252,12 +275,13 @@ def approve(old: DataFrame, provider_id: int, facility_name: str) -> DataFrame:
 
 def review_candidates(providers: DataFrame, names: DataFrame, links: DataFrame, most: int = 8) -> DataFrame:
     """The best names for each provider to review, by score then name; names that others hold are marked."""
-    right = named(names)
-    pairs = candidate_pairs(providers.withColumn("norm", S.normalize_name(F.col("provider_name"))), right).withColumn("score", F.round(token_set_ratio("left_norm", "right_norm"), 2))
+    left = providers.select("provider_id", S.normalize_name(F.col("provider_name")).alias("key")).filter(F.size(S.significant_tokens(F.col("key"))) > 0)
+    asks = materialize(left.select(F.col("key").alias("norm")).distinct().withColumns({"rank": F.lit(None).cast("long"), "depth": F.lit(most + 1)}), "asks")  # exact names come first there, by score here
+    pairs = top_names(asks, named(names).withColumn("best", F.lit(None).cast("long")), 0.0)
+    order = Window.partitionBy("key").orderBy(F.desc("score"), "facility_name")
+    first = pairs.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
     held = links.filter("facility_name IS NOT NULL").select(name_key("facility_name").alias("held")).distinct()
-    full = providers.withColumn("left_norm", S.normalize_name(F.col("provider_name"))).select("provider_id", "left_norm").join(pairs, "left_norm").join(right.withColumnRenamed("norm", "right_norm"), "right_norm")
-    place = F.row_number().over(Window.partitionBy("provider_id").orderBy(F.desc("score"), "facility_name"))
-    return full.withColumn("place", place).filter(F.col("place") <= most).join(held, name_key("facility_name") == F.col("held"), "left").select("provider_id", "place", "facility_name", "score", F.col("held").isNotNull().alias("claimed"))
+    return left.join(first, "key").join(held, name_key("facility_name") == F.col("held"), "left").select("provider_id", "place", "facility_name", "score", F.col("held").isNotNull().alias("claimed"))
 
 
 def match_summary(links: DataFrame, volumes: DataFrame) -> DataFrame:
