@@ -304,19 +304,73 @@ def m1_exact_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("provider_id", "facility_name")
 
 
-@query("M2_propose_links")
+def _norm_sql(raw: str) -> str:
+    """A name as it is compared, in SQL."""
+    plain = f"regexp_replace(replace(replace(lower({raw}), '&', ' and '), '-', ' '), '[^a-z0-9 ]+', ' ', 'g')"
+    return f"replace(trim(regexp_replace(regexp_replace({plain}, '\\b({'|'.join(X.NOISE_WORDS.split())})\\b', ' ', 'g'), '\\s+', ' ', 'g')), 'sbh', 'st barnabas')"
+
+
+#: Every pair of a provider's and a facility's name that share a significant token, with its similarity; the longest
+#: common subsequence of the rests goes character by character over the bits of a number.
+_PAIRS_SQL = f"""
+WITH RECURSIVE providers AS (
+  SELECT CAST(s_suppkey AS INT) AS provider_id, concat('Saint ', upper(replace(s_name, '#', ' ')), CASE WHEN s_suppkey % 2 = 0 THEN ' Hospital' ELSE ' Campus' END) AS provider_name, CAST(trunc(s_acctbal) AS BIGINT) AS volume FROM supplier
+), facilities AS (SELECT s_suppkey, concat('The saint ', replace(s_name, '#', CASE WHEN s_suppkey % 5 = 0 THEN ' no ' ELSE ' ' END)) AS facility_name FROM supplier),
+l AS (SELECT norm, list_distinct(string_split(norm, ' ')) AS words FROM (SELECT DISTINCT {_norm_sql('provider_name')} AS norm FROM providers) WHERE norm <> ''),
+r AS (SELECT norm, list_distinct(string_split(norm, ' ')) AS words, facility_name, ccn FROM (SELECT {_norm_sql('facility_name')} AS norm, min(facility_name) AS facility_name, min(CAST(s_suppkey AS VARCHAR)) AS ccn FROM facilities GROUP BY 1) WHERE norm <> ''),
+crossed AS (
+  SELECT l.norm AS a, r.norm AS b, facility_name, ccn, list_intersect(l.words, r.words) AS mutual,
+    array_to_string(list_sort(list_filter(l.words, lambda w: NOT list_contains(r.words, w))), ' ') AS rest_a, array_to_string(list_sort(list_filter(r.words, lambda w: NOT list_contains(l.words, w))), ' ') AS rest_b
+  FROM l, r WHERE len(list_filter(list_intersect(l.words, r.words), lambda w: length(w) >= 4 AND w NOT IN ('new', 'york', 'the', 'and', 'for', 'of'))) > 0
+), rests AS (SELECT DISTINCT rest_a, rest_b FROM crossed WHERE rest_a <> '' AND rest_b <> ''),
+steps AS (
+  SELECT rest_a, rest_b, 0 AS k, (1::BIGINT << length(rest_a)) - 1 AS bits FROM rests
+  UNION ALL
+  SELECT rest_a, rest_b, k + 1, ((bits + hit) | (bits - hit)) & ((1::BIGINT << length(rest_a)) - 1)
+  FROM (SELECT *, bits & list_sum(list_transform(range(length(rest_a)), lambda j: CASE WHEN rest_a[j + 1] = rest_b[k + 1] THEN 1::BIGINT << j ELSE 0 END))::BIGINT AS hit FROM steps WHERE k < length(rest_b))
+), common AS (SELECT rest_a, rest_b, length(rest_a) - bit_count(bits) AS n FROM steps WHERE k = length(rest_b)),
+pairs AS (
+  SELECT a, b, facility_name, ccn, CASE WHEN rest_a = '' OR rest_b = '' THEN 100.0::DOUBLE ELSE round(greatest(200.0::DOUBLE * (base + 1 + n) / (2 * base + 2 + length(rest_a) + length(rest_b)), 200.0::DOUBLE * base / (2 * base + 1 + least(length(rest_a), length(rest_b)))), 2) END AS score
+  FROM (SELECT *, list_sum(list_transform(mutual, lambda w: length(w)))::BIGINT + len(mutual) - 1 AS base FROM crossed) LEFT JOIN common USING (rest_a, rest_b)
+)"""
+#: Providers choose one after the other, busier ones first.
+_CHOSEN_SQL = """, wishes AS (SELECT a, list({taken} ORDER BY a = b DESC, score DESC, {taken}) AS names FROM pairs WHERE score >= {cutoff} GROUP BY a),
+ranks AS (SELECT provider_id, names, row_number() OVER (ORDER BY -volume, provider_id) AS k FROM (SELECT *, {norm} AS norm FROM providers) LEFT JOIN wishes ON a = norm WHERE norm <> ''),
+turns AS (
+  SELECT 0::BIGINT AS k, NULL::INT AS provider_id, NULL::VARCHAR AS name, []::VARCHAR[] AS taken
+  UNION ALL
+  SELECT k, provider_id, name, CASE WHEN name IS NULL THEN taken ELSE list_append(taken, name) END
+  FROM (SELECT ranks.k, ranks.provider_id, list_filter(names, lambda x: NOT list_contains(taken, x))[1] AS name, taken FROM turns JOIN ranks ON ranks.k = turns.k + 1)
+), chosen AS (SELECT provider_id, provider_name, name, {norm} AS norm FROM turns JOIN providers USING (provider_id))"""
+
+
+@query("M2_propose_links", _PAIRS_SQL + _CHOSEN_SQL.format(taken="facility_name", cutoff=S.match_cutoff, norm=_norm_sql("provider_name")) + f"""
+SELECT p.provider_id, CAST(NULL AS VARCHAR) AS certificate, p.provider_name, name AS facility_name, CASE WHEN a = b THEN 'exact' WHEN a IS NOT NULL THEN 'fuzzy' ELSE 'unmatched' END AS match_method,
+  CAST(score AS DECIMAL(5,2)) AS match_score, coalesce(a = b OR score >= {S.auto_accept}, false) AS reviewed, CASE WHEN coalesce(a = b OR score >= {S.auto_accept}, false) THEN 'auto' END AS review_source
+FROM providers p LEFT JOIN chosen USING (provider_id) LEFT JOIN pairs ON a = norm AND pairs.facility_name = name""")
 def m2_propose_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = _name_sets(spark, sf_dir)
     none = left.limit(0).selectExpr("provider_id", "certificate", "provider_name", "CAST(NULL AS STRING) AS facility_name", "CAST(NULL AS STRING) AS match_method", "CAST(NULL AS DECIMAL(5,2)) AS match_score", "false AS reviewed", "CAST(NULL AS STRING) AS review_source")
     return linkage.propose(left, right, none, S)
 
 
-@query("M9_measure_links")
+@query("M9_measure_links", _PAIRS_SQL + _CHOSEN_SQL.format(taken="ccn", cutoff=S.measure_match_cutoff, norm=_norm_sql("provider_name")) + """
+SELECT c.provider_id, name AS ccn, c.provider_name, pairs.facility_name, CASE WHEN score = 100 THEN 'exact' ELSE 'fuzzy' END AS match_method, CAST(score AS DECIMAL(5,2)) AS match_score, false AS reviewed
+FROM chosen c JOIN pairs ON a = norm AND ccn = name""")
 def m9_measure_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, right = _name_sets(spark, sf_dir)
     return linkage.propose_measure_links(left.drop("certificate"), right.selectExpr("CAST(s_suppkey AS STRING) AS ccn", "facility_name"), S)
 
 
+@query("W6_review_candidates", _PAIRS_SQL + f"""
+SELECT provider_id, place, facility_name, score, CAST(regexp_extract(facility_name, '([0-9]+)$', 1) AS INT) % 3 = 0 AS claimed FROM (
+  SELECT provider_id, facility_name, score, CAST(row_number() OVER (PARTITION BY provider_id ORDER BY score DESC, facility_name) AS INT) AS place FROM (SELECT *, {_norm_sql("provider_name")} AS norm FROM providers) JOIN pairs ON a = norm
+) WHERE place <= 8""")
+def w6_review_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = _name_sets(spark, sf_dir)
+    return linkage.review_candidates(left, right, right.filter("s_suppkey % 3 = 0"))
+
+
 staged("M5_protected_merge", "provider_id, facility_name, reviewed", B.sql("SELECT provider_id, CASE WHEN reviewed THEN facility_name ELSE 'new name' END AS facility_name, reviewed FROM links", "links"), lambda t: linkage.protected_merge(t.links, t.links.withColumn("facility_name", F.lit("new name"))))
 
 
