@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuemark.config import Settings
+from valuemark.operators.selection import with_quantiles
 
 
 def name_key(c: Column | str) -> Column:
@@ -16,10 +19,6 @@ def _positive(c: str) -> Column:
     return F.when(F.col(c) > 0, F.col(c))
 
 
-def median(c: Column) -> Column:
-    return F.round(F.percentile(c.cast("double"), F.lit(0.5)), 2)
-
-
 def priced_lines(prices: DataFrame, s: Settings) -> DataFrame:
     """Target (system, code) pairs in an inpatient or unstated setting, with the rank of the system."""
     codes = [*s.apr_codes, *s.apr_legacy_codes]
@@ -29,13 +28,20 @@ def priced_lines(prices: DataFrame, s: Settings) -> DataFrame:
 
 
 def provider_pricing(prices: DataFrame, s: Settings) -> DataFrame:
-    """One row a facility name, from its preferred code system only (MS over APR): a window, no self-join."""
-    lines = priced_lines(prices, s).withColumn("best", F.min("system_rank").over(Window.partitionBy("facility_name"))).filter("system_rank = best")
-    g = lines.groupBy("facility_name").agg(
+    """One row a facility name, from its preferred code system only (MS over APR).
+
+    The best system of a facility is an aggregate that is joined back, and medians come by selection, so a facility with
+    a large share of all lines is spread over tasks.
+    """
+    lines = priced_lines(prices, s)
+    best = lines.groupBy(F.col("facility_name").alias("_name")).agg(F.min("system_rank").alias("best"))
+    lines = lines.join(best, F.col("facility_name").eqNullSafe(F.col("_name")) & (F.col("system_rank") == F.col("best"))).drop("_name", "best")
+    g = with_quantiles(
+        lines, ["facility_name"], {"median_cash": (_positive("cash"), 0.5), "median_negotiated": (_positive("negotiated"), 0.5)},
         F.max("system").alias("pricing_system"), F.count("*").alias("line_count"), F.count_distinct("payer").alias("payer_count"), F.count(_positive("negotiated")).alias("negotiated_lines"),
-        median(_positive("cash")).alias("median_cash"), median(_positive("negotiated")).alias("median_negotiated"), F.min(_positive("negotiated")).alias("min_negotiated"), F.max(_positive("negotiated")).alias("max_negotiated"),
+        F.min(_positive("negotiated")).alias("min_negotiated"), F.max(_positive("negotiated")).alias("max_negotiated"),
         *[F.mode(c, True).alias(c) for c in ("ccn",) if c in prices.columns],  # a file has one, so a facility has few
-    )
+    ).withColumns({c: F.round(c, 2) for c in ("median_cash", "median_negotiated")})
     basis = F.when(F.col("median_negotiated").isNotNull(), "median_negotiated").when(F.col("median_cash").isNotNull(), "median_cash_price")
     return g.withColumn("procedure_cost", F.coalesce("median_negotiated", "median_cash")).withColumn("price_file_basis", basis)
 
@@ -46,7 +52,10 @@ def weighted_mean(amount: Column, weight: Column) -> Column:
 
 
 def latest_only(df: DataFrame, key: list[str], year: str = "year") -> DataFrame:
-    return df.withColumn("_latest", F.max(year).over(Window.partitionBy(*key))).filter(F.col(year) == F.col("_latest")).drop("_latest")
+    """The rows of each key's last year; the years are aggregated first, so a key with many rows is no single task."""
+    last = df.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.max(year).alias("_latest"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    return df.join(last, reduce(lambda a, b: a & b, [*same, F.col(year) == F.col("_latest")])).drop("_latest", *[f"_{k}" for k in key])
 
 
 def provider_costs(costs: DataFrame, s: Settings) -> DataFrame:
@@ -59,8 +68,8 @@ def provider_costs(costs: DataFrame, s: Settings) -> DataFrame:
 def market_benchmark(pricing: DataFrame, costs: DataFrame) -> DataFrame:
     """Spread of provider-level costs for each basis; both bases over all priced providers."""
     both = pricing.select(F.lit("mrf_negotiated").alias("cost_basis"), F.col("procedure_cost").alias("cost")).unionByName(costs.select(F.lit("sparcs_charge").alias("cost_basis"), F.col("list_charge").alias("cost")))
-    q = lambda p: F.round(F.percentile(F.col("cost"), F.lit(p)), 2)
-    return both.filter("cost IS NOT NULL").groupBy("cost_basis").agg(F.count("*").alias("providers"), q(0.5).alias("market_median"), q(0.25).alias("p25"), q(0.75).alias("p75"), F.min("cost").alias("least"), F.max("cost").alias("most"))
+    g = with_quantiles(both.filter("cost IS NOT NULL"), ["cost_basis"], {"market_median": (F.col("cost"), 0.5), "p25": (F.col("cost"), 0.25), "p75": (F.col("cost"), 0.75)}, F.count("*").alias("providers"), F.min("cost").alias("least"), F.max("cost").alias("most"))
+    return g.withColumns({c: F.round(c, 2) for c in ("market_median", "p25", "p75")})
 
 
 def procedure_pricing(prices: DataFrame, costs: DataFrame, links: DataFrame, s: Settings) -> DataFrame:
@@ -68,7 +77,8 @@ def procedure_pricing(prices: DataFrame, costs: DataFrame, links: DataFrame, s:
     names = F.create_map(*[F.lit(x) for code, n in s.procedure_of_code for x in (f"{code:03d}", n)])
     named = links.filter("facility_name IS NOT NULL").select("provider_id", name_key("facility_name").alias("key"))
     lines = priced_lines(prices, s).filter("system = 'APR-DRG'").withColumn("procedure", names[F.col("code")]).withColumn("key", name_key("facility_name"))
-    mrf = lines.filter("procedure IS NOT NULL").join(named, "key").groupBy("provider_id", "procedure").agg(median(_positive("negotiated")).alias("mrf_price")).filter("mrf_price IS NOT NULL")
+    offers = lines.filter("procedure IS NOT NULL").join(named, "key")
+    mrf = with_quantiles(offers, ["provider_id", "procedure"], {"mrf_price": (_positive("negotiated"), 0.5)}).withColumn("mrf_price", F.round("mrf_price", 2)).filter("mrf_price IS NOT NULL")
     by_code = F.create_map(*[F.lit(x) for pair in s.procedure_of_code for x in pair])
     latest = latest_only(costs.withColumn("procedure", by_code[F.col("procedure_code")]).filter("procedure IS NOT NULL"), ["provider_id", "procedure"])
     charge = latest.groupBy("provider_id", "procedure").agg(weighted_mean(F.col("median_charge"), F.col("discharges")).alias("charge"))
@@ -77,4 +87,4 @@ def procedure_pricing(prices: DataFrame, costs: DataFrame, links: DataFrame, s:
 
 
 def procedure_benchmark(priced: DataFrame) -> DataFrame:
-    return priced.groupBy("procedure", "cost_basis").agg(F.count("*").alias("providers"), median(F.col("procedure_cost")).alias("market_median"))
+    return with_quantiles(priced, ["procedure", "cost_basis"], {"market_median": (F.col("procedure_cost"), 0.5)}, F.count("*").alias("providers")).withColumn("market_median", F.round("market_median", 2))

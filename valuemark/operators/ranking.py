@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,40 +18,44 @@ def pct_vs_market(cost: str = "cost", market: str = "market_median") -> Column:
 def ranked(df: DataFrame, partition: list[str] | None = None, key: str = "provider_id") -> DataFrame:
     """value_rank, value_percentile and star_rating of rows with an index; the others keep nulls. Ties in tiers go by ``key``.
 
-    With ``partition`` each group is ranked; without, positions come from ``global_positions``, so no task
-    holds the whole table.
+    With ``partition`` each group is ranked. Positions come from ``global_positions`` either way, so no task holds the
+    whole table, nor a group with a large share of it.
     """
-    has = df.filter("value_index IS NOT NULL")
     rest = df.filter("value_index IS NULL").withColumns({"value_rank": F.lit(None).cast("long"), "value_percentile": F.lit(None).cast("double"), "star_rating": F.lit(None).cast("int")})
-    if partition:
-        w = Window.partitionBy(*partition)
-        up = w.orderBy(F.asc("value_index"))
-        done = has.withColumns({"value_rank": F.rank().over(w.orderBy(F.desc("value_index"))).cast("long"), "value_percentile": F.round(F.percent_rank().over(up) * 100, 1), "star_rating": F.ntile(5).over(w.orderBy("value_index", key))})
-    else:
-        done = global_ranks(has, "value_index", key)
-    return done.unionByName(rest)
+    return global_ranks(df.filter("value_index IS NOT NULL"), "value_index", key, groups=partition or []).unionByName(rest)
+
+
+def _same(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{k}")) for k, c in enumerate(columns)])
 
 
-def global_positions(df: DataFrame, value: str, key: str) -> DataFrame:
-    """pos (0 upwards by value, then key), least_pos and most_pos of equal values, and total, without a one-task window.
+def global_positions(df: DataFrame, value: str, key: str, groups: list[str] | None = None) -> DataFrame:
+    """pos (0 upwards by value, then key), least_pos and most_pos of equal values, and total, each within its group.
 
-    Rows are range-partitioned by value and key, so equal values spread over tasks as others do, and written
-    once with their partition; positions are places in a partition behind the counts of the partitions before.
+    No window holds a group or the table: rows are range-partitioned by group, value and key, so a large group and equal
+    values spread over tasks as others do, and written once with their partition; positions are places in a partition
+    behind the counts of the partitions before, less where the group starts.
     """
-    part, nth = "_part", "_nth"
-    spread = materialize(df.repartitionByRange(F.col(value), F.col(key)).withColumn(part, F.spark_partition_id()), "spread")
+    groups = groups or []
+    part, nth, order = "_part", "_nth", [*groups, value, key]
+    spread = materialize(df.repartitionByRange(*[F.col(c) for c in order]).withColumn(part, F.spark_partition_id()), "spread")
     sizes = spread.groupBy(part).agg(F.count("*").alias("_size"))  # a row for each partition
     starts = sizes.select(part, F.coalesce(F.sum("_size").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    placed = spread.withColumn(nth, F.row_number().over(Window.partitionBy(part).orderBy(value, key))).join(F.broadcast(starts), part)
+    placed = spread.withColumn(nth, F.row_number().over(Window.partitionBy(part).orderBy(*order))).join(F.broadcast(starts), part)
     placed = materialize(placed.withColumn("pos", F.col("_start") + F.col(nth) - 1).drop(part, nth, "_start"), "positions")
-    ends = placed.groupBy(F.col(value).alias("_v")).agg(F.min("pos").alias("least_pos"), F.max("pos").alias("most_pos"))
-    total = placed.agg(F.count("*").alias("total"))
-    return placed.join(ends, F.col(value) == F.col("_v")).crossJoin(F.broadcast(total)).drop("_v")
+    named = lambda columns: [F.col(c).alias(f"_{k}") for k, c in enumerate(columns)]
+    ends = placed.groupBy(*named([*groups, value])).agg(F.min("pos").alias("least_pos"), F.max("pos").alias("most_pos"))
+    placed = placed.join(ends, _same([*groups, value])).drop(*[f"_{k}" for k in range(len(groups) + 1)])
+    if not groups:
+        return placed.crossJoin(F.broadcast(placed.agg(F.count("*").alias("total"))))  # one row
+    totals = placed.groupBy(*named(groups)).agg(F.count("*").alias("total"), F.min("pos").alias("_first"))
+    placed = placed.join(totals, _same(groups))
+    return placed.withColumns({c: F.col(c) - F.col("_first") for c in ("pos", "least_pos", "most_pos")}).drop("_first", *[f"_{k}" for k in range(len(groups))])
 
 
-def global_ranks(df: DataFrame, value: str, key: str, tiers: int = 5) -> DataFrame:
+def global_ranks(df: DataFrame, value: str, key: str, tiers: int = 5, groups: list[str] | None = None) -> DataFrame:
     """rank (descending), percent rank (ascending) and ntile by arithmetic on positions."""
-    p = global_positions(df, value, key)
+    p = global_positions(df, value, key, groups)
     small, extra = F.floor(F.col("total") / tiers), F.col("total") % tiers
     edge = extra * (small + 1)
     tile = F.when(F.col("pos") < edge, F.floor(F.col("pos") / (small + 1)) + 1).otherwise(extra + F.floor((F.col("pos") - edge) / F.greatest(small, F.lit(1))) + 1)

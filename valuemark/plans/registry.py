@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from valuemark.functions import scalars as X
 from valuemark.operators import checks, clinical, linkage, outcomes, ranking
+from valuemark.operators.selection import with_quantiles
 from valuemark.plans import binding as B
 from valuemark.plans.pipeline import S, Stages
 from valuemark.session import fresh_path, table
@@ -381,3 +382,27 @@ staged("M5_protected_merge", "provider_id, facility_name, reviewed", B.sql("SELE
 def w1_w3_global_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "orders").select("o_orderkey", F.floor(F.col("o_totalprice") / 10).alias("v"))
     return ranking.global_ranks(t, "v", "o_orderkey").select("o_orderkey", "value_rank", "value_percentile", "star_rating")
+
+
+#: One supplier with a third of all lines.
+_LINE = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING))"
+_HOT = "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END"
+
+
+@query("W4_W5_hot_group_ranks", f"""
+SELECT l_orderkey, l_linenumber, g, rank() OVER (PARTITION BY g ORDER BY v DESC) AS value_rank, {B.R('100 * percent_rank() OVER (PARTITION BY g ORDER BY v)', 1).replace('(38,12)', '(38,18)')} AS value_percentile, CAST(ntile(5) OVER (PARTITION BY g ORDER BY v, id) AS INT) AS star_rating
+FROM (SELECT l_orderkey, l_linenumber, {_HOT} AS g, floor(l_extendedprice / 100) AS v, {_LINE.replace("STRING", "VARCHAR")} AS id FROM lineitem)""")
+def w4_w5_hot_group_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line ranked within its supplier."""
+    t = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_HOT).alias("g"), F.floor(F.col("l_extendedprice") / 100).alias("v"), F.expr(_LINE).alias("id"))
+    return ranking.global_ranks(t, "v", "id", groups=["g"]).select("l_orderkey", "l_linenumber", "g", "value_rank", "value_percentile", "star_rating")
+
+
+@query("A7_hot_group_medians", f"""
+SELECT g, count(*) AS lines, {B.R(B.Q('price', 0.5), 4)} AS median_price, {B.R(B.Q('qty', 0.25), 4)} AS low_quantity, {B.R(B.Q('price', 0.9), 4)} AS high_price
+FROM (SELECT {_HOT} AS g, CAST(l_extendedprice AS DOUBLE) AS price, CAST(CASE WHEN l_linenumber > 1 THEN l_quantity END AS DOUBLE) AS qty FROM lineitem) GROUP BY g""")
+def a7_hot_group_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles where one group has a third of all rows; the group is counted in ranges, not collected."""
+    t = table(spark, sf_dir, "lineitem").select(F.expr(_HOT).alias("g"), F.col("l_extendedprice").cast("double").alias("price"), F.when(F.col("l_linenumber") > 1, F.col("l_quantity")).cast("double").alias("qty"))
+    wanted = {"median_price": (F.col("price"), 0.5), "low_quantity": (F.col("qty"), 0.25), "high_price": (F.col("price"), 0.9)}
+    return with_quantiles(t, ["g"], wanted, F.count("*").alias("lines"), most=4096).withColumns({c: F.round(c, 4) for c in wanted})
