@@ -9,6 +9,8 @@ from valuemark.config import Settings
 from valuemark.operators import linkage, ranking
 from valuemark.plans import jobs
 from valuemark.plans.pipeline import Stages
+from valuemark.sources import tables
+from valuemark.sources.versions import Conflict, VersionedTable
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,3 +78,58 @@ def test_no_plan_scans_a_large_table_twice(spark):
     for name in ("discharges", "prices"):
         assert len(re.findall(r"FileScan parquet [^\n]*l_suppkey", getattr(t, name)._jdf.queryExecution().executedPlan().toString())) == 1
     assert t.view.filter(F.col("value_rank") == 1).count() >= 1
+
+
+def test_a_write_that_dies_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    with pytest.raises(FileNotFoundError):
+        t.read()
+    assert t.write(spark.range(3)) == 1
+    broken = spark.range(9).withColumn("x", F.raise_error(F.lit("gone"))).drop("x").withColumn("id", F.when(F.col("id") > 7, F.raise_error(F.lit("gone")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="gone"):
+        t.write(broken)
+    assert t.read().count() == 3
+    with monkeypatch.context() as m:  # between the data and the pointer
+        m.setattr(VersionedTable, "commit", lambda *a, **b: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            t.write(spark.range(5))
+    old = t.read()
+    assert old.count() == 3 and t.write(old.filter("id > 0")) == 2  # a table may be read in making its successor
+    assert (t.read().count(), t.read(1).count(), old.count()) == (2, 3, 3)
+    with pytest.raises(Conflict):
+        t.commit(t.stage(spark.range(1)), after=1)
+    assert t.write(spark.range(7)) == 3 and len(t.clear()) == 4 and t.versions() == [2, 3] and t.read(2).count() == 2 and t.read().count() == 7
+
+
+def test_partitions_at_hand_are_replaced(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    rows = lambda *r: spark.createDataFrame(list(r), "release string, n int")
+    t.write(rows(("2022", 1), ("2023", 2), ("a/b=c", 3), (None, 4)), "release")
+    t.write(rows(("2023", 5), ("2024", 6)), "release")
+    t.write(rows(), "release")
+    assert {(r.release, r.n) for r in t.read().collect()} == {("2022", 1), ("2023", 5), ("a/b=c", 3), (None, 4), ("2024", 6)}
+
+
+def test_a_table_without_its_keys_is_not_published(spark, tmp_path):
+    run = jobs.Run(spark, str(tmp_path / "out"))
+    good = spark.createDataFrame([("hip", "x", 1, 2.0), ("knee", "x", 1, 3.0)], "procedure string, cost_basis string, providers int, market_median double")
+    run.write("procedure_benchmark", good)
+    for bad, told in ((good.unionByName(good.limit(1)), "1 that repeat it"), (good.withColumn("procedure", F.lit(None).cast("string")), "2 rows without it")):
+        with pytest.raises(ValueError, match=told):
+            run.write("procedure_benchmark", bad)
+    assert run.read("procedure_benchmark").count() == 2 and run.report["keys"]["procedure_benchmark"]["repeated"] in (0, 1)
+
+
+def test_broken_releases_and_absent_costs(spark, tmp_path, files):
+    spark.createDataFrame([("1", "326", "2022")], "facility_id string, apr_drg_code string, discharge_year string").write.parquet(str(tmp_path / "good"))
+    spark.createDataFrame([(str(k), "326", "2022") for k in range(50)], "facility_id string, apr_drg_code string, discharge_year string").coalesce(1).write.parquet(str(tmp_path / "bad"))
+    (part,) = (tmp_path / "bad").glob("part-*.parquet")
+    data = bytearray(part.read_bytes())
+    data[8 : len(data) // 3] = bytes(len(data) // 3 - 8)  # the footer is whole, so the fault shows only while rows are read
+    part.write_bytes(bytes(data))
+    for crc in (tmp_path / "bad").glob(".*.crc"):
+        crc.unlink()
+    loaded, failed = tables.load_discharges(spark, {"g": str(tmp_path / "good"), "b": str(tmp_path / "bad")}, [326], "parquet")
+    assert [r.release for r in loaded.collect()] == ["g"] and set(failed) == {"b"}
+    with pytest.raises(RuntimeError, match="no costs"):
+        jobs.ingest_costs(jobs.Run(spark, str(files / "out")))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from valuemark.config import Settings
@@ -40,6 +41,27 @@ def assert_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df
 
 
+def watched(df: DataFrame, keys: list[str]) -> tuple[DataFrame, Observation]:
+    """``df`` with what its keys are like observed while it is written: rows, null_keys and repeated.
+
+    Rows are numbered within their key, and that number is dropped again: a table that was just grouped by its keys is
+    dealt out by them already, so watching costs a sort of each task's rows and no job of its own.
+    """
+    seen = Observation(f"keys-{uuid.uuid4().hex}")
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    marked = df.withColumn("_nth", nth).observe(seen, F.count("*").alias("rows"), F.count_if(null).alias("null_keys"), F.count_if((F.col("_nth") > 1) & ~null).alias("repeated"))
+    return marked.drop("_nth"), seen
+
+
+def settled_keys(seen: dict, written: DataFrame, keys: list[str]) -> None:
+    """An error that shows a row, if what was observed of a written table says that its keys are none."""
+    if seen["null_keys"] or seen["repeated"]:
+        null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        suspects = written.filter(null).limit(1).collect() or duplicates(written, keys).limit(1).collect()
+        raise ValueError(f"{keys} is no key: {seen['null_keys']} rows without it, {seen['repeated']} that repeat it, as {suspects[0].asDict() if suspects else None}")
+
+
 def stage_counts(**tables: DataFrame) -> DataFrame:
     """Row counts of several tables in one action."""
     return reduce(DataFrame.unionByName, [t.agg(F.count("*").alias("rows")).select(F.lit(n).alias("stage"), "rows") for n, t in tables.items()])

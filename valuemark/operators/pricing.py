@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from valuemark.config import Settings
 from valuemark.operators.selection import with_quantiles
+from valuemark.session import materialize
 
 
 def name_key(c: Column | str) -> Column:
@@ -33,7 +34,8 @@ def provider_pricing(prices: DataFrame, s: Settings) -> DataFrame:
     The best system of a facility is an aggregate that is joined back, and medians come by selection, so a facility with
     a large share of all lines is spread over tasks.
     """
-    lines = priced_lines(prices, s)
+    columns = [c for c in ("facility_name", "system", "payer", "cash", "negotiated", "ccn") if c in prices.columns]
+    lines = materialize(priced_lines(prices, s).select(*columns, "system_rank"), "lines")
     best = lines.groupBy(F.col("facility_name").alias("_name")).agg(F.min("system_rank").alias("best"))
     lines = lines.join(best, F.col("facility_name").eqNullSafe(F.col("_name")) & (F.col("system_rank") == F.col("best"))).drop("_name", "best")
     g = with_quantiles(
@@ -77,7 +79,7 @@ def procedure_pricing(prices: DataFrame, costs: DataFrame, links: DataFrame, s:
     names = F.create_map(*[F.lit(x) for code, n in s.procedure_of_code for x in (f"{code:03d}", n)])
     named = links.filter("facility_name IS NOT NULL").select("provider_id", name_key("facility_name").alias("key"))
     lines = priced_lines(prices, s).filter("system = 'APR-DRG'").withColumn("procedure", names[F.col("code")]).withColumn("key", name_key("facility_name"))
-    offers = lines.filter("procedure IS NOT NULL").join(named, "key")
+    offers = materialize(lines.filter("procedure IS NOT NULL").join(named, "key").select("provider_id", "procedure", "negotiated"), "offers")
     mrf = with_quantiles(offers, ["provider_id", "procedure"], {"mrf_price": (_positive("negotiated"), 0.5)}).withColumn("mrf_price", F.round("mrf_price", 2)).filter("mrf_price IS NOT NULL")
     by_code = F.create_map(*[F.lit(x) for pair in s.procedure_of_code for x in pair])
     latest = latest_only(costs.withColumn("procedure", by_code[F.col("procedure_code")]).filter("procedure IS NOT NULL"), ["provider_id", "procedure"])

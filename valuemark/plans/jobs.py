@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuemark.config import Settings
-from valuemark.operators import clinical, linkage, outcomes, pricing, ranking, scoring
-from valuemark.session import materialize
+from valuemark.operators import checks, clinical, linkage, outcomes, pricing, ranking, scoring
 from valuemark.sources import prices, sinks, tables
+from valuemark.sources.versions import VersionedTable
 
 #: What staging tables look like before anything is loaded.
 SCHEMAS = {
@@ -45,21 +45,40 @@ class Run:
     reviewed: str | None = None
     report: dict[str, object] = dataclasses.field(default_factory=dict)
 
+    def table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.folder}/{name}")
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        return self.table(name).read()
 
     def write(self, name: str, df: DataFrame, partition: str | None = None) -> None:
-        """Staging rules apply to staging tables; a table that is read in making its successor is replaced only when that is whole."""
-        if name in SCHEMAS:
-            sinks.write_staging(materialize(df, name), f"{self.folder}/{name}", partition=partition)
+        """A new version of a table, with its keys checked while it is written; a reader, or a write that dies, has the old one.
+
+        Staging tables keep no empty texts, and a partitioned one replaces the partitions at hand only.
+        """
+        table, keys = self.table(name), checks.KEYS.get(KEYS_OF.get(name, name))
+        clean = sinks.without_empty_texts(df, partition) if name in SCHEMAS else df
+        if keys is None:
+            table.write(clean, partition)
         else:
-            materialize(df, name).write.mode("overwrite").parquet(f"{self.folder}/{name}")
+            before = table.versions()
+            marked, seen = checks.watched(clean, list(keys))
+            parts = table.stage(marked)
+            self.report.setdefault("keys", {})[name] = seen.get
+            checks.settled_keys(seen.get, self.spark.read.parquet(*[f"{table.path}/{p['folder']}" for p in parts]), list(keys))
+            table.commit(parts, after=before[-1] if before else 0)
+        table.clear()
+
+
+#: Tables whose keys stand under another name.
+KEYS_OF = {"market": "market_benchmark", "scores": "score_table", "outcomes": "provider_outcomes"}
 
 
 def schema(run: Run) -> None:
     """Empty staging tables where there are none."""
     for name, columns in SCHEMAS.items():
-        run.spark.createDataFrame([], columns).write.mode("ignore").parquet(f"{run.folder}/{name}")
+        if not run.table(name).exists():
+            run.table(name).write(run.spark.createDataFrame([], columns))
 
 
 def ingest_discharges(run: Run) -> None:
@@ -67,7 +86,7 @@ def ingest_discharges(run: Run) -> None:
     run.report["discharges"] = failed
     if loaded is None:
         raise RuntimeError(f"no release could be loaded: {failed}")
-    run.write("discharges", loaded)
+    run.write("discharges", loaded, "release")
 
 
 def ingest_prices(run: Run) -> None:
@@ -80,6 +99,8 @@ def ingest_prices(run: Run) -> None:
 
 
 def ingest_costs(run: Run) -> None:
+    if not run.costs:
+        raise RuntimeError("no costs are given")
     run.write("costs", tables.load_costs(tables.read_text_table(run.spark, run.costs)))
 
 

@@ -96,6 +96,49 @@ def _reasons(t: Stages) -> DataFrame:
 
 staged("Q3_drop_reasons", "total_rows, other_procedure, bad_severity, bad_los, no_provider, not_elective, extreme_risk", B.sql(
     "SELECT count(*) AS total_rows, count(*) FILTER (procedure_code NOT IN (324, 326)) AS other_procedure, count(*) FILTER (severity NOT BETWEEN 1 AND 4) AS bad_severity, CAST(0 AS BIGINT) AS bad_los, count(*) FILTER (provider_id IS NULL) AS no_provider, count(*) FILTER (admission <> 'Elective') AS not_elective, count(*) FILTER (risk = 'Extreme') AS extreme_risk FROM discharges", "discharges"), _reasons)
+#: Lengths of stay as they come: whole days, with blanks, open at the top, and what is none.
+_LOS = "CASE l_orderkey % 6 WHEN 0 THEN ' 3 ' WHEN 1 THEN '120 +' WHEN 2 THEN 'n/a' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE CAST(l_linenumber AS STRING) END"
+
+
+@query("Q3_bad_los", f"SELECT count(*) AS total_rows, count(*) FILTER (los IS NULL OR los NOT IN (' 3 ', '120 +') AND NOT regexp_full_match(los, '[0-9]+')) AS bad_los FROM (SELECT {_LOS.replace('STRING', 'VARCHAR')} AS los FROM lineitem)")
+def q3_bad_los(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop reasons of every line, a third of which have no length of stay."""
+    t = table(spark, sf_dir, "lineitem").select(F.expr(_LOS).alias("los_raw"), F.lit(324).alias("procedure_code"), F.lit(1).alias("severity"), F.lit(1).alias("provider_id"), F.lit("Elective").alias("admission"), F.lit("Minor").alias("risk"))
+    return clinical.drop_reasons(t, S).select("total_rows", "bad_los")
+
+
+#: Tables and what their keys are called in ``checks.KEYS``; the SQL tables they equal.
+WATCHED = {
+    "benchmarks": ("benchmarks", "bench"), "provider_metrics": ("provider_metrics", "metrics"), "procedure_metrics": ("procedure_metrics", "proc_metrics"), "provider_pricing": ("provider_pricing", "pricing"), "provider_costs": ("provider_costs", "provider_costs"),
+    "market_benchmark": ("market", "market"), "score_table": ("scores", "scores"), "procedure_pricing": ("procedure_pricing", "proc_pricing"), "procedure_benchmark": ("procedure_benchmark", "proc_bench"), "procedure_scores": ("procedure_scores", "proc_scores"),
+    "provider_outcomes": ("outcomes", "outcomes"), "links": ("links", "links"),
+}
+
+
+def _planted(df: DataFrame) -> DataFrame:
+    """Rows that repeat, and rows that lose their key, where a table has a provider."""
+    if "provider_id" not in df.columns:
+        return df
+    twice = df.withColumn("_again", F.explode(F.array_repeat(F.lit(1), F.when(F.col("provider_id") % 10 == 0, 2).otherwise(1)))).drop("_again")
+    return twice.withColumn("provider_id", F.when(F.col("provider_id") % 10 != 1, F.col("provider_id")))
+
+
+def _planted_sql(name: str, keyed: bool) -> str:
+    tens, ones = ("count(*) FILTER (provider_id % 10 = 0)", "count(*) FILTER (provider_id % 10 = 1)") if keyed else ("0", "0")
+    return f"SELECT '{name}' AS name, count(*) + {tens} AS rows, CAST({ones} AS BIGINT) AS null_keys, CAST({tens} AS BIGINT) AS repeated FROM {WATCHED[name][1]}"
+
+
+@query("Q13_keys_watched", B.sql(" UNION ALL ".join(_planted_sql(n, "provider_id" in checks.KEYS[n]) for n in WATCHED), *dict.fromkeys(v[1] for v in WATCHED.values())))
+def q13_keys_watched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is observed of the keys of each derived table while it is written, with faults planted in those of providers."""
+    t, found = Stages(spark, sf_dir), []
+    for name, (stage, _) in WATCHED.items():
+        marked, seen = checks.watched(_planted(getattr(t, stage)), list(checks.KEYS[name]))
+        marked.write.parquet(fresh_path(spark, "watched"))
+        found.append((name, seen.get["rows"], seen.get["null_keys"], seen.get["repeated"]))
+    return spark.createDataFrame(found, "name string, rows long, null_keys long, repeated long")  # a row a table
+
+
 staged("Q5_dispositions", "disposition, adverse, n", B.sql("SELECT disposition, CASE disposition WHEN 'Home or Self Care' THEN 0 WHEN 'Unknown' THEN NULL ELSE 1 END AS adverse, count(*) AS n FROM discharges GROUP BY ALL", "discharges"), lambda t: checks.dispositions(t.discharges))
 staged("Q6_unmapped", "without_row, without_name", B.sql("SELECT (SELECT count(*) FROM metrics ANTI JOIN links USING (provider_id)) AS without_row, (SELECT count(*) FROM metrics m WHERE EXISTS (SELECT 1 FROM links l WHERE l.provider_id = m.provider_id AND l.facility_name IS NULL)) AS without_name", "metrics", "links"), lambda t: checks.unmapped(t.provider_metrics, t.links))
 staged("Q7_awaiting_review", "provider_id, facility_name", B.sql("SELECT provider_id, facility_name FROM links WHERE NOT reviewed AND facility_name IS NOT NULL", "links"), lambda t: t.links.filter("NOT reviewed AND facility_name IS NOT NULL"))

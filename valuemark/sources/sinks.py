@@ -13,10 +13,14 @@ from valuemark.functions import scalars as S
 from valuemark.operators.ranking import export_view
 
 
+def without_empty_texts(df: DataFrame, but: str | None = None) -> DataFrame:
+    text = {n for n, t in df.dtypes if t == "string"}
+    return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if c in text and c != but else F.col(c) for c in df.columns])
+
+
 def write_staging(df: DataFrame, path: str, mode: str = "overwrite", partition: str | None = "release") -> None:
     """Empty texts become null. Overwriting a table that is partitioned by release replaces the releases at hand only."""
-    text = {n for n, t in df.dtypes if t == "string"}
-    clean = df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if c in text and c != partition else F.col(c) for c in df.columns])
+    clean = without_empty_texts(df, partition)
     writer = clean.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(partition) if partition and partition in df.columns else writer).parquet(path)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from valuemark.functions import scalars as S
 from valuemark.operators.outcomes import MEASURES
+from valuemark.session import materialize
 
 # Candidate source names of each column, the first with a value wins.
 DISCHARGE_FIELDS = {
@@ -90,11 +91,15 @@ def capped(df: DataFrame, limit: int | None) -> DataFrame:
 
 
 def load_releases(spark: SparkSession, releases: Mapping[str, str], read: Callable[[SparkSession, str], DataFrame]) -> tuple[DataFrame | None, dict[str, str]]:
-    """Good releases stacked, with their label; failing ones reported."""
+    """Good releases stacked, with their label; failing ones reported.
+
+    Each release is read to its end and written by itself, so one whose files turn out to be broken while they are read
+    fails alone.
+    """
     parts, failed = [], {}
     for label, path in releases.items():
         try:
-            parts.append(read(spark, path).withColumn("release", F.lit(label)))
+            parts.append(materialize(read(spark, path).withColumn("release", F.lit(label)), "release"))
         except Exception as e:  # one release must not stop the others
             failed[label] = str(e).splitlines()[0]
     whole = None
