@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from valuemark import session
 from valuemark.config import Settings
 from valuemark.operators import linkage, ranking
 from valuemark.plans import jobs
@@ -133,3 +134,14 @@ def test_broken_releases_and_absent_costs(spark, tmp_path, files):
     assert [r.release for r in loaded.collect()] == ["g"] and set(failed) == {"b"}
     with pytest.raises(RuntimeError, match="no costs"):
         jobs.ingest_costs(jobs.Run(spark, str(files / "out")))
+
+
+def test_what_is_written_in_a_scratch_goes_with_it(spark):
+    with session.scratch(spark) as folder:
+        kept = session.materialize(spark.range(4), "x")
+        assert kept._folder.startswith(folder) and kept.count() == 4
+        with session.scratch(spark) as inner:
+            assert session.materialize(spark.range(1), "y")._folder.startswith(inner) and inner.startswith(folder)
+        assert kept.count() == 4
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) and not session.fresh_path(spark, "z").startswith(folder)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from valuemark.config import Settings
 from valuemark.operators import checks, clinical, linkage, outcomes, pricing, ranking, scoring
+from valuemark.session import scratch
 from valuemark.sources import prices, sinks, tables
 from valuemark.sources.versions import VersionedTable
 
@@ -170,7 +171,8 @@ JOBS = {
 
 
 def run_all(run: Run) -> dict[str, object]:
-    """Every job in order; what could not be read is in the report."""
+    """Every job in order; what could not be read is in the report. Tables between the steps go with the job."""
     for job in JOBS.values():
-        job(run)
+        with scratch(run.spark):
+            job(run)
     return run.report

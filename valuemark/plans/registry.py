@@ -111,7 +111,7 @@ def q3_bad_los(spark: SparkSession, sf_dir: str) -> DataFrame:
 WATCHED = {
     "benchmarks": ("benchmarks", "bench"), "provider_metrics": ("provider_metrics", "metrics"), "procedure_metrics": ("procedure_metrics", "proc_metrics"), "provider_pricing": ("provider_pricing", "pricing"), "provider_costs": ("provider_costs", "provider_costs"),
     "market_benchmark": ("market", "market"), "score_table": ("scores", "scores"), "procedure_pricing": ("procedure_pricing", "proc_pricing"), "procedure_benchmark": ("procedure_benchmark", "proc_bench"), "procedure_scores": ("procedure_scores", "proc_scores"),
-    "provider_outcomes": ("outcomes", "outcomes"), "links": ("links", "links"),
+    "provider_outcomes": ("outcomes", "outcomes"), "links": ("links", "links"), "measure_links": ("links", "links"),
 }
 
 

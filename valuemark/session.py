@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import zipfile
@@ -48,8 +49,29 @@ def shared_dir(spark: SparkSession) -> str:
     return java_context.getCheckpointDir().get().rstrip("/")
 
 
+#: Folders of the scratches that are open, the innermost last.
+_scratches: list[str] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_scratches[-1] if _scratches else shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """What is written to the shared folder within goes when the block ends; results that are still lazy then are lost."""
+    folder = fresh_path(spark, "scratch")
+    _scratches.append(folder)
+    try:
+        yield folder
+    finally:
+        _scratches.remove(folder)
+        _delete(spark, folder)
 
 
 #: Files a core that a table of short rows is written to at most.
@@ -72,5 +94,4 @@ def materialize(df: DataFrame, label: str, short: bool = False) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete a table that ``materialize`` gave, once nothing that is still to run reads it."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._folder)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df._folder)
