@@ -19,7 +19,7 @@ from valuemark.operators.pricing import name_key
 from valuemark.session import materialize
 
 #: Names that a key is shown at a time beside one for each of its providers, and names in a block that is scored as one row.
-DEPTH, BLOCK = 64, 128
+DEPTH, BLOCK = 16, 128
 SHOWN = "key string, facility_name string, exact boolean, score double"
 LINK_COLUMNS = ("provider_id", "certificate", "provider_name", "facility_name", "match_method", "match_score", "reviewed", "review_source")
 
