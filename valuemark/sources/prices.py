@@ -124,9 +124,12 @@ def target_digits(s: Settings) -> str:
 
 
 def _targets(pairs: list[tuple[Column, Column]], description: Column, s: Settings) -> Column:
-    """The first code of a row that is a target, as struct(system, number)."""
+    """The first code of a row that is a target, as a list of struct(system, number) with one element, or none.
+
+    Rows are to be made of it: a filter on a column of it would be pushed below, and all patterns be tried twice.
+    """
     classified = F.array(*[F.when(c.rlike(target_digits(s)), S.classify_code(c, t)) for c, t in pairs])
-    return F.get(F.filter(classified, lambda x: x.isNotNull() & S.is_target_code(x, description, s)), 0)
+    return F.slice(F.filter(classified, lambda x: x.isNotNull() & S.is_target_code(x, description, s)), 1, 1)
 
 
 def code_columns(names: list[str]) -> list[tuple[str, str | None]]:
@@ -149,7 +152,7 @@ def csv_lines(df: DataFrame, names: list[str], s: Settings) -> DataFrame:
     get = lambda *wanted: F.coalesce(*[F.col(of[w]) for w in wanted if w in of], F.lit(None).cast("string"))
     description = get("description")
     pairs = [(F.col(of[c]), F.col(of[t]) if t else F.lit(None).cast("string")) for c, t in code_columns(names)]
-    rows = df.withColumn("target", _targets(pairs, description, s)).filter("target IS NOT NULL")
+    rows = df.withColumn("target", F.explode(_targets(pairs, description, s)))
     wide = [(n, payers[n]) for n in names if n.startswith("standard_charge|") and n.count("|") == 3]
     amount = lambda n: S.clean_currency(F.col(of[n]))
     if wide:
@@ -184,10 +187,9 @@ def json_lines(items: DataFrame, s: Settings) -> DataFrame:
     """Charge items, with facility_name and source, to price lines: first target code, charges, payers or one line without."""
     able = F.filter("code_information", lambda c: c["code"].rlike(target_digits(s)))
     codes = F.transform(able, lambda c: S.classify_code(c["code"], c["type"]))
-    target = F.get(F.filter(codes, lambda x: x.isNotNull() & S.is_target_code(x, F.col("description"), s)), 0)
+    target = F.slice(F.filter(codes, lambda x: x.isNotNull() & S.is_target_code(x, F.col("description"), s)), 1, 1)
     own = [c for c in ("file", "facility_name", "source") if c in items.columns]
-    items = items.filter(F.exists("code_information", lambda c: c["code"].rlike(target_digits(s))))
-    rows = items.withColumn("target", target).filter("target IS NOT NULL").select(*own, "description", "target", F.explode("standard_charges").alias("c")).select("*", F.explode_outer("c.payers_information").alias("p"))
+    rows = items.withColumn("target", F.explode(target)).select(*own, "description", "target", F.explode("standard_charges").alias("c")).select("*", F.explode_outer("c.payers_information").alias("p"))
     money = lambda c: S.clean_currency(F.col(c))
     return rows.select(
         *[c for c in own if c != "source"], F.lit(None).cast("string").alias("ccn"), F.col("target.number").alias("code"), F.col("target.system").alias("system"), "description", S.blank_to_null(F.col("c.setting")).alias("setting"), F.col("p.payer_name").alias("payer"), F.col("p.plan_name").alias("plan"),
