@@ -14,6 +14,7 @@ import array
 import functools
 import os
 import re
+from collections.abc import Callable
 
 from valuemark.llm.common import worker_state
 
@@ -27,6 +28,22 @@ def encoder(path: str, limit: int = 250_000) -> "ChunkEncoder":
     return worker_state(("encoder", path, limit), functools.partial(ChunkEncoder, path, limit))
 
 
+class _Chunks(dict):
+    """Ids of chunks, encoded when first asked for, in two generations of at most ``limit`` entries."""
+
+    def __init__(self, encode: Callable[[str], bytes | None], limit: int):
+        super().__init__()
+        self.encode, self.limit, self.old = encode, limit, {}
+
+    def __missing__(self, chunk: str) -> bytes | None:
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        found = self.old[chunk] if chunk in self.old else self.encode(chunk)
+        self[chunk] = found
+        return found
+
+
 class ChunkEncoder:
     """``ids(text)`` gives little-endian unsigned 32-bit ids, equal to the library's for the whole text."""
 
@@ -36,7 +53,7 @@ class ChunkEncoder:
         self.library = Tokenizer.from_file(path)
         # What an added token holds besides letters, which no normaliser makes: a text without it has no added token.
         self.marks = {max(re.split(r"\w+", t.content), key=len) for t in self.library.get_added_tokens_decoder().values()}
-        self.model, self.limit, self.cache, self.old = self.library.model, limit, {}, {}
+        self.model, self.cache = self.library.model, _Chunks(self._encode, limit)
         self.normalizer = self.library.normalizer
         self.split = self.library.pre_tokenizer.pre_tokenize_str
         # White space is part of a token in byte-level vocabularies and is dropped in others.
@@ -55,8 +72,10 @@ class ChunkEncoder:
         """Ids of a chunk as it stands behind a space; one led by a line end stands behind that."""
         led = self.keeps_space and chunk[:1] == "\n"
         if m := PLAIN.fullmatch(chunk, led):
-            ids = self._plain("" if led else self.space, *m.groups())
-            return self._tail("\n") + ids if led else ids
+            word, tail = m.groups()
+            if tail:  # the word, a chunk of its own, and the punctuation
+                return self.cache[chunk[: -len(tail)]] + self._tail(tail)
+            return self._tail("\n") + self._plain("", word, "") if led else self._plain(self.space, word, "")
         if self.keeps_space:
             if len(chunk.split()) != 1 or chunk[-1:].isspace():
                 return None
@@ -97,13 +116,7 @@ class ChunkEncoder:
             first = self._plain("", *m.groups()) if m else self._packed(head)
         else:
             chunks = text.replace("\n", " ").split(" ")
-        if new := set(chunks).difference(cache):
-            old, encode = self.old, self._encode
-            cache.update((c, old[c] if c in old else encode(c)) for c in new)
-        parts = list(map(cache.__getitem__, chunks))
-        if len(cache) > self.limit:
-            self.old, self.cache = cache if len(cache) < 2 * self.limit else {}, {}
         try:
-            return first + b"".join(parts)
+            return first + b"".join(map(cache.__getitem__, chunks))
         except TypeError:  # a chunk holds white space of another kind
             return self.whole(text)
