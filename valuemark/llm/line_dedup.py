@@ -26,22 +26,24 @@ from pyspark.sql import functions as F
 from valuemark.llm.common import materialize, table, unused
 
 MIN_CHARS = 160
+#: Lines and passages are told apart by 128 bits: a plain hash and one behind this number.
+SECOND = 20240601
 #: A document: whether it has an id, the id or 0, and the hash of its text.
 DOC = ("known", "id", "th")
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """Documents and their lines with content: hash, length, line number from 0."""
+    """Documents and their lines with content: two hashes, length, line number from 0."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc_id = F.col("doc_id").cast("long")
-    hashed = F.transform(F.split(text, "\n"), lambda x, i: F.struct(F.xxhash64(x).alias("h"), F.when(F.length(F.trim(x)) > 0, F.length(x)).otherwise(0).cast("long").alias("size"), i.alias("pos")))
+    hashed = F.transform(F.split(text, "\n"), lambda x, i: F.struct(F.xxhash64(x).alias("h"), F.xxhash64(F.lit(SECOND), x).alias("g"), F.when(F.length(F.trim(x)) > 0, F.length(x)).otherwise(0).cast("long").alias("size"), i.alias("pos")))
     lines = F.when(F.length(text) >= min_chars, F.filter(hashed, lambda x: x["size"] > 0))
     described = docs.select(doc_id.isNotNull().alias("known"), F.coalesce(doc_id, F.lit(0)).alias("id"), F.xxhash64(text).alias("th"), lines.alias("lines")).filter(F.col("lines").isNotNull())
     return described.groupBy(*DOC).agg(F.first("lines").alias("lines"))
 
 
 def _windows(lined: DataFrame, min_chars: int, *kept: str) -> DataFrame:
-    """Every complete window: its first and last line (number, and ``nth`` among those with content), print (least hash) and its place, content (hash of all lines)."""
+    """Every complete window: its first and last line (number, and ``nth`` among those with content), print (least hash) and its place, content (two hashes of all lines)."""
     doc = Window.partitionBy(*DOC)
     lines = lined.select(*DOC, *kept, F.posexplode("lines").alias("nth", "line")).select(*DOC, *kept, "nth", "line.*")
     placed = lines.withColumn("until", F.sum("size").over(doc.orderBy("nth").rowsBetween(Window.unboundedPreceding, 0))).withColumn("begin", F.col("until") - F.col("size")).withColumn("total", F.sum("size").over(doc))
@@ -49,11 +51,12 @@ def _windows(lined: DataFrame, min_chars: int, *kept: str) -> DataFrame:
     behind = doc.orderBy("until").rangeBetween(1 - min_chars, 0)
 
     def side(frame: Window, complete) -> DataFrame:
-        found = placed.select(*DOC, *kept, F.collect_list(F.struct("h", "pos", "nth")).over(frame).alias("held"), complete.alias("complete")).filter("complete")
-        least, hs, first, last = F.array_min("held"), F.col("held.h"), F.element_at("held", 1), F.element_at("held", -1)
+        found = placed.select(*DOC, *kept, F.collect_list(F.struct("h", "pos", "nth", "g")).over(frame).alias("held"), complete.alias("complete")).filter("complete")
+        least, first, last = F.array_min("held"), F.element_at("held", 1), F.element_at("held", -1)
+        content = F.struct(*[F.xxhash64(F.size("held"), F.col(f"held.{c}")).alias(c) for c in ("h", "g")])
         return found.select(
             *DOC, *kept, first["pos"].alias("from_pos"), last["pos"].alias("to_pos"), first["nth"].alias("from_nth"), last["nth"].alias("to_nth"),
-            least["h"].alias("print"), least["pos"].alias("print_pos"), F.xxhash64(F.size(hs), hs).alias("content"),
+            least["h"].alias("print"), least["pos"].alias("print_pos"), content.alias("content"),
         )
 
     return side(ahead, F.col("total") - F.col("begin") >= min_chars).unionByName(side(behind, F.col("until") >= min_chars))
