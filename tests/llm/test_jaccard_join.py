@@ -56,6 +56,24 @@ def run(spark, rows, *args):
     return sorted(tuple(r) for r in J.jaccard_components(df, *args).collect())
 
 
+@pytest.mark.parametrize("bits", [1, 5])
+def test_sets_whose_names_clash_are_told_apart(spark, bits):
+    rows = corpus(5)
+    assert run(spark, rows, 4, 85, 100, bits) == brute(rows, 4, 85, 100)
+
+
+def test_lists_are_broadcast_by_what_their_partners_take(spark, monkeypatch):
+    """Few rows of many partners count as what they are; both ways of joining give the same."""
+    monkeypatch.setattr(J, "BROADCAST_BYTES", 1000)
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(J._small(spark.createDataFrame([(1, [2, 3])], "owner long, others array<long>")))
+    assert not hinted(J._small(spark.createDataFrame([(1, list(range(200)))], "owner long, others array<long>")))
+    assert not spark.createDataFrame([], "owner long, others array<long>").join(J._small(spark.createDataFrame([], "owner long, others array<long>")), "owner").count()
+    monkeypatch.setattr(J, "BROADCAST_BYTES", 0)
+    rows = corpus(6)
+    assert run(spark, rows, 4, 85, 100) == brute(rows, 4, 85, 100)
+
+
 def test_shingle_hashes_stand_for_the_shingles():
     texts = ["", "  ", "One two\tTHREE four five", "a", "a b c d", "é B\x0bc d e f g", "x " * 40, "w1 w2 w3 w4 w5 w6 " * 3] * 2
     sets = list(shingle_sets(texts, 4))

@@ -19,6 +19,10 @@ What is left is verified exactly. To find components without all pairs of a larg
 each set is first verified against the least set of each signature; signatures that still join several components
 are then led by another set each; and where components are still apart, every pair from different ones is verified. Links inside a component change
 nothing and are left out.
+
+A set is named by 64 bits. A second 64 tell which names two different sets have (among 10^10 sets a few): these
+few names are told to all tasks, and their sets take the second 64 instead; so two unlike sets are one node with a
+chance of one in 2^128, or where names clash 2^64.
 """
 
 from __future__ import annotations
@@ -33,42 +37,48 @@ from pyspark.sql import functions as F
 
 from valuemark.llm.common import discard, materialize, sliced, table, texts
 from valuemark.llm.components import stars
-from valuemark.llm.shingles import mixed, set_digest, shingle_sets
+from valuemark.llm.shingles import mixed, set_check, set_digest, shingle_sets
 
 #: Bits of a token that are counted, tokens in a counting bucket, least count of a frequent token.
 KEY_BITS, BUCKET_TOKENS, LEAST_FREQUENT = 48, 1 << 20, 8
 #: At most so many tokens are called frequent (the most common ones); they are marked in a table of so many bits.
 MOST_FREQUENT, MARK_BITS = 1 << 21, 26
-#: Rows up to which a list of document ids is broadcast (about 30 bytes each); longer ones are joined by exchange.
-BROADCAST_ROWS = 400_000
+#: Bytes up to which a list of document ids and their partners is broadcast, by about so many a row and a partner; longer ones are joined by exchange.
+BROADCAST_BYTES, ROW_BYTES, PARTNER_BYTES = 12_000_000, 30, 8
 COUNT_CHUNK = 1 << 20
 
 
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
+def name(tokens: np.ndarray, bits: int, clashes: frozenset[int] = frozenset()) -> int:
+    """What a set is called: the first ``bits`` of its digest, or its second digest where others have these too."""
+    first = set_digest(tokens) >> (64 - bits)
+    return set_check(tokens) if first in clashes else first
+
+
 def sketch(tokens: np.ndarray) -> np.ndarray:
     """256 parities as four numbers."""
     bits = (np.bincount((tokens >> np.uint64(8)).astype("u1"), minlength=256) & 1).astype("u1")
     return np.packbits(bits).view("<i8")
 
 
-def _described(batches, n: int):
-    """n_shingles, node (digest of the set) and parity sketch of each text."""
+def _described(batches, n: int, bits: int):
+    """n_shingles, node (name of the set), second digest and parity sketch of each text."""
     for b in sliced(batches):
         sets = list(shingle_sets(b.column("text").to_pylist(), n))
         marks = np.array([sketch(s) for s in sets], "i8").reshape(-1, 4)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_digest(s) for s in sets], pa.int64()), *[pa.array(marks[:, k]) for k in range(4)]], ["doc_id", "n_shingles", "node", *SKETCH])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([name(s, bits) for s in sets], pa.int64()), pa.array([set_check(s) for s in sets], pa.int64()), *[pa.array(marks[:, k]) for k in range(4)]], ["doc_id", "n_shingles", "node", "second", *SKETCH])
 
 
-def _fresh(batches, n: int):
+def _fresh(batches, n: int, called):
     """Sets and nodes of a task, each node once (within a bounded memory)."""
     seen: set[int] = set()
     for b in sliced(batches):
         for tokens in shingle_sets(b.column("text").to_pylist(), n):
             if not len(tokens):
                 continue
-            node = set_digest(tokens)
+            node = called.value(tokens)
             if node not in seen:
                 if len(seen) > 50_000:
                     seen.clear()
@@ -80,10 +90,10 @@ def _keys(tokens: np.ndarray) -> np.ndarray:
     return tokens >> np.uint64(64 - KEY_BITS)
 
 
-def _counted(batches, n: int, buckets: int):
+def _counted(batches, n: int, called, buckets: int):
     """Tokens of a task for counting: a row for each bucket that has any, with its distinct keys and how often they stand there."""
     held, size = [], 0
-    for _, tokens in _fresh(batches, n):
+    for _, tokens in _fresh(batches, n, called):
         held.append(_keys(tokens))
         size += len(tokens)
         if size >= COUNT_CHUNK:
@@ -127,10 +137,10 @@ def _common(t: pa.Table, least: int) -> pa.Table:
     return pa.table({"key": pa.array(keys[starts][many].astype("i8")), "n": pa.array(counts[many])})
 
 
-def frequent_marks(rows: DataFrame, n: int, total: int) -> bytes:
+def frequent_marks(rows: DataFrame, n: int, called, total: int) -> bytes:
     """A bit for each mark that a frequent token has. Tokens are counted over all texts; an unlucky rare token that shares a mark counts as frequent, which costs time but no link."""
     buckets = 1 << max(6, math.ceil(math.log2(max(total / BUCKET_TOKENS, 1))))
-    counted = rows.select("text").mapInArrow(functools.partial(_counted, n=n, buckets=buckets), COUNT_ROW)
+    counted = rows.select("text").mapInArrow(functools.partial(_counted, n=n, called=called, buckets=buckets), COUNT_ROW)
     least = LEAST_FREQUENT
     common = materialize(counted.groupBy("bucket").applyInArrow(lambda t: _common(t, least), "key long, n long"), "common", short=True)
     sizes = common.groupBy(F.floor(F.log2("n")).cast("int").alias("p")).count().collect()  # at most 60 rows
@@ -167,10 +177,10 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, num: int, den: int) ->
     return np.unique(np.concatenate(found))
 
 
-def _signed(batches, n: int, num: int, den: int, marks):
+def _signed(batches, n: int, called, num: int, den: int, marks):
     bits = np.frombuffer(marks.value, "u1")
     held, nodes, size = [], [], 0
-    for node, tokens in _fresh(batches, n):
+    for node, tokens in _fresh(batches, n, called):
         held.append(signatures(tokens, _is_frequent(tokens, bits), num, den))
         nodes.append(node)
         size += len(held[-1])
@@ -186,24 +196,25 @@ def _signature_rows(held, nodes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).astype("i8")), pa.array(np.repeat(np.array(nodes, "i8"), each))], ["sig", "node"])
 
 
-def _tokens(batches, n: int):
+def _tokens(batches, n: int, called):
     for b in sliced(batches):
         sets = list(shingle_sets(b.column("text").to_pylist(), n))
-        yield pa.RecordBatch.from_arrays([pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([s.astype("i8") for s in sets], pa.list_(pa.int64())), b.column("others")], ["node", "tokens", "others"])
+        yield pa.RecordBatch.from_arrays([pa.array([called.value(s) for s in sets], pa.int64()), pa.array([s.astype("i8") for s in sets], pa.list_(pa.int64())), b.column("others")], ["node", "tokens", "others"])
 
 
 def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    size = df.agg(F.sum(ROW_BYTES + PARTNER_BYTES * F.size("others"))).first()[0]
+    return F.broadcast(df) if (size or 0) <= BROADCAST_BYTES else df
 
 
-def verified(pairs: DataFrame, rows: DataFrame, owners: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, rows: DataFrame, owners: DataFrame, n: int, called, num: int, den: int) -> DataFrame:
     """The pairs a, b of nodes that are linked, by their whole sets; ``owners`` has the document that stands for a node."""
     others = pairs.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("others"))
     leads = pairs.select(F.col("a").alias("node")).distinct()
 
     def sets(nodes: DataFrame) -> DataFrame:
         wanted = _small(materialize(nodes.join(owners, "node").select("owner", "others"), "wanted", short=True))
-        return rows.join(wanted, rows.doc_id.eqNullSafe(F.col("owner"))).select("text", "others").mapInArrow(functools.partial(_tokens, n=n), "node long, tokens array<long>, others array<long>")
+        return rows.join(wanted, rows.doc_id.eqNullSafe(F.col("owner"))).select("text", "others").mapInArrow(functools.partial(_tokens, n=n, called=called), "node long, tokens array<long>, others array<long>")
 
     b = sets(others).select(F.col("node").alias("b"), F.col("tokens").alias("right"), F.explode("others").alias("a"))
     a = sets(leads.withColumn("others", F.array().cast("array<long>"))).select(F.col("node").alias("a"), F.col("tokens").alias("left")).dropDuplicates(["a"])
@@ -219,21 +230,32 @@ def alone(lists: DataFrame) -> DataFrame:
     return materialize(lists.join(alike.select("sig"), "sig", "left_semi"), "alone", short=True)
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def clashing(described: DataFrame) -> list[int]:
+    """Names that different sets have. Of m sets about m^2 / 2^65 are to be found here: 300 of 10^11."""
+    both = described.filter("n_shingles > 0").groupBy("node").agg(F.min("second").alias("least"), F.max("second").alias("most"))
+    return [r.node for r in both.filter("least <> most").select("node").collect()]
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, bits: int = 64) -> DataFrame:
     """doc_id, n_shingles and component_id (least doc_id reachable by links of similarity num / den) of every row.
 
     Null and wordless texts have no shingles and are linked with nothing; repeated rows are linked with each
     other; null ids take part, and a component of null ids alone has a null id. No rows give no rows.
+    ``bits`` of a set's digest name it (fewer than 64 in tests, so that names clash).
     """
     rows = texts(docs)
     sparks = docs.sparkSession
-    described = materialize(rows.mapInArrow(functools.partial(_described, n=n), "doc_id long, n_shingles long, node long, s0 long, s1 long, s2 long, s3 long"), "described")
+    described = materialize(rows.mapInArrow(functools.partial(_described, n=n, bits=bits), "doc_id long, n_shingles long, node long, second long, s0 long, s1 long, s2 long, s3 long"), "described")
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
     if not total:
         return described.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    clashes = clashing(described)
+    if clashes:
+        described = described.withColumn("node", F.when(F.col("node").isin(clashes), F.col("second")).otherwise(F.col("node")))
+    called = sparks.sparkContext.broadcast(functools.partial(name, bits=bits, clashes=frozenset(clashes)))
     owners = described.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("owner"))
-    marks = sparks.sparkContext.broadcast(frequent_marks(rows, n, total))
-    signed = rows.select("text").mapInArrow(functools.partial(_signed, n=n, num=num, den=den, marks=marks), "sig long, node long")
+    marks = sparks.sparkContext.broadcast(frequent_marks(rows, n, called, total))
+    signed = rows.select("text").mapInArrow(functools.partial(_signed, n=n, called=called, num=num, den=den, marks=marks), "sig long, node long")
     shared = materialize(signed.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("other")).filter("lead <> other").select("sig", "lead"), "shared", short=True)
     every = materialize(signed.join(shared, "sig").distinct(), "lists", short=True)
     lists = alone(every)
@@ -249,7 +271,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         return (F.least(x, y) * den >= F.greatest(x, y) * num) & (apart * (den + num) <= (x + y) * (den - num))
 
     first = lists.filter("node <> lead").select(F.col("lead").alias("a_node"), F.col("node").alias("b_node")).distinct().join(of("a_"), "a_node").join(of("b_"), "b_node").filter(near("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    links = materialize(verified(materialize(first, "pairs", short=True), rows, owners, n, num, den), "verified", short=True)
+    links = materialize(verified(materialize(first, "pairs", short=True), rows, owners, n, called, num, den), "verified", short=True)
     star = stars(links)
 
     def opened(star: DataFrame) -> DataFrame:
@@ -265,13 +287,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     leads = open_lists.groupBy("sig").agg(F.min_by(members, F.xxhash64("sig", "node")).alias("a")).select("sig", "a.*")
     joined = open_lists.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "size", *SKETCH)]).join(leads, "sig")
     pairs = joined.filter((F.col("a_root") != F.col("b_root")) & near("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
-    star = stars(star.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(verified(materialize(pairs, "pairs", short=True), rows, owners, n, num, den)))
+    star = stars(star.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(verified(materialize(pairs, "pairs", short=True), rows, owners, n, called, num, den)))
 
     open_lists = opened(star)
     side = lambda p: open_lists.select("sig", *[F.col(c).alias(p + c) for c in ("node", "root", "largest", "size", *SKETCH)])
     meet = (F.col("x_root") != F.col("y_root")) & near("x_", "y_")
     second = side("x_").filter("x_root <> x_largest").join(side("y_"), "sig").filter(meet).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-    more = verified(materialize(second, "pairs", short=True), rows, owners, n, num, den)
+    more = verified(materialize(second, "pairs", short=True), rows, owners, n, called, num, den)
     star = stars(star.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(more))
 
     roots = owners.join(star.select(F.col("hi").alias("node"), F.col("lo").alias("root")), "node", "left").select("node", "owner", F.coalesce("root", "node").alias("root"))
