@@ -151,3 +151,31 @@ def test_review_candidates_equal_all_pairs(spark):
     for p, x in providers:
         fit = sorted((-round(token_set(of[x][0], norm), 2), n) for norm, n in spelt.items() if of[x][1] & of[n][1])
         assert sorted(got.get(p, [])) == [(k + 1, n, -score, n == names[0]) for k, (score, n) in enumerate(fit[:8])]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_signatures_and_bounds_lose_no_name(spark, monkeypatch, seed):
+    monkeypatch.setattr(linkage, "RARE", 4)
+    rng = random.Random(seed)
+    words = ["north", "south", "mercy", "saint", "mary", "memorial", "no", "west", "supplier"]
+    name = lambda: " ".join(rng.sample(words, rng.randrange(1, 4)) + [f"{rng.randrange(300):0{rng.choice([3, 5])}d}"][: rng.randrange(4)])
+    asks, names = sorted({name() for _ in range(40)}), sorted({name() for _ in range(150)})
+    best = {n: rng.choice([None, 3, 50]) for n in names}
+    left = spark.createDataFrame([(x, 5, rng.choice([None, 10])) for x in asks], "norm string, depth long, rank long")
+    rank = {r.norm: r.rank for r in left.collect()}
+    got = {}
+    for r in linkage.top_names(left, spark.createDataFrame([(n, n.upper(), best[n]) for n in names], "norm string, facility_name string, best long"), 60.0).collect():
+        got.setdefault(r.key, []).append((not r.exact, -r.score, r.facility_name))
+    tokens = lambda x: {w for w in x.split() if len(w) >= 4}
+    for x in asks:
+        open_ = [n for n in names if best[n] is None or rank[x] is None or best[n] >= rank[x]]
+        fit = [(n != x, -100.0 if n == x else -round(token_set(x, n), 2), n.upper()) for n in open_ if n == x or tokens(x) & tokens(n)]
+        assert sorted(got.get(x, [])) == sorted(f for f in fit if f[1] <= -60.0)[:5]
+
+
+def test_names_of_one_pattern_are_not_compared_all_with_all(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "block_names", lambda rest, *_: pytest.fail(f"{rest.count()} names are compared with all"))
+    compared = linkage.near_names(
+        spark.range(2000).selectExpr("concat('saint supplier ', lpad(id, 9, '0')) AS norm", "9L AS depth", "CAST(NULL AS BIGINT) AS rank"),
+        spark.range(2000).selectExpr("concat('saint supplier ', if(id % 5 = 0, 'no ', ''), lpad(id, 9, '0')) AS norm", "CAST(id AS STRING) AS facility_name", "CAST(NULL AS BIGINT) AS best"), 0.0)
+    assert compared[0].groupBy("key").count().filter("count = 9").count() == 2000 and compared[1].isEmpty()

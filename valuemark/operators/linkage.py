@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+from collections import Counter
 from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
@@ -20,6 +21,8 @@ from valuemark.session import materialize
 
 #: Names that a key is shown at a time beside one for each of its providers, and names in a block that is scored as one row.
 DEPTH, BLOCK = 16, 128
+#: A word of more names is frequent, and a list of more frames than these is not looked through: then all names go block by block.
+RARE, FRAMES = 128, 512
 SHOWN = "key string, facility_name string, exact boolean, score double"
 LINK_COLUMNS = ("provider_id", "certificate", "provider_name", "facility_name", "match_method", "match_score", "reviewed", "review_source")
 
@@ -120,18 +123,129 @@ def _blocks(rows: DataFrame, side: str, *columns: str) -> DataFrame:
     return each.join(common, "token", "left").select("token", block, F.struct("norm", "tokens", *columns).alias("x")).groupBy("token", "block").agg(F.collect_list("x").alias(side)).select("token", "block", side)
 
 
+def _framed(rows: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The rows with the frequent words (frame) and the other words (own) of each name, in order."""
+    each = rows.select("norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("word")).join(frequent, "word", "left")
+    listed = lambda when: F.array_sort(F.collect_list(F.when(when, F.col("word"))))
+    return rows.join(each.groupBy("norm").agg(listed(F.col("often").isNotNull()).alias("frame"), listed(F.col("often").isNull()).alias("own")), "norm")
+
+
+def _signed(rows: DataFrame, side: str, *columns: str) -> DataFrame:
+    """sig and the names that have it: each own word, and all own words as one text, whole and without each of its characters."""
+    own = F.array_join("own", " ")
+    cut = F.transform(F.sequence(F.lit(0), F.length(own)), lambda i: F.concat(F.lit("~"), F.substring(own, F.lit(1), i), F.substring(own, i + 2, F.length(own))))
+    sigs = F.array_union(F.transform("own", lambda w: F.concat(F.lit("="), w)), F.array_distinct(cut))
+    each = rows.filter(F.size("own") > 0).select(F.explode(sigs).alias("sig"), F.struct("norm", *columns).alias("x"))
+    return each.groupBy("sig").agg(F.collect_list("x").alias(side))
+
+
+def _near(batches, cutoff: float):
+    """The best names of each key among those that share a signature with it."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            found = []
+            right = [(y["norm"], frozenset(y["norm"].split()), y["facility_name"], y["best"]) for y in row["right"]]
+            for x in row["left"]:
+                words, rank, best = frozenset(x["norm"].split()), x["rank"], []
+                for norm, others, name, held in right:
+                    if norm == x["norm"] or (held is not None and rank is not None and held < rank):
+                        continue
+                    if any(len(w) >= 4 and w not in S.STOP_TOKENS for w in words & others) and (score := _rounded(word_set_similarity(words, others))) >= cutoff:
+                        best.append((-score, name))
+                found += [(x["norm"], name, False, -score) for score, name in sorted(best)[: x["depth"]]]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.string(), pa.bool_(), pa.float64()))], ["key", "facility_name", "exact", "score"])
+
+
+@functools.lru_cache(1 << 16)
+def _frames_met(mine: tuple[str, ...], frame: tuple[str, ...]) -> tuple[int, int, int, Counter, int, bool] | None:
+    """Of two frames that share a significant word: length of the shared words, what is left of each, letters of the other's rest, its words, whether mine holds it."""
+    both = set(mine) & set(frame)
+    if not any(len(w) >= 4 and w not in S.STOP_TOKENS for w in both):
+        return None
+    left, right = [w for w in mine if w not in both], [w for w in frame if w not in both]
+    return sum(map(len, both)) + len(both) - 1, sum(len(w) + 1 for w in left), sum(len(w) + 1 for w in right), Counter("".join(w + " " for w in right)), len(right), not right
+
+
+def unseen(frame: list[str], own: list[str], frames: list[tuple[tuple[str, ...], int]]) -> float:
+    """The most that the similarity to a name can be that shares no signature with this one; ``frames`` has the frames of names and the lengths of their other words.
+
+    Such names share frequent words only, and of what is left at least two characters of the longer text are not in
+    the common subsequence; what frames add to it is at most their rests' letters.
+    """
+    most, mine, text = 0.0, tuple(frame), " ".join(own)
+    letters = Counter(" ".join([*frame, *own]))
+    for other, m in frames:
+        met = _frames_met(mine, other)
+        if met is None:
+            continue
+        base, left, right, theirs, _, held = met
+        if (held and not m) or (not left and not text):
+            return 100.0
+        n = len(text)
+        a, b = n + left - (not n), m + right - (not m)
+        common = min(n, m, max(n, m) - 2 if n and m else 0) + left + (sum((theirs & letters).values()) if right else 0)
+        most = max(most, 200.0 * (base + 1 + min(common, a, b)) / (2 * base + 2 + a + b), 200.0 * base / (2 * base + 1 + min(a, b)))
+    return most
+
+
+def _open(batches, cutoff: float, frames: list):
+    """Names whose list may lack a name that shares no signature with them."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        left = [unseen(r["frame"], r["own"], frames) + 0.0051 >= (r["least"] if (r["n"] or 0) >= r["depth"] else cutoff) for r in rows]
+        yield batch.select(["norm", "depth", "rank"]).filter(pa.array(left, pa.bool_()))
+
+
+def near_names(asks: DataFrame, targets: DataFrame, cutoff: float) -> tuple[DataFrame, DataFrame] | None:
+    """What keys find by signatures, which few names share, and the keys for which that may not be all; nothing where names have too many frames.
+
+    A name is its frequent words (frame) and its own words. Names that share an own word, or whose own words differ by one
+    character in each, are compared; what any other name can reach follows from its frame and its length.
+    """
+    words = asks.select("norm").unionByName(targets.select("norm")).select(F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
+    frequent = materialize(words.groupBy("word").agg(F.count("*").alias("often")).filter(F.col("often") > RARE), "frequent", short=True)
+    right = materialize(_framed(targets, frequent), "framed", short=True)
+    frames = [(tuple(r.frame), r.m) for r in right.select("frame", F.length(F.array_join("own", " ")).alias("m")).distinct().limit(FRAMES + 1).collect()]
+    if len(frames) > FRAMES:
+        return None
+    left = materialize(_framed(asks, frequent), "framed", short=True)
+    tasks = max(asks.sparkSession.sparkContext.defaultParallelism, int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = _signed(left, "left", "rank", "depth").join(_signed(right, "right", "facility_name", "best"), "sig").repartition(tasks)
+    each = met.mapInArrow(functools.partial(_near, cutoff=cutoff), SHOWN).dropDuplicates(["key", "facility_name"])
+    order = Window.partitionBy("key").orderBy(F.desc("score"), "facility_name")
+    placed = each.withColumn("place", F.row_number().over(order)).join(left.select(F.col("norm").alias("key"), "depth"), "key").filter("place <= depth")
+    found = materialize(placed.select("key", "facility_name", "exact", "score"), "near", short=True)
+    least = found.groupBy(F.col("key").alias("norm")).agg(F.count("*").alias("n"), F.min("score").alias("least"))
+    kinds = ", ".join(f"{c} {left.schema[c].dataType.simpleString()}" for c in ("norm", "depth", "rank"))
+    rest = left.join(least, "norm", "left").mapInArrow(functools.partial(_open, cutoff=cutoff, frames=frames), kinds)
+    return found, materialize(rest, "open-names", short=True)
+
+
+def block_names(asks: DataFrame, targets: DataFrame, cutoff: float) -> DataFrame:
+    """The best names of each key, every pair of names with a common significant token bounded, block by block."""
+    left, right = _blocks(asks, "left", "rank", "depth"), _blocks(targets, "right", "facility_name", "best").select("token", "right")
+    tasks = max(asks.sparkSession.sparkContext.defaultParallelism, int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pairs = left.join(right, "token").repartition(tasks, "token", "block").sortWithinPartitions("token", "block")
+    return pairs.mapInArrow(functools.partial(_scored, cutoff=cutoff), SHOWN)
+
+
 def top_names(asks: DataFrame, targets: DataFrame, cutoff: float) -> DataFrame:
     """key, facility_name, exact, score, place: the first names of each key, exact ones, then by score, then by name.
 
     asks: norm (unique), depth (names to show) and rank (of the first provider who asks, or null); targets: norm,
     facility_name and best (rank of the provider that holds the name, or null). Names that a provider before the asking
-    one holds are not shown. Fuzzy names share a significant token and reach the cutoff. Pairs never become rows.
+    one holds are not shown. Fuzzy names share a significant token and reach the cutoff. Signatures find them for most
+    keys; only keys that may have missed a name are compared with all.
     """
     fuzzy = asks.select("norm", "depth", "rank")
-    left, right = _blocks(fuzzy, "left", "rank", "depth"), _blocks(targets, "right", "facility_name", "best").select("token", "right")
-    tasks = max(asks.sparkSession.sparkContext.defaultParallelism, int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pairs = left.join(right, "token").repartition(tasks, "token", "block").sortWithinPartitions("token", "block")
-    found = pairs.mapInArrow(functools.partial(_scored, cutoff=cutoff), SHOWN)
+    near = near_names(fuzzy, targets, cutoff)
+    if near is None:
+        found = block_names(fuzzy, targets, cutoff)
+    else:
+        found, rest = near
+        if not rest.isEmpty():
+            found = found.join(rest.select(F.col("norm").alias("key")), "key", "left_anti").unionByName(block_names(rest, targets, cutoff))
     free = F.col("best").isNull() | F.col("rank").isNull() | (F.col("best") >= F.col("rank"))
     exact = targets.join(asks, "norm").filter(free).select(F.col("norm").alias("key"), "facility_name", F.lit(True).alias("exact"), F.lit(100.0).alias("score"))
     order = Window.partitionBy("key").orderBy(F.desc("exact"), F.desc("score"), "facility_name")
