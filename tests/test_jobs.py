@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from valuemark import session
 from valuemark.config import Settings
 from valuemark.operators import linkage, ranking
-from valuemark.plans import jobs
+from valuemark.plans import binding, jobs
 from valuemark.plans.pipeline import Stages
 from valuemark.sources import tables
 from valuemark.sources.versions import Conflict, VersionedTable
@@ -81,6 +81,16 @@ def test_no_plan_scans_a_large_table_twice(spark):
     assert t.view.filter(F.col("value_rank") == 1).count() >= 1
 
 
+def test_lines_are_joined_once_for_all_that_they_give(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(binding, "lines", lambda *a, was=binding.lines: made.append(1) or was(*a))
+    t = Stages(spark, SF)
+    assert t.scores.count() and t.procedure_pricing.count() and t.discharges.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert len(made) == 1
+    for df in (t.discharges, t.prices):
+        assert "orders.parquet" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_write_that_dies_leaves_the_old_version(spark, tmp_path, monkeypatch):
     t = VersionedTable(spark, str(tmp_path / "t"))
     with pytest.raises(FileNotFoundError):

@@ -29,24 +29,42 @@ PRICE = f"""
   o_orderpriority AS payer, l_returnflag AS plan, CASE WHEN l_quantity > 5 THEN round(l_extendedprice) END AS negotiated, round(p_retailprice * 20) AS cash,
   CASE WHEN l_linenumber > 2 THEN concat('33', CAST(s_suppkey % 7 AS STRING), l_returnflag) END AS ccn"""
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Of lines, orders and parts, what discharges, prices and costs are made of.
+LINE_COLUMNS = ("l_suppkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "o_orderdate", "o_orderstatus", "o_orderpriority", "p_type", "p_size", "p_retailprice")
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its order and part."""
+    t = lambda n: table(spark, sf_dir, n)
+    return t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey")).select(*LINE_COLUMNS)
+
+
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: table(spark, sf_dir, n)
-    supplier = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey")).join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", "s_name", "n_name", "r_name")
+
+
+#: Lines and suppliers as they are made when asked for, or as they were written.
+Joined = tuple[DataFrame, DataFrame]
+
+
+def _joined(joined: Joined) -> None:
+    line, supplier = joined
+    line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).createOrReplaceTempView("_vm_joined")
 
 
-def discharges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _joined(spark, sf_dir).createOrReplaceTempView("_vm_joined")
+def discharges(spark: SparkSession, joined: Joined) -> DataFrame:
+    _joined(joined)
     return spark.sql(f"SELECT {DISCHARGE} FROM _vm_joined")
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _joined(spark, sf_dir).createOrReplaceTempView("_vm_joined")
+def prices(spark: SparkSession, joined: Joined) -> DataFrame:
+    _joined(joined)
     return spark.sql(f"SELECT {PRICE} FROM _vm_joined")
 
 
-def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _joined(spark, sf_dir).createOrReplaceTempView("_vm_joined")
+def costs(spark: SparkSession, joined: Joined) -> DataFrame:
+    _joined(joined)
     rows = spark.sql(f"SELECT CAST(s_suppkey AS INT) AS provider_id, {PROCEDURE} AS procedure_code, CAST(floor((p_size - 1) / 13.0) AS INT) + 1 AS severity, CAST(year(o_orderdate) AS INT) AS year, round(l_extendedprice) AS charge FROM _vm_joined").filter("procedure_code <> 999")
     middle = lambda c: F.percentile(c, F.lit(0.5))
     return rows.groupBy("provider_id", "procedure_code", "severity", "year").agg(F.count("*").alias("discharges"), middle(F.col("charge")).alias("median_charge"), middle(F.floor(F.col("charge") / 2).cast("double")).alias("median_cost"))

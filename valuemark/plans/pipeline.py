@@ -13,6 +13,8 @@ S = B.SETTINGS
 
 #: Written once, since several later stages read them: each is one pass over a large table.
 WRITTEN = {"cells", "attributes", "costs", "provider_pricing", "provider_costs", "procedure_pricing", "scores"}
+#: Made of several of the tables that lines give: these lines are joined once and written, a few columns wide.
+SEVERAL = {"market", "procedure_pricing", "procedure_scores", "scores"}
 
 
 class Stages:
@@ -23,21 +25,32 @@ class Stages:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self._held = spark, sf_dir, {}
+        self.spark, self.sf_dir, self._held, self._written = spark, sf_dir, {}, None
+
+    def shared(self) -> Stages:
+        """The same, with lines and suppliers written, unless no more than one of the tables that they give is still to be made."""
+        if self._written is None and len({"discharges", "prices", "costs"} - set(self._held)) > 1:
+            self._written = materialize(B.lines(self.spark, self.sf_dir), "lines-joined"), materialize(B.suppliers(self.spark, self.sf_dir), "suppliers", short=True)
+        return self
+
+    def joined(self) -> B.Joined:
+        return self._written or (B.lines(self.spark, self.sf_dir), B.suppliers(self.spark, self.sf_dir))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in BUILD:
             raise AttributeError(name)
         if name not in self._held:
+            if name in SEVERAL:
+                self.shared()
             built = BUILD[name](self)
             self._held[name] = materialize(built, name) if name in WRITTEN else built
         return self._held[name]
 
 
 BUILD = {
-    "discharges": lambda t: B.discharges(t.spark, t.sf_dir),
-    "prices": lambda t: B.prices(t.spark, t.sf_dir),
-    "costs": lambda t: B.costs(t.spark, t.sf_dir),
+    "discharges": lambda t: B.discharges(t.spark, t.joined()),
+    "prices": lambda t: B.prices(t.spark, t.joined()),
+    "costs": lambda t: B.costs(t.spark, t.joined()),
     "links": lambda t: B.links(t.spark, t.sf_dir),
     "measures": lambda t: B.measures(t.spark, t.sf_dir),
     "cohort": lambda t: clinical.cohort(t.discharges, S),

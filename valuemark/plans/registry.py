@@ -80,7 +80,7 @@ staged("A18_headline", "providers, median_cost, spread, volume", B.sql(f"SELECT
 staged("A22_basis_lines", "cost_basis, market_median", B.sql("SELECT cost_basis, max(market_median) AS market_median FROM view GROUP BY cost_basis", "view"), lambda t: ranking.basis_lines(t.view))
 staged("A3_price_certification", "facility_name, ccn", B.sql("SELECT facility_name, ccn FROM (SELECT facility_name, ccn, row_number() OVER (PARTITION BY facility_name ORDER BY ccn IS NULL, n DESC, ccn) AS k FROM (SELECT facility_name, ccn, count(*) AS n FROM (SELECT *, min(system_rank) OVER (PARTITION BY facility_name) AS best FROM lines) WHERE system_rank = best GROUP BY facility_name, ccn)) WHERE k = 1", "lines"), lambda t: t.provider_pricing)
 EIGHT = {"discharges": "discharges", "cohort": "cohort", "cohort_in_market": "cohort WHERE in_market", "provider_metrics": "metrics", "prices": "prices", "provider_pricing": "pricing", "links": "links", "scores": "scores"}
-staged("Q1_stage_counts", "stage, rows", B.sql(" UNION ALL ".join(f"SELECT '{n}' AS stage, count(*) AS rows FROM {c}" for n, c in EIGHT.items()), "scores"), lambda t: checks.stage_counts(discharges=t.discharges, cohort=t.cohort, cohort_in_market=t.cohort.filter("in_market"), provider_metrics=t.provider_metrics, prices=t.prices, provider_pricing=t.provider_pricing, links=t.links, scores=t.scores))
+staged("Q1_stage_counts", "stage, rows", B.sql(" UNION ALL ".join(f"SELECT '{n}' AS stage, count(*) AS rows FROM {c}" for n, c in EIGHT.items()), "scores"), lambda t: checks.stage_counts(discharges=t.shared().discharges, cohort=t.cohort, cohort_in_market=t.cohort.filter("in_market"), provider_metrics=t.provider_metrics, prices=t.prices, provider_pricing=t.provider_pricing, links=t.links, scores=t.scores))
 MAPPED = "CASE provider_id % 7 WHEN 0 THEN 'Kings' WHEN 1 THEN ' new york ' WHEN 2 THEN 'RICHMOND' WHEN 3 THEN 'Bronx' WHEN 4 THEN NULL WHEN 5 THEN 'manhattan' ELSE county END"
 staged("P8_boroughs", "provider_id, borough", B.sql(f"SELECT provider_id, CASE lower(trim(c)) WHEN 'kings' THEN 'Brooklyn' WHEN 'new york' THEN 'Manhattan' WHEN 'manhattan' THEN 'Manhattan' WHEN 'richmond' THEN 'Staten Island' WHEN 'bronx' THEN 'Bronx' ELSE c END AS borough FROM (SELECT provider_id, {MAPPED} AS c FROM attributes)", "attributes"), lambda t: t.attributes.select("provider_id", X.borough(F.expr(MAPPED)).alias("borough")))
 staged("P15_market_benchmarks", "procedure_code, severity, year, stratum_n, expected_los, expected_adverse", B.sql(B.CTES["bench"].replace("FROM cohort", "FROM cohort WHERE in_market"), "cohort"), lambda t: clinical.benchmarks(t.cells, dataclasses.replace(S, benchmark_scope="market")))
@@ -131,7 +131,7 @@ def _planted_sql(name: str, keyed: bool) -> str:
 @query("Q13_keys_watched", B.sql(" UNION ALL ".join(_planted_sql(n, "provider_id" in checks.KEYS[n]) for n in WATCHED), *dict.fromkeys(v[1] for v in WATCHED.values())))
 def q13_keys_watched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is observed of the keys of each derived table while it is written, with faults planted in those of providers."""
-    t, found = Stages(spark, sf_dir), []
+    t, found = Stages(spark, sf_dir).shared(), []
     for name, (stage, _) in WATCHED.items():
         marked, seen = checks.watched(_planted(getattr(t, stage)), list(checks.KEYS[name]))
         marked.write.parquet(fresh_path(spark, "watched"))
