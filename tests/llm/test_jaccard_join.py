@@ -176,3 +176,19 @@ def test_sketches_never_differ_in_more_bits_than_the_sets():
         y = np.unique(np.r_[x[: int(rng.integers(0, len(x) + 1))], y[: int(rng.integers(0, 40))]])
         apart = sum(bin(int(a) & (2**64 - 1)).count("1") for a in J.sketch(x) ^ J.sketch(y))
         assert apart <= len(np.setxor1d(x, y))
+
+
+def test_sketches_tell_large_unlike_sets_apart_and_drop_no_link():
+    import numpy as np
+
+    from valuemark.llm.jaccard_join import SKETCH, sketch
+
+    rng = np.random.default_rng(4)
+    apart = lambda a, b: sum(int(x).bit_count() for x in sketch(a).view("u8") ^ sketch(b).view("u8"))
+    for size in (5, 100, 1500):
+        tokens = rng.integers(0, 2**63, 2 * size, dtype="u8")
+        for common in (0, size // 2, size - size // 10):
+            a, b = np.sort(tokens[:size]), np.sort(tokens[size - common : 2 * size - common])
+            assert len(sketch(a)) == len(SKETCH) and apart(a, b) <= 2 * (size - common)
+            if common == size // 2 and size > 5:  # a third alike
+                assert apart(a, b) * 185 > 2 * size * 15

@@ -13,7 +13,7 @@ least common token of two linked sets lies in the first size - t + 1 tokens of b
 So no link is lost, frequent tokens never make long lists of unlike sets, and a set whose prefix nobody
 shares costs nothing further. Which tokens are frequent is counted over all texts.
 
-Sets with a common signature are compared by size and by a parity sketch (each token flips one of 256 bits, so
+Sets with a common signature are compared by size and by a parity sketch (each token flips one of 1,024 bits, so
 two sketches never differ in more bits than the sets in tokens): that drops most unlike pairs and no link.
 What is left is verified exactly. To find components without all pairs of a large group,
 each set is first verified against the least set of each signature; signatures that still join several components
@@ -48,7 +48,8 @@ BROADCAST_BYTES, ROW_BYTES, PARTNER_BYTES = 12_000_000, 30, 8
 COUNT_CHUNK = 1 << 20
 
 
-SKETCH = ("s0", "s1", "s2", "s3")
+#: A sketch has 64 parities a column. With few of them large unlike sets are half apart at most, which rules nothing out.
+SKETCH = tuple(f"s{k}" for k in range(16))
 
 
 def name(tokens: np.ndarray, bits: int, clashes: frozenset[int] = frozenset()) -> int:
@@ -58,8 +59,9 @@ def name(tokens: np.ndarray, bits: int, clashes: frozenset[int] = frozenset()) -
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
-    """256 parities as four numbers."""
-    bits = (np.bincount((tokens >> np.uint64(8)).astype("u1"), minlength=256) & 1).astype("u1")
+    """Parities, 64 to a number."""
+    width = 64 * len(SKETCH)
+    bits = (np.bincount(((tokens >> np.uint64(8)) % np.uint64(width)).astype("i8"), minlength=width) & 1).astype("u1")
     return np.packbits(bits).view("<i8")
 
 
@@ -67,8 +69,8 @@ def _described(batches, n: int, bits: int):
     """n_shingles, node (name of the set), second digest and parity sketch of each text."""
     for b in sliced(batches):
         sets = list(shingle_sets(b.column("text").to_pylist(), n))
-        marks = np.array([sketch(s) for s in sets], "i8").reshape(-1, 4)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([name(s, bits) for s in sets], pa.int64()), pa.array([set_check(s) for s in sets], pa.int64()), *[pa.array(marks[:, k]) for k in range(4)]], ["doc_id", "n_shingles", "node", "second", *SKETCH])
+        marks = np.array([sketch(s) for s in sets], "i8").reshape(-1, len(SKETCH))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([name(s, bits) for s in sets], pa.int64()), pa.array([set_check(s) for s in sets], pa.int64()), *[pa.array(marks[:, k]) for k in range(len(SKETCH))]], ["doc_id", "n_shingles", "node", "second", *SKETCH])
 
 
 def _fresh(batches, n: int, called):
@@ -245,7 +247,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     """
     rows = texts(docs)
     sparks = docs.sparkSession
-    described = materialize(rows.mapInArrow(functools.partial(_described, n=n, bits=bits), "doc_id long, n_shingles long, node long, second long, s0 long, s1 long, s2 long, s3 long"), "described")
+    described = materialize(rows.mapInArrow(functools.partial(_described, n=n, bits=bits), ", ".join(f"{c} long" for c in ("doc_id", "n_shingles", "node", "second", *SKETCH))), "described")
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
     if not total:
         return described.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
