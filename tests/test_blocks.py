@@ -129,3 +129,50 @@ def test_a_quote_that_never_closes_stops_at_a_bound(spark, tmp_path, small_block
     path.write_text(HEADER + ROW.format(1) + '"' + "word 326\n" * 200)
     _, status = P.load_prices(spark, {"p": str(path)}, Settings())
     assert (status[0]["rows"], status[0]["status"]) == (1, "partial")
+
+
+def fed(taker, data, separator, rng):
+    """What comes of a text in batches of a random number of lines (of one each without ``rng``)."""
+    lines = [x + separator for x in data.split(separator)[:-1]]
+    while lines:
+        n = rng.randrange(1, 9) if rng else 1
+        for kind, text in taker.feed(b"".join(lines[:n])) or ():
+            yield from [(B.RECORD, t.decode()) for t in text] if kind == B.MANY else [(kind, text)]
+        lines = lines[n:]
+    yield from taker.finish() if hasattr(taker, "finish") else ()
+
+
+def test_batches_give_what_lines_give():
+    rng = random.Random(7)
+    for k in range(400):
+        odd = ["5\" pipe,stray \"q\",x\n", 'a,"b"c"d,e\n', '"open\n', "\n", 'x\r"y\n', '"a"\r\n'][: k % 7]
+        text = (made_csv(rng, 8) + "".join(rng.sample(odd, len(odd))) + made_csv(rng, 6)).encode()
+        for state in (False, True):
+            assert list(fed(B.CsvCutter(state), text, b"\n", rng)) == list(fed(B.CsvCutter(state), text, b"\n", None)), (text, state)
+            assert B.inside_after_all(text, state) == (lambda s: [s := B.inside_after(x, s) for x in text.decode().split("\n")[:-1]][-1])(state)
+        whole, _ = made_json(rng, 12)
+        text = whole.encode() + b"}"
+        at = rng.choice([i + 1 for i, c in enumerate(text) if c == 125])
+        many, one = B.JsonSummary(), B.JsonSummary()
+        assert not [*fed(many, text[:at], b"}", rng), *fed(one, text[:at], b"}", None)] and many.told() == one.told()
+        state = B.JsonSummary.composed((0, 0, 0), many.told())
+        for begin, s in ((0, (0, 0, 0)), (at, state)):
+            assert list(fed(B.ItemCutter(s), text[begin:], b"}", rng)) == list(fed(B.ItemCutter(s), text[begin:], b"}", None)), (text, begin)
+
+
+def test_plain_batches_do_not_go_line_by_line(monkeypatch):
+    calls = []
+    monkeypatch.setattr(B, "inside_after", lambda *a, was=B.inside_after: calls.append(1) or was(*a))
+    monkeypatch.setattr(B.ItemScanner, "feed", lambda *a, was=B.ItemScanner.feed: calls.append(1) or was(*a))
+    data = b'"joint,\n""other""",326,x\n' * 1000
+    summary, cutter = B.CsvSummary(), B.CsvCutter(0)
+    summary.feed(data)
+    assert summary.told() == [0, 0] and sum(len(t) if k == B.MANY else 1 for k, t in cutter.feed(data)) == 1000 and len(calls) < 6
+    items, calls[:] = b'{"description": "joint }] \\"both\\"", "c": [{"code": "326"}]},' * 1000, []
+    assert sum(len(t) if k == B.MANY else 1 for k, t in B.ItemCutter((0, 2, 2)).feed(items[:-1])) == 1000 and not calls
+
+
+def test_legacy_numbers_are_parsed_only_beside_their_words():
+    able = B.Wanted(P.wanted_records(Settings()))
+    assert [able(x) for x in (b"a,326,9", b"a,0470,9", b"a,4701,9", b"a,301,9", b"Joint\\nREPLACEMENT,301,9", b"arthroplasty,302", b"arthroplasty,3020", b'{"code": "\\u0033\\u0030\\u0031"}')] == [True, True, False, False, True, True, False, True]
+    assert B.Wanted(None)(b"") and B.Wanted("470")(b"4701") and not B.Wanted("470")(b"47")

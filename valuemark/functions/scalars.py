@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -26,6 +27,8 @@ ALIASES = (
 )
 STOP_TOKENS = ("new", "york", "the", "and", "for", "of")
 LEGACY_DESCRIPTION = r"(?i)(joint\s+replacement|arthroplasty|(hip|knee)\s+replacement)"
+#: Every LEGACY_DESCRIPTION has one of these.
+LEGACY_WORDS = "(?i)replacement|arthroplasty"
 JOINT_DESCRIPTION = r"(?i)(hip|knee)\s+joint\s+replacement"
 # Forms of a billing code: a bare number; led by APR; by MS-DRG; by DRG.
 PLAIN = r"^0*([0-9]{1,3})$"
@@ -35,6 +38,11 @@ BARE = r"(?:^|[^A-Z])DRG[^0-9]{0,4}0*([0-9]{1,3})(?![0-9])"
 BOROUGHS = {"manhattan": "Manhattan", "new york": "Manhattan", "kings": "Brooklyn", "richmond": "Staten Island", "queens": "Queens", "bronx": "Bronx"}
 
 
+def _let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``c``, which is computed once, however often ``f`` names it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")
@@ -57,27 +65,34 @@ def adverse_flag(c: Column) -> Column:
 
 
 def _padded(digits: Column) -> Column:
-    bare = F.regexp_replace(digits, "^0+", "")
-    return F.when(bare != "", F.lpad(bare, 3, "0"))
+    return _let(F.regexp_replace(digits, "^0+", ""), lambda bare: F.when(bare != "", F.lpad(bare, 3, "0")))
+
+
+def _number(text: Column) -> Column:
+    """Of a stripped text in capitals."""
+    one = lambda p: _let(F.regexp_extract(text, p, 1), lambda x: F.when(x != "", x))
+    return _padded(F.coalesce(*[one(p) for p in (PLAIN, APR, MS, BARE)]))
 
 
 def normalize_drg(code: Column) -> Column:
     """Three-digit group number of a billing code; a longer number is none (the trailing guard of MS and BARE is deliberate)."""
-    text = F.upper(strip(code))
-    found = F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in (PLAIN, APR, MS, BARE)])
-    return _padded(found)
+    return _let(F.upper(strip(code)), _number)
 
 
 def classify_code(raw: Column, declared: Column) -> Column:
     """struct(system, number); the code's own text is stronger than the declared type. Null where neither decides."""
-    text, kind, number = F.upper(strip(raw)), F.upper(strip(F.coalesce(declared, F.lit("")))), normalize_drg(raw)
-    system = (
-        F.when(text.rlike(APR) & ~text.rlike(PLAIN), "APR-DRG")
-        .when(text.rlike(MS), "MS-DRG")
-        .when(kind.contains("APR"), "APR-DRG")
-        .when(kind.contains("DRG"), "MS-DRG")
-    )
-    return F.when(number.isNotNull() & system.isNotNull(), F.struct(system.alias("system"), number.alias("number")))
+    kind = F.upper(F.coalesce(declared, F.lit("")))
+
+    def told(text: Column) -> Column:
+        system = (
+            F.when(text.rlike(APR) & ~text.rlike(PLAIN), "APR-DRG")
+            .when(text.rlike(MS), "MS-DRG")
+            .when(kind.contains("APR"), "APR-DRG")
+            .when(kind.contains("DRG"), "MS-DRG")
+        )
+        return _let(F.struct(system.alias("system"), _number(text).alias("number")), lambda x: F.when(x["number"].isNotNull() & x["system"].isNotNull(), x))
+
+    return _let(F.upper(strip(raw)), told)
 
 
 def is_target_code(code: Column, description: Column, s: Settings) -> Column:
@@ -89,9 +104,8 @@ def is_target_code(code: Column, description: Column, s: Settings) -> Column:
 
 def clean_currency(c: Column) -> Column:
     """Positive amount or null."""
-    text = F.lower(strip(c))
-    amount = F.regexp_replace(text, r"[^0-9.\-]", "").try_cast("double")
-    return F.when(~text.isin(*NO_MONEY) & (amount > 0), amount)
+    amount = _let(F.lower(strip(c)), lambda text: F.when(~text.isin(*NO_MONEY), F.regexp_replace(text, r"[^0-9.\-]", "").try_cast("double")))
+    return _let(amount, lambda x: F.when(x > 0, x))
 
 
 def as_int(c: Column) -> Column:

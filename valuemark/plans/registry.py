@@ -6,6 +6,7 @@ import dataclasses
 from collections.abc import Callable
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -295,9 +296,10 @@ def _document(batches):
     """Items of a partition as the lines of one published document."""
     lead = '{"hospital_name": "Place", "modifiers": [{"description": "none"}], "standard_charge_information": ['
     for b in batches:
-        items = b.column("j").to_pylist()
-        if items:
-            yield pa.RecordBatch.from_arrays([pa.array([f"{lead if k == 0 else ','}{item}" for k, item in enumerate(items)], pa.string())], ["value"])
+        items = b.column("j")
+        if len(items):
+            rest = pc.binary_join_element_wise(pa.scalar(",", items.type), items[1:], pa.scalar("", items.type))
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array([f"{lead}{items[0]}"], items.type), rest])], ["value"])
             lead = ","
     yield pa.RecordBatch.from_arrays([pa.array([lead + "]}" if lead != "," else "]}"], pa.string())], ["value"])
 

@@ -123,6 +123,13 @@ def target_digits(s: Settings) -> str:
     return "|".join(sorted({c.lstrip("0") for c in (s.ms_code, *s.apr_codes, *s.apr_legacy_codes)}))
 
 
+def wanted_records(s: Settings) -> list[tuple[str, ...]]:
+    """Patterns, one tuple of which every record of a target has: no digit follows its number, and a legacy number stands beside
+    words of its description. A record that spells letters or digits as JSON escapes may have either."""
+    of = lambda codes: f"(?:{'|'.join(sorted({c.lstrip('0') for c in codes}))})(?![0-9])"
+    return [(of((s.ms_code, *s.apr_codes)),), (of(s.apr_legacy_codes), S.LEGACY_WORDS), (r"\\u00",)]
+
+
 def _targets(pairs: list[tuple[Column, Column]], description: Column, s: Settings) -> Column:
     """The first code of a row that is a target, as a list of struct(system, number) with one element, or none.
 
@@ -269,7 +276,7 @@ def load_prices(spark: SparkSession, labels: dict[str, str], s: Settings, max_ro
     for f in found:
         layouts.setdefault(("json",) if f["kind"] == "json" else tuple(f["names"]), []).append(f)
     broken: dict[str, str] = {}
-    digits = target_digits(s)
+    wanted = wanted_records(s)
     for key, files in layouts.items():
         natively = [f for f in files if f["packed"] == "plain" or (f["packed"] == "gzip" and f["file"].endswith(".gz"))]
         others = [f for f in files if f not in natively]
@@ -281,7 +288,7 @@ def load_prices(spark: SparkSession, labels: dict[str, str], s: Settings, max_ro
             read.append(rows.filter("item IS NOT NULL").select("file", "item"))
         if key == ("json",):
             if natively:
-                items, faults = json_records(spark, [f["file"] for f in natively], digits)
+                items, faults = json_records(spark, [f["file"] for f in natively], wanted)
                 read.append(items)
                 broken |= faults
             parsed = functools.reduce(DataFrame.unionByName, read).select("file", F.from_json("item", f"struct<{JSON_ITEM}>").alias("i")).select("file", "i.*")
@@ -289,7 +296,7 @@ def load_prices(spark: SparkSession, labels: dict[str, str], s: Settings, max_ro
         else:
             read = [r.select("file", F.from_json("item", "array<string>").alias("cells")) for r in read]
             if natively:
-                records, faults = csv_records(spark, {f["file"]: None if f["ended"] else len(f["names"]) for f in natively}, digits)
+                records, faults = csv_records(spark, {f["file"]: None if f["ended"] else len(f["names"]) for f in natively}, wanted)
                 read.append(records)
                 broken |= faults
             cells = functools.reduce(DataFrame.unionByName, read).join(about, "file")
