@@ -31,16 +31,16 @@ def priced_lines(prices: DataFrame, s: Settings) -> DataFrame:
 def provider_pricing(prices: DataFrame, s: Settings) -> DataFrame:
     """One row a facility name, from its preferred code system only (MS over APR).
 
-    The best system of a facility is an aggregate that is joined back, and medians come by selection, so a facility with
-    a large share of all lines is spread over tasks.
+    The best system of a facility is an aggregate that is written, a row a facility, and joined back, and medians come by
+    selection, so a facility with a large share of all lines is spread over tasks.
     """
     columns = [c for c in ("facility_name", "system", "payer", "cash", "negotiated", "ccn") if c in prices.columns]
     lines = materialize(priced_lines(prices, s).select(*columns, "system_rank"), "lines")
-    best = lines.groupBy(F.col("facility_name").alias("_name")).agg(F.min("system_rank").alias("best"))
+    best = materialize(lines.groupBy(F.col("facility_name").alias("_name")).agg(F.min("system_rank").alias("best")), "best-systems", short=True)
     lines = lines.join(best, F.col("facility_name").eqNullSafe(F.col("_name")) & (F.col("system_rank") == F.col("best"))).drop("_name", "best")
     g = with_quantiles(
         lines, ["facility_name"], {"median_cash": (_positive("cash"), 0.5), "median_negotiated": (_positive("negotiated"), 0.5)},
-        F.max("system").alias("pricing_system"), F.count("*").alias("line_count"), F.count_distinct("payer").alias("payer_count"), F.count(_positive("negotiated")).alias("negotiated_lines"),
+        F.max("system").alias("pricing_system"), F.count("*").alias("line_count"), F.size(F.collect_set("payer")).cast("long").alias("payer_count"), F.count(_positive("negotiated")).alias("negotiated_lines"),
         F.min(_positive("negotiated")).alias("min_negotiated"), F.max(_positive("negotiated")).alias("max_negotiated"),
         *[F.mode(c, True).alias(c) for c in ("ccn",) if c in prices.columns],  # a file has one, so a facility has few
     ).withColumns({c: F.round(c, 2) for c in ("median_cash", "median_negotiated")})

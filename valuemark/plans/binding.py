@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuemark.config import Settings
-from valuemark.session import table
+from valuemark.session import materialize, table
 
 SETTINGS = Settings(counties=("NATION_0", "NATION_3", "NATION_5", "NATION_8", "NATION_12", "NATION_15", "NATION_16", "NATION_20"), service_area="ASIA", weight_clinical=2.0)
 
@@ -22,10 +22,12 @@ DISCHARGE = f"""
   CASE WHEN l_quantity >= 45 THEN '45+' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS los_raw,
   CASE l_returnflag WHEN 'N' THEN 'Home or Self Care' WHEN 'R' THEN 'Expired' ELSE 'Unknown' END AS disposition, CAST(year(o_orderdate) AS INT) AS year"""
 
+CODE = f"CASE WHEN s_suppkey % 4 = 3 THEN '027' WHEN s_suppkey % 3 = 0 AND l_partkey % 2 = 0 THEN '470' ELSE CAST({PROCEDURE} AS STRING) END"
+SETTING = "CASE WHEN l_linestatus = 'O' THEN 'Inpatient' WHEN l_linenumber = 1 THEN NULL ELSE 'Outpatient' END"
 PRICE = f"""
   {NAME} AS facility_name, CASE WHEN s_suppkey % 3 = 0 AND l_partkey % 2 = 0 THEN 'MS-DRG' ELSE 'APR-DRG' END AS system,
-  CASE WHEN s_suppkey % 4 = 3 THEN '027' WHEN s_suppkey % 3 = 0 AND l_partkey % 2 = 0 THEN '470' ELSE CAST({PROCEDURE} AS STRING) END AS code,
-  CASE WHEN l_linestatus = 'O' THEN 'Inpatient' WHEN l_linenumber = 1 THEN NULL ELSE 'Outpatient' END AS setting,
+  {CODE} AS code,
+  {SETTING} AS setting,
   o_orderpriority AS payer, l_returnflag AS plan, CASE WHEN l_quantity > 5 THEN round(l_extendedprice) END AS negotiated, round(p_retailprice * 20) AS cash,
   CASE WHEN l_linenumber > 2 THEN concat('33', CAST(s_suppkey % 7 AS STRING), l_returnflag) END AS ccn"""
 
@@ -39,6 +41,26 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey")).select(*LINE_COLUMNS)
 
 
+#: Procedures of the score table and of all tables.
+OWN_CODES, CODES = tuple(SETTINGS.procedure_codes), tuple(code for code, _ in SETTINGS.procedure_of_code)
+#: Codes of prices that may be targets, whatever their system.
+PRICE_CODES = (SETTINGS.ms_code, *SETTINGS.apr_codes, *SETTINGS.apr_legacy_codes)
+
+
+def counted_lines(spark: SparkSession, sf_dir: str, codes: tuple[int, ...]) -> DataFrame:
+    """Of ``lines`` those that are of these procedures or a target's price; of their amounts and dates what all that is made of them reads.
+
+    The cohort, the costs of these procedures and the target's prices are whole. Parts tell most of the others, so they are
+    joined first and those lines never go to their orders.
+    """
+    t = lambda n: table(spark, sf_dir, n)
+    price = f"(({SETTING}) IS NULL OR ({SETTING}) = 'Inpatient') AND ({CODE}) IN ({', '.join(repr(c) for c in PRICE_CODES)})".replace("s_suppkey", "l_suppkey")
+    counts = F.expr(f"({PROCEDURE}) IN ({', '.join(map(str, codes))}) OR {price}")
+    line = t("lineitem").withColumn("l_extendedprice", F.round("l_extendedprice"))
+    order = t("orders").withColumn("o_orderdate", F.trunc("o_orderdate", "year"))
+    return line.join(t("part"), F.col("l_partkey") == F.col("p_partkey")).filter(counts).select("l_orderkey", *[c for c in LINE_COLUMNS if c[:2] != "o_"]).join(order, F.col("l_orderkey") == F.col("o_orderkey")).select(*LINE_COLUMNS)
+
+
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: table(spark, sf_dir, n)
     return t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", "s_name", "n_name", "r_name")
@@ -63,9 +85,25 @@ def prices(spark: SparkSession, joined: Joined) -> DataFrame:
     return spark.sql(f"SELECT {PRICE} FROM _vm_joined")
 
 
-def costs(spark: SparkSession, joined: Joined) -> DataFrame:
+def recent(rows: DataFrame, codes: tuple[int, ...]) -> DataFrame:
+    """Rows of providers' years that can be the latest of one of these procedures, or the latest with a positive median of their own ones.
+
+    Where all charges of a provider's latest year are positive, so is every median of it; else all its years stay.
+    """
+    latest = lambda of, name: F.max(F.when(of, F.col("year"))).alias(name)
+    own = F.col("procedure_code").isin(*OWN_CODES)
+    ends = rows.groupBy("provider_id").agg(*[latest(F.col("procedure_code") == c, f"_{c}") for c in codes], latest(own, "_own"), latest(own & ~F.coalesce(F.col("charge") > 0, F.lit(False)), "_unpaid"))
+    paid = F.coalesce(F.col("_unpaid") < F.col("_own"), F.lit(True))
+    first = materialize(ends.select("provider_id", F.when(paid, F.least(*[f"_{c}" for c in codes])).alias("_first")), "first-years", short=True)
+    return rows.join(first, "provider_id").filter("_first IS NULL OR year >= _first").drop("_first")
+
+
+def costs(spark: SparkSession, joined: Joined, codes: tuple[int, ...] | None = None) -> DataFrame:
+    """Median charges and costs; with ``codes``, those of these procedures in the years that ``recent`` leaves."""
     _joined(joined)
     rows = spark.sql(f"SELECT CAST(s_suppkey AS INT) AS provider_id, {PROCEDURE} AS procedure_code, CAST(floor((p_size - 1) / 13.0) AS INT) + 1 AS severity, CAST(year(o_orderdate) AS INT) AS year, round(l_extendedprice) AS charge FROM _vm_joined").filter("procedure_code <> 999")
+    if codes is not None:
+        rows = recent(rows.filter(F.col("procedure_code").isin(*codes)), codes)
     middle = lambda c: F.percentile(c, F.lit(0.5))
     return rows.groupBy("provider_id", "procedure_code", "severity", "year").agg(F.count("*").alias("discharges"), middle(F.col("charge")).alias("median_charge"), middle(F.floor(F.col("charge") / 2).cast("double")).alias("median_cost"))
 

@@ -15,22 +15,26 @@ S = B.SETTINGS
 WRITTEN = {"cells", "attributes", "costs", "provider_pricing", "provider_costs", "procedure_pricing", "scores"}
 #: Made of several of the tables that lines give: these lines are joined once and written, a few columns wide.
 SEVERAL = {"market", "procedure_pricing", "procedure_scores", "scores"}
+#: Tables of all procedures, also of those that the cohort leaves out.
+BY_PROCEDURE = {"procedure_pricing", "procedure_benchmark", "procedure_scores"}
 
 
 class Stages:
     """Tables of one data set, built when first asked for.
 
     Whatever reads a large table and is read again is written, so that no plan scans a large table more than
-    once for each stage that needs it.
+    once for each stage that needs it. With ``counted``, the procedures that are asked for, the lines written are those that
+    count for these: discharges and prices lack the rows that neither the cohort nor a target has, costs the years before the last.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self._held, self._written = spark, sf_dir, {}, None
+    def __init__(self, spark: SparkSession, sf_dir: str, counted: tuple[int, ...] | None = None):
+        self.spark, self.sf_dir, self._held, self._written, self._counted = spark, sf_dir, {}, None, counted
 
     def shared(self) -> Stages:
         """The same, with lines and suppliers written, unless no more than one of the tables that they give is still to be made."""
         if self._written is None and len({"discharges", "prices", "costs"} - set(self._held)) > 1:
-            self._written = materialize(B.lines(self.spark, self.sf_dir), "lines-joined"), materialize(B.suppliers(self.spark, self.sf_dir), "suppliers", short=True)
+            lines = B.lines(self.spark, self.sf_dir) if self._counted is None else B.counted_lines(self.spark, self.sf_dir, self._counted)
+            self._written = materialize(lines, "lines-joined"), materialize(B.suppliers(self.spark, self.sf_dir), "suppliers", short=True)
         return self
 
     def joined(self) -> B.Joined:
@@ -40,6 +44,8 @@ class Stages:
         if name.startswith("_") or name not in BUILD:
             raise AttributeError(name)
         if name not in self._held:
+            if name in BY_PROCEDURE and self._counted is not None and not {*B.CODES} <= {*self._counted}:
+                raise ValueError(f"{name} is of all procedures")
             if name in SEVERAL:
                 self.shared()
             built = BUILD[name](self)
@@ -50,7 +56,7 @@ class Stages:
 BUILD = {
     "discharges": lambda t: B.discharges(t.spark, t.joined()),
     "prices": lambda t: B.prices(t.spark, t.joined()),
-    "costs": lambda t: B.costs(t.spark, t.joined()),
+    "costs": lambda t: B.costs(t.spark, t.joined(), t._counted),
     "links": lambda t: B.links(t.spark, t.sf_dir),
     "measures": lambda t: B.measures(t.spark, t.sf_dir),
     "cohort": lambda t: clinical.cohort(t.discharges, S),

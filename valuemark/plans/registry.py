@@ -31,9 +31,9 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def staged(name: str, columns: str, sql: str, build: Callable[[Stages], DataFrame]) -> None:
+def staged(name: str, columns: str, sql: str, build: Callable[[Stages], DataFrame], counted: tuple[int, ...] | None = None) -> None:
     names = [c.strip() for c in columns.split(",")]
-    REGISTRY[name] = (lambda spark, sf_dir: build(Stages(spark, sf_dir)).select(*names), sql)
+    REGISTRY[name] = (lambda spark, sf_dir: build(Stages(spark, sf_dir, counted)).select(*names), sql)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,8 +48,8 @@ def oracle_sql() -> dict[str, str]:
     return {n: sql for n, (_, sql) in REGISTRY.items() if sql}
 
 
-def simple(name: str, columns: str, cte: str, build: Callable[[Stages], DataFrame]) -> None:
-    staged(name, columns, B.sql(f"SELECT {columns} FROM {cte}", cte), build)
+def simple(name: str, columns: str, cte: str, build: Callable[[Stages], DataFrame], counted: tuple[int, ...] | None = None) -> None:
+    staged(name, columns, B.sql(f"SELECT {columns} FROM {cte}", cte), build, counted)
 
 
 METRICS = "patient_volume, first_year, last_year, avg_severity, observed_los, expected_los, oe_los, observed_adverse_pct, expected_adverse_pct, oe_adverse, oe_composite, clinical_oe"
@@ -63,29 +63,29 @@ simple("A6_procedure_metrics", f"provider_id, procedure_code, procedure, {METRIC
 simple("A3_A4_attributes", "provider_id, provider_name, certificate, county, zip3", "attributes", lambda t: t.attributes)
 simple("A7_provider_pricing", "facility_name, pricing_system, line_count, payer_count, negotiated_lines, median_cash, median_negotiated, min_negotiated, max_negotiated, procedure_cost, price_file_basis", "pricing", lambda t: t.provider_pricing)
 simple("A8_provider_costs", "provider_id, list_charge, list_cost, cost_year", "provider_costs", lambda t: t.provider_costs)
-simple("A9_market_benchmark", "cost_basis, providers, market_median, p25, p75, least, most", "market", lambda t: t.market)
-simple("J9_procedure_pricing", "provider_id, procedure, procedure_cost, cost_basis", "proc_pricing", lambda t: t.procedure_pricing)
-simple("A10_procedure_benchmark", "procedure, cost_basis, providers, market_median", "proc_bench", lambda t: t.procedure_benchmark)
-simple("V12_score_table", SCORES, "scores", lambda t: t.scores)
-simple("V13_procedure_scores", "provider_id, procedure_code, procedure, patient_volume, clinical_oe, procedure_cost, cost_basis, market_median, value_index", "proc_scores", lambda t: t.procedure_scores)
-simple("V14_consumer_view", VIEW, "view", lambda t: t.view)
+simple("A9_market_benchmark", "cost_basis, providers, market_median, p25, p75, least, most", "market", lambda t: t.market, counted=B.OWN_CODES)
+simple("J9_procedure_pricing", "provider_id, procedure, procedure_cost, cost_basis", "proc_pricing", lambda t: t.procedure_pricing, counted=B.CODES)
+simple("A10_procedure_benchmark", "procedure, cost_basis, providers, market_median", "proc_bench", lambda t: t.procedure_benchmark, counted=B.CODES)
+simple("V12_score_table", SCORES, "scores", lambda t: t.scores, counted=B.OWN_CODES)
+simple("V13_procedure_scores", "provider_id, procedure_code, procedure, patient_volume, clinical_oe, procedure_cost, cost_basis, market_median, value_index", "proc_scores", lambda t: t.procedure_scores, counted=B.CODES)
+simple("V14_consumer_view", VIEW, "view", lambda t: t.view, counted=B.OWN_CODES)
 staged("V15_procedure_view", "provider_id, procedure, procedure_code, value_index, value_rank, star_rating, pct_vs_market", B.sql(
-    f"SELECT provider_id, procedure, procedure_code, value_index, rank() OVER (PARTITION BY procedure ORDER BY value_index DESC) AS value_rank, CAST(ntile(5) OVER (PARTITION BY procedure ORDER BY value_index, provider_id) AS INT) AS star_rating, {B.R('(procedure_cost - market_median) * 100.0 / nullif(market_median, 0)', 1)} AS pct_vs_market FROM proc_scores WHERE value_index IS NOT NULL", "proc_scores"), lambda t: t.procedure_view)
-staged("V16_export_view", VIEW, B.sql(f"SELECT {VIEW} FROM view WHERE value_index IS NOT NULL", "view"), lambda t: ranking.export_view(t.view))
-staged("O3_top_15", "provider_id, value_index", B.sql("SELECT provider_id, value_index FROM scores WHERE value_index IS NOT NULL ORDER BY value_index DESC, provider_id LIMIT 15", "scores"), lambda t: checks.best(t.scores))
+    f"SELECT provider_id, procedure, procedure_code, value_index, rank() OVER (PARTITION BY procedure ORDER BY value_index DESC) AS value_rank, CAST(ntile(5) OVER (PARTITION BY procedure ORDER BY value_index, provider_id) AS INT) AS star_rating, {B.R('(procedure_cost - market_median) * 100.0 / nullif(market_median, 0)', 1)} AS pct_vs_market FROM proc_scores WHERE value_index IS NOT NULL", "proc_scores"), lambda t: t.procedure_view, counted=B.CODES)
+staged("V16_export_view", VIEW, B.sql(f"SELECT {VIEW} FROM view WHERE value_index IS NOT NULL", "view"), lambda t: ranking.export_view(t.view), counted=B.OWN_CODES)
+staged("O3_top_15", "provider_id, value_index", B.sql("SELECT provider_id, value_index FROM scores WHERE value_index IS NOT NULL ORDER BY value_index DESC, provider_id LIMIT 15", "scores"), lambda t: checks.best(t.scores), counted=B.OWN_CODES)
 simple("A12_outcomes", "provider_id, ccn, complication_rate, readmission_rate, overall_rating", "outcomes", lambda t: t.outcomes)
-staged("J12_scores_with_outcomes", "provider_id, value_index, complication_rate, readmission_rate", B.sql("SELECT provider_id, value_index, complication_rate, readmission_rate FROM view LEFT JOIN outcomes USING (provider_id)", "view", "outcomes"), lambda t: ranking.consumer_view(t.scores, t.outcomes.drop("ccn")))
-staged("A21_proxy_validation", "n, correlation", B.sql(f"SELECT count(*) AS n, {B.R('corr(clinical_oe, complication_rate)', 4)} AS correlation FROM scores JOIN outcomes USING (provider_id) WHERE clinical_oe IS NOT NULL AND complication_rate IS NOT NULL", "scores", "outcomes"), lambda t: outcomes.proxy_validation(t.scores, t.outcomes))
-staged("P10_market_view", "provider_id, cost, patient_volume, star_rating", B.sql("SELECT provider_id, cost, patient_volume, star_rating FROM view WHERE borough IN ('NATION_3', 'NATION_5', 'NATION_8', 'NATION_15') AND cost <= 60000 AND patient_volume >= 20 AND star_rating >= 2", "view"), lambda t: ranking.market_view(t.view, ["NATION_3", "NATION_5", "NATION_8", "NATION_15"], 60000, 20, 2))
-staged("A18_headline", "providers, median_cost, spread, volume", B.sql(f"SELECT count(*) AS providers, {B.R(B.Q('cost', 0.5), 2)} AS median_cost, {B.R('CASE WHEN count(cost) > 1 THEN max(cost) - min(cost) END', 2)} AS spread, CAST(coalesce(sum(patient_volume), 0) AS BIGINT) AS volume FROM view", "view"), lambda t: ranking.headline(t.view))
-staged("A22_basis_lines", "cost_basis, market_median", B.sql("SELECT cost_basis, max(market_median) AS market_median FROM view GROUP BY cost_basis", "view"), lambda t: ranking.basis_lines(t.view))
+staged("J12_scores_with_outcomes", "provider_id, value_index, complication_rate, readmission_rate", B.sql("SELECT provider_id, value_index, complication_rate, readmission_rate FROM view LEFT JOIN outcomes USING (provider_id)", "view", "outcomes"), lambda t: ranking.consumer_view(t.scores, t.outcomes.drop("ccn")), counted=B.OWN_CODES)
+staged("A21_proxy_validation", "n, correlation", B.sql(f"SELECT count(*) AS n, {B.R('corr(clinical_oe, complication_rate)', 4)} AS correlation FROM scores JOIN outcomes USING (provider_id) WHERE clinical_oe IS NOT NULL AND complication_rate IS NOT NULL", "scores", "outcomes"), lambda t: outcomes.proxy_validation(t.scores, t.outcomes), counted=B.OWN_CODES)
+staged("P10_market_view", "provider_id, cost, patient_volume, star_rating", B.sql("SELECT provider_id, cost, patient_volume, star_rating FROM view WHERE borough IN ('NATION_3', 'NATION_5', 'NATION_8', 'NATION_15') AND cost <= 60000 AND patient_volume >= 20 AND star_rating >= 2", "view"), lambda t: ranking.market_view(t.view, ["NATION_3", "NATION_5", "NATION_8", "NATION_15"], 60000, 20, 2), counted=B.OWN_CODES)
+staged("A18_headline", "providers, median_cost, spread, volume", B.sql(f"SELECT count(*) AS providers, {B.R(B.Q('cost', 0.5), 2)} AS median_cost, {B.R('CASE WHEN count(cost) > 1 THEN max(cost) - min(cost) END', 2)} AS spread, CAST(coalesce(sum(patient_volume), 0) AS BIGINT) AS volume FROM view", "view"), lambda t: ranking.headline(t.view), counted=B.OWN_CODES)
+staged("A22_basis_lines", "cost_basis, market_median", B.sql("SELECT cost_basis, max(market_median) AS market_median FROM view GROUP BY cost_basis", "view"), lambda t: ranking.basis_lines(t.view), counted=B.OWN_CODES)
 staged("A3_price_certification", "facility_name, ccn", B.sql("SELECT facility_name, ccn FROM (SELECT facility_name, ccn, row_number() OVER (PARTITION BY facility_name ORDER BY ccn IS NULL, n DESC, ccn) AS k FROM (SELECT facility_name, ccn, count(*) AS n FROM (SELECT *, min(system_rank) OVER (PARTITION BY facility_name) AS best FROM lines) WHERE system_rank = best GROUP BY facility_name, ccn)) WHERE k = 1", "lines"), lambda t: t.provider_pricing)
 EIGHT = {"discharges": "discharges", "cohort": "cohort", "cohort_in_market": "cohort WHERE in_market", "provider_metrics": "metrics", "prices": "prices", "provider_pricing": "pricing", "links": "links", "scores": "scores"}
 staged("Q1_stage_counts", "stage, rows", B.sql(" UNION ALL ".join(f"SELECT '{n}' AS stage, count(*) AS rows FROM {c}" for n, c in EIGHT.items()), "scores"), lambda t: checks.stage_counts(discharges=t.shared().discharges, cohort=t.cohort, cohort_in_market=t.cohort.filter("in_market"), provider_metrics=t.provider_metrics, prices=t.prices, provider_pricing=t.provider_pricing, links=t.links, scores=t.scores))
 MAPPED = "CASE provider_id % 7 WHEN 0 THEN 'Kings' WHEN 1 THEN ' new york ' WHEN 2 THEN 'RICHMOND' WHEN 3 THEN 'Bronx' WHEN 4 THEN NULL WHEN 5 THEN 'manhattan' ELSE county END"
 staged("P8_boroughs", "provider_id, borough", B.sql(f"SELECT provider_id, CASE lower(trim(c)) WHEN 'kings' THEN 'Brooklyn' WHEN 'new york' THEN 'Manhattan' WHEN 'manhattan' THEN 'Manhattan' WHEN 'richmond' THEN 'Staten Island' WHEN 'bronx' THEN 'Bronx' ELSE c END AS borough FROM (SELECT provider_id, {MAPPED} AS c FROM attributes)", "attributes"), lambda t: t.attributes.select("provider_id", X.borough(F.expr(MAPPED)).alias("borough")))
 staged("P15_market_benchmarks", "procedure_code, severity, year, stratum_n, expected_los, expected_adverse", B.sql(B.CTES["bench"].replace("FROM cohort", "FROM cohort WHERE in_market"), "cohort"), lambda t: clinical.benchmarks(t.cells, dataclasses.replace(S, benchmark_scope="market")))
-staged("P11_chosen_procedure", "provider_id, procedure, value_index", B.sql("SELECT provider_id, procedure, value_index FROM proc_scores WHERE value_index IS NOT NULL AND procedure = 'knee'", "proc_scores"), lambda t: ranking.chosen_view(t.view, t.procedure_view, "knee"))
+staged("P11_chosen_procedure", "provider_id, procedure, value_index", B.sql("SELECT provider_id, procedure, value_index FROM proc_scores WHERE value_index IS NOT NULL AND procedure = 'knee'", "proc_scores"), lambda t: ranking.chosen_view(t.view, t.procedure_view, "knee"), counted=B.CODES)
 staged("Q2_cohort_by_year", "year, discharges, in_market, market_providers", B.sql("SELECT year, count(*) AS discharges, count(*) FILTER (in_market) AS in_market, count(DISTINCT CASE WHEN in_market THEN provider_id END) AS market_providers FROM cohort GROUP BY year", "cohort"), lambda t: checks.cohort_by_year(t.discharges, S))
 
 
@@ -132,7 +132,7 @@ def _planted_sql(name: str, keyed: bool) -> str:
 @query("Q13_keys_watched", B.sql(" UNION ALL ".join(_planted_sql(n, "provider_id" in checks.KEYS[n]) for n in WATCHED), *dict.fromkeys(v[1] for v in WATCHED.values())))
 def q13_keys_watched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is observed of the keys of each derived table while it is written, with faults planted in those of providers."""
-    t, found = Stages(spark, sf_dir).shared(), []
+    t, found = Stages(spark, sf_dir, B.CODES).shared(), []
     for name, (stage, _) in WATCHED.items():
         marked, seen = checks.watched(_planted(getattr(t, stage)), list(checks.KEYS[name]))
         marked.write.parquet(fresh_path(spark, "watched"))
@@ -143,11 +143,11 @@ def q13_keys_watched(spark: SparkSession, sf_dir: str) -> DataFrame:
 staged("Q5_dispositions", "disposition, adverse, n", B.sql("SELECT disposition, CASE disposition WHEN 'Home or Self Care' THEN 0 WHEN 'Unknown' THEN NULL ELSE 1 END AS adverse, count(*) AS n FROM discharges GROUP BY ALL", "discharges"), lambda t: checks.dispositions(t.discharges))
 staged("Q6_unmapped", "without_row, without_name", B.sql("SELECT (SELECT count(*) FROM metrics ANTI JOIN links USING (provider_id)) AS without_row, (SELECT count(*) FROM metrics m WHERE EXISTS (SELECT 1 FROM links l WHERE l.provider_id = m.provider_id AND l.facility_name IS NULL)) AS without_name", "metrics", "links"), lambda t: checks.unmapped(t.provider_metrics, t.links))
 staged("Q7_awaiting_review", "provider_id, facility_name", B.sql("SELECT provider_id, facility_name FROM links WHERE NOT reviewed AND facility_name IS NOT NULL", "links"), lambda t: t.links.filter("NOT reviewed AND facility_name IS NOT NULL"))
-staged("Q8_no_price", "provider_id, data_status", B.sql("SELECT provider_id, data_status FROM scores WHERE price_file_basis IS NULL", "scores"), lambda t: t.scores.filter("price_file_basis IS NULL"))
+staged("Q8_no_price", "provider_id, data_status", B.sql("SELECT provider_id, data_status FROM scores WHERE price_file_basis IS NULL", "scores"), lambda t: t.scores.filter("price_file_basis IS NULL"), counted=B.OWN_CODES)
 FANNED = "SELECT provider_id FROM scores UNION ALL SELECT provider_id FROM scores WHERE provider_id % 10 = 0"
-staged("Q9_fan_out", "provider_id, n", B.sql(f"SELECT provider_id, count(*) AS n FROM ({FANNED}) GROUP BY provider_id HAVING count(*) > 1", "scores"), lambda t: checks.duplicates(t.scores.select("provider_id", F.explode(F.array_repeat(F.lit(1), F.when(F.col("provider_id") % 10 == 0, 2).otherwise(1)))), ["provider_id"]))
+staged("Q9_fan_out", "provider_id, n", B.sql(f"SELECT provider_id, count(*) AS n FROM ({FANNED}) GROUP BY provider_id HAVING count(*) > 1", "scores"), lambda t: checks.duplicates(t.scores.select("provider_id", F.explode(F.array_repeat(F.lit(1), F.when(F.col("provider_id") % 10 == 0, 2).otherwise(1)))), ["provider_id"]), counted=B.OWN_CODES)
 ODD_COST, ODD_OE = "CASE provider_id % 10 WHEN 0 THEN cost * 100 WHEN 1 THEN cost / 100 ELSE cost END", "CASE provider_id % 10 WHEN 2 THEN clinical_oe * 8 WHEN 3 THEN clinical_oe / 8 ELSE clinical_oe END"
-staged("Q11_implausible", "provider_id, clinical_oe, cost", B.sql(f"SELECT * FROM (SELECT provider_id, {ODD_OE} AS clinical_oe, {ODD_COST} AS cost FROM scores) WHERE clinical_oe > 3 OR clinical_oe < 0.25 OR cost > 500000 OR cost < 5000", "scores"), lambda t: checks.implausible(t.scores.withColumns({"cost": F.expr(ODD_COST), "clinical_oe": F.expr(ODD_OE)})))
+staged("Q11_implausible", "provider_id, clinical_oe, cost", B.sql(f"SELECT * FROM (SELECT provider_id, {ODD_OE} AS clinical_oe, {ODD_COST} AS cost FROM scores) WHERE clinical_oe > 3 OR clinical_oe < 0.25 OR cost > 500000 OR cost < 5000", "scores"), lambda t: checks.implausible(t.scores.withColumns({"cost": F.expr(ODD_COST), "clinical_oe": F.expr(ODD_OE)})), counted=B.OWN_CODES)
 staged("A19_match_coverage", "providers, matched, approved, awaiting_review, volume_share", B.sql(f"SELECT count(*) AS providers, count(facility_name) AS matched, count(*) FILTER (facility_name IS NOT NULL AND reviewed) AS approved, count(*) FILTER (facility_name IS NOT NULL AND NOT reviewed) AS awaiting_review, {B.R('CAST(sum(CASE WHEN facility_name IS NOT NULL THEN patient_volume END) AS DOUBLE) / nullif(CAST(sum(patient_volume) AS DOUBLE), 0)', 4)} AS volume_share FROM links LEFT JOIN metrics USING (provider_id)", "links", "metrics"), lambda t: linkage.match_summary(t.links, t.provider_metrics.withColumnRenamed("patient_volume", "volume")))
 staged("A20_price_names", "facility_name, n", B.sql("SELECT facility_name, count(*) AS n FROM prices GROUP BY facility_name", "prices"), lambda t: t.prices.groupBy("facility_name").agg(F.count("*").alias("n")))
 
