@@ -53,3 +53,17 @@ def test_query_reads_the_whole_table(spark):
     for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
         ids = SP.encode(r.text or "", add_eos=True)
         assert got[r.doc_id] == (len(ids), sha(" ".join(map(str, ids))), sha(SP.decode(ids)))
+
+
+def test_both_agendas_merge_alike():
+    model = P.piece_model(PATH)
+    for text in [*ODD[:-2], "aaaaaaaa", "thathaon,", "auxçaimentement", "the" * 14, "ab" * 20 + "é" * 5]:
+        assert P.merged_short(list(text), model.cost) == P.merged(list(text), model.cost), text
+
+
+def test_each_different_word_is_looked_up_once():
+    model, asked = P.PieceModel(PATH, 1000), []
+    model.numbers = lambda words, was=model.numbers: asked.append(words) or was(words)
+    texts = ["a b a b\na", "", " a  b", "b a", "\n\nb"]
+    assert [ids for ids, _, _ in model.encode(texts)] == [SP.encode(t, add_eos=True) for t in texts]
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0]))

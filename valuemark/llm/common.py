@@ -10,13 +10,14 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuemark.session import discard, fresh_path, materialize, shared_dir, table
 
-__all__ = ["discard", "fresh_path", "held_out", "kept_rows", "materialize", "shared_dir", "sliced", "table", "texts", "unused", "worker_state"]
+__all__ = ["discard", "fresh_path", "held_out", "kept_rows", "laid_out", "materialize", "row_starts", "shared_dir", "sliced", "table", "texts", "unused", "worker_state"]
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -76,6 +77,27 @@ def sliced(batches, rows: int = 256):
             yield b.slice(at, rows)
 
 
+def laid_out(lists: pa.Array, numbers: Callable[[list[str]], list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """Rows of words as rows of their unsigned 32-bit numbers, each different word looked up once.
+
+    ``numbers`` gives the numbers of each of a list of different words. Returned are all rows' numbers one after the other, where
+    each row begins (and the last one ends), the place of each word in the list of different ones, and that list.
+    """
+    coded = lists.flatten().dictionary_encode()
+    words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    parts = numbers(words)
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    first, n = np.cumsum(size) - size, size[at]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    flat = np.frombuffer(b"".join(parts), "<u4")[np.repeat(first[at] - ends[:-1], n) + np.arange(ends[-1])]
+    return flat, ends[row_starts(lists)], at, words
+
+
+def row_starts(lists: pa.Array) -> np.ndarray:
+    """Where each row of a list array begins in its flattened values, and where the last one ends; a null row is empty."""
+    return np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]).astype("i8")
+
+
 def _kept(batches, decide: Callable[[list[str]], np.ndarray], at: int):
     for b in sliced(batches):
         found = [t or "" for t in b.column(at).to_pylist()]

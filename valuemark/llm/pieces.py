@@ -2,7 +2,8 @@
 
 A text becomes a row of symbols, one a character. An agenda holds every adjacent pair that spells a piece
 of the vocabulary, ordered by the piece's score, then by place; the best pair is merged, pairs that it made
-stale are passed over, and its new neighbours enter the agenda, until nothing is left to merge. A symbol
+stale are passed over, and its new neighbours enter the agenda, until nothing is left to merge. The agenda of a
+short word is a list of the costs of its pairs by place, of which the least and leftmost is taken. A symbol
 outside the vocabulary becomes its UTF-8 bytes. No piece holds a word mark or a line end behind another
 character, so merging works on words. A worker keeps their ids in two generations of bounded size: when the
 young one is full it becomes the old one, and what is still in use moves on from there.
@@ -22,11 +23,13 @@ from array import array
 from heapq import heapify, heappop, heappush
 from operator import add
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemark.llm.common import table, texts, worker_state
+from valuemark.llm.common import laid_out, row_starts, table, texts, worker_state
 
 MARK = "▁"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -36,6 +39,25 @@ def piece_model(path: str, limit: int = 300_000) -> "PieceModel":
     return worker_state(("pieces", path, limit), functools.partial(PieceModel, path, limit))
 
 
+#: Symbols up to which an agenda is a list in the order of the text; NEVER is the cost of a pair that is no piece.
+SHORT, NEVER = 48, float("inf")
+
+
+def merged_short(symbols: list[str], cost: dict[str, float]) -> list[str]:
+    """As ``merged``, by an agenda without stale pairs: the costs of all that are adjacent, searched from the left for the best."""
+    find = cost.get
+    agenda = [find(pair, NEVER) for pair in map(add, symbols, symbols[1:])]
+    while agenda and (best := min(agenda)) != NEVER:
+        i = agenda.index(best)
+        new = symbols[i] = symbols[i] + symbols.pop(i + 1)
+        del agenda[i]
+        if i < len(agenda):
+            agenda[i] = find(new + symbols[i + 1], NEVER)
+        if i:
+            agenda[i - 1] = find(symbols[i - 1] + new, NEVER)
+    return symbols
+
+
 def merged(symbols: list[str], cost: dict[str, float]) -> list[str]:
     """The symbols left when the agenda is empty; ``cost`` of a piece is its score turned round."""
     n, find = len(symbols), cost.get
@@ -74,14 +96,14 @@ class PieceModel:
         self.end = sp.eos_id()
         self.by_word = not any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids_of_piece)
         # Bytes and strings, which the garbage collector need not visit.
-        self.limit, self.known, self.old, self.spelled, self.old_spelled = limit, {}, {}, {}, {}
+        self.limit, self.known, self.old = limit, {}, {}
         #: Kept words whose ids are the library's.
         self.changed: set[str] = set()
 
     def agenda_ids(self, marked: str) -> list[int]:
         """Ids of a text whose spaces are marks already."""
         out = []
-        for s in merged(list(marked), self.cost):
+        for s in (merged_short if len(marked) <= SHORT else merged)(list(marked), self.cost):
             known = self.ids_of_piece.get(s)
             if known is None:
                 out.extend(self.bytes[b] for b in s.encode("utf-8", "surrogatepass"))
@@ -89,20 +111,30 @@ class PieceModel:
                 out.append(known)
         return out
 
-    def words(self, text: str) -> list[str]:
-        """Keys of the words: a plain key has its mark left out; a key led by a line end or a mark is spelled in full."""
-        if not self.by_word:
-            return [MARK + text.replace(" ", MARK)]
-        spaced = text.replace("\n", " \n")
-        if text[0] == " " or "  " in spaced or MARK in text:
-            return RUNS.findall(MARK + text.replace(" ", MARK))
-        return spaced.split(" ")
-
-    def learn(self, words: set[str]) -> None:
+    def words(self, texts: list[str]) -> pa.Array:
+        """Keys of the words of each text: a plain key has its mark left out; a key led by a line end or a mark is spelled in full."""
+        spaced, own = [], {}
+        for i, text in enumerate(texts):
+            line = text.replace("\n", " \n")
+            if not text:
+                own[i] = []
+            elif not self.by_word:
+                own[i] = [MARK + text.replace(" ", MARK)]
+            elif text[0] == " " or MARK in text or "  " in line:
+                own[i] = RUNS.findall(MARK + text.replace(" ", MARK))
+            spaced.append("" if i in own else line)
+        split = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
+        if not own:
+            return split
+        place = np.arange(len(texts))
+        place[list(own)] = len(texts) + np.arange(len(own))
+        return pa.concat_arrays([split, pa.array(own.values(), split.type)]).take(pa.array(place))
+
+    def learn(self, words: list[str]) -> None:
         new = []
         for w in words:
             if w in self.old:
-                self.known[w], self.spelled[w] = self.old[w], self.old_spelled[w]
+                self.known[w] = self.old[w]
             else:
                 new.append(w)
         full = [w if w[:1] in (MARK, "\n") else MARK + w for w in new]
@@ -117,23 +149,31 @@ class PieceModel:
             if own != theirs:
                 self.changed.add(word)
                 own = theirs
-            self.known[word], self.spelled[word] = array("i", own).tobytes(), " ".join(map(str, own))
+            self.known[word] = array("I", own).tobytes()
+
+    def numbers(self, words: list[str]) -> list[bytes]:
+        known = self.known
+        if new := [w for w in words if w not in known]:
+            self.learn(new)
+        return list(map(known.__getitem__, words))
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], str, bool]]:
         """Ids of each text with the end id behind them, the same as decimal text, and whether all are the agenda's."""
-        split = [self.words(t) if t else [] for t in texts]
-        if new := set().union(*split).difference(self.known):
-            self.learn(new)
-        out = []
-        for words in split:
-            ids = array("i", b"".join(map(self.known.__getitem__, words))).tolist()
-            ids.append(self.end)
-            out.append((ids, " ".join([*map(self.spelled.__getitem__, words), str(self.end)]), not self.changed or self.changed.isdisjoint(words)))
+        lists = self.words(texts)
+        flat, starts, at, words = laid_out(lists, self.numbers)
+        ids = np.insert(flat, starts[1:], self.end)
+        starts = starts + np.arange(len(starts))
+        spelled = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(starts), pa.array(ids).cast(pa.string())), " ").to_pylist()
+        own = np.ones(len(texts), bool)
+        if self.changed:
+            other = np.fromiter(map(self.changed.__contains__, words), bool, len(words))
+            own = np.diff(np.concatenate([[0], np.cumsum(other[at])])[row_starts(lists)]) == 0
         if len(self.known) > self.limit:
-            self.old, self.old_spelled = (self.known, self.spelled) if len(self.known) < 2 * self.limit else ({}, {})
-            self.known, self.spelled = {}, {}
+            self.old = self.known if len(self.known) < 2 * self.limit else {}
+            self.known = {}
             self.changed.intersection_update(self.old)
-        return out
+        ends = starts.tolist()
+        return [(ids[a:b].tolist(), text, mine) for a, b, text, mine in zip(ends, ends[1:], spelled, own.tolist())]
 
 
 def _coded(batches, path: str):
