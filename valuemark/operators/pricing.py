@@ -28,14 +28,17 @@ def priced_lines(prices: DataFrame, s: Settings) -> DataFrame:
     return prices.filter(pair & setting).withColumn("system_rank", F.when(F.col("system") == "MS-DRG", 1).otherwise(2))
 
 
-def provider_pricing(prices: DataFrame, s: Settings) -> DataFrame:
+def provider_pricing(prices: DataFrame, s: Settings, written: bool = False) -> DataFrame:
     """One row a facility name, from its preferred code system only (MS over APR).
 
     The best system of a facility is an aggregate that is written, a row a facility, and joined back, and medians come by
-    selection, so a facility with a large share of all lines is spread over tasks.
+    selection, so a facility with a large share of all lines is spread over tasks. With ``written``, prices are read from a written
+    table, so their lines are not written again.
     """
     columns = [c for c in ("facility_name", "system", "payer", "cash", "negotiated", "ccn") if c in prices.columns]
-    lines = materialize(priced_lines(prices, s).select(*columns, "system_rank"), "lines")
+    lines = priced_lines(prices, s).select(*columns, "system_rank")
+    if not written:
+        lines = materialize(lines, "lines")
     best = materialize(lines.groupBy(F.col("facility_name").alias("_name")).agg(F.min("system_rank").alias("best")), "best-systems", short=True)
     lines = lines.join(best, F.col("facility_name").eqNullSafe(F.col("_name")) & (F.col("system_rank") == F.col("best"))).drop("_name", "best")
     g = with_quantiles(

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+import re
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuemark.config import Settings
@@ -47,18 +51,70 @@ OWN_CODES, CODES = tuple(SETTINGS.procedure_codes), tuple(code for code, _ in SE
 PRICE_CODES = (SETTINGS.ms_code, *SETTINGS.apr_codes, *SETTINGS.apr_legacy_codes)
 
 
+#: How a column's values are numbered where lines move: the number (null where a value has none), how many there are, and a value of
+#: that number, ``k``. Values share a number where nothing that is made of lines tells them apart.
+Codes = dict[str, tuple[str, int, str]]
+LINE_CODES: Codes = {
+    "l_extendedprice": ("CASE WHEN l_extendedprice BETWEEN 0D AND 1048575D THEN CAST(l_extendedprice AS BIGINT) END", 1 << 20, "k"),  # rounded before
+    "l_quantity": ("CASE WHEN l_quantity >= 45D THEN 45 WHEN l_quantity >= 0D AND l_quantity = floor(l_quantity) THEN CAST(l_quantity AS INT) END", 46, "k"),
+    "l_linenumber": ("CASE WHEN l_linenumber > 2 THEN 3 WHEN l_linenumber >= 0 THEN l_linenumber END", 4, "k"),
+    "l_returnflag": ("CASE l_returnflag WHEN 'N' THEN 0 WHEN 'R' THEN 1 WHEN 'A' THEN 2 END", 3, "elt(CAST(k AS INT) + 1, 'N', 'R', 'A')"),
+    "l_linestatus": ("CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END", 2, "elt(CAST(k AS INT) + 1, 'F', 'O')"),
+}
+PART_CODES: Codes = {
+    "p_partkey": ("CASE WHEN p_partkey >= 0 THEN p_partkey % 1320 END", 1320, "k"),  # 5, 11 and 120 divide it
+    "p_type": ("CASE p_type WHEN 'STANDARD' THEN 1 WHEN 'ECONOMY' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 4 ELSE 0 END", 5, "elt(CAST(k AS INT) + 1, 'OTHER', 'STANDARD', 'ECONOMY', 'MEDIUM', 'PROMO')"),
+    "p_size": ("CASE WHEN p_size BETWEEN 1 AND 104 THEN (p_size - 1) div 13 END", 8, "k * 13 + 1"),
+    "p_retailprice": ("CASE WHEN p_retailprice IS NULL THEN 0 WHEN round(p_retailprice * 20) BETWEEN 0D AND 65534D THEN CAST(round(p_retailprice * 20) AS INT) + 1 END", 65536, "CASE WHEN k > 0 THEN (k - 1) / 20D END"),
+}
+PARTS = math.prod(size for _, size, _ in PART_CODES.values())
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+PRIORITY = "CASE o_orderpriority " + " ".join(f"WHEN '{p}' THEN {k}" for k, p in enumerate(PRIORITIES)) + " ELSE 5 END"
+#: An order's year (none: one that no timestamp has), whether its status is P, and its priority, any other of which goes beside.
+ORDER_NUMBER = f"(coalesce(year(o_orderdate), 1000000) - 2000) * 12 + CASE WHEN o_orderstatus = 'P' THEN 6 ELSE 0 END + {PRIORITY}"
+ORDER_VALUES = {
+    "o_orderdate": "make_date(nullif(CAST(floor(_order / 12D) AS INT) + 2000, 1000000), 1, 1)",
+    "o_orderstatus": "if(pmod(_order, 12) >= 6, 'P', 'O')",
+    "o_orderpriority": f"elt(pmod(_order, 6) + 1, {', '.join(map(repr, PRIORITIES))}, _priority)",
+}
+
+
+def packed(rows: DataFrame, codes: Codes, name: str, *keep: str) -> DataFrame:
+    """``keep`` and these columns as one number; rows with a value that has no number are 0 and have all the values beside, in ``odd{name}``."""
+    number = reduce(lambda a, c: a * c[1] + F.expr(c[0]).cast("long"), codes.values(), F.lit(0).cast("long"))
+    return rows.withColumn(name, number).select(F.coalesce(name, F.lit(0).cast("long")).alias(name), *keep, F.when(F.col(name).isNull(), F.struct(*codes)).alias(f"odd{name}"))
+
+
+def values(rows: DataFrame, codes: Codes, name: str, number: str) -> dict[str, Column]:
+    """The columns of ``packed``, in their own types, of the number as it is now."""
+    odd, place, columns = F.col(f"odd{name}"), 1, {}
+    types = {f.name: f.dataType for f in rows.schema[f"odd{name}"].dataType}
+    for column, (_, size, value) in reversed(codes.items()):
+        one = F.expr(re.sub(r"\bk\b", f"({number} div {place} % {size})", value)).cast(types[column])
+        columns[column] = F.when(odd.isNull(), one).otherwise(odd[column])
+        place *= size
+    return columns
+
+
 def counted_lines(spark: SparkSession, sf_dir: str, codes: tuple[int, ...]) -> DataFrame:
-    """Of ``lines`` those that are of these procedures or a target's price; of their amounts and dates what all that is made of them reads.
+    """Of ``lines`` those that are of these procedures or a target's price; of their columns what all that is made of them reads.
 
     The cohort, the costs of these procedures and the target's prices are whole. Parts tell most of the others, so they are
-    joined first and those lines never go to their orders.
+    joined first and those lines never go to their orders. Where lines and orders move, their columns are one number.
     """
     t = lambda n: table(spark, sf_dir, n)
-    price = f"(({SETTING}) IS NULL OR ({SETTING}) = 'Inpatient') AND ({CODE}) IN ({', '.join(repr(c) for c in PRICE_CODES)})".replace("s_suppkey", "l_suppkey")
-    counts = F.expr(f"({PROCEDURE}) IN ({', '.join(map(str, codes))}) OR {price}")
-    line = t("lineitem").withColumn("l_extendedprice", F.round("l_extendedprice"))
-    order = t("orders").withColumn("o_orderdate", F.trunc("o_orderdate", "year"))
-    return line.join(t("part"), F.col("l_partkey") == F.col("p_partkey")).filter(counts).select("l_orderkey", *[c for c in LINE_COLUMNS if c[:2] != "o_"]).join(order, F.col("l_orderkey") == F.col("o_orderkey")).select(*LINE_COLUMNS)
+    line = t("lineitem").withColumn("l_extendedprice", F.round("l_extendedprice")).withColumn("_inpatient", F.expr(f"({SETTING}) IS NULL OR ({SETTING}) = 'Inpatient'"))
+    line = packed(line, LINE_CODES, "_line", "l_orderkey", "l_partkey", "l_suppkey", "_inpatient")
+    part = packed(t("part").withColumn("_code", F.expr(f"CAST({PROCEDURE} AS STRING)")), PART_CODES, "_part", F.col("p_partkey").alias("_key"), "_code")
+    code = CODE.replace(f"CAST({PROCEDURE} AS STRING)", "_code").replace("s_suppkey", "l_suppkey")
+    texts = lambda values: ", ".join(f"'{v}'" for v in values)
+    line = line.join(part, F.col("l_partkey") == F.col("_key")).filter(f"_code IN ({texts(codes)}) OR _inpatient AND ({code}) IN ({texts(PRICE_CODES)})")
+    line = line.select(F.expr(f"_line * {PARTS} + _part").alias("_number"), "l_suppkey", "l_orderkey", "odd_line", "odd_part")
+    order = t("orders").select("o_orderkey", F.expr(ORDER_NUMBER).alias("_order"), F.expr(f"CASE WHEN {PRIORITY} = 5 THEN o_orderpriority END").alias("_priority"))
+    joined = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
+    told = values(line, LINE_CODES, "_line", f"(_number div {PARTS})") | values(line, PART_CODES, "_part", f"(_number % {PARTS})") | {c: F.expr(e) for c, e in ORDER_VALUES.items()}
+    told["l_partkey"] = told.pop("p_partkey")
+    return joined.select("l_suppkey", *[c.alias(n) for n, c in told.items()]).select(*LINE_COLUMNS)
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,7 +65,7 @@ BUILD = {
     "provider_metrics": lambda t: clinical.provider_metrics(t.cells, t.benchmarks, S),
     "procedure_metrics": lambda t: clinical.procedure_metrics(t.cells, t.benchmarks, S),
     "attributes": lambda t: clinical.provider_attributes(t.cohort),
-    "provider_pricing": lambda t: pricing.provider_pricing(t.prices, S),
+    "provider_pricing": lambda t: pricing.provider_pricing(t.prices, S, written=t._written is not None),
     "provider_costs": lambda t: pricing.provider_costs(t.costs, S),
     "market": lambda t: pricing.market_benchmark(t.provider_pricing, t.provider_costs),
     "procedure_pricing": lambda t: pricing.procedure_pricing(t.prices, t.costs, t.links, S),
